@@ -56,7 +56,7 @@ _NOISE = "|".join(
     [_COMMENT] + [_block(t, to_end=t != "noscript") for t in RAW_TAGS] + [_MARK]
 )
 # Text in these elements is no part of the visible text.
-_HIDDEN = "|".join(_block(t, to_end=False) for t in ("template", "rt", "rp"))
+_HIDDEN = rf"{_block('template', to_end=False)}|<r[tp]{_NAME_END}{_TAIL}[^<]*+"
 _INVISIBLE = f"{_NOISE}|{_HIDDEN}|{_TAG}|{_DECLARATION}"
 _NODE_BOUNDARY = rf"(?is)(?:{_INVISIBLE})++"
 
@@ -175,7 +175,9 @@ def _tokens(html: str, tags: Sequence[str] | None) -> str:
     else:
         named = rf"</?(?:{'|'.join(tags)}){_NAME_END}"
         skipped = rf"(?:[^<]++|(?!{named})<(?:/?[a-z]{_TAIL})?+)*+"
-        found, marked = rf"({skipped})({named}{_TAIL})", f"$1{_MARK}$2{_MARK}"
+        # The end counts as a last, empty tag: a match that fails there would be
+        # tried again from every position.
+        found, marked = rf"({skipped})({named}{_TAIL}|\z)", f"$1{_MARK}$2{_MARK}"
     return (
         f"split(regexp_replace({html}, {pattern('(?is)' + found)}, '{marked}'), '{_MARK}')"
     )

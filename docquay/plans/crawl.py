@@ -28,7 +28,9 @@ def crawl_plan(
     Each source row generates its own months, so there is no join and the number
     of sources may grow freely. Order by ``partition`` for the month-major order.
     """
-    months = sources.select("body", "body_id", F.inline(month_windows(start, end)))
+    ranged = sources.select("body", "body_id", start.alias("start"), end.alias("end"))
+    windows = month_windows(F.col("start"), F.col("end"))
+    months = ranged.select("body", "body_id", F.inline(windows))
     return _with_url(months.withColumn("page", F.lit(1).cast("bigint")), search_base)
 
 
