@@ -1 +1,282 @@
-QUERIES = {}
+"""The jobs end to end on the pages table, in fresh folders of the shared staging area.
+
+An earlier run landed everything but the ``.html`` addresses: pages with a query had
+other text, all had other comments, French ones stood in another month.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from docquay.functions import naming
+from docquay.functions.dates import MONTH
+from docquay.operators import state
+from docquay.operators.extraction import CardLayout, Field
+from docquay.plans import landing, reporting, transforming
+from docquay.plans.schemas import EVENTS, LANDING, LANDING_FIELDS, TRANSFORMED, TRANSFORMED_FIELDS
+from docquay.queries.inputs import (
+    CLEAN_SQL,
+    PAGE_BODY,
+    PAGE_FETCHES_SQL,
+    PAGE_MONTH,
+    STABLE_SQL,
+    page_fetches,
+    pages,
+    table,
+)
+from docquay.sources.event_log import read_events, write_events
+from docquay.sources.staging import staging_root
+from docquay.sources.tables import (
+    BATCH,
+    DELETED,
+    append_batch,
+    current_rows,
+    read_batches,
+    with_markers,
+)
+from docquay.streaming.landing import arriving_fetches, land_stream as run_stream
+
+OLD_MONTH = "2023-12"
+
+
+def _root(spark) -> str:
+    return f"{staging_root(spark)}/run-{uuid.uuid4().hex}"
+
+
+def _earlier(fetches):
+    url = F.col("doc_url")
+    old = F.when(F.contains(url, F.lit("?")), F.encode(F.lit("<p>old</p>"), "utf-8")).otherwise(
+        F.encode(F.lit("<!-- old -->"), "utf-8")
+    )
+    return fetches.where(~url.endswith(".html")).withColumns({
+        "content": F.concat("content", old),
+        "partition_date": F.when(F.contains(url, F.lit("/fr/")), OLD_MONTH).otherwise(
+            F.col("partition_date")
+        ),
+        "fetched_at": F.lit("2024-05-01 00:00:00").cast("timestamp_ntz"),
+    })
+
+
+def _metadata(spark, root):
+    history = read_batches(spark, f"{root}/{landing.METADATA}", with_markers(LANDING))
+    return current_rows(history, "identifier").select(*LANDING_FIELDS)
+
+
+def land(spark, sf):
+    """Two runs; the stored records with what the second one did to them."""
+    root, fetches = _root(spark), page_fetches(spark, sf)
+    landing.land(spark, _earlier(fetches), root)
+    second = landing.land(spark, fetches, root)
+    return _metadata(spark, root).join(second.outcomes, "identifier")
+
+
+_LANDED_SQL = f"""{PAGE_FETCHES_SQL}, landed AS (SELECT *, url NOT LIKE '%.html' AS in_first,
+        concat(identifier, '.', file_type) AS file_name,
+        CASE WHEN file_type = 'html' THEN sha256({STABLE_SQL}) ELSE sha256(html) END AS file_hash,
+        url LIKE '%?%' OR file_type = 'doc' AS other_content FROM fetches WHERE status = 200),
+    outcomes AS (SELECT *, CASE WHEN NOT in_first THEN 'inserted'
+        WHEN other_content OR url LIKE '%/fr/%' THEN 'updated' ELSE 'unchanged' END AS outcome
+        FROM landed)"""
+_LANDING_COLUMNS = """identifier, identifier AS title, concat('Page ', url) AS description,
+        '17/07/2025' AS published_date, identifier AS ref_no, url AS doc_url, body, partition_date,
+        concat('landing-zone/', file_name) AS file_path, file_hash, file_type"""
+LAND = f"WITH {_LANDED_SQL} SELECT {_LANDING_COLUMNS}, outcome FROM outcomes"
+
+
+def landing_object_write(spark, sf):
+    """Objects written by the two runs: the second writes new and changed ones only."""
+    root, fetches = _root(spark), page_fetches(spark, sf)
+    landing.land(spark, _earlier(fetches), root)
+    landing.land(spark, fetches, root)
+    written = spark.read.parquet(f"{root}/{landing.CONTENT}")
+    index = spark.read.parquet(f"{root}/{landing.INDEX}")
+    return written.join(index, ["file_name", BATCH]).select(
+        "file_name", F.col(BATCH).cast("bigint").alias("run"), "content_type", "file_hash",
+        F.length("content").cast("bigint").alias("n_bytes"),
+    )
+
+
+_MIME_SQL = """CASE file_type WHEN 'html' THEN 'text/html' WHEN 'pdf' THEN 'application/pdf'
+    ELSE 'application/msword' END"""
+_OLD_HTML = "html || CASE WHEN url LIKE '%?%' THEN '<p>old</p>' ELSE '<!-- old -->' END"
+LANDING_OBJECT_WRITE = f"""WITH {_LANDED_SQL},
+    earlier AS (SELECT file_name, file_type, url, {_OLD_HTML} AS html FROM landed WHERE in_first)
+    SELECT file_name, CAST(1 AS BIGINT) AS run, {_MIME_SQL} AS content_type, file_hash,
+        octet_length(encode(html)) AS n_bytes FROM landed WHERE NOT in_first OR other_content
+    UNION ALL SELECT file_name, 0, {_MIME_SQL}, CASE WHEN file_type = 'html'
+        THEN sha256({STABLE_SQL}) ELSE sha256(html) END, octet_length(encode(html)) FROM earlier"""
+
+
+def landing_upsert(spark, sf):
+    """Orders of each customer upserted by customer in two batches, months moving."""
+    orders = table(spark, sf, "orders").select(
+        F.concat(F.lit("C-"), F.col("o_custkey").cast("string")).alias("identifier"),
+        F.col("o_orderpriority").alias("title"),
+        F.date_format("o_orderdate", MONTH).alias("partition_date"),
+        "o_orderstatus", "o_orderdate", "o_orderkey",
+    )
+    root, fields = f"{_root(spark)}/{landing.METADATA}", ("title", "partition_date")
+    schema = with_markers(orders.select("identifier", *fields).schema)
+    for batch, status in enumerate(("F", "O")):
+        incoming = state.last_arrival(
+            orders.where(F.col("o_orderstatus") == status), "identifier", "o_orderdate", "o_orderkey"
+        )
+        stored = current_rows(read_batches(spark, root, schema, before=batch), "identifier")
+        merged = state.upsert(stored, incoming, "identifier", fields, keep_untouched=False)
+        changes = landing.metadata_changes(merged, stored)
+        append_batch(changes, root, batch, "partition_date")
+    rows = read_batches(spark, root, schema)
+    moved = rows.where(DELETED).groupBy("identifier").agg(F.count(F.lit(1)).alias("n_moves"))
+    return current_rows(rows, "identifier").join(moved, "identifier", "left")
+
+
+LANDING_UPSERT = """WITH ranked AS (SELECT concat('C-', o_custkey) AS identifier,
+        o_orderpriority AS title, strftime(o_orderdate, '%Y-%m') AS partition_date, o_orderstatus,
+        row_number() OVER (PARTITION BY o_custkey, o_orderstatus
+            ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders),
+    f AS (SELECT * FROM ranked WHERE rn = 1 AND o_orderstatus = 'F'),
+    o AS (SELECT * FROM ranked WHERE rn = 1 AND o_orderstatus = 'O')
+    SELECT identifier, coalesce(o.title, f.title) AS title,
+        coalesce(o.partition_date, f.partition_date) AS partition_date,
+        CASE WHEN o.partition_date <> f.partition_date THEN 1 END AS n_moves
+    FROM f FULL JOIN o USING (identifier)"""
+
+
+def _two_transforms(spark, sf):
+    root, fetches = _root(spark), page_fetches(spark, sf)
+    landing.land(spark, _earlier(fetches), root)
+    transforming.transform(spark, root, "2024-01-01", "2024-06-15")
+    landing.land(spark, fetches, root)
+    return root, transforming.transform(spark, root, "2024-01-01", "2024-12-31")
+
+
+def transform(spark, sf):
+    """Second transform run after a second landing: outcome and stored record of each."""
+    root, run = _two_transforms(spark, sf)
+    history = read_batches(spark, f"{root}/{transforming.METADATA}", with_markers(TRANSFORMED))
+    stored = current_rows(history, "identifier").select(*TRANSFORMED_FIELDS)
+    return stored.join(run.outcomes.select("identifier", "outcome"), "identifier")
+
+
+_TRANSFORMED_SQL = f"""{_LANDED_SQL}, done AS (SELECT *, in_first AND url NOT LIKE '%/fr/%'
+        AND partition_date <= '2024-06' AS in_first_run,
+        CASE WHEN file_type = 'html' THEN sha256({CLEAN_SQL}) ELSE sha256(html) END AS new_hash
+        FROM landed)"""
+TRANSFORM = f"""WITH {_TRANSFORMED_SQL} SELECT {_LANDING_COLUMNS}, file_hash AS source_hash,
+        CASE WHEN in_first_run AND NOT other_content THEN 'skipped' ELSE 'transformed' END AS outcome
+    FROM done"""
+TRANSFORM = TRANSFORM.replace("'landing-zone/'", "'transformed-zone/'").replace(
+    "file_path, file_hash, file_type", "file_path, new_hash AS file_hash, file_type"
+)
+
+
+def transformed_object_write(spark, sf):
+    """Content written by the second transform run: pending records only."""
+    root, run = _two_transforms(spark, sf)
+    written = spark.read.parquet(f"{root}/{transforming.CONTENT}/{BATCH}={run.batch}")
+    index = spark.read.parquet(f"{root}/{transforming.INDEX}/{BATCH}={run.batch}")
+    return written.join(index, "file_name").select(
+        "file_name", "content_type", naming.content_hash(F.col("content")).alias("file_hash")
+    )
+
+
+TRANSFORMED_OBJECT_WRITE = f"""WITH {_TRANSFORMED_SQL} SELECT file_name,
+        {_MIME_SQL} AS content_type, new_hash AS file_hash
+    FROM done WHERE NOT (in_first_run AND NOT other_content)"""
+
+
+def transformed_upsert(spark, sf):
+    """Totals of the first and second transform run over the same months."""
+    root, fetches = _root(spark), page_fetches(spark, sf)
+    landing.land(spark, fetches, root)
+    runs = [transforming.transform(spark, root, "2024-02-01", "2024-11-30") for _ in range(2)]
+    first, second = (
+        run.summary.withColumn("run", F.lit(n)) for n, run in enumerate(runs, 1)
+    )
+    return first.unionByName(second)
+
+
+TRANSFORMED_UPSERT = f"""WITH {_LANDED_SQL}, n AS (SELECT count(*) AS total_records FROM landed
+        WHERE partition_date BETWEEN '2024-02' AND '2024-11')
+    SELECT total_records, total_records AS transformed, CAST(0 AS BIGINT) AS skipped,
+        CAST(0 AS BIGINT) AS errors, CAST(1 AS INTEGER) AS run FROM n UNION ALL
+    SELECT total_records, 0, total_records, 0, 2 FROM n"""
+
+REPORT_COLUMNS = (
+    "event", "level", "partition", "body", "url", "error_code", "reason", "records_found",
+    "records_scraped", "records_failed", "partitions_processed", "total_records_found",
+    "total_records_scraped", "total_records_failed",
+)
+
+
+def report(spark, sf):
+    """Event log of a run, written and read back, but for the lists of failures."""
+    key = (F.expr(PAGE_MONTH).alias("partition"), F.expr(PAGE_BODY).alias("body"))
+    results = pages(spark, sf).select(*key, "html")
+    months = results.select("partition").distinct()
+    plan = results.select("partition", "body").unionByName(
+        months.withColumn("body", F.lit("Idle"))
+    ).distinct()
+    items = landing.landing_items(page_fetches(spark, sf))
+    counts = reporting.report_counts(plan, results, items, CardLayout(item=Field("li")))
+    lines = reporting.report_events(
+        counts, reporting.failures_of(items), "docs", F.lit("2024-07-01").cast("timestamp_ntz")
+    )
+    path = f"{_root(spark)}/events"
+    write_events(lines, path)
+    events = read_events(spark, path, EVENTS)
+    return events.where("event <> 'partition_failures'").select(*REPORT_COLUMNS)
+
+
+REPORT = f"""WITH {PAGE_FETCHES_SQL}, cards AS (SELECT {PAGE_MONTH} AS "partition", {PAGE_BODY} AS body,
+        len(regexp_extract_all(html, '<li>')) AS n FROM pages),
+    plan AS (SELECT DISTINCT "partition", body FROM cards
+        UNION SELECT DISTINCT "partition", 'Idle' FROM cards),
+    found AS (SELECT "partition", body, CAST(sum(n) AS BIGINT) AS records_found FROM cards GROUP BY ALL),
+    fetched AS (SELECT partition_date AS "partition", body,
+        count(*) FILTER (status = 200) AS records_scraped,
+        count(*) FILTER (status IS DISTINCT FROM 200) AS records_failed FROM fetches GROUP BY ALL),
+    ends AS (SELECT "partition", body, coalesce(records_found, 0) AS records_found,
+        coalesce(records_scraped, 0) AS records_scraped, coalesce(records_failed, 0) AS records_failed
+        FROM plan LEFT JOIN found USING ("partition", body) LEFT JOIN fetched USING ("partition", body))
+    SELECT 'partition_start' AS event, 'INFO' AS level, "partition", body, NULL AS url,
+        CAST(NULL AS INTEGER) AS error_code, NULL AS reason, CAST(NULL AS BIGINT) AS records_found,
+        CAST(NULL AS BIGINT) AS records_scraped, CAST(NULL AS BIGINT) AS records_failed,
+        CAST(NULL AS BIGINT) AS partitions_processed, CAST(NULL AS BIGINT) AS total_records_found,
+        CAST(NULL AS BIGINT) AS total_records_scraped, CAST(NULL AS BIGINT) AS total_records_failed
+    FROM plan UNION ALL
+    SELECT 'download_failed', 'WARNING', partition_date, body, url, coalesce(status, 0),
+        CASE WHEN status IS NULL THEN 'timeout' ELSE 'HTTP 503' END,
+        NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM fetches WHERE status IS DISTINCT FROM 200 UNION ALL
+    SELECT 'partition_end', 'INFO', "partition", body, NULL, NULL, NULL, records_found,
+        records_scraped, records_failed, NULL, NULL, NULL, NULL FROM ends UNION ALL
+    SELECT 'run_summary', 'INFO', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, count(*),
+        CAST(sum(records_found) AS BIGINT), CAST(sum(records_scraped) AS BIGINT),
+        CAST(sum(records_failed) AS BIGINT) FROM ends"""
+
+
+def land_stream(spark, sf):
+    """The fetches arriving as files, landed in several micro-batches."""
+    root = _root(spark)
+    page_fetches(spark, sf).drop("fetch_id").repartition(8).write.parquet(f"{root}/arriving")
+    stream = run_stream(
+        arriving_fetches(spark, f"{root}/arriving", files_per_batch=4), root, f"{root}/checkpoint"
+    )
+    stream.awaitTermination()
+    return _metadata(spark, root)
+
+
+LAND_STREAM = f"WITH {_LANDED_SQL} SELECT {_LANDING_COLUMNS} FROM landed"
+
+QUERIES = {
+    "land": (land, LAND),
+    "landing_object_write": (landing_object_write, LANDING_OBJECT_WRITE),
+    "landing_upsert": (landing_upsert, LANDING_UPSERT),
+    "transform": (transform, TRANSFORM),
+    "transformed_object_write": (transformed_object_write, TRANSFORMED_OBJECT_WRITE),
+    "transformed_upsert": (transformed_upsert, TRANSFORMED_UPSERT),
+    "report": (report, REPORT),
+    "land_stream": (land_stream, LAND_STREAM),
+}
