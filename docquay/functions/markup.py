@@ -38,27 +38,27 @@ SPACE_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 _TAIL = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+(?:>|\z)"""
 _NAME = r"[a-z][^\s/>]*+"
 _NAME_END = r"(?=[\s/>]|\z)"
-_TAG = rf"</?[a-z]{_TAIL}"
-_DECLARATION = r"<(?:[!?]|/(?![a-z]))[^>]*+(?:>|\z)"
-_COMMENT = r"<!--.*?(?:-->|\z)"
-_ATTRIBUTE_VALUE = r"""\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)?+"""
 _MARK = "\u0001"
+_ATTRIBUTE_VALUE = r"""\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)?+"""
 
 
-def _block(tag: str, to_end: bool) -> str:
-    close = rf"</{tag}{_NAME_END}[^>]*+(?:>|\z)"
-    end = rf"(?:{close}|\z)" if to_end else close
-    return rf"<{tag}{_NAME_END}{_TAIL}(?:(?<=/>)|.*?{end})"
+def _block(tag: str) -> str:
+    """A raw block; to the end of the page when it is never closed."""
+    return rf"{tag}{_NAME_END}{_TAIL}(?:(?<=/>)|.*?(?:</{tag}{_NAME_END}[^>]*+(?:>|\z)|\z))"
 
 
-# Script and style run to the end of the page when unclosed; noscript does not.
-_NOISE = "|".join(
-    [_COMMENT] + [_block(t, to_end=t != "noscript") for t in RAW_TAGS] + [_MARK]
-)
+# Everything here stands behind a "<", which is matched once, before the choice.
+_TAG_REST = rf"/?[a-z]{_TAIL}"
+_DECLARATION = r"(?:[!?]|/(?![a-z]))[^>]*+(?:>|\z)"
+_COMMENT = r"!--.*?(?:-->|\z)"
+_NOISE_REST = "|".join([_COMMENT] + [_block(t) for t in RAW_TAGS])
 # Text in these elements is no part of the visible text.
-_HIDDEN = rf"{_block('template', to_end=False)}|<r[tp]{_NAME_END}{_TAIL}[^<]*+"
-_INVISIBLE = f"{_NOISE}|{_HIDDEN}|{_TAG}|{_DECLARATION}"
-_NODE_BOUNDARY = rf"(?is)(?:{_INVISIBLE})++"
+_HIDDEN_REST = rf"{_block('template')}|r[tp]{_NAME_END}{_TAIL}[^<]*+"
+_TAG = f"<{_TAG_REST}"
+_NOISE = f"<(?:{_NOISE_REST})"
+_NODE_BOUNDARY = (
+    rf"(?is)(?=<)(?:<(?:{_NOISE_REST}|{_HIDDEN_REST}|{_TAG_REST}|{_DECLARATION}))++"
+)
 
 
 def open_tag(tag: str, attribute: str, value: str, part: bool = False) -> str:
@@ -79,7 +79,7 @@ def open_tag(tag: str, attribute: str, value: str, part: bool = False) -> str:
     values = "|".join(
         [q + quoted.replace("{q}", q) + q for q in ('"', "'")] + [bare]
     )
-    others = rf"(?:[\s/]*+(?!{attribute}\s*+=)[^\s=>/]++(?:{_ATTRIBUTE_VALUE})?+)*+"
+    others = rf"(?:[\s/]*+(?!{attribute}\s*+=)[^\s=></]++(?:{_ATTRIBUTE_VALUE})?+)*+"
     return rf"<{tag}{_NAME_END}{others}[\s/]*+{attribute}\s*+=\s*+(?:{values})"
 
 
@@ -134,7 +134,7 @@ def decode_entities(text: Column) -> Column:
 
 def visible_text(html: Column) -> Column:
     """Text nodes trimmed and joined without separator; no script, no comment."""
-    nodes = F.split(html, _NODE_BOUNDARY)
+    nodes = F.split(_without_mark(html), _NODE_BOUNDARY)
     trimmed = F.expr(f"node -> btrim({_decoded('node')}, '{SPACE_CHARS}')")
     return F.array_join(F.call_function("transform", nodes, trimmed), "")
 
@@ -159,13 +159,18 @@ def html_from_bytes(content: Column) -> Column:
 # --- elements -------------------------------------------------------------------
 
 
+def _without_mark(html: Column) -> Column:
+    """Without the control character that the scans use; HTML does not allow it."""
+    return F.replace(html, F.lit(_MARK), F.lit(""))
+
+
 def strip_raw_blocks(html: Column, replacement: str = "") -> Column:
     """Without comments, script, style and noscript, in one leftmost pass.
 
     With ``<x>`` as replacement the text before and behind a block stay two
     text nodes.
     """
-    return F.regexp_replace(html, f"(?is){_NOISE}", replacement)
+    return F.regexp_replace(_without_mark(html), f"(?is){_NOISE}", replacement)
 
 
 def _tokens(html: str, tags: Sequence[str] | None) -> str:
@@ -305,20 +310,32 @@ def select_first(html: Column, tag: str, css_class: str) -> Column:
     return F.try_element_at(select_elements(html, tag, css_class, True), F.lit(1))
 
 
+def _contains_any(html: str, words: Sequence[str]) -> str:
+    return " OR ".join(f"contains({html}, '{_quoted(w)}')" for w in words)
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def remove_elements(
     html: Column,
     opening: str,
     tags: Sequence[str] | None = None,
+    words: Sequence[str] = (),
     first_only: bool = False,
 ) -> Column:
     """Without the elements whose opening tag matches the pattern ``opening``.
 
-    Pages in which the pattern does not occur are passed on without a scan.
+    Pages in which the pattern does not occur are passed on without a scan. Such a
+    tag has one of ``words`` in it, if given: a plain search spares most pages the
+    pattern as well.
     """
     scan = _scan("h", tags, opening, _KEPT, first_only)
-    return let(
-        html, f"h -> CASE WHEN h RLIKE {pattern('(?is)' + opening)} THEN {scan} ELSE h END"
-    )
+    found = f"h RLIKE {pattern('(?is)' + opening)}"
+    if words:
+        found = f"({_contains_any('h', words)}) AND {found}"
+    return let(html, f"h -> CASE WHEN {found} THEN {scan} ELSE h END")
 
 
 def strip_chrome_tags(html: Column, tags: Sequence[str] = CHROME_TAGS) -> Column:
@@ -333,30 +350,32 @@ def strip_chrome_tags(html: Column, tags: Sequence[str] = CHROME_TAGS) -> Column
 
 def strip_by_id(html: Column, element_id: str) -> Column:
     """Without the first element of that id."""
-    return remove_elements(html, open_tag(_NAME, "id", element_id), first_only=True)
+    opening = open_tag(_NAME, "id", element_id)
+    return remove_elements(html, opening, words=[element_id], first_only=True)
 
 
 def strip_class_like(html: Column, part: str) -> Column:
     """Without elements that have ``part`` anywhere in a class name."""
-    return remove_elements(html, open_tag(_NAME, "class", part, part=True))
+    return remove_elements(html, open_tag(_NAME, "class", part, part=True), words=[part])
 
 
 def strip_class_exact(html: Column, *css_classes: str) -> Column:
     """Without elements of exactly one of the classes."""
     opening = "|".join(open_tag(_NAME, "class", c) for c in css_classes)
-    return remove_elements(html, f"(?:{opening})")
+    return remove_elements(html, f"(?:{opening})", words=css_classes)
 
 
 def strip_links_by_text(html: Column, text: str = RETURN_LINK_TEXT) -> Column:
     """Without links whose only text, bare or singly wrapped, has ``text`` in it."""
     wrapped = rf"(?:<(?!/|a{_NAME_END}){_NAME}{_TAIL})*+"
     unwrapped = rf"(?:</(?!a{_NAME_END}){_NAME}{_TAIL})*+"
-    return F.regexp_replace(
-        html,
+    link = (
         rf"(?is)<a{_NAME_END}{_TAIL}{wrapped}[^<]*?(?-i:{re.escape(text)})"
-        rf"[^<]*+{unwrapped}</a\s*+>",
-        "",
+        rf"[^<]*+{unwrapped}</a\s*+>"
     )
+    found = _contains_any("h", [text])
+    replaced = f"regexp_replace(h, {pattern(link)}, '')"
+    return let(html, f"h -> CASE WHEN {found} THEN {replaced} ELSE h END")
 
 
 def content_container(html: Column) -> Column:
@@ -411,7 +430,7 @@ def stable_text(html: Column) -> Column:
 def attribute_of(html: Column, tag: str, css_class: str | None, attribute: str) -> Column:
     """Attribute of the first such element, decoded; empty text when missing."""
 
-    others = rf"(?:[\s/]*+(?!{attribute}\s*+=)[^\s=>/]++(?:{_ATTRIBUTE_VALUE})?+)*+"
+    others = rf"(?:[\s/]*+(?!{attribute}\s*+=)[^\s=></]++(?:{_ATTRIBUTE_VALUE})?+)*+"
     before = rf"(?is)^<{_NAME}{others}[\s/]*+{attribute}\s*+=\s*+"
     values = ", ".join(
         f"regexp_extract(opening, {pattern(before + v)}, 1)"

@@ -146,7 +146,7 @@ FAILURE_CLASS = f"""SELECT event_id, CAST(CASE WHEN {_K} >= 50 THEN {_K} + 450 E
 
 TRY_STATUS = """CASE event_type WHEN 'error' THEN 503 WHEN 'click' THEN 429 WHEN 'view' THEN 404
     WHEN 'signup' THEN NULL ELSE 200 END"""
-TRY_URL = "concat('http://h.example.org/', cast(user_id % 40 AS varchar(9)), '/', cast(k AS varchar(9)))"
+TRY_URL = "concat('http://h.example.org/', cast(user_id AS varchar(9)), '/', cast(k AS varchar(9)))"
 
 
 def retry_worklist(spark, sf):
