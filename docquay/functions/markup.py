@@ -97,8 +97,8 @@ def strip_space(text: Column) -> Column:
     return F.btrim(text, F.lit(SPACE_CHARS))
 
 
-_NAMED_ENTITIES = "map({})".format(
-    ", ".join(f"'{name}', '{chr(code)}'" for name, code in name2codepoint.items())
+_NAMED_ENTITIES = "str_to_map('{}', ' ', '=')".format(
+    " ".join(f"{name}={chr(code)}" for name, code in name2codepoint.items())
 )
 
 

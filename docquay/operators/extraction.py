@@ -85,6 +85,12 @@ def missing_field() -> Column:
     )
 
 
+def base_url(html: Column, page_url: Column) -> Column:
+    """Address that the links of a page are relative to: its ``base`` tag, else its own."""
+    named = markup.attribute_of(markup.strip_raw_blocks(html), "base", None, "href")
+    return F.when(html.rlike(r"(?i)<base\s"), resolve_url(page_url, named)).otherwise(page_url)
+
+
 def with_document_url(cards: DataFrame, page_url: str = "page_url") -> DataFrame:
     return cards.withColumn("doc_url", resolve_url(F.col(page_url), F.col("link")))
 

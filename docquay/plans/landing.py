@@ -19,6 +19,7 @@ from docquay.operators import failures
 from docquay.operators.extraction import (
     DEFAULT_LAYOUT,
     CardLayout,
+    base_url,
     card_fields,
     explode_cards,
     missing_field,
@@ -34,7 +35,7 @@ from docquay.operators.state import (
     upsert,
 )
 from docquay.plans.schemas import ITEM_FIELDS, LANDING, LANDING_FIELDS, OBJECT_INDEX
-from docquay.sources.staging import staged, staging_root
+from docquay.sources.staging import Staging
 from docquay.sources.tables import (
     BATCH,
     DELETED,
@@ -55,7 +56,8 @@ def card_requests(
     results: DataFrame, layout: CardLayout = DEFAULT_LAYOUT
 ) -> tuple[DataFrame, DataFrame]:
     """Document requests of all cards, and the cards dropped with their reason."""
-    cards = card_fields(explode_cards(results, "html", layout), layout)
+    based = results.withColumn("page_url", base_url(F.col("html"), F.col("page_url")))
+    cards = card_fields(explode_cards(based, "html", layout), layout)
     kept, dropped = failures.split_rejected(cards, missing_field())
     requests = with_document_url(kept).withColumnRenamed("partition", "partition_date")
     return requests.select(*ITEM_FIELDS, "page", "position"), dropped
@@ -147,11 +149,15 @@ def metadata_changes(merged: DataFrame, stored: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Landed:
-    """What a landing run did, as tables: every item and the outcome per identifier."""
+    """What a landing run did: every item and the outcome per identifier.
+
+    Both are tables of ``staging``; discard that when they are no longer read.
+    """
 
     batch: int
     items: DataFrame
     outcomes: DataFrame
+    staging: Staging
 
 
 def land(
@@ -167,13 +173,13 @@ def land(
     )
     if batch is None:
         batch = next_batch(spark, content_root, index_root, metadata_root)
-    work = staging_root(spark, root)
-    items = staged(landing_items(fetches), work, "items")
+    work = Staging(spark, root)
+    items = work.table(landing_items(fetches), "items")
 
     index = read_batches(spark, index_root, OBJECT_INDEX, before=batch)
     arrived = storable(items).select("file_name")
     stored = current_objects(stored_rows_of(index, arrived, "file_name"))
-    wanted = staged(objects_to_write(items, stored), work, "wanted")
+    wanted = work.table(objects_to_write(items, stored), "wanted")
     unwanted = items.join(wanted, "fetch_id", "left_anti")
     picked = pick_rows(fetches, wanted, unwanted, "fetch_id")
     append_batch(object_content(picked), content_root, batch)
@@ -183,10 +189,8 @@ def land(
     records = records_to_merge(items)
     history = read_batches(spark, metadata_root, with_markers(LANDING), before=batch)
     current = current_rows(stored_rows_of(history, records, "identifier"), "identifier")
-    merged = staged(
-        upsert(current, records, "identifier", LANDING_FIELDS, keep_untouched=False),
-        work,
-        "merged",
+    merged = work.table(
+        upsert(current, records, "identifier", LANDING_FIELDS, keep_untouched=False), "merged"
     )
     append_batch(metadata_changes(merged, current), metadata_root, batch, "partition_date")
-    return Landed(batch, items, merged.select("identifier", "outcome"))
+    return Landed(batch, items, merged.select("identifier", "outcome"), work)

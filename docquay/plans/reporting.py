@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docquay.operators import accounting
 from docquay.operators.extraction import DEFAULT_LAYOUT, CardLayout, cards_of
 from docquay.operators.failures import UNKNOWN
+from docquay.plans.transforming import NOT_FOUND
 from docquay.sources.event_log import event_line
 
 
@@ -40,6 +43,21 @@ def report_counts(
     return accounting.key_counts(plan.select(*accounting.KEY), found, scraped, failed)
 
 
+def event_lines(
+    df: DataFrame,
+    event: str,
+    message: Column,
+    *fields: str,
+    logger: str,
+    at: Column,
+    level: str = "INFO",
+) -> DataFrame:
+    """One line per row, with ``event`` and the given columns as extras."""
+    extras = {"event": F.lit(event), **{f: F.col(f) for f in fields}}
+    line = event_line(at, F.lit(level), F.lit(logger), message, extras)
+    return df.select(line.alias("value"))
+
+
 def report_events(
     counts: DataFrame, failures: DataFrame, logger: str, at: Column
 ) -> DataFrame:
@@ -49,10 +67,8 @@ def report_events(
     lines of bounded length instead of one line that grows with them.
     """
 
-    def lines(df: DataFrame, event: str, message: Column, *fields: str, level: str = "INFO"):
-        extras = {"event": F.lit(event), **{f: F.col(f) for f in fields}}
-        line = event_line(at, F.lit(level), F.lit(logger), message, extras)
-        return df.select(line.alias("value"))
+    def lines(df, event, message, *fields, level="INFO"):
+        return event_lines(df, event, message, *fields, level=level, logger=logger, at=at)
 
     key = ("partition", "body")
     per_key = accounting.partition_summary(counts)
@@ -81,21 +97,36 @@ def report_events(
     )
 
 
-def transform_events(outcomes: DataFrame, summary: DataFrame, logger: str, at: Column) -> DataFrame:
-    """Event lines of a transform run: one per record, and the totals."""
-    outcome = F.when(F.col("outcome") == "transformed", "success").otherwise(F.col("outcome"))
-    event = F.concat(F.lit("transform_"), outcome)
-    level = F.when(F.col("outcome") == "error", "ERROR").otherwise("INFO")
-    fields = {"event": event, "identifier": F.col("identifier"), "error": F.col("error")}
-    records = outcomes.select(event_line(
-        at, level, F.lit(logger), F.concat_ws(": ", "outcome", "identifier"), fields
-    ).alias("value"))
+def transform_events(
+    outcomes: DataFrame, summary: DataFrame, start: str, end: str, logger: str, at: Column
+) -> DataFrame:
+    """Event lines of a transform run: the months read, each record, and the totals."""
+
+    def lines(df, event, message, *fields, level="INFO"):
+        return event_lines(df, event, message, *fields, level=level, logger=logger, at=at)
+
+    def having(outcome):
+        return outcomes.where(F.col("outcome") == outcome)
+
+    fetched = summary.select(
+        F.col("total_records").alias("records_found"),
+        F.lit(start[:7]).alias("start_partition"), F.lit(end[:7]).alias("end_partition"),
+    )
+    missing = F.col("error") == NOT_FOUND
+    lost = having("error").where(missing).withColumn("object_name", F.col("file_name"))
     names = ("total_records", "transformed", "skipped", "errors")
-    message = F.format_string(
-        "Transformation complete: %d total, %d transformed, %d skipped, %d errors", *names
+    parts = (
+        lines(fetched, "fetch_metadata", F.format_string(
+            "Found %d records for partitions %s to %s", *fetched.columns), *fetched.columns),
+        lines(having("transformed"), "transform_success", F.format_string(
+            "Transformed: %s", "identifier"), "identifier", "file_type", "file_name"),
+        lines(having("skipped"), "transform_skipped", F.format_string(
+            "Already transformed, skipping: %s", "identifier"), "identifier"),
+        lines(having("error").where(~missing), "transform_error", F.format_string(
+            "Error transforming %s: %s", "identifier", "error"), "identifier", "error", level="ERROR"),
+        lines(lost, "download_failed", F.format_string(
+            "Failed to download %s: %s", "object_name", "error"), "object_name", "error", level="ERROR"),
+        lines(summary, "transform_summary", F.format_string(
+            "Transformation complete: %d total, %d transformed, %d skipped, %d errors", *names), *names),
     )
-    totals = summary.select(event_line(
-        at, F.lit("INFO"), F.lit(logger), message,
-        {"event": F.lit("transform_summary"), **{n: F.col(n) for n in names}},
-    ).alias("value"))
-    return records.unionByName(totals)
+    return reduce(DataFrame.unionByName, parts)

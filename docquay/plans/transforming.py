@@ -29,7 +29,7 @@ from docquay.plans.schemas import (
     TRANSFORMED,
     TRANSFORMED_FIELDS,
 )
-from docquay.sources.staging import staged, staging_root
+from docquay.sources.staging import Staging
 from docquay.sources.tables import (
     BATCH,
     append_batch,
@@ -41,6 +41,7 @@ from docquay.sources.tables import (
 
 METADATA, INDEX = "transformed_metadata", "transformed_objects"
 CONTENT, QUARANTINE = "transformed_content", "transformed_quarantine"
+NOT_FOUND = "content not found"
 
 
 def transformed_name() -> Column:
@@ -94,11 +95,15 @@ def transformed_records(records: DataFrame, new_hash: str = "new_hash") -> DataF
 
 @dataclass(frozen=True)
 class Transformed:
-    """What a run did: the outcome of every record, and the totals."""
+    """What a run did: the outcome of every record, and the totals.
+
+    Both read tables of ``staging``; discard that when they are no longer read.
+    """
 
     batch: int
     outcomes: DataFrame
     summary: DataFrame
+    staging: Staging
 
 
 def read_landed(spark: SparkSession, root: str, start: str, end: str) -> DataFrame:
@@ -120,21 +125,20 @@ def transform(
     metadata_root, content_root = f"{root}/{METADATA}", f"{root}/{CONTENT}"
     if batch is None:
         batch = next_batch(spark, metadata_root, content_root)
-    work = staging_root(spark, root)
+    work = Staging(spark, root)
 
     history = read_batches(spark, metadata_root, with_markers(TRANSFORMED), before=batch)
     done = current_rows(history.select("identifier", "source_hash", BATCH, "deleted"), "identifier")
     landed = read_landed(spark, root, start, end)
-    records = staged(mark_skipped(landed, done), work, "records")
+    records = work.table(mark_skipped(landed, done), "records")
     pending = records.where(~F.col("skipped"))
 
     index = read_batches(spark, f"{root}/{landing.INDEX}", OBJECT_INDEX).select("file_name", BATCH)
     places = landing.current_objects(index)
-    wanted = staged(
+    wanted = work.table(
         pending.where(record_error().isNull())
         .select(object_key(F.col("file_path")).alias("file_name"))
         .join(places, "file_name"),
-        work,
         "wanted",
     )
     unwanted = index.join(wanted, ["file_name", BATCH], "left_anti")
@@ -150,11 +154,11 @@ def transform(
     )
 
     written = spark.read.parquet(f"{content_root}/{BATCH}={batch}").select("file_name", "new_hash")
-    outcomes = staged(
+    outcomes = work.table(
         records.withColumn("file_name", object_key(F.col("file_path")))
         .join(written, "file_name", "left")
         .withColumn("error", F.when(~F.col("skipped"), F.coalesce(
-            record_error(), F.when(F.col("new_hash").isNull(), F.lit("content not found"))
+            record_error(), F.when(F.col("new_hash").isNull(), F.lit(NOT_FOUND))
         )))
         .withColumn(
             "outcome",
@@ -162,7 +166,6 @@ def transform(
             .when(F.col("error").isNotNull(), "error")
             .otherwise("transformed"),
         ),
-        work,
         "outcomes",
     )
     fresh = outcomes.where(F.col("outcome") == "transformed")
@@ -175,17 +178,18 @@ def transform(
     failed = outcomes.where(F.col("outcome") == "error").select("identifier", "error")
     append_batch(failed, f"{root}/{QUARANTINE}", batch)
     stored = current_rows(history, "identifier")
-    merged = staged(
+    merged = work.table(
         upsert(
             stored, transformed_records(fresh), "identifier", TRANSFORMED_FIELDS,
             keep_untouched=False,
         ),
-        work,
         "merged",
     )
     append_batch(
         landing.metadata_changes(merged, stored), metadata_root, batch, "partition_date"
     )
-    return Transformed(
-        batch, outcomes.select("identifier", "outcome", "error"), transform_summary(outcomes)
+    told = outcomes.select(
+        "identifier", "outcome", "error", F.coalesce("file_type", F.lit("html")).alias("file_type"),
+        transformed_name().alias("file_name"),
     )
+    return Transformed(batch, told, transform_summary(outcomes), work)

@@ -26,8 +26,23 @@ def staging_root(spark: SparkSession, fallback: str | None = None) -> str:
     raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
 
 
-def staged(df: DataFrame, root: str, name: str) -> DataFrame:
-    """Write ``df`` once and go on from the written table, whoever of the executors is lost."""
-    path = f"{root}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+class Staging:
+    """Intermediate tables of one run, in a folder of their own."""
+
+    def __init__(self, spark: SparkSession, fallback: str | None = None) -> None:
+        self.spark = spark
+        self.root = f"{staging_root(spark, fallback)}/staged-{uuid.uuid4().hex}"
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` once and go on from the written table.
+
+        Later steps neither recompute it nor depend on executors that may be lost.
+        """
+        path = f"{self.root}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def discard(self) -> None:
+        """Delete the folder, once nothing reads its tables any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -38,7 +38,7 @@ def land_stream(fetches: DataFrame, root: str, checkpoint: str) -> StreamingQuer
     """
 
     def land_batch(df: DataFrame, batch: int) -> None:
-        land(df.sparkSession, df, root, batch)
+        land(df.sparkSession, df, root, batch).staging.discard()
 
     return (
         fetches.writeStream.foreachBatch(land_batch)

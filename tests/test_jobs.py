@@ -150,6 +150,20 @@ def test_transform_errors_are_counted(spark, tmp_path, first):
     errors = {r.identifier: r.error for r in run.outcomes.where("outcome = 'error'").collect()}
     assert errors == {"B-1": "missing: description", "B-2": "content not found"}
     assert run.summary.first().errors == 2
+    lines = reporting.transform_events(
+        run.outcomes, run.summary, "2024-01-01", "2024-02-01", "docs",
+        F.lit("2024-05-01 10:00:00.25").cast("timestamp_ntz"),
+    )
+    write_events(lines, f"{root}/events")
+    events = read_events(spark, f"{root}/events", EVENTS)
+    assert {r.event: r.n_events for r in event_counts(events).collect()} == {
+        "fetch_metadata": 1, "transform_success": 3, "transform_error": 1, "download_failed": 1,
+        "transform_summary": 1,
+    }
+    lost = events.where("event = 'download_failed'").first()
+    assert (lost.object_name, lost.error, lost.level) == ("B-2.html", "content not found", "ERROR")
+    assert lost.timestamp == "2024-05-01T10:00:00.250000+00:00"
+    run.staging.discard()
 
 
 def test_report(spark, tmp_path, first):

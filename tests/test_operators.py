@@ -149,6 +149,13 @@ def test_cards_without_identifier_or_link_are_dropped(spark):
     assert sorted(r.error for r in dropped.collect()) == ["identifier missing", "link missing"]
 
 
+def test_base_tag(spark):
+    cases = {"<base href='/d/'>": "http://h/d/", "<p>": "http://h/s/p", "<!-- <base href='/d/'> -->": "http://h/s/p"}
+    df = spark.createDataFrame([(c,) for c in cases], "h string")
+    rows = df.select(extraction.base_url(F.col("h"), F.lit("http://h/s/p"))).collect()
+    assert [r[0] for r in rows] == list(cases.values())
+
+
 def test_month_range_prunes_directories(spark, tmp_path):
     rows = [(m, i) for i, m in enumerate(["2023-12", "2024-01", "2024-06", "2025-01", "2025-02"])]
     spark.createDataFrame(rows, "partition_date string, n int").write.partitionBy(
