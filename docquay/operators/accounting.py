@@ -35,9 +35,10 @@ def failed_list(failures: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """
     entry = ["url", "error_code", "reason"]
     distinct = failures.groupBy(*KEY, *entry).agg(F.count(F.lit(1)).alias("times"))
-    chunks = distinct.groupBy(*KEY).agg(
-        F.ceil(F.count(F.lit(1)) / chunk_rows).cast("bigint").alias("n_chunks")
-    )
+    # Counting by ``times`` keeps both uses of ``distinct`` alike, so its exchange is reused.
+    n_distinct = F.count_if(F.col("times") > 0)
+    n_chunks = F.call_function("div", n_distinct + (chunk_rows - 1), F.lit(chunk_rows))
+    chunks = distinct.groupBy(*KEY).agg(n_chunks.alias("n_chunks"))
     slot = F.conv(F.substring(F.md5(F.concat_ws("|", *entry).cast("binary")), 1, 8), 16, 10)
     return (
         distinct.join(chunks, list(KEY))

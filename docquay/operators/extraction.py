@@ -109,4 +109,4 @@ def result_count(html: Column, layout: CardLayout = DEFAULT_LAYOUT) -> Column:
 
 def page_count(total: Column, page_size: int = 10) -> Column:
     size = F.lit(page_size).cast("bigint")
-    return F.floor((total + size - 1) / size).cast("bigint")
+    return F.call_function("div", total + size - 1, size)

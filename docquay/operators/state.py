@@ -7,25 +7,41 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docquay.sources.tables import latest_rows
-
 INSERTED, UPDATED, UNCHANGED, KEPT = "inserted", "updated", "unchanged", "kept"
 
 
 def month_range_scan(
-    df: DataFrame, start: str, end: str, partition: str = "partition_date"
+    df: DataFrame,
+    start: str,
+    end: str,
+    partition: str = "partition_date",
+    day: str | None = None,
 ) -> DataFrame:
     """Rows of the months of ``start`` to ``end``, both included, compared as text.
 
-    On a table partitioned by month only those directories are listed and read.
+    On a table partitioned by month only those directories are listed and read. Where
+    the month is computed, ``day`` names the date behind it, and the same range on the
+    date is pushed down to the files.
     """
-    return df.where(F.col(partition).between(start[:7], end[:7]))
+    rows = df.where(F.col(partition).between(start[:7], end[:7]))
+    if day is None:
+        return rows
+    first, last = (F.lit(f"{d[:7]}-01").cast("date") for d in (start, end))
+    of_column = df.schema[day].dataType
+    return rows.where(
+        (F.col(day) >= first.cast(of_column))
+        & (F.col(day) < F.add_months(last, 1).cast(of_column))
+    )
 
 
 def last_arrival(df: DataFrame, key: str, *order: str) -> DataFrame:
-    """One row per key: the last one by ``order``, other columns breaking ties."""
-    rest = [c for c in df.columns if c != key and c not in order]
-    return latest_rows(df, key, *[F.col(c) for c in order], F.struct(*rest))
+    """One row per key: the last one by ``order``, other columns breaking ties.
+
+    The maximum of whole rows is an aggregate: each task first keeps one row per key.
+    """
+    columns = [*order, *[c for c in df.columns if c != key and c not in order]]
+    rows = df.groupBy(key).agg(F.max(F.struct(*columns)).alias("__row"))
+    return rows.select(*[c if c == key else F.col("__row")[c].alias(c) for c in df.columns])
 
 
 def changed_objects(incoming: DataFrame, stored: DataFrame) -> DataFrame:

@@ -37,9 +37,10 @@ COUNT_HTML = """concat('<body><div class="searchhead">Shows 1 to 10 of ',
 
 def month_range_scan(spark, sf):
     labelled = table(spark, sf, "orders").select(
-        "o_orderkey", F.expr(ORDER_MONTH_SPARK).alias("partition_date")
+        "o_orderkey", F.expr(ORDER_MONTH_SPARK).alias("partition_date"), "o_orderdate"
     )
-    return state.month_range_scan(labelled, "1996-03-15", "1997-02-01")
+    scan = state.month_range_scan(labelled, "1996-03-15", "1997-02-01", day="o_orderdate")
+    return scan.drop("o_orderdate")
 
 
 MONTH_RANGE_SCAN = f"""SELECT o_orderkey, {ORDER_MONTH_SQL} AS partition_date FROM orders
