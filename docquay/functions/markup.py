@@ -139,20 +139,27 @@ def visible_text(html: Column) -> Column:
     return F.array_join(F.call_function("transform", nodes, trimmed), "")
 
 
+# Well-formed UTF-16 behind its byte-order mark, as hex: decoding anything else fails.
+_HEX = "[0-9A-F]{2}"
+_UTF16 = (
+    rf"^(?:FEFF(?:(?:[0-9A-CEF][0-9A-F]|D[0-7]){_HEX}|D[89AB]{_HEX}D[C-F]{_HEX})*+"
+    rf"|FFFE(?:{_HEX}(?:[0-9A-CEF][0-9A-F]|D[0-7])|{_HEX}D[89AB]{_HEX}D[C-F])*+)$"
+)
+_C1 = "".join(chr(c) for c in range(0x80, 0xA0))
+_C1_AS_CP1252 = "".join(bytes([ord(c)]).decode("cp1252", "ignore") or c for c in _C1)
+
+
 def html_from_bytes(content: Column) -> Column:
-    """Page text: by byte-order mark, else UTF-8, else Windows-1252."""
-    high = [b for b in range(0x80, 0xA0)]
-    latin = "".join(chr(b) for b in high)
-    cp1252 = "".join(
-        bytes([b]).decode("cp1252", "ignore") or chr(b) for b in high
-    )
-    head = F.hex(F.substring(content, 1, 3))
+    """Page text: by byte-order mark, else UTF-8, else Windows-1252. Never fails."""
+    mark = F.hex(F.substring(content, 1, 3))
+    wide = F.substring(mark, 1, 4).isin("FEFF", "FFFE")
+    behind_mark = F.substring(content, 4, 2**31 - 1).cast("string")
     as_utf8 = content.cast("string")
     return (
-        F.when(head == "EFBBBF", F.make_valid_utf8(F.substring(content, 4, 2**31 - 1).cast("string")))
-        .when(F.substring(head, 1, 4).isin("FEFF", "FFFE"), F.decode(content, "UTF-16"))
+        F.when(mark == "EFBBBF", F.make_valid_utf8(behind_mark))
+        .when(wide & F.hex(content).rlike(_UTF16), F.decode(content, "UTF-16"))
         .when(F.is_valid_utf8(as_utf8), as_utf8)
-        .otherwise(F.translate(F.decode(content, "ISO-8859-1"), latin, cp1252))
+        .otherwise(F.translate(F.decode(content, "ISO-8859-1"), _C1, _C1_AS_CP1252))
     )
 
 

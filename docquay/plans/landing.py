@@ -70,7 +70,13 @@ def landing_items(fetches: DataFrame) -> DataFrame:
     """
     status, content = F.col("status"), F.col("content")
     failed = ~F.coalesce(status.between(200, 299), F.lit(False))
-    hashed = F.when(~failed & ~failures.is_empty(content), landing_hash(content, F.col("file_type")))
+    reason = failures.error_reason(status, F.col("reason"))
+    error = (
+        F.when(failed, F.coalesce(reason, F.lit("failed")))
+        .when(F.coalesce("identifier", F.lit("")) == "", "identifier missing")
+        .when(failures.is_empty(content), "no file content")
+    )
+    hashed = F.when(error.isNull(), landing_hash(content, F.col("file_type")))
     return (
         fetches.withColumn("file_type", file_type(F.col("content_type")))
         .withColumn("file_name", object_name(F.col("identifier"), F.col("file_type")))
@@ -83,22 +89,21 @@ def landing_items(fetches: DataFrame) -> DataFrame:
             hashed.alias("file_hash"),
             failed.alias("failed"),
             F.when(failed, failures.error_code(status)).alias("error_code"),
-            F.when(failed, failures.error_reason(status, F.col("reason"))).alias("reason"),
-            (~failed & failures.is_empty(content)).alias("empty"),
+            F.when(failed, reason).alias("reason"),
+            error.alias("error"),
         )
     )
 
 
 def storable(items: DataFrame) -> DataFrame:
-    return items.where(~F.col("failed") & ~F.col("empty"))
+    return items.where(F.col("error").isNull())
 
 
 def rejected_items(items: DataFrame) -> DataFrame:
     """Fetches that are not landed, each with its error."""
-    error = F.when(F.col("failed"), F.col("reason")).otherwise(F.lit("no file content"))
-    return items.where(F.col("failed") | F.col("empty")).select(
+    return items.where(F.col("error").isNotNull()).select(
         "identifier", "doc_url", F.col("partition_date").alias("partition"), "body",
-        "error_code", error.alias("error"),
+        "error_code", "error",
     )
 
 

@@ -111,10 +111,12 @@ def test_stable_hash(spark):
 
 
 def test_bytes_to_text(spark):
-    rows = [b"\xef\xbb\xbfa", "é".encode(), b"\x93\xe9\x94", "é".encode("utf-16"), b"", None]
+    rows = [b"\xef\xbb\xbfa", "é".encode(), b"\x93\xe9\x94", "é😀".encode("utf-16"), b"", None,
+            "é😀".encode("utf-16-be"), b"\xfe\xff" + "é😀".encode("utf-16-be"), b"\xff\xfea\x00\x00\xd8", b"\xff\xfea"]
     df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, b binary")
     got = df.select("i", markup.html_from_bytes(F.col("b")).alias("t")).orderBy("i").collect()
-    assert [r.t for r in got] == ["a", "é", "“é”", "é", "", None]
+    assert [r.t for r in got] == ["a", "é", "“é”", "é😀", "", None,
+                                     "\x00éØ=Þ\x00", "é😀", "ÿþa\x00\x00Ø", "ÿþa"]
 
 
 def test_card_elements_and_fields(spark):
