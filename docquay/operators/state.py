@@ -45,9 +45,15 @@ def last_arrival(df: DataFrame, key: str, *order: str) -> DataFrame:
 
 
 def changed_objects(incoming: DataFrame, stored: DataFrame) -> DataFrame:
-    """Objects that are new or whose hash differs from the stored one."""
-    known = stored.select("file_name", F.coalesce("file_hash", F.lit("")).alias("file_hash"))
-    return incoming.join(known, ["file_name", "file_hash"], "left_anti")
+    """Objects that are new or whose hash differs from the stored one.
+
+    ``stored`` has one row per object. Joining by name alone keeps the partitioning
+    that the aggregates before it have made.
+    """
+    known = stored.select("file_name", F.coalesce("file_hash", F.lit("")).alias("__stored"))
+    new = F.col("__stored").isNull()
+    changed = new | ~F.col("file_hash").eqNullSafe(F.col("__stored"))
+    return incoming.join(known, "file_name", "left").where(changed).drop("__stored")
 
 
 def upsert(
@@ -89,7 +95,7 @@ def upsert(
 
 def stored_rows_of(stored: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """Stored rows with an incoming key, so that only those are shuffled further."""
-    return stored.join(incoming.select(key), key, "left_semi")
+    return stored.join(incoming.select(key).distinct(), key, "left_semi")
 
 
 def duplicate_keys(df: DataFrame, *key: str) -> DataFrame:

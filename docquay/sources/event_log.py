@@ -10,14 +10,12 @@ from pyspark.sql.types import StructType
 
 
 def utc_iso(ts: Column) -> Column:
-    """ISO text of a UTC timestamp, microseconds only when there are any."""
-    text = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.date_format(ts, "SSSSSS")
-    return F.concat(
-        text,
-        F.when(micros != "000000", F.concat(F.lit("."), micros)).otherwise(""),
-        F.lit("+00:00"),
-    )
+    """ISO text of a UTC timestamp without zone, microseconds only when there are any."""
+    text = F.replace(ts.cast("string"), F.lit(" "), F.lit("T"))
+    micros = F.rpad(F.substring_index(text, ".", -1), 6, "0")
+    whole = F.substring_index(text, ".", 1)
+    exact = F.when(F.contains(text, F.lit(".")), F.concat(whole, F.lit("."), micros))
+    return F.concat(exact.otherwise(text), F.lit("+00:00"))
 
 
 def event_line(
