@@ -74,10 +74,6 @@ def card_fields(cards: DataFrame, layout: CardLayout = DEFAULT_LAYOUT) -> DataFr
     return df.withColumn("title", title_or_identifier(F.col("title"), F.col("identifier")))
 
 
-def has_required_fields() -> Column:
-    return (F.col("identifier") != "") & (F.col("link") != "")
-
-
 def missing_field() -> Column:
     """Reason why a card is dropped; null when it is kept."""
     return F.when(F.col("identifier") == "", "identifier missing").when(
