@@ -59,12 +59,14 @@ def running_sum(
     return joined.withColumn(out, F.col("__ahead") + mine).drop("__ahead")
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batch in pieces of about ``SLICE_BYTES`` of text, one row at least."""
+def slices(
+    batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of about ``size`` bytes of text, one row at least."""
     if not batch.num_rows:
         return
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    piece = np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES
+    piece = np.cumsum(sizes, dtype=np.int64) // size
     cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:]):
         yield batch.slice(a, b - a)

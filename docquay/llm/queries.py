@@ -8,7 +8,17 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquay.llm import decontamination, exact_dedup, jaccard_join, mixing, quality
+from docquay.llm import (
+    chat,
+    decontamination,
+    exact_dedup,
+    jaccard_join,
+    language_id,
+    licenses,
+    lm_scoring,
+    mixing,
+    quality,
+)
 from docquay.llm.common import fold, read_table
 from docquay.llm.quality import labelled_documents
 
@@ -35,6 +45,15 @@ FROM d WINDOW g AS (PARTITION BY text_sha256)
 """
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = language_id.fit_languages(docs.where(fold("doc_id", 3) != 1))
+    held_out = F.coalesce(fold("doc_id", 3) == 1, F.lit(False))
+    return language_id.identify_languages(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = quality.fit_quality(labelled_documents(docs, read_table(spark, sf_dir, "labels")))
@@ -43,6 +62,15 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(read_table(spark, sf_dir, "documents"))
+
+
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return lm_scoring.lm_scores(docs, fold("doc_id", 10) == 0)
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
     return decontamination.contamination(docs, items).select(
@@ -152,15 +180,52 @@ FROM p
 
 
 
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation 2k is the chosen, 2k + 1 the rejected side of pair k."""
+    turns = read_table(spark, sf_dir, "conversations")
+    side = F.when(F.col("conv_id") % 2 == 0, F.lit("chosen")).otherwise(F.lit("rejected"))
+    pairs = turns.withColumn("pair_id", F.floor(F.col("conv_id") / 2)).withColumn("side", side)
+    return chat.preference_turns(pairs)
+
+
+OP10_SQL = r"""
+WITH t AS (
+  SELECT conv_id // 2 AS pair_id, CASE WHEN conv_id % 2 = 0 THEN 'chosen' ELSE 'rejected' END AS side,
+         role, text, '<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10) AS rendered,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1 AS place
+  FROM conversations),
+agree AS (
+  SELECT c.pair_id, c.place FROM t c JOIN t r ON c.pair_id = r.pair_id AND c.place = r.place
+  WHERE c.side = 'chosen' AND r.side = 'rejected'
+    AND c.role IS NOT DISTINCT FROM r.role AND c.text IS NOT DISTINCT FROM r.text),
+gap AS (
+  SELECT pair_id, min(place) AS shared FROM (SELECT DISTINCT pair_id, place FROM t) x
+  WHERE NOT EXISTS (SELECT 1 FROM agree a WHERE a.pair_id = x.pair_id AND a.place = x.place) GROUP BY pair_id),
+full_t AS (
+  SELECT t.*, place < coalesce(shared, 1000000000) AS in_prompt,
+         coalesce(sum(length(rendered)) OVER (PARTITION BY pair_id, side ORDER BY place
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+  FROM t LEFT JOIN gap USING (pair_id))
+SELECT pair_id, CASE WHEN in_prompt THEN 'prompt' ELSE side END AS part, place, role, rendered,
+       NOT in_prompt AND role IS NOT DISTINCT FROM 'assistant' AS trained,
+       start, start + length(rendered) AS "end"
+FROM full_t WHERE NOT in_prompt OR side = 'chosen'
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_exact_dedup": (op1_exact_dedup, OP1_SQL),
+    "op3_language_id": (op3_language_id, None),
     "op4_quality": (op4_quality, None),
+    "op5_license_scan": (op5_license_scan, None),
+    "op6_lm_scoring": (op6_lm_scoring, None),
     "op7_decontamination": (op7_decontamination, OP7_SQL),
     "op8_jaccard_join": (op8_jaccard_join, OP8_SQL),
     "op9_mixing": (op9_mixing, OP9_SQL),
+    "op10_chat_formatting": (op10_chat_formatting, OP10_SQL),
     "pipeline": (pipeline, None),
 }
