@@ -42,7 +42,14 @@ class Staging:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, name: str) -> None:
+        """Delete one table that nothing reads any more."""
+        self._delete(f"{self.root}/{name}")
+
     def discard(self) -> None:
         """Delete the folder, once nothing reads its tables any more."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        self._delete(self.root)
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
