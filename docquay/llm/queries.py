@@ -15,6 +15,7 @@ from docquay.llm import (
     jaccard_join,
     language_id,
     licenses,
+    line_dedup,
     lm_scoring,
     mixing,
     quality,
@@ -45,6 +46,10 @@ FROM d WINDOW g AS (PARTITION BY text_sha256)
 """
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = language_id.fit_languages(docs.where(fold("doc_id", 3) != 1))
@@ -219,6 +224,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_exact_dedup": (op1_exact_dedup, OP1_SQL),
+    "op2_line_dedup": (op2_line_dedup, None),
     "op3_language_id": (op3_language_id, None),
     "op4_quality": (op4_quality, None),
     "op5_license_scan": (op5_license_scan, None),
