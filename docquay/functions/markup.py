@@ -103,6 +103,7 @@ _NAMED_ENTITIES = "str_to_map('{}', ' ', '=')".format(
 
 
 def _code_point(number: str) -> str:
+    """SQL text: the character of that number; none has a number out of range or null."""
     return f"""CASE
         WHEN {number} BETWEEN 1 AND 1114111 AND NOT {number} BETWEEN 55296 AND 57343
         THEN decode(unhex(lpad(hex({number}), 8, '0')), 'UTF-32') ELSE '\ufffd' END"""
@@ -110,13 +111,13 @@ def _code_point(number: str) -> str:
 
 def _decoded(text: str) -> str:
     """SQL text of ``text`` with its character references decoded."""
-    reference = pattern(r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*+);")
+    reference = pattern(r"^(#[0-9]++|#[xX][0-9a-fA-F]++|[A-Za-z][A-Za-z0-9]*+);")
     value = f"""CASE
         WHEN ref = 'amp' THEN '&' WHEN ref = '' THEN NULL WHEN ref = 'apos' THEN "'"
         WHEN lower(left(ref, 2)) = '#x' THEN {let_sql(
-            "cast(conv(substring(ref, 3), 16, 10) AS BIGINT)", "n -> " + _code_point("n"))}
+            "try_cast(conv(substring(ref, 3), 16, 10) AS BIGINT)", "n -> " + _code_point("n"))}
         WHEN left(ref, 1) = '#' THEN {let_sql(
-            "cast(substring(ref, 2) AS BIGINT)", "n -> " + _code_point("n"))}
+            "try_cast(substring(ref, 2) AS BIGINT)", "n -> " + _code_point("n"))}
         ELSE try_element_at({_NAMED_ENTITIES}, ref) END"""
     piece = let_sql(
         f"regexp_extract(piece, {reference}, 1)",
@@ -149,17 +150,38 @@ _C1 = "".join(chr(c) for c in range(0x80, 0xA0))
 _C1_AS_CP1252 = "".join(bytes([ord(c)]).decode("cp1252", "ignore") or c for c in _C1)
 
 
+# One-byte character sets that a page may declare, other than Windows-1252.
+_CHARSETS = (
+    "iso-8859-2", "iso-8859-5", "iso-8859-7", "iso-8859-9", "iso-8859-15", "koi8-r",
+    "windows-1250", "windows-1251", "windows-1253", "windows-1254", "windows-1257",
+)
+_HIGH = "".join(chr(c) for c in range(0x80, 0x100))
+_DECLARED = r"""(?i)<meta\s[^>]*?charset\s*+=\s*+["']?\s*+([a-z0-9_-]+)"""
+
+
+def _declared(content: Column) -> Column:
+    """Character set named by a ``meta`` tag near the start of the page, in lower case."""
+    start = F.decode(F.substring(content, 1, 4096), "ISO-8859-1")
+    return F.lower(F.regexp_extract(start, _DECLARED, 1))
+
+
 def html_from_bytes(content: Column) -> Column:
-    """Page text: by byte-order mark, else UTF-8, else Windows-1252. Never fails."""
+    """Page text: by byte-order mark, else UTF-8, else as declared, else Windows-1252. Never fails."""
     mark = F.hex(F.substring(content, 1, 3))
     wide = F.substring(mark, 1, 4).isin("FEFF", "FFFE")
     behind_mark = F.substring(content, 4, 2**31 - 1).cast("string")
     as_utf8 = content.cast("string")
+    latin = F.decode(content, "ISO-8859-1")
+    declared = _declared(content)
+    one_byte = F.translate(latin, _C1, _C1_AS_CP1252)
+    for name in _CHARSETS:
+        high = bytes(range(0x80, 0x100)).decode(name, "replace")
+        one_byte = F.when(declared == name, F.translate(latin, _HIGH, high)).otherwise(one_byte)
     return (
         F.when(mark == "EFBBBF", F.make_valid_utf8(behind_mark))
         .when(wide & F.hex(content).rlike(_UTF16), F.decode(content, "UTF-16"))
         .when(F.is_valid_utf8(as_utf8), as_utf8)
-        .otherwise(F.translate(F.decode(content, "ISO-8859-1"), _C1, _C1_AS_CP1252))
+        .otherwise(one_byte)
     )
 
 
@@ -197,6 +219,7 @@ def _tokens(html: str, tags: Sequence[str] | None) -> str:
 
 # What a tag does to the element being followed.
 _PASS, _OPEN, _ALONE, _DEEPER, _SHALLOWER, _CLOSE, _CLOSE_BEFORE, _NEXT_ITEM = range(8)
+_SLICE = 512
 _VOID = ", ".join(f"'{t}'" for t in VOID_TAGS)
 
 _EFFECT_INSIDE = f"""CASE
@@ -220,11 +243,12 @@ def _ranges(opening: str, first_only: bool, list_item: bool) -> str:
 
     One pass over ``tokens`` with a depth counter over tags of the same name. List
     items follow the list rule instead: they end at ``</li>``, at the next ``<li>``
-    or at the end of their list, whichever comes first. The ranges grow as text,
-    which is much cheaper to append to than an array.
+    or at the end of their list, whichever comes first. Ranges are collected as text for
+    a slice of ``_SLICE`` tokens at a time and the texts of the slices in an array, so what
+    a hit copies does not grow with the hits before it.
     """
     hit = f"tag RLIKE {pattern('(?is)^' + opening)}"
-    room = "s.cuts = ''" if first_only else "true"
+    room = "NOT s.any" if first_only else "true"
     inside = _EFFECT_INSIDE_ITEM % {"hit": hit} if list_item else _EFFECT_INSIDE
     outside = f"""CASE
         WHEN startswith(tag, '</') OR NOT ({room} AND {hit}) THEN {_PASS}
@@ -244,19 +268,28 @@ def _ranges(opening: str, first_only: bool, list_item: bool) -> str:
         CASE WHEN t.e = {_ALONE} THEN concat(s.cuts, s.k, ' ', s.k, ';')
              WHEN t.e = {_CLOSE} THEN concat(s.cuts, s.a, ' ', s.k, ';')
              WHEN t.e > {_CLOSE} THEN concat(s.cuts, s.a, ' ', s.k - 1, ';')
-             ELSE s.cuts END AS cuts)"""
+             ELSE s.cuts END AS cuts,
+        s.any OR t.e = {_ALONE} OR t.e >= {_CLOSE} AS any)"""
     step = let_sql(
         f"CASE WHEN s.k % 2 = 0 THEN struct('' AS name, {_PASS} AS e) ELSE {effect} END",
         moved,
     )
+    start = "0 AS k, '' AS name, 0 AS depth, 0 AS a"
+    inner = f"""aggregate(
+        slice(tokens, at, {_SLICE}),
+        struct(s.k AS k, s.name AS name, s.depth AS depth, s.a AS a, '' AS cuts, s.any AS any),
+        (s, tag) -> {step})"""
+    grown = """r -> struct(r.k AS k, r.name AS name, r.depth AS depth, r.a AS a,
+        CASE WHEN r.cuts = '' THEN s.parts ELSE array_append(s.parts, r.cuts) END AS parts,
+        r.any AS any)"""
     return f"""aggregate(
-        tokens,
-        struct(0 AS k, '' AS name, 0 AS depth, 0 AS a, '' AS cuts),
-        (s, tag) -> {step},
+        sequence(1, size(tokens), {_SLICE}),
+        struct({start}, cast(array() AS array<string>) AS parts, false AS any),
+        (s, at) -> {let_sql(inner, grown)},
         s -> transform(
             filter(
-                split(CASE WHEN s.name = '' THEN s.cuts
-                           ELSE concat(s.cuts, s.a, ' ', s.k - 1, ';') END, ';'),
+                split(concat(array_join(s.parts, ''), CASE WHEN s.name = '' THEN ''
+                    ELSE concat(s.a, ' ', s.k - 1, ';') END), ';'),
                 c -> c <> ''),
             c -> struct(cast(substring_index(c, ' ', 1) AS INT) AS a,
                         cast(substring_index(c, ' ', -1) AS INT) AS b)))"""
@@ -265,7 +298,7 @@ def _ranges(opening: str, first_only: bool, list_item: bool) -> str:
 _PICKED = """t -> transform(
     t.cuts, c -> array_join(slice(t.tokens, c.a + 1, c.b - c.a + 1), ''))"""
 
-_KEPT = "t -> array_join(transform(sequence(0, size(t.cuts)), i -> {}), '')".format(
+_KEPT = "t -> array_join(transform(sequence(0, size(t.cuts)), i -> {}), '%s')".format(
     let_sql(
         """struct(
             CASE WHEN i = 0 THEN 0 ELSE try_element_at(t.cuts, i).b + 1 END AS low,
@@ -331,14 +364,15 @@ def remove_elements(
     tags: Sequence[str] | None = None,
     words: Sequence[str] = (),
     first_only: bool = False,
+    joint: str = "",
 ) -> Column:
-    """Without the elements whose opening tag matches the pattern ``opening``.
+    """Without the elements whose opening tag matches the pattern ``opening``, ``joint`` instead.
 
     Pages in which the pattern does not occur are passed on without a scan. Such a
     tag has one of ``words`` in it, if given: a plain search spares most pages the
     pattern as well.
     """
-    scan = _scan("h", tags, opening, _KEPT, first_only)
+    scan = _scan("h", tags, opening, _KEPT % joint, first_only)
     found = f"h RLIKE {pattern('(?is)' + opening)}"
     if words:
         found = f"({_contains_any('h', words)}) AND {found}"
@@ -456,14 +490,28 @@ def attribute_of(html: Column, tag: str, css_class: str | None, attribute: str)
 
 
 def own_text_of(html: Column, tag: str, css_class: str | None) -> Column:
-    """First text directly inside the first such element; empty when missing."""
+    """First text directly inside the first such element; empty when missing.
+
+    Children may be nested. One pattern does where they hold only text; else the element
+    is scanned, its outermost children are cut out and what stands between them is its own.
+    """
     selector = "class" if css_class else None
+    whole = _whole_open_tag(tag, selector, css_class)
     leading = (
-        rf"(?:<(?:x|br|hr|img|wbr){_NAME_END}{_TAIL}"
+        rf"(?:<(?:x|br|hr|img|input|wbr){_NAME_END}{_TAIL}"
         rf"|<({_NAME}){_TAIL}[^<]*+</\1\s*+>)*+"
     )
-    return decode_entities(F.regexp_extract(
-        html,
-        f"(?is){_whole_open_tag(tag, selector, css_class)}{leading}([^<]*+)",
-        2,
-    ))
+    plain = rf"(?is){whole}{leading}([^<]*+)"
+    nested = rf"(?is){whole}{leading}<(?!/)"
+    element = select_elements(html, tag, css_class, first_only=True)
+    inner = F.regexp_replace(
+        F.coalesce(F.try_element_at(element, F.lit(1)), F.lit("")), rf"(?is)^<{_NAME}{_TAIL}|</{tag}\s*+>$", ""
+    )
+    pieces = remove_elements(inner, rf"<{_NAME}", joint="<x>")
+    own = F.coalesce(
+        F.try_element_at(F.filter(F.split(pieces, "<x>"), lambda t: t != ""), F.lit(1)), F.lit("")
+    )
+    return decode_entities(
+        F.when(html.rlike(nested), F.regexp_extract(own, r"^([^<]*+)", 1))
+        .otherwise(F.regexp_extract(html, plain, 2))
+    )

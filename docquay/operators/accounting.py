@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 KEY = ("partition", "body")
 COUNTS = ("records_found", "records_scraped", "records_failed")
 CHUNK_ROWS = 1000
-SALTS = 32
 
 
 def started_keys(plan: DataFrame) -> DataFrame:
@@ -32,8 +31,9 @@ def failed_list(failures: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
 
     Equal failures are first counted (``times``). A key with very many different
     ones gets several chunks, picked by a hash of the failure, so no list holds the
-    failures of a whole hot key; joined together the chunks are complete. The number
-    of chunks is looked up by key and salt, so that a hot key is spread there too.
+    failures of a whole hot key; joined together the chunks are complete. The number of
+    chunks is one row for each such key: that join is a broadcast, or one whose hot
+    side adaptive execution can split.
     """
     entry = ["url", "error_code", "reason"]
     hashed = F.substring(F.md5(F.concat_ws("|", *entry).cast("binary")), 1, 8)
@@ -41,21 +41,16 @@ def failed_list(failures: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
         failures.groupBy(*KEY, *entry)
         .agg(F.count(F.lit(1)).alias("times"))
         .withColumn("slot", F.conv(hashed, 16, 10).cast("bigint"))
-        .withColumn("salt", F.pmod("slot", F.lit(SALTS)))
     )
     # Counting by ``times`` keeps both uses of ``distinct`` alike, so its exchange is reused.
     n_distinct = F.count_if(F.col("times") > 0)
     n_chunks = F.call_function("div", n_distinct + (chunk_rows - 1), F.lit(chunk_rows))
-    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
     chunks = (
-        distinct.groupBy(*KEY)
-        .agg(n_chunks.alias("n_chunks"))
-        .where(F.col("n_chunks") > 1)
-        .withColumn("salt", F.explode(salts))
+        distinct.groupBy(*KEY).agg(n_chunks.alias("n_chunks")).where(F.col("n_chunks") > 1)
     )
     chunk = F.pmod("slot", F.coalesce("n_chunks", F.lit(1).cast("bigint")))
     return (
-        distinct.join(chunks, [*KEY, "salt"], "left")
+        distinct.join(chunks, list(KEY), "left")
         .withColumn("chunk", chunk)
         .groupBy(*KEY, "chunk")
         .agg(

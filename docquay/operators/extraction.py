@@ -92,14 +92,15 @@ def with_document_url(cards: DataFrame, page_url: str = "page_url") -> DataFrame
 
 
 def result_count(html: Column, layout: CardLayout = DEFAULT_LAYOUT) -> Column:
-    """Total number of results named on the page, in its head or else anywhere."""
+    """Total number of results named on the page, in one of its heads or else anywhere."""
     page = markup.strip_raw_blocks(html, "<x>")
-    head = markup.select_first(page, layout.count_box.tag, layout.count_box.css_class)
+    heads = markup.select_elements(page, layout.count_box.tag, layout.count_box.css_class)
 
     def number(text: Column) -> Column:
         return F.nullif(F.regexp_extract(text, layout.count_pattern, 1), F.lit(""))
 
-    digits = F.coalesce(number(head), number(html))
+    named = F.try_element_at(F.array_compact(F.transform(heads, number)), F.lit(1))
+    digits = F.coalesce(named, number(html))
     return F.replace(digits, F.lit(","), F.lit("")).try_cast("bigint")
 
 

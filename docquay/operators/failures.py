@@ -66,5 +66,9 @@ def retry_worklist(
 
 
 def plan_coverage(plan: DataFrame, fetched: DataFrame, *key: str) -> DataFrame:
-    """Planned keys for which nothing was fetched."""
-    return plan.select(*key).distinct().join(fetched.select(*key), list(key), "left_anti")
+    """Planned keys for which nothing was fetched.
+
+    Each task first keeps one row per fetched key, so a hot key costs one row per task.
+    """
+    seen = fetched.select(*key).distinct()
+    return plan.select(*key).distinct().join(seen, list(key), "left_anti")

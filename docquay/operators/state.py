@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 INSERTED, UPDATED, UNCHANGED, KEPT = "inserted", "updated", "unchanged", "kept"
@@ -19,7 +19,7 @@ def month_range_scan(
 ) -> DataFrame:
     """Rows of the months of ``start`` to ``end``, both included, compared as text.
 
-    On a table partitioned by month only those directories are listed and read. Where
+    On a table partitioned by month only the files of those months are read. Where
     the month is computed, ``day`` names the date behind it, and the same range on the
     date is pushed down to the files.
     """
@@ -62,32 +62,46 @@ def upsert(
     key: str,
     fields: Sequence[str],
     keep_untouched: bool = True,
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """Merge one incoming row per key; ``fields`` win, other stored fields stay.
 
     ``outcome`` is inserted, updated, unchanged or, for stored rows without an
     incoming one, kept. Without ``keep_untouched`` those rows are left out and only
-    stored rows with an incoming key take part.
+    stored rows with an incoming key take part. With ``order``, columns of both sides, a
+    stored row that comes later than the incoming one is kept as it is; else the order of
+    the incoming row is taken over, also where its fields are unchanged.
     """
-    extra = [c for c in stored.columns if c != key and c not in fields]
+    taken = [*fields, *order]
+    extra = [c for c in stored.columns if c != key and c not in taken]
     old = stored.select(
-        key, F.struct(*fields).alias("__old"), *extra, F.lit(True).alias("__stored")
+        key, F.struct(*taken).alias("__old"), *extra, F.lit(True).alias("__stored")
     )
-    new = incoming.select(key, F.struct(*fields).alias("__new"), F.lit(True).alias("__arrived"))
+    new = incoming.select(key, F.struct(*taken).alias("__new"), F.lit(True).alias("__arrived"))
     if keep_untouched:
         joined = old.join(new, key, "full")
     else:
         joined = new.join(old, key, "left")
-    arrived, known = F.col("__arrived").isNotNull(), F.col("__stored").isNotNull()
+    known = F.col("__stored").isNotNull()
+    arrived = F.col("__arrived").isNotNull()
+    if order:
+        late = F.struct(*[F.col("__old")[c] for c in order]) > F.struct(
+            *[F.col("__new")[c] for c in order]
+        )
+        arrived = arrived & ~F.coalesce(known & late, F.lit(False))
+
+    def picked(side: str) -> Column:
+        return F.struct(*[F.col(side)[f] for f in fields])
+
     outcome = (
         F.when(~arrived, KEPT)
         .when(~known, INSERTED)
-        .when(F.col("__old").eqNullSafe(F.col("__new")), UNCHANGED)
+        .when(picked("__old").eqNullSafe(picked("__new")), UNCHANGED)
         .otherwise(UPDATED)
     )
     merged = [
         F.when(arrived, F.col("__new")[f]).otherwise(F.col("__old")[f]).alias(f)
-        for f in fields
+        for f in taken
         if f != key
     ]
     return joined.select(key, *merged, *extra, outcome.alias("outcome"))
@@ -117,19 +131,24 @@ def pending_transform(landed: DataFrame, transformed: DataFrame) -> DataFrame:
     return landed.join(done, same, "left_anti")
 
 
-def with_content(records: DataFrame, objects: DataFrame, *key: str) -> DataFrame:
-    """Left join of the object bytes; null content where there is no object."""
-    return records.join(objects.select(*key, "content"), list(key), "left")
+def missing_objects(records: DataFrame, index: DataFrame, *key: str) -> DataFrame:
+    """Records without an object, found on the narrow index; content is not touched."""
+    return records.join(index.select(*key).distinct(), list(key), "left_anti")
 
 
-def pick_rows(wide: DataFrame, wanted: DataFrame, unwanted: DataFrame, *key: str) -> DataFrame:
-    """The wanted rows of a table with content, by the shorter of two key lists.
+def pick_rows(wide: DataFrame, wanted: DataFrame, *key: str) -> DataFrame:
+    """The rows of a table with content that a narrow list of keys names.
 
-    Together the lists hold every key of ``wide``. A first run wants nearly
-    everything, a rerun nearly nothing, so one list is usually below the broadcast
-    threshold and no content is shuffled; when both are long Spark joins by shuffle.
+    A semi-join in every case. Below the session's broadcast threshold, which Spark
+    compares with the size of the written list, no content is shuffled.
     """
-    wanted, unwanted = wanted.select(*key), unwanted.select(*key)
-    if wanted.count() <= unwanted.count():
-        return wide.join(wanted, list(key), "left_semi")
-    return wide.join(unwanted, list(key), "left_anti")
+    return wide.join(wanted.select(*key), list(key), "left_semi")
+
+
+def require_unique(df: DataFrame, *key: str) -> None:
+    """Fail with an example if a key is null or occurs twice."""
+    bad = duplicate_keys(df, *key).select(*key).unionByName(
+        df.select(*key).where(" OR ".join(f"{k} IS NULL" for k in key))
+    ).first()
+    if bad is not None:
+        raise ValueError(f"{', '.join(key)} must be unique and not null: {tuple(bad)}")

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from docquay.functions.dates import month_windows, parse_bounds
 from docquay.functions.urls import search_url
 
-RESULTS_PER_PAGE = 10
 PAGES_PER_BLOCK = 1000
 
 

@@ -27,28 +27,36 @@ from docquay.operators.extraction import (
 )
 from docquay.operators.state import (
     INSERTED,
+    UNCHANGED,
     UPDATED,
     changed_objects,
     last_arrival,
     pick_rows,
+    require_unique,
     stored_rows_of,
     upsert,
 )
-from docquay.plans.schemas import ITEM_FIELDS, LANDING, LANDING_FIELDS, OBJECT_INDEX
+from docquay.plans.schemas import (
+    ARRIVAL,
+    ITEM_FIELDS,
+    LANDING,
+    LANDING_FIELDS,
+    OBJECT_CONTENT,
+    OBJECT_INDEX,
+)
 from docquay.sources.staging import Staging
 from docquay.sources.tables import (
     BATCH,
     DELETED,
+    RunLog,
     append_batch,
     current_rows,
     latest_rows,
-    next_batch,
     read_batches,
     with_markers,
 )
 
-ARRIVAL = ("fetched_at", "page", "position", "fetch_id")
-METADATA, INDEX = "landing_metadata", "landing_objects"
+RUNS, METADATA, INDEX = "landing_runs", "landing_metadata", "landing_objects"
 CONTENT, QUARANTINE = "landing_content", "landing_quarantine"
 
 
@@ -107,16 +115,28 @@ def rejected_items(items: DataFrame) -> DataFrame:
     )
 
 
-def objects_to_write(items: DataFrame, stored: DataFrame) -> DataFrame:
-    """Last arrival of each object, where it is new or changed."""
+def arrived_objects(items: DataFrame) -> DataFrame:
+    """Last arrival of each object."""
     arrived = storable(items).select("file_name", "file_hash", *ARRIVAL)
-    return changed_objects(last_arrival(arrived, "file_name", *ARRIVAL), stored)
+    return last_arrival(arrived, "file_name", *ARRIVAL)
+
+
+def objects_to_write(items: DataFrame, stored: DataFrame) -> DataFrame:
+    """Last arrival of each object, where it is new or changed and not older than the stored one."""
+    return changed_objects(newer_objects(arrived_objects(items), stored), stored)
+
+
+def newer_objects(arrived: DataFrame, stored: DataFrame) -> DataFrame:
+    """Arrivals that no stored object is later than."""
+    later = F.struct(*[F.col(f"s.{c}") for c in ARRIVAL]) > F.struct(*[F.col(f"a.{c}") for c in ARRIVAL])
+    same = F.col("a.file_name") == F.col("s.file_name")
+    return arrived.alias("a").join(stored.alias("s"), same & later, "left_anti")
 
 
 def records_to_merge(items: DataFrame) -> DataFrame:
     """Last arrival of each identifier with the fields of the landing zone."""
     records = storable(items).select(*LANDING_FIELDS, *ARRIVAL)
-    return last_arrival(records, "identifier", *ARRIVAL).select(*LANDING_FIELDS)
+    return last_arrival(records, "identifier", *ARRIVAL)
 
 
 def object_content(fetches: DataFrame) -> DataFrame:
@@ -124,26 +144,45 @@ def object_content(fetches: DataFrame) -> DataFrame:
     return fetches.select(name.alias("file_name"), "content")
 
 
-def object_index(objects: DataFrame) -> DataFrame:
-    """Narrow row per object: name, MIME type and hash."""
-    extension = F.substring_index("file_name", ".", -1)
-    return objects.select("file_name", mime_type(extension).alias("content_type"), "file_hash")
+def index_changes(
+    arrived: DataFrame, changed: DataFrame, stored: DataFrame, batch: int
+) -> DataFrame:
+    """Index rows of a run: changed objects with this batch's content, others with a later arrival.
+
+    An object that came again unchanged keeps its content where it is, but later arrivals
+    must be compared with this one.
+    """
+    kind = mime_type(F.substring_index("file_name", ".", -1)).alias("content_type")
+    facts = ["file_name", kind, "file_hash"]
+    fresh = changed.select(*facts, F.lit(batch).alias("content_batch"), *ARRIVAL)
+    again = (
+        arrived.join(changed.select("file_name"), "file_name", "left_anti")
+        .join(stored.select("file_name", "content_batch"), "file_name")
+        .select(*facts, "content_batch", *ARRIVAL)
+    )
+    return fresh.unionByName(again)
 
 
 def current_objects(index: DataFrame) -> DataFrame:
-    """Latest entry per object; ``batch`` says where its content is."""
-    return latest_rows(index, "file_name", F.col(BATCH))
+    """Last arrival of each object; ``content_batch`` says where its bytes are."""
+    return latest_rows(index, "file_name", *[F.col(c) for c in ARRIVAL], F.col(BATCH))
+
 
+def metadata_changes(
+    merged: DataFrame, stored: DataFrame, order: tuple[str, ...] = ()
+) -> DataFrame:
+    """Rows to append: what came in and is not older, and a mark where a record has moved away.
 
-def metadata_changes(merged: DataFrame, stored: DataFrame) -> DataFrame:
-    """Rows to append: new and changed records, and a mark where one has moved away."""
-    changed = merged.where(F.col("outcome").isin(INSERTED, UPDATED))
+    Without ``order`` unchanged records need no row.
+    """
+    written = [INSERTED, UPDATED, *([UNCHANGED] if order else [])]
+    changed = merged.where(F.col("outcome").isin(*written))
     moved = (
         changed.where(F.col("outcome") == UPDATED)
-        .select("identifier", F.col("partition_date").alias("__now"))
+        .select("identifier", F.col("partition_date").alias("__now"), *order)
         .join(stored.select("identifier", "partition_date"), "identifier")
         .where(~F.col("partition_date").eqNullSafe(F.col("__now")))
-        .select("identifier", "partition_date", F.lit(True).alias(DELETED))
+        .select("identifier", "partition_date", *order, F.lit(True).alias(DELETED))
     )
     return (
         changed.drop("outcome")
@@ -152,6 +191,28 @@ def metadata_changes(merged: DataFrame, stored: DataFrame) -> DataFrame:
     )
 
 
+def landed_index(spark: SparkSession, root: str) -> DataFrame:
+    """Index rows of all committed runs that the current objects are made of."""
+    return read_batches(spark, f"{root}/{INDEX}", OBJECT_INDEX, RunLog(spark, f"{root}/{RUNS}").state())
+
+
+def landed_history(spark: SparkSession, root: str) -> DataFrame:
+    runs = RunLog(spark, f"{root}/{RUNS}").state()
+    return read_batches(spark, f"{root}/{METADATA}", with_markers(LANDING), runs)
+
+
+def landed_records(spark: SparkSession, root: str) -> DataFrame:
+    """Current landing records of all months."""
+    return current_rows(landed_history(spark, root), "identifier", *ARRIVAL).select(*LANDING_FIELDS)
+
+
+def content_of(spark: SparkSession, root: str, wanted: DataFrame) -> DataFrame:
+    """Bytes of ``wanted(file_name, content_batch)``, from the batches that hold them only."""
+    batches = [r[0] for r in wanted.select("content_batch").distinct().toLocalIterator()]
+    content = read_batches(spark, f"{root}/{CONTENT}", OBJECT_CONTENT, sorted(batches))
+    return pick_rows(content.withColumnRenamed(BATCH, "content_batch"), wanted, "file_name", "content_batch")
+
+
 @dataclass(frozen=True)
 class Landed:
     """What a landing run did: every item and the outcome per identifier.
@@ -165,37 +226,83 @@ class Landed:
     staging: Staging
 
 
-def land(
-    spark: SparkSession, fetches: DataFrame, root: str, batch: int | None = None
-) -> Landed:
-    """Land fetched documents below ``root``; repeating a batch replaces it.
+def land(spark: SparkSession, fetches: DataFrame, root: str, tag: str = "") -> Landed:
+    """Land fetched documents below ``root``, as one run.
 
-    Content goes first and metadata last: a run lost in between is repaired by the
-    next one, since the metadata still differs.
+    All tables of the run become visible together, by its commit. Of several fetches of
+    one identifier or object the last by ``ARRIVAL`` counts, also against what earlier runs have
+    stored: a late one loses. ``fetch_id`` must be unique. ``tag`` names what is landed.
     """
-    content_root, index_root, metadata_root = (
-        f"{root}/{table}" for table in (CONTENT, INDEX, METADATA)
-    )
-    if batch is None:
-        batch = next_batch(spark, content_root, index_root, metadata_root)
+    log = RunLog(spark, f"{root}/{RUNS}")
+    index, history = landed_index(spark, root), landed_history(spark, root)
+    batch = log.claim()
     work = Staging(spark, root)
     items = work.table(landing_items(fetches), "items")
-
-    index = read_batches(spark, index_root, OBJECT_INDEX, before=batch)
-    arrived = storable(items).select("file_name")
-    stored = current_objects(stored_rows_of(index, arrived, "file_name"))
-    wanted = work.table(objects_to_write(items, stored), "wanted")
-    unwanted = items.join(wanted, "fetch_id", "left_anti")
-    picked = pick_rows(fetches, wanted, unwanted, "fetch_id")
-    append_batch(object_content(picked), content_root, batch)
-    append_batch(object_index(wanted), index_root, batch)
+    require_unique(items, "fetch_id")
+
+    arrived = arrived_objects(items)
+    stored = work.table(current_objects(stored_rows_of(index, arrived, "file_name")), "stored")
+    newer = work.table(newer_objects(arrived, stored), "newer")
+    wanted = work.table(changed_objects(newer, stored), "wanted")
+    picked = pick_rows(fetches, wanted, "fetch_id")
+    append_batch(object_content(picked), f"{root}/{CONTENT}", batch)
+    append_batch(index_changes(newer, wanted, stored, batch), f"{root}/{INDEX}", batch)
     append_batch(rejected_items(items), f"{root}/{QUARANTINE}", batch)
 
     records = records_to_merge(items)
-    history = read_batches(spark, metadata_root, with_markers(LANDING), before=batch)
-    current = current_rows(stored_rows_of(history, records, "identifier"), "identifier")
+    known = stored_rows_of(history, records, "identifier")
+    current = work.table(current_rows(known, "identifier", *ARRIVAL), "current")
     merged = work.table(
-        upsert(current, records, "identifier", LANDING_FIELDS, keep_untouched=False), "merged"
+        upsert(current, records, "identifier", LANDING_FIELDS, keep_untouched=False, order=ARRIVAL),
+        "merged",
+    )
+    append_batch(
+        metadata_changes(merged, current, ARRIVAL), f"{root}/{METADATA}", batch, "partition_date"
     )
-    append_batch(metadata_changes(merged, current), metadata_root, batch, "partition_date")
+    log.commit(batch, tag)
     return Landed(batch, items, merged.select("identifier", "outcome"), work)
+
+
+def compact(spark: SparkSession, root: str, move_content: bool = False) -> int:
+    """Write the current rows of the landing zone as one run that later reads start from.
+
+    The index says where the bytes of each object are, so content stays where it is. With
+    ``move_content`` the current bytes are copied as well, and no earlier batch is needed any
+    more. Do not land at the same time.
+    """
+    log = RunLog(spark, f"{root}/{RUNS}")
+    objects = current_objects(landed_index(spark, root)).drop(BATCH)
+    records = current_rows(landed_history(spark, root), "identifier", *ARRIVAL)
+    batch = log.claim()
+    work = Staging(spark, root)
+    objects = work.table(objects, "objects")
+    if move_content:
+        moved = content_of(spark, root, objects.select("file_name", "content_batch"))
+        append_batch(moved.select("file_name", "content"), f"{root}/{CONTENT}", batch)
+        objects = objects.withColumn("content_batch", F.lit(batch))
+    append_batch(objects, f"{root}/{INDEX}", batch)
+    append_batch(
+        records.withColumn(DELETED, F.lit(False)), f"{root}/{METADATA}", batch, "partition_date"
+    )
+    log.commit(batch, base=True)
+    work.discard()
+    return batch
+
+
+def remove_superseded(spark: SparkSession, root: str) -> list[int]:
+    """Delete content batches that no current object is in, and state before the last base.
+
+    For times when nothing reads or lands. Returns the content batches that are gone.
+    """
+    log = RunLog(spark, f"{root}/{RUNS}")
+    state = set(log.state())
+    needed = current_objects(landed_index(spark, root)).select("content_batch").distinct()
+    needed = {r[0] for r in needed.toLocalIterator()}
+    old = [n for n in log.committed() if n not in state]
+    gone = [n for n in log.committed() if n not in needed]
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for table, batches in ((INDEX, old), (METADATA, old), (CONTENT, gone)):
+        for n in batches:
+            files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}/{BATCH}={n}"), True)
+    return gone

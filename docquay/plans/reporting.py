@@ -14,6 +14,14 @@ from docquay.plans.transforming import NOT_FOUND
 from docquay.sources.event_log import event_line
 
 
+# --- fixed values: names of events, as readers of the log expect them ---------
+STARTED, ENDED, FAILURES = "partition_start", "partition_end", "partition_failures"
+LOST, RUN = "download_failed", "run_summary"
+READ, WRITTEN, CURRENT = "fetch_metadata", "transform_success", "transform_skipped"
+BROKEN, TRANSFORM_RUN = "transform_error", "transform_summary"
+# -----------------------------------------------------------------------------
+
+
 def item_key() -> list[Column]:
     return [
         F.coalesce("partition_date", F.lit(UNKNOWN)).alias("partition"),
@@ -72,28 +80,30 @@ def report_events(
 
     key = ("partition", "body")
     per_key = accounting.partition_summary(counts)
-    started = F.format_string("Starting partition=%s body=%s", *key)
+    started = F.format_string("%s, %s: planned", *key)
     complete = F.format_string(
-        "Partition complete: %s %s - found=%d scraped=%d failed=%d", *key, *accounting.COUNTS
+        "%s, %s: %d listed, %d collected, %d not collected", *key, *accounting.COUNTS
     )
     totals = accounting.run_summary(counts)
     total_fields = (
         "partitions_processed", "total_records_found", "total_records_scraped",
         "total_records_failed",
     )
-    run = F.format_string("Run complete - partitions=%d found=%d scraped=%d failed=%d", *total_fields)
+    run = F.format_string(
+        "%d month(s) and source(s): %d listed, %d collected, %d not collected", *total_fields
+    )
     return (
-        lines(counts.where("started"), "partition_start", started, *key)
+        lines(counts.where("started"), STARTED, started, *key)
         .unionByName(lines(
-            failures, "download_failed", F.format_string("Failed to download: %s", "url"),
+            failures, LOST, F.format_string("no document from %s", "url"),
             *key, "url", "error_code", "reason", level="WARNING",
         ))
-        .unionByName(lines(per_key, "partition_end", complete, *key, *accounting.COUNTS))
+        .unionByName(lines(per_key, ENDED, complete, *key, *accounting.COUNTS))
         .unionByName(lines(
-            accounting.failed_list(failures), "partition_failures",
-            F.format_string("Failures of partition=%s body=%s", *key), *key, "chunk", "failures",
+            accounting.failed_list(failures), FAILURES,
+            F.format_string("%s, %s: what was not collected", *key), *key, "chunk", "failures",
         ))
-        .unionByName(lines(totals, "run_summary", run, *total_fields))
+        .unionByName(lines(totals, RUN, run, *total_fields))
     )
 
 
@@ -116,17 +126,17 @@ def transform_events(
     lost = having("error").where(missing).withColumn("object_name", F.col("file_name"))
     names = ("total_records", "transformed", "skipped", "errors")
     parts = (
-        lines(fetched, "fetch_metadata", F.format_string(
-            "Found %d records for partitions %s to %s", *fetched.columns), *fetched.columns),
-        lines(having("transformed"), "transform_success", F.format_string(
-            "Transformed: %s", "identifier"), "identifier", "file_type", "file_name"),
-        lines(having("skipped"), "transform_skipped", F.format_string(
-            "Already transformed, skipping: %s", "identifier"), "identifier"),
-        lines(having("error").where(~missing), "transform_error", F.format_string(
-            "Error transforming %s: %s", "identifier", "error"), "identifier", "error", level="ERROR"),
-        lines(lost, "download_failed", F.format_string(
-            "Failed to download %s: %s", "object_name", "error"), "object_name", "error", level="ERROR"),
-        lines(summary, "transform_summary", F.format_string(
-            "Transformation complete: %d total, %d transformed, %d skipped, %d errors", *names), *names),
+        lines(fetched, READ, F.format_string(
+            "%d landed record(s), months %s up to %s", *fetched.columns), *fetched.columns),
+        lines(having("transformed"), WRITTEN, F.format_string(
+            "%s is up to date now", "identifier"), "identifier", "file_type", "file_name"),
+        lines(having("skipped"), CURRENT, F.format_string(
+            "%s was up to date before", "identifier"), "identifier"),
+        lines(having("error").where(~missing), BROKEN, F.format_string(
+            "%s stays as it was (%s)", "identifier", "error"), "identifier", "error", level="ERROR"),
+        lines(lost, LOST, F.format_string(
+            "object %s cannot be read (%s)", "object_name", "error"), "object_name", "error", level="ERROR"),
+        lines(summary, TRANSFORM_RUN, F.format_string(
+            "%d record(s) looked at: %d written, %d current, %d with errors", *names), *names),
     )
     return reduce(DataFrame.unionByName, parts)

@@ -11,6 +11,7 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
+# --- fixed values: field names of the tables and of the event log -------------
 ITEM_FIELDS = (
     "identifier", "title", "description", "published_date", "ref_no", "doc_url",
     "body", "partition_date",
@@ -23,6 +24,7 @@ REQUIRED_FIELDS = (
     "identifier", "description", "published_date", "ref_no", "doc_url", "body",
     "partition_date", "file_type", "file_path",
 )
+# -----------------------------------------------------------------------------
 
 
 def table(*names: str, **typed: DataType) -> StructType:
@@ -35,11 +37,23 @@ def table(*names: str, **typed: DataType) -> StructType:
     return schema
 
 
-LANDING = table(*LANDING_FIELDS)
+# When and where a fetch arrived; of several fetches the last one by these counts.
+ARRIVAL_TYPES = {
+    "fetched_at": TimestampNTZType(), "page": LongType(), "position": IntegerType(),
+    "fetch_id": StringType(),
+}
+ARRIVAL = tuple(ARRIVAL_TYPES)
+LANDING = table(*LANDING_FIELDS, **ARRIVAL_TYPES)
 TRANSFORMED = table(*TRANSFORMED_FIELDS)
-OBJECT_INDEX = table("file_name", "content_type", "file_hash")
+# ``content_batch`` is the batch that holds the bytes.
+OBJECT_INDEX = table(
+    "file_name", "content_type", "file_hash", content_batch=IntegerType(), **ARRIVAL_TYPES
+)
+TRANSFORMED_INDEX = table("file_name", "content_type", "file_hash")
+QUARANTINE = table(
+    "identifier", "doc_url", "partition", "body", "error", error_code=IntegerType()
+)
 OBJECT_CONTENT = table("file_name", content=BinaryType())
-RESULT_PAGES = table("partition", "body", "page_url", "html", page=LongType())
 # One row per answered or failed document request, with the request's context.
 FETCHES = table(
     *ITEM_FIELDS, "reason", "content_type", "fetch_id",

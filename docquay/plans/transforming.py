@@ -18,13 +18,11 @@ from docquay.functions.naming import (
     object_path,
 )
 from docquay.operators.accounting import transform_summary
-from docquay.operators.state import month_range_scan, pick_rows, upsert
+from docquay.operators.state import month_range_scan, require_unique, stored_rows_of, upsert
 from docquay.plans import landing
 from docquay.plans.schemas import (
-    LANDING,
+    ARRIVAL,
     LANDING_FIELDS,
-    OBJECT_CONTENT,
-    OBJECT_INDEX,
     REQUIRED_FIELDS,
     TRANSFORMED,
     TRANSFORMED_FIELDS,
@@ -32,14 +30,14 @@ from docquay.plans.schemas import (
 from docquay.sources.staging import Staging
 from docquay.sources.tables import (
     BATCH,
+    RunLog,
     append_batch,
     current_rows,
-    next_batch,
     read_batches,
     with_markers,
 )
 
-METADATA, INDEX = "transformed_metadata", "transformed_objects"
+RUNS, METADATA, INDEX = "transformed_runs", "transformed_metadata", "transformed_objects"
 CONTENT, QUARANTINE = "transformed_content", "transformed_quarantine"
 NOT_FOUND = "content not found"
 
@@ -107,45 +105,50 @@ class Transformed:
 
 
 def read_landed(spark: SparkSession, root: str, start: str, end: str) -> DataFrame:
-    """Current landing records of the months; other months are not even listed."""
-    history = read_batches(spark, f"{root}/{landing.METADATA}", with_markers(LANDING))
-    return current_rows(month_range_scan(history, start, end), "identifier").select(
-        *LANDING_FIELDS
-    )
+    """Current landing records of the months; files of other months are not read."""
+    history = month_range_scan(landing.landed_history(spark, root), start, end)
+    return current_rows(history, "identifier", *ARRIVAL).select(*LANDING_FIELDS)
+
+
+def transformed_history(spark: SparkSession, root: str) -> DataFrame:
+    runs = RunLog(spark, f"{root}/{RUNS}").state()
+    return read_batches(spark, f"{root}/{METADATA}", with_markers(TRANSFORMED), runs)
+
 
+def transformed_rows(spark: SparkSession, root: str) -> DataFrame:
+    """Current records of the transformed zone."""
+    rows = current_rows(transformed_history(spark, root), "identifier")
+    return rows.select(*TRANSFORMED_FIELDS)
 
-def transform(
-    spark: SparkSession, root: str, start: str, end: str, batch: int | None = None
-) -> Transformed:
-    """Bring the transformed zone up to date for the months of ``start`` to ``end``.
 
-    Keys and hashes decide first; content is read only for pending records, and
-    cleaned once, on its way to the content table. Metadata is written last.
+def transform(spark: SparkSession, root: str, start: str, end: str) -> Transformed:
+    """Bring the transformed zone up to date for the months of ``start`` to ``end``, as one run.
+
+    Keys and hashes decide first. Stored state is reduced to the landed keys before it is
+    aggregated; content is read for pending records only, from the batches that hold it,
+    and cleaned once, on its way to the content table. The commit comes last.
     """
-    metadata_root, content_root = f"{root}/{METADATA}", f"{root}/{CONTENT}"
-    if batch is None:
-        batch = next_batch(spark, metadata_root, content_root)
+    content_root = f"{root}/{CONTENT}"
+    log = RunLog(spark, f"{root}/{RUNS}")
+    history = transformed_history(spark, root)
+    landed = read_landed(spark, root, start, end)
+    index = landing.landed_index(spark, root)
+    batch = log.claim()
     work = Staging(spark, root)
 
-    history = read_batches(spark, metadata_root, with_markers(TRANSFORMED), before=batch)
-    done = current_rows(history.select("identifier", "source_hash", BATCH, "deleted"), "identifier")
-    landed = read_landed(spark, root, start, end)
-    records = work.table(mark_skipped(landed, done), "records")
-    pending = records.where(~F.col("skipped"))
-
-    index = read_batches(spark, f"{root}/{landing.INDEX}", OBJECT_INDEX).select("file_name", BATCH)
-    places = landing.current_objects(index)
-    wanted = work.table(
-        pending.where(record_error().isNull())
-        .select(object_key(F.col("file_path")).alias("file_name"))
-        .join(places, "file_name"),
-        "wanted",
+    landed = work.table(landed, "landed")
+    stored = current_rows(stored_rows_of(history, landed, "identifier"), "identifier")
+    stored = work.table(stored, "stored")
+    records = work.table(
+        mark_skipped(landed, stored).withColumn("file_name", object_key(F.col("file_path"))), "records"
     )
-    unwanted = index.join(wanted, ["file_name", BATCH], "left_anti")
-    content = read_batches(spark, f"{root}/{landing.CONTENT}", OBJECT_CONTENT)
-    picked = pick_rows(content, wanted, unwanted, "file_name", BATCH)
+    pending = records.where(~F.col("skipped") & record_error().isNull())
+    entries = stored_rows_of(index, pending, "file_name")
+    wanted = landing.current_objects(entries).select("file_name", "content_batch")
+    wanted = work.table(wanted, "wanted")
     cleaned = transform_content(
-        picked.withColumn("file_type", F.substring_index("file_name", ".", -1))
+        landing.content_of(spark, root, wanted)
+        .withColumn("file_type", F.substring_index("file_name", ".", -1))
     )
     append_batch(
         cleaned.select("file_name", "content", content_hash(F.col("content")).alias("new_hash")),
@@ -155,8 +158,7 @@ def transform(
 
     written = spark.read.parquet(f"{content_root}/{BATCH}={batch}").select("file_name", "new_hash")
     outcomes = work.table(
-        records.withColumn("file_name", object_key(F.col("file_path")))
-        .join(written, "file_name", "left")
+        records.join(written, "file_name", "left")
         .withColumn("error", F.when(~F.col("skipped"), F.coalesce(
             record_error(), F.when(F.col("new_hash").isNull(), F.lit(NOT_FOUND))
         )))
@@ -169,6 +171,7 @@ def transform(
         "outcomes",
     )
     fresh = outcomes.where(F.col("outcome") == "transformed")
+    require_unique(fresh, "identifier")
     objects = fresh.select(
         transformed_name().alias("file_name"),
         mime_type(F.coalesce("file_type", F.lit("html"))).alias("content_type"),
@@ -177,7 +180,6 @@ def transform(
     append_batch(objects, f"{root}/{INDEX}", batch)
     failed = outcomes.where(F.col("outcome") == "error").select("identifier", "error")
     append_batch(failed, f"{root}/{QUARANTINE}", batch)
-    stored = current_rows(history, "identifier")
     merged = work.table(
         upsert(
             stored, transformed_records(fresh), "identifier", TRANSFORMED_FIELDS,
@@ -186,8 +188,9 @@ def transform(
         "merged",
     )
     append_batch(
-        landing.metadata_changes(merged, stored), metadata_root, batch, "partition_date"
+        landing.metadata_changes(merged, stored), f"{root}/{METADATA}", batch, "partition_date"
     )
+    log.commit(batch)
     told = outcomes.select(
         "identifier", "outcome", "error", F.coalesce("file_type", F.lit("html")).alias("file_type"),
         transformed_name().alias("file_name"),

@@ -21,7 +21,7 @@ from docquay.queries.inputs import (
     pages,
     table,
 )
-from docquay.sources.event_log import event_line, log_path, read_events, write_events
+from docquay.sources.event_log import event_counts, event_line, log_path, read_events, write_events
 from docquay.sources.registry import parse_sources
 from docquay.sources.staging import staging_root
 
@@ -93,13 +93,14 @@ EVENT_LOG_WRITE = """SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S') ||
 
 
 def event_log_scan(spark, sf):
-    parsed = table(spark, sf, "events").select(
-        F.col("event_type").alias("event"), F.from_json("props", "k BIGINT").k.alias("k")
-    )
-    return parsed.groupBy("event").agg(
-        F.count(F.lit(1)).alias("n_events"), F.sum("k").alias("sum_k"),
-        F.count_if(F.col("k") >= 50).alias("n_high"),
+    """Events of a written log, by kind."""
+    path = log_path(staging_root(spark), "docs", datetime.now())
+    write_events(_event_lines(spark, sf), path)
+    events = read_events(spark, path, EVENTS)
+    sums = events.groupBy("event").agg(
+        F.sum("error_code").alias("sum_k"), F.count_if(F.col("error_code") >= 50).alias("n_high")
     )
+    return event_counts(events).join(sums, "event")
 
 
 EVENT_LOG_SCAN = """SELECT event_type AS event, count(*) AS n_events,

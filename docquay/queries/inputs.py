@@ -5,15 +5,23 @@ Expressions that both dialects share are written once and used on both sides.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquay.functions.markup import SPACE_CHARS
+from docquay.sources.staging import staging_root
 from docquay.sources.tables import load_table, spread
 
 SEARCH_BASE = "http://search.example.org/en/search/"
 
 
+def run_root(spark: SparkSession) -> str:
+    """A new folder for the tables of a job, in the session's shared folder."""
+    return f"{staging_root(spark)}/run-{uuid.uuid4().hex}"
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return load_table(spark, f"{sf}/{name}.parquet")
 

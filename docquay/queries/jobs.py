@@ -6,8 +6,6 @@ other text, all had other comments, French ones stood in another month.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from docquay.functions import naming
@@ -15,7 +13,7 @@ from docquay.functions.dates import MONTH
 from docquay.operators import state
 from docquay.operators.extraction import CardLayout, Field
 from docquay.plans import landing, reporting, transforming
-from docquay.plans.schemas import EVENTS, LANDING, LANDING_FIELDS, TRANSFORMED, TRANSFORMED_FIELDS
+from docquay.plans.schemas import EVENTS
 from docquay.queries.inputs import (
     CLEAN_SQL,
     PAGE_BODY,
@@ -24,13 +22,14 @@ from docquay.queries.inputs import (
     STABLE_SQL,
     page_fetches,
     pages,
+    run_root,
     table,
 )
 from docquay.sources.event_log import read_events, write_events
-from docquay.sources.staging import staging_root
 from docquay.sources.tables import (
     BATCH,
     DELETED,
+    RunLog,
     append_batch,
     current_rows,
     read_batches,
@@ -41,10 +40,6 @@ from docquay.streaming.landing import arriving_fetches, land_stream as run_strea
 OLD_MONTH = "2023-12"
 
 
-def _root(spark) -> str:
-    return f"{staging_root(spark)}/run-{uuid.uuid4().hex}"
-
-
 def _earlier(fetches):
     url = F.col("doc_url")
     old = F.when(F.contains(url, F.lit("?")), F.encode(F.lit("<p>old</p>"), "utf-8")).otherwise(
@@ -59,14 +54,12 @@ def _earlier(fetches):
     })
 
 
-def _metadata(spark, root):
-    history = read_batches(spark, f"{root}/{landing.METADATA}", with_markers(LANDING))
-    return current_rows(history, "identifier").select(*LANDING_FIELDS)
+_metadata = landing.landed_records
 
 
 def land(spark, sf):
     """Two runs; the stored records with what the second one did to them."""
-    root, fetches = _root(spark), page_fetches(spark, sf)
+    root, fetches = run_root(spark), page_fetches(spark, sf)
     landing.land(spark, _earlier(fetches), root)
     second = landing.land(spark, fetches, root)
     return _metadata(spark, root).join(second.outcomes, "identifier")
@@ -87,11 +80,11 @@ LAND = f"WITH {_LANDED_SQL} SELECT {_LANDING_COLUMNS}, outcome FROM outcomes"
 
 def landing_object_write(spark, sf):
     """Objects written by the two runs: the second writes new and changed ones only."""
-    root, fetches = _root(spark), page_fetches(spark, sf)
+    root, fetches = run_root(spark), page_fetches(spark, sf)
     landing.land(spark, _earlier(fetches), root)
     landing.land(spark, fetches, root)
     written = spark.read.parquet(f"{root}/{landing.CONTENT}")
-    index = spark.read.parquet(f"{root}/{landing.INDEX}")
+    index = landing.landed_index(spark, root).where(F.col(BATCH) == F.col("content_batch"))
     return written.join(index, ["file_name", BATCH]).select(
         "file_name", F.col(BATCH).cast("bigint").alias("run"), "content_type", "file_hash",
         F.length("content").cast("bigint").alias("n_bytes"),
@@ -117,17 +110,17 @@ def landing_upsert(spark, sf):
         F.date_format("o_orderdate", MONTH).alias("partition_date"),
         "o_orderstatus", "o_orderdate", "o_orderkey",
     )
-    root, fields = f"{_root(spark)}/{landing.METADATA}", ("title", "partition_date")
+    root, fields = f"{run_root(spark)}/{landing.METADATA}", ("title", "partition_date")
     schema = with_markers(orders.select("identifier", *fields).schema)
     for batch, status in enumerate(("F", "O")):
         incoming = state.last_arrival(
             orders.where(F.col("o_orderstatus") == status), "identifier", "o_orderdate", "o_orderkey"
         )
-        stored = current_rows(read_batches(spark, root, schema, before=batch), "identifier")
+        stored = current_rows(read_batches(spark, root, schema, range(batch)), "identifier")
         merged = state.upsert(stored, incoming, "identifier", fields, keep_untouched=False)
         changes = landing.metadata_changes(merged, stored)
         append_batch(changes, root, batch, "partition_date")
-    rows = read_batches(spark, root, schema)
+    rows = read_batches(spark, root, schema, range(2))
     moved = rows.where(DELETED).groupBy("identifier").agg(F.count(F.lit(1)).alias("n_moves"))
     return current_rows(rows, "identifier").join(moved, "identifier", "left")
 
@@ -145,7 +138,7 @@ LANDING_UPSERT = """WITH ranked AS (SELECT concat('C-', o_custkey) AS identifier
 
 
 def _two_transforms(spark, sf):
-    root, fetches = _root(spark), page_fetches(spark, sf)
+    root, fetches = run_root(spark), page_fetches(spark, sf)
     landing.land(spark, _earlier(fetches), root)
     transforming.transform(spark, root, "2024-01-01", "2024-06-15")
     landing.land(spark, fetches, root)
@@ -155,8 +148,7 @@ def _two_transforms(spark, sf):
 def transform(spark, sf):
     """Second transform run after a second landing: outcome and stored record of each."""
     root, run = _two_transforms(spark, sf)
-    history = read_batches(spark, f"{root}/{transforming.METADATA}", with_markers(TRANSFORMED))
-    stored = current_rows(history, "identifier").select(*TRANSFORMED_FIELDS)
+    stored = transforming.transformed_rows(spark, root)
     return stored.join(run.outcomes.select("identifier", "outcome"), "identifier")
 
 
@@ -189,7 +181,7 @@ TRANSFORMED_OBJECT_WRITE = f"""WITH {_TRANSFORMED_SQL} SELECT file_name,
 
 def transformed_upsert(spark, sf):
     """Totals of the first and second transform run over the same months."""
-    root, fetches = _root(spark), page_fetches(spark, sf)
+    root, fetches = run_root(spark), page_fetches(spark, sf)
     landing.land(spark, fetches, root)
     runs = [transforming.transform(spark, root, "2024-02-01", "2024-11-30") for _ in range(2)]
     first, second = (
@@ -224,7 +216,7 @@ def report(spark, sf):
     lines = reporting.report_events(
         counts, reporting.failures_of(items), "docs", F.lit("2024-07-01").cast("timestamp_ntz")
     )
-    path = f"{_root(spark)}/events"
+    path = f"{run_root(spark)}/events"
     write_events(lines, path)
     events = read_events(spark, path, EVENTS)
     return events.where("event <> 'partition_failures'").select(*REPORT_COLUMNS)
@@ -259,7 +251,7 @@ REPORT = f"""WITH {PAGE_FETCHES_SQL}, cards AS (SELECT {PAGE_MONTH} AS "partitio
 
 def land_stream(spark, sf):
     """The fetches arriving as files, landed in several micro-batches."""
-    root = _root(spark)
+    root = run_root(spark)
     page_fetches(spark, sf).drop("fetch_id").repartition(8).write.parquet(f"{root}/arriving")
     stream = run_stream(
         arriving_fetches(spark, f"{root}/arriving", files_per_batch=4), root, f"{root}/checkpoint"
@@ -270,7 +262,96 @@ def land_stream(spark, sf):
 
 LAND_STREAM = f"WITH {_LANDED_SQL} SELECT {_LANDING_COLUMNS} FROM landed"
 
+def transform_after_lost_run(spark, sf):
+    """A landing run with other content that was lost before its commit, then a whole one."""
+    root, fetches = run_root(spark), page_fetches(spark, sf)
+    landing.land(spark, _earlier(fetches), root)
+    lost = RunLog(spark, f"{root}/{landing.RUNS}").claim()
+    other = fetches.withColumn("content", F.concat("content", F.encode(F.lit("<p>lost</p>"), "utf-8")))
+    items = landing.landing_items(other)
+    entries = landing.storable(items).select(
+        "file_name", "file_hash", F.lit(lost).alias("content_batch"), *landing.ARRIVAL
+    )
+    append_batch(landing.object_content(other), f"{root}/{landing.CONTENT}", lost)
+    append_batch(entries, f"{root}/{landing.INDEX}", lost)
+    landing.land(spark, fetches, root)
+    run = transforming.transform(spark, root, "2024-01-01", "2024-12-31")
+    stored = transforming.transformed_rows(spark, root)
+    return stored.join(run.outcomes.select("identifier", "outcome"), "identifier")
+
+
+TRANSFORM_AFTER_LOST_RUN = TRANSFORM.replace(
+    "CASE WHEN in_first_run AND NOT other_content THEN 'skipped' ELSE 'transformed' END", "'transformed'"
+)
+
+
+def _versions(spark, sf):
+    """Documents as fetches, later ones of a source and language as its newer versions."""
+    identifier = F.concat("source", F.lit("-"), "lang")
+    fixed = {c: F.lit("x") for c in ("description", "published_date", "ref_no", "doc_url", "body")}
+    return table(spark, sf, "documents").select(
+        "doc_id", identifier.alias("identifier"), F.col("doc_id").cast("string").alias("title"),
+        *[v.alias(c) for c, v in fixed.items()],
+        F.expr("concat('2024-', lpad(cast(1 + n_chars % 12 AS string), 2, '0'))").alias("partition_date"),
+        F.lit(1).cast("bigint").alias("page"), F.lit(0).alias("position"), F.lit(200).alias("status"),
+        F.lit(None).cast("string").alias("reason"), F.lit("application/pdf").alias("content_type"),
+        F.col("text").cast("binary").alias("content"),
+        F.expr("cast(timestamp_seconds(1704067200 + doc_id) AS timestamp_ntz)").alias("fetched_at"),
+        F.col("doc_id").cast("string").alias("fetch_id"),
+    )
+
+
+def land_late(spark, sf):
+    """Two runs, each with older and newer versions than the other."""
+    root, versions = run_root(spark), _versions(spark, sf)
+    landing.land(spark, versions.where("doc_id % 3 <> 0"), root)
+    landing.land(spark, versions.where("doc_id % 3 = 0"), root)
+    return landing.landed_records(spark, root).select("identifier", "title", "partition_date", "file_hash")
+
+
+_LAST_SQL = """last AS (SELECT *, concat(source, '-', lang) AS identifier FROM documents QUALIFY row_number()
+        OVER (PARTITION BY source, lang ORDER BY doc_id DESC) = 1)"""
+LAND_LATE = f"""WITH {_LAST_SQL} SELECT identifier, CAST(doc_id AS VARCHAR) AS title,
+        concat('2024-', lpad(CAST(1 + n_chars % 12 AS VARCHAR), 2, '0')) AS partition_date,
+        sha256(text) AS file_hash FROM last"""
+
+
+def land_stream_late(spark, sf):
+    """A batch run first, then a stream over shuffled files behind a new checkpoint."""
+    root, versions = run_root(spark), _versions(spark, sf)
+    landing.land(spark, versions.where("doc_id % 3 = 1"), root)
+    arriving = versions.where("doc_id % 3 <> 1").drop("fetch_id", "doc_id")
+    arriving.repartition(4, "title").write.parquet(f"{root}/arriving")
+    stream = run_stream(
+        arriving_fetches(spark, f"{root}/arriving", files_per_batch=2), root, f"{root}/checkpoint"
+    )
+    stream.awaitTermination()
+    return landing.landed_records(spark, root).select("identifier", "title", "partition_date", "file_hash")
+
+
+def landing_compact(spark, sf):
+    """Objects of two runs after compaction, when all that is superseded is gone."""
+    root, versions = run_root(spark), _versions(spark, sf)
+    landing.land(spark, versions.where("doc_id % 3 <> 0"), root)
+    landing.land(spark, versions.where("doc_id % 3 = 0"), root)
+    landing.compact(spark, root, move_content=True)
+    landing.remove_superseded(spark, root)
+    index = landing.current_objects(landing.landed_index(spark, root))
+    content = landing.content_of(spark, root, index)
+    return content.select(
+        "file_name", F.length("content").cast("bigint").alias("n_bytes"),
+        naming.content_hash(F.col("content")).alias("file_hash"),
+    )
+
+
+LANDING_COMPACT = f"""WITH {_LAST_SQL} SELECT concat(identifier, '.pdf') AS file_name,
+        octet_length(encode(text)) AS n_bytes, sha256(text) AS file_hash FROM last"""
+
 QUERIES = {
+    "transform_after_lost_run": (transform_after_lost_run, TRANSFORM_AFTER_LOST_RUN),
+    "land_late": (land_late, LAND_LATE),
+    "land_stream_late": (land_stream_late, LAND_LATE),
+    "landing_compact": (landing_compact, LANDING_COMPACT),
     "land": (land, LAND),
     "landing_object_write": (landing_object_write, LANDING_OBJECT_WRITE),
     "landing_upsert": (landing_upsert, LANDING_UPSERT),

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from docquay.functions import naming
 from docquay.operators import accounting, failures, state
+from docquay.plans import landing
 from docquay.plans.schemas import LANDING_FIELDS, TRANSFORMED_FIELDS
-from docquay.plans.transforming import mark_skipped, record_error, transformed_records
-from docquay.queries.inputs import pages, table
+from docquay.plans.transforming import NOT_FOUND, mark_skipped, record_error, transformed_records
+from docquay.queries.inputs import PAGE_BODY, page_fetches, pages, run_root, table, with_container
 
 FIELDS = ("title", "file_hash")
 OLD_TEXT = "CASE WHEN lang = 'fr' THEN concat(text, '!') ELSE text END"
@@ -183,51 +184,60 @@ RECORD_ISOLATION = """SELECT concat('PG-', page_id) AS identifier,
     FROM pages WHERE url LIKE '%/es/%' OR url LIKE '%#top'"""
 
 
-def _objects(spark, sf):
-    return pages(spark, sf).where("url NOT LIKE '%/de/%'").select(
-        naming.object_name(F.col("page_id").cast("string"), F.lit("html")).alias("file_name"),
-        F.col("html").cast("binary").alias("content"),
-    )
+def _landed_root(spark, sf):
+    """Pages landed as objects, but German ones; a second run brings the French ones again."""
+    root, fetches = run_root(spark), page_fetches(spark, sf).where("doc_url NOT LIKE '%/de/%'")
+    answered = fetches.withColumns({"status": F.lit(200), "content_type": F.lit("text/html")})
+    landing.land(spark, answered, root)
+    later = F.lit("2024-07-01 00:00:00").cast("timestamp_ntz")
+    landing.land(spark, answered.where("doc_url LIKE '%/fr/%'").withColumn("fetched_at", later), root)
+    return root
 
 
-def _with_content(spark, sf):
-    records = pages(spark, sf).select(
-        "page_id",
-        naming.object_key(F.concat(F.lit("landing-zone/"), F.col("page_id").cast("string"), F.lit(".html")))
-        .alias("file_name"),
-    )
-    return state.with_content(records, _objects(spark, sf), "file_name")
+def _records(spark, sf):
+    name = F.concat(F.lit("landing-zone/PG-"), F.col("page_id").cast("string"), F.lit(".html"))
+    return pages(spark, sf).select("page_id", naming.object_key(name).alias("file_name"))
+
+
+def _content(spark, sf):
+    """Content of all records, read by name and batch as the jobs do."""
+    root, records = _landed_root(spark, sf), _records(spark, sf)
+    index = landing.current_objects(state.stored_rows_of(landing.landed_index(spark, root), records, "file_name"))
+    return landing.content_of(spark, root, index)
 
 
 def object_scan(spark, sf):
-    return _with_content(spark, sf).select(
-        "page_id", "file_name", naming.content_hash(F.col("content")).alias("sha")
-    )
+    return _content(spark, sf).select("file_name", naming.content_hash(F.col("content")).alias("sha"))
 
 
-OBJECT_SCAN = """SELECT page_id, concat(page_id, '.html') AS file_name,
-        CASE WHEN url NOT LIKE '%/de/%' THEN sha256(html) END AS sha FROM pages"""
+_PAGE_HTML = "CASE WHEN url LIKE '%/en/%' THEN " + with_container("html") + " ELSE html END"
+OBJECT_SCAN = f"""SELECT concat('PG-', page_id, '.html') AS file_name, sha256({_PAGE_HTML}) AS sha
+    FROM pages WHERE url NOT LIKE '%/de/%'"""
 
 
 def content_join(spark, sf):
-    found = F.col("content").isNotNull()
-    return _with_content(spark, sf).groupBy(found.alias("found")).agg(
-        F.count(F.lit(1)).alias("n_records"),
-        F.sum(F.length("content")).cast("bigint").alias("n_bytes"),
+    """Objects of each language by the records that name them, and their bytes."""
+    records = pages(spark, sf).select(
+        F.expr("concat('PG-', page_id, '.html')").alias("file_name"), F.expr(PAGE_BODY).alias("body")
+    )
+    sizes = _content(spark, sf).select("file_name", F.length("content").alias("n"))
+    return records.join(sizes, "file_name", "left").groupBy("body", F.col("n").isNotNull().alias("found")).agg(
+        F.count(F.lit(1)).alias("n_records"), F.sum("n").cast("bigint").alias("n_bytes")
     )
 
 
-CONTENT_JOIN = """SELECT url NOT LIKE '%/de/%' AS found, count(*) AS n_records,
-        CAST(sum(CASE WHEN url NOT LIKE '%/de/%' THEN octet_length(encode(html)) END) AS BIGINT) AS n_bytes
+CONTENT_JOIN = f"""SELECT {PAGE_BODY} AS body, url NOT LIKE '%/de/%' AS found, count(*) AS n_records,
+        CAST(sum(CASE WHEN url NOT LIKE '%/de/%' THEN octet_length(encode({_PAGE_HTML})) END) AS BIGINT) AS n_bytes
     FROM pages GROUP BY ALL"""
 
 
 def missing_object(spark, sf):
-    missing = _with_content(spark, sf).where(F.col("content").isNull())
-    return missing.select("page_id", "file_name", F.lit("content not found").alias("error"))
+    index = landing.landed_index(spark, _landed_root(spark, sf))
+    missing = state.missing_objects(_records(spark, sf), index, "file_name")
+    return missing.select("page_id", "file_name", F.lit(NOT_FOUND).alias("error"))
 
 
-MISSING_OBJECT = """SELECT page_id, concat(page_id, '.html') AS file_name,
+MISSING_OBJECT = """SELECT page_id, concat('PG-', page_id, '.html') AS file_name,
         'content not found' AS error FROM pages WHERE url LIKE '%/de/%'"""
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,14 +38,14 @@ def event_line(
     return F.to_json(row, {"ignoreNullFields": "false"})
 
 
-def log_path(root: str, name: str, started: datetime) -> str:
-    """One folder of lines per run."""
-    return f"{root}/{name}_{started:%Y%m%d_%H%M%S}.json"
+def log_path(root: str, name: str, started: datetime, run: str | None = None) -> str:
+    """One folder of lines per run; ``run`` tells runs of the same second apart."""
+    return f"{root}/{name}_{started:%Y%m%d_%H%M%S}_{run or uuid.uuid4().hex}.json"
 
 
 def write_events(lines: DataFrame, path: str) -> None:
-    """``lines`` has the one column ``value``; the driver sees none of them."""
-    lines.select("value").write.mode("overwrite").text(path)
+    """``lines`` has the one column ``value``; the driver sees none of them. Nothing is replaced."""
+    lines.select("value").write.mode("error").text(path)
 
 
 def read_events(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:

@@ -1,13 +1,16 @@
 """Tables in parquet: plain inputs, and append-only tables of numbered batches.
 
-A batch is one directory, complete once its ``_SUCCESS`` file is there. Writing a
-batch again replaces it, so a job or a micro-batch can be repeated; nothing ever
-rewrites the files another plan is reading. The current row of a key is the one
-of its latest batch.
+All tables of a zone are written by *runs*. A run claims a number that no other run can
+get, writes one batch of that number into each of its tables, and is committed last, by
+one file for all of them. Readers only see batches of committed runs, so a run that is
+lost half-way leaves nothing behind that anyone reads, and nothing is ever overwritten.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
@@ -23,53 +26,93 @@ def load_table(spark: SparkSession, path: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """A scan for CPU-heavy work: enough tasks for all cores.
 
-    Large inputs have many splits and stay as they are; only an input with fewer
-    splits than cores is redistributed.
+    A single file of one row group is one task however it is split, so an input with fewer
+    splits than cores is redistributed; large inputs have many splits and stay as they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def committed_batches(spark: SparkSession, root: str, before: int | None = None) -> list[int]:
-    """Numbers of the complete batches, oldest first."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{BATCH}=*/_SUCCESS")
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
-    numbers = sorted(
-        int(f.getPath().getParent().getName().split("=", 1)[1]) for f in files
-    )
-    return [n for n in numbers if before is None or n < before]
+class RunLog:
+    """Claims and commits of the runs of a zone, as empty files below ``folder``.
 
+    A file is created exclusively, which file systems do atomically: two writers never
+    hold the same number. A commit may name a ``tag`` (what it has processed) and may be a
+    ``base``: from there on the state tables hold all current rows.
+    """
 
-def next_batch(spark: SparkSession, *roots: str) -> int:
-    numbers = [n for root in roots for n in committed_batches(spark, root)]
-    return max(numbers, default=-1) + 1
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.folder = folder
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._files = self._path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _names(self, kind: str) -> list[str]:
+        found = self._files.globStatus(self._path(f"{self.folder}/{kind}/*")) or []
+        return sorted(f.getPath().getName() for f in found)
+
+    def _create(self, kind: str, name: str) -> bool:
+        self._files.mkdirs(self._path(f"{self.folder}/{kind}"))
+        try:
+            return self._files.createNewFile(self._path(f"{self.folder}/{kind}/{name}"))
+        except Py4JJavaError as error:
+            if "FileAlreadyExistsException" in str(error.java_exception):
+                return False
+            raise
+
+    def claim(self) -> int:
+        """A number above all others, for this run alone."""
+        number = max((int(n) for n in self._names("claimed")), default=-1) + 1
+        while not self._create("claimed", f"{number:010d}"):
+            number += 1
+        return number
+
+    def commit(self, number: int, tag: str = "", base: bool = False) -> None:
+        """Make the batches of the run visible, all at once; a tag is taken only once."""
+        kind = "base" if base else "run"
+        if not self._create("committed", f"{number:010d}.{kind}.{tag}"):
+            raise ValueError(f"run {number} is committed already")
+
+    def _commits(self) -> list[tuple[int, str, str]]:
+        parts = (n.split(".", 2) for n in self._names("committed"))
+        return [(int(number), kind, tag) for number, kind, tag in parts]
+
+    def has(self, tag: str) -> bool:
+        return any(found == tag for _, _, found in self._commits())
+
+    def committed(self) -> list[int]:
+        return [number for number, _, _ in self._commits()]
+
+    def state(self) -> list[int]:
+        """Committed runs from the last base on: what the current rows are made of."""
+        commits = self._commits()
+        base = max((number for number, kind, _ in commits if kind == "base"), default=0)
+        return [number for number, _, _ in commits if number >= base]
 
 
 def append_batch(
     df: DataFrame, root: str, batch: int, partition_by: str | None = None
 ) -> None:
-    """Write one batch; even file sizes, also when one partition holds most rows."""
+    """Write one batch; even file sizes, also when one partition holds most rows.
+
+    It becomes visible when its run is committed. Writing to a batch that exists fails.
+    """
     if partition_by is not None:
         df = df.hint("rebalance", partition_by)
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = df.write.mode("error")
     if partition_by is not None:
         writer = writer.partitionBy(partition_by)
     writer.parquet(f"{root}/{BATCH}={batch}")
 
 
 def read_batches(
-    spark: SparkSession, root: str, schema: StructType, before: int | None = None
+    spark: SparkSession, root: str, schema: StructType, batches: Iterable[int]
 ) -> DataFrame:
-    """All complete batches, with their number in ``batch``."""
+    """The rows of some batches, with their number in ``batch``; other folders are not listed."""
     schema = StructType([f for f in schema if f.name != BATCH] + [StructField(BATCH, IntegerType())])
-    numbers = committed_batches(spark, root, before)
-    if not numbers:
+    paths = [f"{root}/{BATCH}={n}" for n in batches]
+    if not paths:
         return spark.createDataFrame([], schema)
-    return (
-        spark.read.schema(schema)
-        .option("basePath", root)
-        .parquet(*[f"{root}/{BATCH}={n}" for n in numbers])
-    )
+    return spark.read.schema(schema).option("basePath", root).parquet(*paths)
 
 
 def latest_rows(df: DataFrame, key: str, *order: Column) -> DataFrame:
@@ -83,9 +126,13 @@ def latest_rows(df: DataFrame, key: str, *order: Column) -> DataFrame:
     return df.groupBy(key).agg(newest.alias("__row")).select(key, "__row.*")
 
 
-def current_rows(df: DataFrame, key: str) -> DataFrame:
-    """Current row per key of a batch table, without keys that were moved away."""
-    live = latest_rows(df, key, F.col(BATCH), ~F.col(DELETED))
+def current_rows(df: DataFrame, key: str, *order: str) -> DataFrame:
+    """Current row per key of a batch table, without keys that were moved away.
+
+    The last one by ``order``, then by batch. A mark that says a row has moved to another
+    place loses against that row, and wins against what it marks.
+    """
+    live = latest_rows(df, key, *[F.col(c) for c in order], F.col(BATCH), ~F.col(DELETED))
     return live.where(~F.col(DELETED)).drop(BATCH, DELETED)
 
 
@@ -93,14 +140,6 @@ def with_markers(schema: StructType) -> StructType:
     return StructType(list(schema) + [StructField(DELETED, BooleanType())])
 
 
-def compact(
-    df: DataFrame, key: str, root: str, partition_by: str | None = None
-) -> None:
-    """Write the current rows of a batch table as batch 0 of a new table."""
-    rows = current_rows(df, key).withColumn(DELETED, F.lit(False))
-    append_batch(rows, root, 0, partition_by)
-
-
 def read_objects(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """Files as objects: name, bytes and time, from any Hadoop file system."""
     files = (

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from docquay.plans.landing import land
+from docquay.plans.landing import RUNS, compact, land
 from docquay.plans.schemas import FETCHES
+from docquay.sources.tables import RunLog
 
 
 def with_fetch_id(files: DataFrame) -> DataFrame:
@@ -30,15 +33,26 @@ def arriving_fetches(
     return with_fetch_id(files)
 
 
-def land_stream(fetches: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
-    """Land everything that has arrived, one batch of the tables per micro-batch.
+def land_stream(
+    fetches: DataFrame, root: str, checkpoint: str, compact_every: int = 50
+) -> StreamingQuery:
+    """Land everything that has arrived below ``root``, which may hold landed records.
 
-    The micro-batch number is the batch number, so a repeated micro-batch replaces
-    its own output and state is read from earlier batches only.
+    Every micro-batch is a run of its own with a number of its own. Its tag names the stream
+    (a file in the checkpoint folder) and the micro-batch: one that is committed already, and
+    is repeated after a failure, is not landed again. Every so many micro-batches the state
+    is compacted, so that a run does not read all earlier ones.
     """
+    spark = fetches.sparkSession
+    stream = _stream_id(spark, checkpoint)
 
     def land_batch(df: DataFrame, batch: int) -> None:
-        land(df.sparkSession, df, root, batch).staging.discard()
+        tag = f"{stream}-{batch}"
+        if RunLog(df.sparkSession, f"{root}/{RUNS}").has(tag):
+            return
+        land(df.sparkSession, df, root, tag).staging.discard()
+        if (batch + 1) % compact_every == 0:
+            compact(df.sparkSession, root)
 
     return (
         fetches.writeStream.foreachBatch(land_batch)
@@ -46,3 +60,16 @@ def land_stream(fetches: DataFrame, root: str, checkpoint: str) -> StreamingQuer
         .trigger(availableNow=True)
         .start()
     )
+
+
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """Name of the stream that the checkpoint belongs to; a lost checkpoint is a new stream."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(checkpoint).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = files.globStatus(path(f"{checkpoint}/stream-*")) or []
+    if found:
+        return found[0].getPath().getName()
+    name = f"stream-{uuid.uuid4().hex}"
+    files.mkdirs(path(checkpoint))
+    files.createNewFile(path(f"{checkpoint}/{name}"))
+    return name

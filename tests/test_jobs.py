@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from docquay.operators import accounting
 from docquay.plans import landing, reporting, transforming
-from docquay.plans.schemas import EVENTS, FETCHES, LANDING
+from docquay.plans.schemas import EVENTS, FETCHES
 from docquay.sources.event_log import event_counts, log_path, read_events, write_events
-from docquay.sources.tables import compact, current_rows, read_batches, with_markers
+from docquay.sources.tables import DELETED, RunLog, append_batch
 from docquay.streaming.landing import arriving_fetches, land_stream
 
 PAGE = '<html><body><nav>n</nav><div class="content"><p>{}</p></div></body></html>'
@@ -34,10 +34,15 @@ def frame(spark, rows):
 
 
 def metadata(spark, root):
-    rows = current_rows(
-        read_batches(spark, f"{root}/{landing.METADATA}", with_markers(LANDING)), "identifier"
-    ).collect()
-    return {r.identifier: r for r in rows}
+    return {r.identifier: r for r in landing.landed_records(spark, root).collect()}
+
+
+def objects(spark, root):
+    """Current bytes of every object."""
+    index = landing.current_objects(landing.landed_index(spark, root))
+    rows = landing.content_of(spark, root, index).collect()
+    assert len({r.file_name for r in rows}) == len(rows)
+    return {r.file_name: bytes(r.content) for r in rows}
 
 
 def outcomes(landed):
@@ -91,24 +96,91 @@ def test_land_then_rerun_then_change(spark, tmp_path, first):
     assert [r.identifier for r in january] == ["A-1"]
     assert metadata(spark, root)["A-2"].partition_date == "2024-03"
 
-    compact(
-        read_batches(spark, f"{root}/{landing.METADATA}", with_markers(LANDING)),
-        "identifier", f"{root}/compacted", "partition_date",
-    )
-    small = read_batches(spark, f"{root}/compacted", with_markers(LANDING))
-    assert small.count() == 3
-    assert {r.identifier for r in current_rows(small, "identifier").collect()} == set(
-        metadata(spark, root)
-    )
+
+@pytest.mark.parametrize("move_content", [False, True])
+def test_compaction_keeps_everything(spark, tmp_path, first, move_content):
+    root = str(tmp_path)
+    landing.land(spark, first, root)
+    transforming.transform(spark, root, "2024-01-01", "2024-01-31")
+    landing.land(spark, frame(spark, [
+        fetch("A-1", PAGE.format("new"), at=9), fetch("A-2", PAGE.format("two, later"), month="2024-03", at=9),
+    ]), root)
+    before = metadata(spark, root), objects(spark, root)
+    base = landing.compact(spark, root, move_content)
+    assert RunLog(spark, f"{root}/{landing.RUNS}").state() == [base]
+    assert (metadata(spark, root), objects(spark, root)) == before
+    gone = landing.remove_superseded(spark, root)
+    assert gone == ([0, 1] if move_content else [base])
+    assert (metadata(spark, root), objects(spark, root)) == before
+    late = landing.land(spark, frame(spark, [fetch("A-1", PAGE.format("old"), at=2)]), root)
+    assert outcomes(late) == {"A-1": "kept"}
+    run = transforming.transform(spark, root, "2024-01-01", "2024-03-31")
+    assert run.summary.first().asDict() == dict(total_records=3, transformed=2, skipped=1, errors=0)
 
 
-def test_repeated_batch_replaces_itself(spark, tmp_path, first):
+def test_late_arrivals_lose(spark, tmp_path):
     root = str(tmp_path)
-    landing.land(spark, first, root, batch=4)
-    repeated = landing.land(spark, first, root, batch=4)
-    assert set(outcomes(repeated).values()) == {"inserted"}
-    assert spark.read.parquet(f"{root}/{landing.CONTENT}").count() == 3
-    assert len(metadata(spark, root)) == 3
+    landing.land(spark, frame(spark, [fetch("A-1", PAGE.format("last"), at=9, month="2024-02")]), root)
+    late = landing.land(spark, frame(spark, [
+        fetch("A-1", PAGE.format("first"), at=1), fetch("A-2", PAGE.format("x"), at=1)]), root)
+    assert outcomes(late) == {"A-1": "kept", "A-2": "inserted"}
+    assert metadata(spark, root)["A-1"].partition_date == "2024-02"
+    assert b"last" in objects(spark, root)["A-1.html"]
+    # The same content again, later: what comes between the two must still lose.
+    landing.land(spark, frame(spark, [fetch("A-1", PAGE.format("last"), at=30, month="2024-02")]), root)
+    between = landing.land(spark, frame(spark, [fetch("A-1", PAGE.format("between"), at=20)]), root)
+    assert outcomes(between) == {"A-1": "kept"}
+    assert b"last" in objects(spark, root)["A-1.html"]
+    assert transforming.read_landed(spark, root, "2024-01-01", "2024-01-31").count() == 1
+
+
+@pytest.mark.parametrize("written", [1, 2, 3])
+def test_lost_run_leaves_nothing(spark, tmp_path, first, written):
+    """A run that is lost after so many of its tables is as if it had never been."""
+    root = str(tmp_path)
+    lost = RunLog(spark, f"{root}/{landing.RUNS}").claim()
+    other = frame(spark, [fetch("A-1", PAGE.format("lost"), at=50), fetch("Z-1", PAGE.format("z"), at=50)])
+    items = landing.landing_items(other)
+    tables = [
+        (landing.object_content(other), landing.CONTENT, None),
+        (items.select("file_name", "file_hash", F.lit(lost).alias("content_batch"), *landing.ARRIVAL), landing.INDEX, None),
+        (landing.records_to_merge(items).withColumn(DELETED, F.lit(False)), landing.METADATA, "partition_date"),
+    ]
+    for rows, name, part in tables[:written]:
+        append_batch(rows, f"{root}/{name}", lost, part)
+    landing.land(spark, first, root)
+    run = transforming.transform(spark, root, "2024-01-01", "2024-02-01")
+    assert run.summary.first().asDict() == dict(total_records=3, transformed=3, skipped=0, errors=0)
+    assert set(metadata(spark, root)) == {"A-1", "A-2", "A-3"}
+    assert b"one" in objects(spark, root)["A-1.html"]
+    assert spark.read.parquet(f"{root}/{transforming.CONTENT}").count() == 3
+
+
+def test_two_writers_never_share_a_number(spark, tmp_path):
+    log, other = (RunLog(spark, str(tmp_path / "runs")) for _ in range(2))
+    assert [log.claim(), other.claim(), log.claim()] == [0, 1, 2]
+    other.commit(1, "x")
+    assert log.has("x") and log.committed() == [1]
+    with pytest.raises(ValueError):
+        log.commit(1, "x")
+
+
+def test_fetch_id_must_be_unique(spark, tmp_path):
+    twice = frame(spark, [fetch("A-1", "a", fetch_id="1"), fetch("A-2", "b", fetch_id="1")])
+    with pytest.raises(ValueError):
+        landing.land(spark, twice, str(tmp_path))
+
+
+def test_transform_reads_only_the_content_it_wants(spark, tmp_path, first):
+    root = str(tmp_path)
+    for k in range(3):
+        landing.land(spark, frame(spark, [fetch(f"A-{k}", PAGE.format(k))]), root)
+    index = landing.current_objects(landing.landed_index(spark, root)).where("file_name = 'A-1.html'")
+    content = landing.content_of(spark, root, index)
+    files = [f for f in content.inputFiles() if landing.CONTENT in f]
+    assert files and all("batch=1/" in f for f in files)
+    plan = content._jdf.queryExecution().executedPlan().toString()
+    assert all("content#" not in line for line in plan.split("\n") if "Exchange hashpartitioning" in line)
 
 
 def test_transform_is_incremental(spark, tmp_path, first):
@@ -143,11 +215,13 @@ def test_transform_errors_are_counted(spark, tmp_path, first):
     landing.land(spark, first, root)
     broken = frame(spark, [fetch("B-1", PAGE.format("b"), description=None, at=7)])
     landing.land(spark, broken, root)
-    orphan = spark.createDataFrame(
-        [tuple({"identifier": "B-2", "file_path": "landing-zone/B-2.html", "file_type": "html"}
-               .get(n, "x") for n in LANDING.names)], LANDING,
-    ).withColumn("partition_date", F.lit("2024-01")).withColumn("deleted", F.lit(False))
-    orphan.write.partitionBy("partition_date").parquet(f"{root}/{landing.METADATA}/batch=2")
+    orphan = landing.landed_records(spark, root).limit(1).withColumns({
+        "identifier": F.lit("B-2"), "file_path": F.lit("landing-zone/B-2.html"), DELETED: F.lit(False)})
+    log = RunLog(spark, f"{root}/{landing.RUNS}")
+    number = log.claim()
+    append_batch(orphan, f"{root}/{landing.METADATA}", number, "partition_date")
+    append_batch(landing.landed_index(spark, root).limit(0).drop("batch"), f"{root}/{landing.INDEX}", number)
+    log.commit(number)
     run = transforming.transform(spark, root, "2024-01-01", "2024-02-01")
     errors = {r.identifier: r.error for r in run.outcomes.where("outcome = 'error'").collect()}
     assert errors == {"B-1": "missing: description", "B-2": "content not found"}
@@ -187,8 +261,8 @@ def test_report(spark, tmp_path, first):
     lines = reporting.report_events(
         counts, reporting.failures_of(items), "docs", F.lit("2024-05-01 10:00:00").cast("timestamp_ntz")
     )
-    path = log_path(str(tmp_path), "docs", datetime(2024, 5, 1, 10))
-    assert path.endswith("/docs_20240501_100000.json")
+    path = log_path(str(tmp_path), "docs", datetime(2024, 5, 1, 10), "r1")
+    assert path.endswith("/docs_20240501_100000_r1.json")
     write_events(lines, path)
     events = read_events(spark, path, EVENTS)
     assert {r.event: r.n_events for r in event_counts(events).collect()} == {
@@ -217,3 +291,25 @@ def test_stream_equals_batch(spark, tmp_path, first):
     landing.land(spark, whole, batch_root)
     assert len(list((tmp_path / "stream" / landing.METADATA).glob("batch=*"))) == 3
     assert metadata(spark, root) == metadata(spark, batch_root)
+
+
+def test_stream_adds_to_what_is_there(spark, tmp_path, first):
+    """A new checkpoint, and a lost one, never replace landed records; late files lose."""
+    root, source = str(tmp_path / "root"), tmp_path / "in"
+    landing.land(spark, first, root)
+    arriving = frame(spark, [fetch("S-1", PAGE.format("s")), fetch("A-1", PAGE.format("older"), at=0),
+                             fetch("A-3", PAGE.format("newer"), at=40)])
+    arriving.drop("fetch_id").coalesce(1).write.parquet(str(source))
+    for checkpoint in ("c1", "c2"):
+        query = land_stream(arriving_fetches(spark, str(source)), root, str(tmp_path / checkpoint), compact_every=1)
+        query.awaitTermination()
+        assert query.exception() is None
+        assert set(metadata(spark, root)) == {"A-1", "A-2", "A-3", "S-1"}
+        assert b"one" in objects(spark, root)["A-1.html"] and b"newer" in objects(spark, root)["A-3.html"]
+
+
+def test_micro_batch_is_landed_once(spark, tmp_path, first):
+    root = str(tmp_path)
+    landing.land(spark, first, root, "stream-0")
+    log = RunLog(spark, f"{root}/{landing.RUNS}")
+    assert log.has("stream-0") and not log.has("stream-1")
