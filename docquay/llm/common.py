@@ -108,3 +108,21 @@ def keep_rows(
 def fold(id_col: str, folds: int) -> Column:
     """CRC-32 of the identifier as text, modulo ``folds``."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds
+
+
+#: Cells of the bit table that thins out rows before a join: 2^18 rows of 64.
+CELLS = 1 << 24
+
+
+def thinned(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """Rows whose ``key``, a hash, may be among those of ``wanted``: all that are, and few others.
+
+    The bit table has at most ``CELLS / 64`` rows whatever the input, so it may be broadcast.
+    """
+    cell = F.pmod(F.col(key), F.lit(CELLS))
+    table = wanted.select(cell.alias("cell")).groupBy(F.shiftright("cell", 6).alias("__word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(cell & 63 as int))")).alias("__mask")
+    )
+    found = rows.withColumn("__word", F.shiftright(cell, 6)).join(F.broadcast(table), "__word")
+    bit = F.expr(f"getbit(__mask, cast(pmod({key}, {CELLS}) & 63 as int))")
+    return found.where(bit == 1).drop("__word", "__mask")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from docquay.llm.common import ascii_lower, row_hash, stage_for
+from docquay.llm.common import ascii_lower, row_hash, stage_for, thinned
 from docquay.llm.components import components
 from docquay.sources.staging import Staging
 
@@ -27,11 +27,9 @@ BLOCKS = 5
 SIMILARITY = 0.85
 NOT_WORD = r"[^\p{L}\p{N}]+"
 DOC = ["doc_id", "row_hash"]
-#: Counters of 16 bits, four in a number; a part of a line has fewer words than they hold.
-PART_WORDS = 1 << 15
+#: Counters of 16 bits, four in a signed number; a part of a line has fewer words than they hold.
+PART_WORDS = 1 << 14
 _FIELD = 0x0001000100010001
-#: Cells of the bit table that thins out lines before a join: 2^18 rows of 64.
-CELLS = 1 << 24
 
 
 def normal_line(line: Column) -> Column:
@@ -40,12 +38,16 @@ def normal_line(line: Column) -> Column:
 
 
 def text_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, row_hash, position, norm``; lines end with a line feed."""
+    """``doc_id, row_hash, copy, position, norm``; lines end with a line feed.
+
+    ``copy`` tells repeated rows apart while their words are counted, and nowhere else.
+    """
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), row_hash(F.col(text_col)).alias("row_hash"),
-        F.posexplode(F.split(F.col(text_col), "\n")).alias("position", "line"),
+        F.monotonically_increasing_id().alias("copy"), F.col(text_col).alias("text"),
     )
-    return rows.select(*DOC, "position", normal_line(F.col("line")).alias("norm"))
+    rows = rows.select(*DOC, "copy", F.posexplode(F.split("text", "\n")).alias("position", "line"))
+    return rows.select(*DOC, "copy", "position", normal_line(F.col("line")).alias("norm"))
 
 
 def _simhash(sums: list[Column], words: Column) -> Column:
@@ -68,16 +70,16 @@ def line_hashes(lines: DataFrame) -> DataFrame:
     counted in parts.
     """
     rows = lines.where(F.col("norm") != "").select(
-        *DOC, "position", F.xxhash64("norm").alias("line"), F.char_length("norm").alias("chars"),
+        *DOC, "copy", "position", F.xxhash64("norm").alias("line"), F.char_length("norm").alias("chars"),
         F.split("norm", " ").alias("words"),
     )
     rows = rows.select(
-        *DOC, "position", "line", "chars", F.size("words").alias("words"),
+        *DOC, "copy", "position", "line", "chars", F.size("words").alias("words"),
         F.posexplode("words").alias("at", "word"),
     )
     h = F.col("h")
     packed = [F.sum(F.shiftrightunsigned(h, k).bitwiseAND(F.lit(_FIELD))).alias(f"s{k}") for k in range(16)]
-    key = [*DOC, "position", "line", "chars", "words"]
+    key = [*DOC, "copy", "position", "line", "chars", "words"]
     parts = (
         rows.select(*key, F.floor(F.col("at") / PART_WORDS).alias("part"), F.xxhash64("word").alias("h"))
         .groupBy(*key, "part").agg(*packed)
@@ -98,7 +100,7 @@ def line_hashes(lines: DataFrame) -> DataFrame:
     long = long.groupBy(*key, "b.bit").agg(F.sum("b.count").alias("count"))
     long = long.where(F.col("count") * 2 > F.col("words"))
     one = F.expr("shiftleft(1L, bit)")
-    long = long.groupBy(*key).agg(F.bit_or(one).alias("simhash")).drop("words")
+    long = long.groupBy(*key).agg(F.bit_or(one).alias("simhash")).drop("words", "copy")
     return short.unionByName(long)
 
 
@@ -125,20 +127,6 @@ def close_hashes(hashes: DataFrame, apart: int = BITS_APART, blocks: int = BLOCK
     return left.join(right, "key").where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
 
 
-def _thinned(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of ``lines`` whose ``line`` may be in ``wanted``.
-
-    The bit table has at most ``CELLS / 64`` rows whatever the input, so it may be broadcast.
-    """
-    cell = F.pmod(F.col("line"), F.lit(CELLS))
-    table = wanted.select(cell.alias("cell")).groupBy(F.shiftright("cell", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(cell & 63 as int))")).alias("mask")
-    )
-    found = lines.withColumn("word", F.shiftright(cell, 6)).join(F.broadcast(table), "word")
-    bit = F.expr(f"getbit(mask, cast(pmod(line, {CELLS}) & 63 as int))")
-    return found.where(bit == 1).drop("word", "mask")
-
-
 def line_groups(
     docs: DataFrame, staging: Staging, id_col: str, text_col: str,
     apart: int = BITS_APART, blocks: int = BLOCKS, similarity: float = SIMILARITY,
@@ -174,7 +162,7 @@ def line_groups(
     with_line = lines.where(F.col("norm") != "").withColumn("line", F.xxhash64("norm"))
     first = wanted.join(distinct, "line").select("line", "first.*")
     at = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in [*DOC, "position", "line"]]
-    texts = _thinned(with_line, wanted).alias("l").join(first.alias("r"), at).select("l.line", "l.norm")
+    texts = thinned(with_line, wanted, "line").alias("l").join(first.alias("r"), at).select("l.line", "l.norm")
     texts = staging.table(texts.dropDuplicates(["line"]), "texts")
     most = F.floor((1.0 - similarity) * F.greatest("chars_a", "chars_b")).cast("int")
     compared = (
