@@ -13,7 +13,7 @@ from docquay.functions.dates import MONTH
 from docquay.operators import state
 from docquay.operators.extraction import CardLayout, Field
 from docquay.plans import landing, reporting, transforming
-from docquay.plans.schemas import EVENTS
+from docquay.plans.schemas import EVENTS, QUARANTINE
 from docquay.queries.inputs import (
     CLEAN_SQL,
     PAGE_BODY,
@@ -25,7 +25,7 @@ from docquay.queries.inputs import (
     run_root,
     table,
 )
-from docquay.sources.event_log import read_events, write_events
+from docquay.sources.event_log import event_counts, read_events, write_events
 from docquay.sources.tables import (
     BATCH,
     DELETED,
@@ -174,6 +174,15 @@ def transformed_object_write(spark, sf):
     )
 
 
+TRANSFORM_REPORT = f"""WITH {_TRANSFORMED_SQL},
+    marks AS (SELECT in_first_run AND NOT other_content AS skipped FROM done),
+    n AS (SELECT count(*) AS total_records, count(*) FILTER (NOT skipped) AS transformed,
+        count(*) FILTER (skipped) AS skipped FROM marks)
+    SELECT CASE WHEN skipped THEN 'transform_skipped' ELSE 'transform_success' END AS event,
+        count(*) AS n_events, CAST(NULL AS BIGINT) AS total_records, CAST(NULL AS BIGINT) AS transformed,
+        CAST(NULL AS BIGINT) AS skipped, CAST(NULL AS BIGINT) AS errors FROM marks GROUP BY marks.skipped
+    UNION ALL SELECT 'fetch_metadata', 1, NULL, NULL, NULL, NULL
+    UNION ALL SELECT 'transform_summary', 1, total_records, transformed, skipped, 0 FROM n"""
 TRANSFORMED_OBJECT_WRITE = f"""WITH {_TRANSFORMED_SQL} SELECT file_name,
         {_MIME_SQL} AS content_type, new_hash AS file_hash
     FROM done WHERE NOT (in_first_run AND NOT other_content)"""
@@ -203,8 +212,7 @@ REPORT_COLUMNS = (
 )
 
 
-def report(spark, sf):
-    """Event log of a run, written and read back, but for the lists of failures."""
+def _report_events(spark, sf):
     key = (F.expr(PAGE_MONTH).alias("partition"), F.expr(PAGE_BODY).alias("body"))
     results = pages(spark, sf).select(*key, "html")
     months = results.select("partition").distinct()
@@ -218,8 +226,53 @@ def report(spark, sf):
     )
     path = f"{run_root(spark)}/events"
     write_events(lines, path)
-    events = read_events(spark, path, EVENTS)
-    return events.where("event <> 'partition_failures'").select(*REPORT_COLUMNS)
+    return read_events(spark, path, EVENTS)
+
+
+def report(spark, sf):
+    """Event log of a run, written and read back, but for the lists of failures."""
+    return _report_events(spark, sf).where("event <> 'partition_failures'").select(*REPORT_COLUMNS)
+
+
+def partition_failures(spark, sf):
+    """The lists of failures in the event log, all chunks of a key together."""
+    lists = _report_events(spark, sf).where("event = 'partition_failures'")
+    return lists.select("partition", "body", F.inline("failures"))
+
+
+PARTITION_FAILURES = f"""WITH {PAGE_FETCHES_SQL} SELECT partition_date AS "partition", body, url,
+        CAST(coalesce(status, 0) AS INTEGER) AS error_code,
+        CASE WHEN status IS NULL THEN 'timeout' ELSE 'HTTP 503' END AS reason, count(*) AS times
+    FROM fetches WHERE status IS DISTINCT FROM 200 GROUP BY ALL"""
+
+
+def landing_quarantine(spark, sf):
+    """Fetches that a landing run did not store, each with its error."""
+    root = run_root(spark)
+    run = landing.land(spark, page_fetches(spark, sf), root)
+    return read_batches(spark, f"{root}/{landing.QUARANTINE}", QUARANTINE, [run.batch]).drop(BATCH)
+
+
+LANDING_QUARANTINE = f"""WITH {PAGE_FETCHES_SQL} SELECT identifier, url AS doc_url,
+        partition_date AS "partition", body, CAST(coalesce(status, 0) AS INTEGER) AS error_code,
+        CASE WHEN status IS NULL THEN 'timeout' ELSE 'HTTP 503' END AS error
+    FROM fetches WHERE status IS DISTINCT FROM 200"""
+
+
+def transform_report(spark, sf):
+    """Events of a second transform run, written and read back, by kind."""
+    root, run = _two_transforms(spark, sf)
+    lines = reporting.transform_events(
+        run.outcomes, run.summary, "2024-01-01", "2024-12-31", "docs",
+        F.lit("2024-07-01").cast("timestamp_ntz"),
+    )
+    write_events(lines, f"{root}/events")
+    events = read_events(spark, f"{root}/events", EVENTS)
+    totals = events.groupBy("event").agg(
+        F.max("total_records").alias("total_records"), F.max("transformed").alias("transformed"),
+        F.max("skipped").alias("skipped"), F.max("errors").alias("errors"),
+    )
+    return event_counts(events).join(totals, "event")
 
 
 REPORT = f"""WITH {PAGE_FETCHES_SQL}, cards AS (SELECT {PAGE_MONTH} AS "partition", {PAGE_BODY} AS body,
@@ -348,6 +401,9 @@ LANDING_COMPACT = f"""WITH {_LAST_SQL} SELECT concat(identifier, '.pdf') AS file
         octet_length(encode(text)) AS n_bytes, sha256(text) AS file_hash FROM last"""
 
 QUERIES = {
+    "partition_failures": (partition_failures, PARTITION_FAILURES),
+    "landing_quarantine": (landing_quarantine, LANDING_QUARANTINE),
+    "transform_report": (transform_report, TRANSFORM_REPORT),
     "transform_after_lost_run": (transform_after_lost_run, TRANSFORM_AFTER_LOST_RUN),
     "land_late": (land_late, LAND_LATE),
     "land_stream_late": (land_stream_late, LAND_LATE),

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from docquay.queries import QUERIES
 from tests.conftest import SF_DIR
 
 TABLES = (
@@ -25,7 +26,7 @@ def normal(rows, columns):
     return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     df = contract.queries()[name](spark, SF_DIR)
     got = normal([tuple(r) for r in df.collect()], df.columns)
