@@ -32,8 +32,7 @@ def components(edges: DataFrame, staging: Staging, name: str) -> DataFrame:
         large = (
             both.join(low, "a").where(F.col("b") > F.col("a"))
             .select(F.col("b").alias("a"), F.col("low").alias("b"))
-        ).distinct()
-        large = staging.table(large, f"{name}-{step}l")
+        )
         least = large.groupBy("a").agg(F.min("b").alias("low"))
         small = (
             large.join(least, "a").where(F.col("b") != F.col("low"))

@@ -36,6 +36,7 @@ from docquay.llm.common import (
     shuffle_parts,
     slices,
     stage_for,
+    thinned,
 )
 from docquay.llm.components import components
 from docquay.sources.staging import Staging
@@ -43,11 +44,13 @@ from docquay.sources.staging import Staging
 SHINGLE = 5
 #: Similarity as a fraction of whole numbers, so that the comparison is exact.
 SIMILARITY = (75, 100)
-SKETCH_BITS = 22
+SKETCH_BITS = 23
 SKETCH_BLOCK = 1 << 16
 PAGE = 48
 FAN_OUT = 16
-LEADER_ROUNDS = 2
+PAIRS_KEPT = 200_000
+#: Leaders that a set is compared with before the trees.
+LEADERS = 3
 
 
 def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
@@ -122,9 +125,8 @@ def _sketch(size: int) -> Callable:
             for piece in slices(batch):
                 sets = shingle_sets(piece.column("text"), size)
                 cells = np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)
-                counts += np.bincount(
-                    cells.astype(np.int64), minlength=len(counts)
-                ).astype(np.uint32)
+                cells, times = np.unique(cells.astype(np.int64), return_counts=True)
+                counts[cells] += times.astype(np.uint32)
         blocks = counts.reshape(-1, SKETCH_BLOCK)
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(len(blocks)), pa.int32()),
@@ -143,7 +145,7 @@ def _weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums.setdefault(block, np.zeros(SKETCH_BLOCK, dtype=np.uint64))
             sums[block] += part
     weights = [
-        np.ceil(np.log2(total.astype(np.float64) + 1.0)).astype(np.uint8).tobytes()
+        np.rint(2.0 * np.log2(total.astype(np.float64) + 1.0)).astype(np.uint8).tobytes()
         for total in sums.values()
     ]
     yield pa.RecordBatch.from_arrays(
@@ -233,32 +235,14 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # --- exact comparison -------------------------------------------------------------------
 
 
-def _needed_cells(needed: DataFrame) -> np.ndarray:
-    """A bit for each possible start (three bytes) of the digests at hand: a fixed length."""
-    cell = F.conv(F.hex(F.substring("digest", 1, 3)), 16, 10).cast("long")
-    rows = needed.select(cell.alias("cell")).groupBy(F.floor(F.col("cell") / 32768).alias("bucket"))
-    rows = rows.agg(F.bitmap_construct_agg(F.col("cell") % 32768).alias("bits"))
-    out = np.zeros((512, 4096), dtype=np.uint8)
-    for bucket, bits in rows.toLocalIterator():
-        out[bucket] = np.frombuffer(bytes(bits), dtype=np.uint8)
-    return out.reshape(-1)
-
-
-def _sets_of(size: int, cells) -> Callable:
-    """Sets whose digest may be needed: the bits let all of those through, and few others."""
-
+def _sets_of(size: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(cells.value.view(np.uint8), bitorder="little")
         for batch in batches:
             for piece in slices(batch):
-                digests, members = [], []
-                for s in shingle_sets(piece.column("text"), size):
-                    digest = xxhash.xxh3_128_digest(s.tobytes())
-                    if wanted[int.from_bytes(digest[:3], "big")]:
-                        digests.append(digest)
-                        members.append(s.tobytes())
+                sets = [s.tobytes() for s in shingle_sets(piece.column("text"), size)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(digests, pa.binary()), pa.array(members, pa.binary())],
+                    [pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary()),
+                     pa.array(sets, pa.binary())],
                     names=["digest", "members"],
                 )
 
@@ -281,6 +265,69 @@ def _compare(similarity: tuple[int, int]) -> Callable:
     return run
 
 
+class _Sets:
+    """Whole shingle sets of the classes that are compared, made again from the texts when needed.
+
+    Only texts whose hash is wanted are looked at; nothing keeps the sets of all documents.
+    """
+
+    def __init__(self, rows: DataFrame, classes: DataFrame, size: int, staging: Staging) -> None:
+        self.rows, self.classes, self.size, self.staging = rows, classes, size, staging
+        self.tables: list[DataFrame] = []
+        self.calls = 0
+
+    def _all(self) -> DataFrame:
+        out = self.tables[0]
+        for table in self.tables[1:]:
+            out = out.union(table)
+        return out
+
+    def of(self, pairs: DataFrame) -> DataFrame:
+        """``cls, members`` of all classes in ``pairs(a, b)``, and of some others."""
+        needed = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+        if self.tables:
+            needed = needed.join(self._all().select("cls"), "cls", "left_anti")
+        needed = needed.join(self.classes.select("cls", "digest", "row_hash"), "cls")
+        step, self.calls = self.calls, self.calls + 1
+        needed = self.staging.table(needed, f"needed-{step}")
+        if step and needed.isEmpty():
+            return self._all()
+        texts = thinned(self.rows.select("row_hash", "text"), needed, "row_hash").select("text")
+        found = texts.mapInArrow(_sets_of(self.size), "digest binary, members binary")
+        found = found.dropDuplicates(["digest"]).join(needed, "digest").select("cls", "members")
+        self.tables.append(self.staging.table(found, f"sets-{step}"))
+        return self._all()
+
+
+def _bitmaps_allow(similarity: tuple[int, int]) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            facts = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("n", "m", "s", "t")]
+            good = []
+            for n, m, s, t, x, y in zip(*facts, batch.column("x"), batch.column("y")):
+                x = np.frombuffer(x.as_buffer(), dtype=np.uint64)
+                y = np.frombuffer(y.as_buffer(), dtype=np.uint64)
+                words = max(len(x), len(y))
+                both = int(np.bitwise_count(tiled(x, words) & tiled(y, words)).sum())
+                good.append(both + min(s, t) >= least_overlap(int(n + m), similarity))
+            keep = ["a", "b", "common"]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in keep], names=keep
+            ).filter(pa.array(good, pa.bool_()))
+
+    return run
+
+
+def _allowed(offers: DataFrame, classes: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """The ``offers(a, b, common)`` whose bitmaps leave room for enough overlap."""
+    left = classes.select(F.col("cls").alias("a"), F.col("n"), F.col("spare").alias("s"), F.col("bits").alias("x"))
+    right = classes.select(
+        F.col("cls").alias("b"), F.col("n").alias("m"), F.col("spare").alias("t"), F.col("bits").alias("y")
+    )
+    rows = offers.join(right, "b").join(left, "a").select("a", "b", "common", "n", "m", "s", "t", "x", "y")
+    return rows.mapInArrow(_bitmaps_allow(similarity), "a long, b long, common long")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """The ``pairs(a, b)`` whose ``sets(cls, members)`` are similar enough."""
     left = sets.select(F.col("cls").alias("a"), F.col("members").alias("x"))
@@ -364,22 +411,35 @@ def _page_pairs(similarity: tuple[int, int]) -> Callable:
     num, den = similarity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Sets that share many shingles meet in many buckets; a task tells of them once, as long
+        # as its memory of pairs holds.
+        told: set[tuple[int, int]] = set()
         for batch in batches:
-            found: list[tuple[int, int]] = []
+            found: set[tuple[int, int]] = set()
             for r in batch.to_pylist():
                 same = (r["xband"], r["xslot"]) == (r["yband"], r["yslot"])
-                for i, x in enumerate(r["xpage"]):
-                    xb = np.frombuffer(x["bits"], dtype=np.uint64)
-                    for y in r["ypage"][i + 1 :] if same else r["ypage"]:
-                        n, m = x["n"], y["n"]
-                        if x["comp"] == y["comp"] or den * n < num * m or den * m < num * n:
-                            continue
-                        yb = np.frombuffer(y["bits"], dtype=np.uint64)
-                        words = max(len(xb), len(yb))
-                        both = int(np.bitwise_count(tiled(xb, words) & tiled(yb, words)).sum())
-                        if both + min(x["spare"], y["spare"]) >= least_overlap(n + m, similarity):
-                            found.append((min(x["cls"], y["cls"]), max(x["cls"], y["cls"])))
-            a, b = zip(*found) if found else ((), ())
+                xs, ys = r["xpage"], r["ypage"]
+                n, m = (np.array([e["n"] for e in page]) for page in (xs, ys))
+                c, d = (np.array([e["comp"] for e in page]) for page in (xs, ys))
+                ok = (c[:, None] != d) & (den * n[:, None] >= num * m) & (den * m >= num * n[:, None])
+                if same:
+                    ok = np.triu(ok, 1)
+                maps: dict[tuple[str, int], np.ndarray] = {}
+                for i, j in np.argwhere(ok).tolist():
+                    pair = min(xs[i]["cls"], ys[j]["cls"]), max(xs[i]["cls"], ys[j]["cls"])
+                    if pair in told:
+                        continue
+                    for key, page, k in ((("x", i), xs, i), (("y", j), ys, j)):
+                        if key not in maps:
+                            maps[key] = np.frombuffer(page[k]["bits"], dtype=np.uint64)
+                    x, y, xb, yb = xs[i], ys[j], maps["x", i], maps["y", j]
+                    words = max(len(xb), len(yb))
+                    both = int(np.bitwise_count(tiled(xb, words) & tiled(yb, words)).sum())
+                    if both + min(x["spare"], y["spare"]) >= least_overlap(x["n"] + y["n"], similarity):
+                        found.add(pair)
+            found -= told
+            told = told | found if len(told) < PAIRS_KEPT else set(found)
+            a, b = zip(*sorted(found)) if found else ((), ())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]
             )
@@ -466,18 +526,24 @@ def jaccard_components(
     ).withColumn("node", F.monotonically_increasing_id())
     profile = staging.table(profile, "profile")
 
-    # Equal sets are one class, named by its first node; everything below is about classes.
-    full = profile.where("n > 0")
-    classes = full.groupBy("digest").agg(F.min("node").alias("cls"), F.min("n").alias("n"))
-    classes = staging.table(classes, "classes")
-    node_class = full.select("node", "digest").join(classes, "digest").select("node", "cls", "n")
-
-    postings = full.select("node", "first").mapInArrow(_postings, "token long, node long")
+    postings = profile.where("n > 0").select("node", "first").mapInArrow(
+        _postings, "token long, node long"
+    )
     shared = (
         postings.repartition(shuffle_parts(spark), "token").sortWithinPartitions("token")
         .mapInArrow(_shared, "token long, node long")
     )
     shared = staging.table(shared, "shared")
+    narrow = staging.table(profile.drop("first"), "narrow")
+    staging.drop("profile")
+
+    # Equal sets are one class, named by its first node; everything below is about classes.
+    full = narrow.where("n > 0")
+    first = F.min_by(F.struct(F.col("node").alias("cls"), "n", "spare", "bits", "row_hash"), "node")
+    classes = full.groupBy("digest").agg(first.alias("c")).select("digest", "c.*")
+    classes = staging.table(classes, "classes")
+    node_class = full.select("node", "digest").join(classes.select("digest", "cls", "n"), "digest")
+
     buckets = shared.join(node_class, "node").select("token", "cls", "n").distinct()
     buckets = staging.table(buckets, "buckets-all")
     # Buckets with the same classes as another one add nothing.
@@ -485,44 +551,34 @@ def jaccard_components(
         F.count("*").alias("size"), F.bit_xor(F.xxhash64("cls")).alias("bag"), F.min("cls").alias("low")
     ).where("size > 1")
     bags = bags.groupBy("size", "bag", "low").agg(F.min("token").alias("token"))
-    buckets = staging.table(
-        buckets.join(bags.select("token", F.col("low").alias("leader")), "token"), "buckets"
-    )
+    buckets = staging.table(buckets.join(bags.select("token"), "token"), "buckets")
 
-    needed = buckets.select("cls").distinct().join(classes, "cls").select("cls", "digest")
-    needed = staging.table(needed, "needed")
-    cells = spark.sparkContext.broadcast(_needed_cells(needed))
-    sets = rows.select("text").mapInArrow(_sets_of(size, cells), "digest binary, members binary")
-    sets = sets.dropDuplicates(["digest"]).join(needed, "digest").select("cls", "members")
-    sets = staging.table(sets, "sets")
-
-    labels, edges = None, None
-    for step in range(LEADER_ROUNDS):
-        live = _live_buckets(buckets, labels)
-        leads = live.groupBy("token").agg(F.min_by(F.struct("cls", "comp", "n"), "cls").alias("lead"))
-        num, den = similarity
-        close = (F.col("n") * den >= F.col("lead.n") * num) & (F.col("lead.n") * den >= F.col("n") * num)
-        offers = (
-            live.join(leads, "token").where((F.col("comp") != F.col("lead.comp")) & close)
-            .groupBy("cls", F.col("lead.cls").alias("lead")).agg(F.count("*").alias("common"))
-        )
-        best = offers.groupBy("cls").agg(F.max_by("lead", F.struct("common", -F.col("lead"))).alias("a"))
-        pairs = staging.table(best.select("a", F.col("cls").alias("b")), f"leaders-{step}")
-        new = staging.table(verified(pairs, sets, similarity), f"links-{step}")
-        edges = new if edges is None else edges.union(new)
-        labels = components(edges, staging, f"parts-{step}")
-        labels = staging.table(labels, f"labels-{step}")
-
-    live = _live_buckets(buckets, labels)
-    live = staging.table(live, "live")
-    maps = full.select(F.col("node").alias("cls"), "spare", "bits")
-    maps = maps.join(live.select("cls").distinct(), "cls")
+    # Every class against the leaders it shares most buckets with; it has no more offers
+    # than first shingles, so the list of them is short.
+    sets = _Sets(rows, classes, size, staging)
+    leads = buckets.groupBy("token").agg(F.min_by(F.struct("cls", "n"), "cls").alias("lead"))
+    num, den = similarity
+    close = (F.col("n") * den >= F.col("lead.n") * num) & (F.col("lead.n") * den >= F.col("n") * num)
+    offers = (
+        buckets.join(leads, "token").where((F.col("cls") != F.col("lead.cls")) & close)
+        .groupBy(F.col("lead.cls").alias("a"), F.col("cls").alias("b")).agg(F.count("*").alias("common"))
+    )
+    offers = _allowed(offers, classes, similarity)
+    ranked = F.sort_array(F.collect_list(F.struct("common", (-F.col("a")).alias("a"))), asc=False)
+    best = offers.groupBy("b").agg(F.slice(ranked, 1, LEADERS).alias("best"))
+    best = best.select("b", F.explode("best.a").alias("a")).select((-F.col("a")).alias("a"), "b")
+    pairs = staging.table(best, "leaders")
+    edges = staging.table(verified(pairs, sets.of(pairs), similarity), "links")
+    labels = staging.table(components(edges, staging, "parts-1"), "labels-1")
+
+    live = staging.table(_live_buckets(buckets, labels), "live")
+    maps = classes.join(live.select("cls").distinct(), "cls").select("cls", "spare", "bits")
     members = live.join(maps, "cls").select("token", "cls", "comp", "n", "spare", "bits")
     pairs = staging.table(tree_pairs(members, staging, similarity, "tree"), "tree-found")
-    edges = edges.union(staging.table(verified(pairs, sets, similarity), "links-tree"))
-    labels = staging.table(components(edges, staging, "parts"), "labels")
+    edges = edges.union(staging.table(verified(pairs, sets.of(pairs), similarity), "links-tree"))
+    labels = staging.table(components(edges, staging, "parts-2"), "labels-2")
 
-    tagged = profile.join(node_class.select("node", "cls"), "node", "left").withColumn(
+    tagged = narrow.join(node_class.select("node", "cls"), "node", "left").withColumn(
         "cls", F.coalesce("cls", "node")
     ).select("doc_id", "row_hash", "n", "cls")
     tagged = tagged.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select(
@@ -535,10 +591,8 @@ def jaccard_components(
     )
 
 
-def _live_buckets(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _live_buckets(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows ``token, cls, n, comp`` of the buckets that more than one component shares."""
-    if labels is None:
-        return buckets.select("token", "cls", "n", F.col("cls").alias("comp"))
     named = buckets.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select(
         "token", "cls", "n", F.coalesce("component", "cls").alias("comp")
     )
