@@ -23,31 +23,33 @@ from docquay.sources.staging import Staging
 BITS_APART = 3
 #: The 64 bits are cut into blocks; with 5 blocks, 2 are equal if 3 bits or fewer differ.
 BLOCKS = 5
-#: One minus edit distance over the longer length, of normalised lines.
+#: One minus edit distance over the longer length, in words of normalised lines.
 SIMILARITY = 0.85
-NOT_WORD = r"[^\p{L}\p{N}]+"
+#: Between words of a lowered line: ASCII without digits and letters.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Code points that stand for words when two lines are compared: none of them is special.
+FIRST_POINT, POINTS = 0x100, 55_000
 DOC = ["doc_id", "row_hash"]
+LINE = [*DOC, "copy", "position", "line", "words"]
 #: Counters of 16 bits, four in a signed number; a part of a line has fewer words than they hold.
 PART_WORDS = 1 << 14
 _FIELD = 0x0001000100010001
 
 
-def normal_line(line: Column) -> Column:
-    """Letters and digits, A-Z lowered, with one space in place of everything else."""
-    return F.trim(F.regexp_replace(ascii_lower(line), NOT_WORD, " "))
-
-
 def text_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, row_hash, copy, position, norm``; lines end with a line feed.
+    """``doc_id, row_hash, copy, position, words`` of every line with a word.
 
-    ``copy`` tells repeated rows apart while their words are counted, and nowhere else.
+    Lines end with a line feed. Normalised, a line is its words: A-Z lowered, runs of ASCII
+    letters, digits and characters outside ASCII. ``copy`` tells repeated rows apart while
+    their words are counted, and nowhere else.
     """
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), row_hash(F.col(text_col)).alias("row_hash"),
-        F.monotonically_increasing_id().alias("copy"), F.col(text_col).alias("text"),
+        F.monotonically_increasing_id().alias("copy"), ascii_lower(F.col(text_col)).alias("text"),
     )
     rows = rows.select(*DOC, "copy", F.posexplode(F.split("text", "\n")).alias("position", "line"))
-    return rows.select(*DOC, "copy", "position", normal_line(F.col("line")).alias("norm"))
+    words = F.array_remove(F.split("line", BETWEEN), "")
+    return rows.select(*DOC, "copy", "position", words.alias("words")).where(F.size("words") > 0)
 
 
 def _simhash(sums: list[Column], words: Column) -> Column:
@@ -62,33 +64,39 @@ def _simhash(sums: list[Column], words: Column) -> Column:
     return out
 
 
-def line_hashes(lines: DataFrame) -> DataFrame:
-    """``doc_id, row_hash, position, line, chars, simhash`` of every line with a word.
-
-    ``line`` is the hash that stands for the normalised text. Words are counted per bit in
-    packed sums, which each task adds up before rows move; a line of very many words is
-    counted in parts.
-    """
-    rows = lines.where(F.col("norm") != "").select(
-        *DOC, "copy", "position", F.xxhash64("norm").alias("line"), F.char_length("norm").alias("chars"),
-        F.split("norm", " ").alias("words"),
+def _packed_counts(lines: DataFrame) -> DataFrame:
+    """Words of each line, or part of a line, that have each bit of their hash set."""
+    rows = lines.select(
+        *DOC, "copy", "position", F.xxhash64("words").alias("line"), "words",
     )
     rows = rows.select(
-        *DOC, "copy", "position", "line", "chars", F.size("words").alias("words"),
+        *DOC, "copy", "position", "line", F.size("words").alias("words"),
         F.posexplode("words").alias("at", "word"),
     )
     h = F.col("h")
     packed = [F.sum(F.shiftrightunsigned(h, k).bitwiseAND(F.lit(_FIELD))).alias(f"s{k}") for k in range(16)]
-    key = [*DOC, "copy", "position", "line", "chars", "words"]
-    parts = (
-        rows.select(*key, F.floor(F.col("at") / PART_WORDS).alias("part"), F.xxhash64("word").alias("h"))
-        .groupBy(*key, "part").agg(*packed)
+    return (
+        rows.select(*LINE, F.floor(F.col("at") / PART_WORDS).alias("part"), F.xxhash64("word").alias("h"))
+        .groupBy(*LINE, "part").agg(*packed)
     )
+
+
+def line_hashes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, row_hash, position, line, words, simhash`` of every line with a word.
+
+    ``line`` is the hash that stands for the normalised line, ``words`` their number. Words are
+    counted per bit in packed sums, which each task adds up before rows move; a line of very
+    many words is counted in parts, and only texts that are long enough are searched for such.
+    """
     sums = [F.col(f"s{k}") for k in range(16)]
-    short = parts.where(F.col("words") <= PART_WORDS).select(
-        *DOC, "position", "line", "chars", _simhash(sums, F.col("words")).alias("simhash")
+    parts = _packed_counts(text_lines(docs, id_col, text_col).where(F.size("words") <= PART_WORDS))
+    short = parts.select(
+        *DOC, "position", "line", "words", _simhash(sums, F.col("words")).alias("simhash")
     )
     # Very long lines: one row per bit and part, summed apart.
+    long = docs.where(F.octet_length(text_col) > 2 * PART_WORDS)
+    parts = _packed_counts(text_lines(long, id_col, text_col).where(F.size("words") > PART_WORDS))
+    key = LINE
     bits = F.explode(F.array(*[
         F.struct(
             F.lit(16 * j + k).alias("bit"),
@@ -96,11 +104,11 @@ def line_hashes(lines: DataFrame) -> DataFrame:
         )
         for k in range(16) for j in range(4)
     ]))
-    long = parts.where(F.col("words") > PART_WORDS).select(*key, bits.alias("b"))
+    long = parts.select(*key, bits.alias("b"))
     long = long.groupBy(*key, "b.bit").agg(F.sum("b.count").alias("count"))
     long = long.where(F.col("count") * 2 > F.col("words"))
     one = F.expr("shiftleft(1L, bit)")
-    long = long.groupBy(*key).agg(F.bit_or(one).alias("simhash")).drop("words", "copy")
+    long = long.groupBy(*key).agg(F.bit_or(one).alias("simhash")).drop("copy")
     return short.unionByName(long)
 
 
@@ -127,16 +135,24 @@ def close_hashes(hashes: DataFrame, apart: int = BITS_APART, blocks: int = BLOCK
     return left.join(right, "key").where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
 
 
+def word_points(words: str) -> Column:
+    """A text with one character for each word, by a hash; its edit distance is that in words."""
+    def point(word: Column) -> Column:
+        code = F.pmod(F.xxhash64(word), F.lit(POINTS)) + FIRST_POINT
+        return F.decode(F.unhex(F.lpad(F.hex(code), 4, "0")), "UTF-16BE")
+
+    return F.array_join(F.transform(F.col(words), point), "")
+
+
 def line_groups(
     docs: DataFrame, staging: Staging, id_col: str, text_col: str,
     apart: int = BITS_APART, blocks: int = BLOCKS, similarity: float = SIMILARITY,
 ) -> DataFrame:
     """``doc_id, row_hash, position, keep_*`` of every line that is not the one that stays."""
-    lines = text_lines(docs, id_col, text_col)
-    hashed = staging.table(line_hashes(lines), "hashed")
+    hashed = staging.table(line_hashes(docs, id_col, text_col), "hashed")
     place = F.struct("doc_id", "row_hash", "position")
     distinct = hashed.groupBy("line").agg(
-        F.min("simhash").alias("simhash"), F.min("chars").alias("chars"),
+        F.min("simhash").alias("simhash"), F.min("words").alias("words"),
         F.min(place).alias("first"), F.count("*").alias("times"),
     )
     distinct = staging.table(distinct, "distinct")
@@ -147,31 +163,34 @@ def line_groups(
     def side(tag: str) -> DataFrame:
         return distinct.select(
             F.col("simhash").alias(tag), F.col("line").alias(f"line_{tag}"),
-            F.col("chars").alias(f"chars_{tag}"),
+            F.col("words").alias(f"words_{tag}"),
         )
 
-    sizes = F.least("chars_a", "chars_b") >= F.greatest("chars_a", "chars_b") * similarity
+    sizes = F.least("words_a", "words_b") >= F.greatest("words_a", "words_b") * similarity
     # A SimHash alone is only paired with itself where several lines share it.
     pairs = close.join(side("a"), "a").join(side("b"), "b").where(
         sizes & ((F.col("a") != F.col("b")) | (F.col("line_a") < F.col("line_b")))
-    ).select("line_a", "line_b", "chars_a", "chars_b")
+    ).select("line_a", "line_b", "words_a", "words_b")
     pairs = staging.table(pairs, "pairs")
     wanted = staging.table(
         pairs.select(F.col("line_a").alias("line")).union(pairs.select("line_b")).distinct(), "wanted"
     )
-    with_line = lines.where(F.col("norm") != "").withColumn("line", F.xxhash64("norm"))
+    with_line = text_lines(docs, id_col, text_col).withColumn("line", F.xxhash64("words"))
     first = wanted.join(distinct, "line").select("line", "first.*")
     at = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in [*DOC, "position", "line"]]
-    texts = thinned(with_line, wanted, "line").alias("l").join(first.alias("r"), at).select("l.line", "l.norm")
-    texts = staging.table(texts.dropDuplicates(["line"]), "texts")
-    most = F.floor((1.0 - similarity) * F.greatest("chars_a", "chars_b")).cast("int")
+    texts = thinned(with_line, wanted, "line").alias("l").join(first.alias("r"), at)
+    texts = staging.table(
+        texts.select("l.line", word_points("l.words").alias("points")).dropDuplicates(["line"]), "texts"
+    )
+    most = F.floor((1.0 - similarity) * F.greatest("words_a", "words_b")).cast("int")
     compared = (
-        pairs.join(texts.select(F.col("line").alias("line_a"), F.col("norm").alias("x")), "line_a")
-        .join(texts.select(F.col("line").alias("line_b"), F.col("norm").alias("y")), "line_b")
+        pairs.join(texts.select(F.col("line").alias("line_a"), F.col("points").alias("x")), "line_a")
+        .join(texts.select(F.col("line").alias("line_b"), F.col("points").alias("y")), "line_b")
+        .withColumn("most", most)
     )
-    # Threshold and length differ per pair; Spark's levenshtein takes a constant threshold only.
-    distance = F.levenshtein("x", "y")
-    edges = compared.where(distance <= most).select(
+    # Stops as soon as the distance is over ``most``, and is negative then.
+    distance = F.expr("levenshtein(x, y, most)")
+    edges = compared.where(distance >= 0).select(
         F.col("line_a").alias("a"), F.col("line_b").alias("b")
     )
     edges = staging.table(edges, "edges")
@@ -193,7 +212,7 @@ def dedup_lines(
     """``doc_id, n_lines, n_removed, text`` of every row, with repeated lines removed.
 
     Lines are linked if they are equal once normalised, or if their SimHashes differ in at most
-    ``apart`` bits and their edit similarity is at least ``similarity``. Of a connected group
+    ``apart`` bits and their edit similarity, in words, is at least ``similarity``. Of a connected group
     the first occurrence stays, by identifier (null first), text hash and position. Lines without
     a word always stay. A null text stays null, with no lines. Repeated rows count as one document and get the same
     result; rows that share an identifier only are documents of their own. An empty table gives

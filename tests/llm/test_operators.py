@@ -282,9 +282,9 @@ def test_line_dedup(spark):
     assert len(got) == len(rows)
     # Plain: the same links by SimHash distance and edit distance, from the hashes of Spark.
     docs = table(spark, rows)
-    hashed = line_dedup.line_hashes(line_dedup.text_lines(docs)).select("line", "simhash").distinct().collect()
+    hashed = line_dedup.line_hashes(docs).select("line", "simhash").distinct().collect()
     simhash = {r.line: r.simhash & (1 << 64) - 1 for r in hashed}
-    norms = dict(line_dedup.text_lines(docs).where("norm <> ''").select(F.xxhash64("norm"), "norm").distinct().collect())
+    norms = dict(line_dedup.text_lines(docs).select(F.xxhash64("words"), "words").distinct().collect())
     short = [k for k in norms if len(norms[k]) < 5000]
     links = []
     for i, a in enumerate(short):
@@ -297,12 +297,12 @@ def test_line_dedup(spark):
     group = plain.join_groups(list(norms), links)
     seen, want = set(), defaultdict(list)
     hashes = {(r.doc_id, r.text): r.h for r in docs.select("doc_id", "text", line_dedup.row_hash(F.col("text")).alias("h")).collect()}
-    named = {n: k for k, n in norms.items()}
+    named = {tuple(n): k for k, n in norms.items()}
     order = sorted(set(rows), key=lambda r: (r[0], hashes[r]))
-    normal = {(r.doc_id, r.row_hash, r.position): r.norm for r in line_dedup.text_lines(docs).collect()}
+    normal = {(r.doc_id, r.row_hash, r.position): tuple(r.words) for r in line_dedup.text_lines(docs).collect()}
     for r in order:
         for p, line in enumerate((r[1] if r[1] is not None else "").split("\n")):
-            norm = normal.get((r[0], hashes[r], p), "")
+            norm = normal.get((r[0], hashes[r], p))
             g = group[named[norm]] if norm else None
             if g is None or g not in seen:
                 want[r].append(line)
@@ -316,7 +316,7 @@ def test_line_dedup(spark):
 def test_simhash_bits(spark):
     """Packed counters against counting each bit."""
     rows = [(1, "a b c d e"), (2, "x " * 40_000 + "y z " * 9_000)]
-    got = line_dedup.line_hashes(line_dedup.text_lines(table(spark, rows))).collect()
+    got = line_dedup.line_hashes(table(spark, rows)).collect()
     for r in got:
         words = dict(rows)[r.doc_id].split()
         hashes = {x.w: x.h & (1 << 64) - 1 for x in spark.createDataFrame([(w,) for w in set(words)], "w string").select("w", F.xxhash64("w").alias("h")).collect()}
