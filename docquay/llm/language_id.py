@@ -34,7 +34,7 @@ MOST = 8.0
 #: A language uses a script that at least this share of its letters is in.
 SCRIPT_SHARE = 0.005
 UNKNOWN = "und"
-PIECE = 8 << 20
+PIECE = 4 << 20
 # First code points of ranges, and the script of each.
 SCRIPT_STARTS = (
     (0x0000, "Latin"), (0x0370, "Greek"), (0x0400, "Cyrillic"), (0x0530, "Armenian"),
