@@ -115,7 +115,8 @@ def _decoded(text: str) -> str:
     value = f"""CASE
         WHEN ref = 'amp' THEN '&' WHEN ref = '' THEN NULL WHEN ref = 'apos' THEN "'"
         WHEN lower(left(ref, 2)) = '#x' THEN {let_sql(
-            "try_cast(conv(substring(ref, 3), 16, 10) AS BIGINT)", "n -> " + _code_point("n"))}
+            "CASE WHEN length(ltrim('0', substring(ref, 3))) <= 7 THEN"
+            " cast(conv(concat('0', ltrim('0', substring(ref, 3))), 16, 10) AS BIGINT) END", "n -> " + _code_point("n"))}
         WHEN left(ref, 1) = '#' THEN {let_sql(
             "try_cast(substring(ref, 2) AS BIGINT)", "n -> " + _code_point("n"))}
         ELSE try_element_at({_NAMED_ENTITIES}, ref) END"""

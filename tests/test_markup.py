@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from docquay.functions import markup, naming
 from docquay.functions.markup import SPACE_CHARS
+from docquay.operators import extraction
 
 CARD = (
     '<li class="each-item"><h2 title="ID-1" class="title big"><b>x</b>Heading &amp; co</h2>'
@@ -239,3 +240,37 @@ def test_noise_does_not_change_the_hash(spark, rows):
         for r in rows
     ]
     assert column(spark, rows, naming.stable_html_hash) == column(spark, noisy, naming.stable_html_hash)
+
+
+def test_nested_children_boxes_references_charset(spark):
+    """Own text behind nested children, all count boxes, references of any length, charsets."""
+    rows = [
+        ('<h2 class="title"><span><i>x</i></span> Heading</h2>', "Heading"),
+        ('<h2 class="title"><input type="hidden"><span><b><i>x</i>y</b></span>Own<b>z</b>rest</h2>', "Own"),
+        ('<h2 class="title">Plain</h2>', "Plain"), ('<h2 class="title"><b><i>x</i></b></h2>', ""), ("<p>no</p>", ""),
+    ]
+    df = spark.createDataFrame(rows, "html string, want string")
+    got = df.select("want", F.trim(markup.own_text_of(F.col("html"), "h2", "title")).alias("got"))
+    assert all(r.got == r.want for r in got.collect())
+    boxes = '<div class="searchhead">Welcome</div><div class="searchhead">1 to 10 of 562 results</div> of 3 results'
+    count = spark.createDataFrame([(boxes,)], "html string").select(extraction.result_count(F.col("html")))
+    assert count.first()[0] == 562
+    text = "&#00000065;&#x0000041;&#99999999999999999999999;&#xFFFFFFFFFFFFFFFFFFFFFF;&#0;"
+    got = spark.createDataFrame([(text,)], "t string").select(markup.decode_entities(F.col("t"))).first()[0]
+    assert got == "AA���"
+    page = '<meta charset="ISO-8859-2"><p>Łódź</p>'
+    raw = spark.createDataFrame([(bytearray(page.encode("iso-8859-2")),), (bytearray(page.encode()),)], "c binary")
+    assert {r[0] for r in raw.select(markup.html_from_bytes(F.col("c"))).collect()} == {page}
+
+
+def test_many_hits_take_linear_time(spark):
+    def seconds(n):
+        page = '<a class="my-navbar-x">t</a>' * n + "<p>end</p>"
+        df = spark.createDataFrame([(page,)], "html string")
+        started = time.perf_counter()
+        assert df.select(markup.strip_class_like(F.col("html"), "navbar")).first()[0] == "<p>end</p>"
+        return time.perf_counter() - started
+
+    seconds(100)
+    few, many = seconds(10_000), seconds(40_000)
+    assert many < 12 * few + 3
