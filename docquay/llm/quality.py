@@ -11,11 +11,11 @@ all changes is safe; the driver sees weight vectors of fixed length only, never
 from __future__ import annotations
 
 import string
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -132,12 +132,21 @@ class QualityModel:
         return 1.0 / (1.0 + np.exp(-SLOPE * out))
 
 
+def _packed(ids: np.ndarray) -> bytes:
+    """Sorted numbers as compressed differences."""
+    return zlib.compress(np.diff(ids, prepend=0).astype(np.uint32).tobytes(), 1)
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(raw), dtype=np.uint32), dtype=np.int64)
+
+
 def _featurize(orders: tuple[int, ...], bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = pc.cast(pc.fill_null(batch.column("text"), ""), pa.binary())
             rows = [
-                ngram_indicators(t.as_buffer().to_pybytes(), orders, bits).astype(np.int32).tobytes()
+                _packed(ngram_indicators(t.as_buffer().to_pybytes(), orders, bits))
                 for t in texts
             ]
             yield pa.RecordBatch.from_arrays(
@@ -154,7 +163,7 @@ def _counts(bits: int):
         sums = np.zeros((2, 1 << bits), dtype=np.int64)
         for batch in batches:
             for label, row in zip(batch.column("label").to_pylist(), batch.column("features")):
-                sums[label][np.frombuffer(row.as_buffer(), dtype=np.int32)] += 1
+                sums[label][_unpacked(row.as_buffer())] += 1
         yield pa.RecordBatch.from_arrays(
             [pa.array([0, 1]), pa.array([sums[0].tobytes(), sums[1].tobytes()], pa.binary())],
             names=["label", "sums"],
@@ -168,7 +177,7 @@ def _norms(ratios, bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [np.frombuffer(x.as_buffer(), dtype=np.int32) for x in batch.column("features")]
+            rows = [_unpacked(x.as_buffer()) for x in batch.column("features")]
             square = [float(np.square(ratios[r]).sum()) for r in rows]
             yield pa.RecordBatch.from_arrays([pa.array(square)], names=["square"])
 
@@ -176,13 +185,12 @@ def _norms(ratios, bits: int):
 
 
 def _descend(ratios, weights, bias, prior, alphas, blocks, cost, passes):
-    """One round over one block: change of weights and bias, and the new dual variables."""
+    """One round over each block: change of weights and bias, and the new dual variables."""
 
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["key", "label", "features"], ignore_index=True)
-        rows = [np.frombuffer(x, dtype=np.int32) for x in pdf["features"]]
-        sign = np.where(pdf["label"].to_numpy() == 1, 1.0, -1.0)
-        alpha = alphas.get(int(key[0]), np.zeros(len(rows))).copy()
+    def descend(block: int, labels: list[int], features: list[bytes]) -> tuple:
+        rows = [_unpacked(x) for x in features]
+        sign = np.where(np.array(labels) == 1, 1.0, -1.0)
+        alpha = alphas.get(block, np.zeros(len(rows))).copy()
         norms = [np.sqrt(np.square(ratios[r]).sum() + prior) for r in rows]
         square = [np.square(ratios[r]).sum() / n**2 + 1.0 for r, n in zip(rows, norms)]
         moved, moved_bias = np.zeros_like(weights), 0.0
@@ -199,10 +207,17 @@ def _descend(ratios, weights, bias, prior, alphas, blocks, cost, passes):
                     moved[r] += change * x
                     moved_bias += change
                     alpha[i] = new
-        return pd.DataFrame(
-            {"block": [key[0]], "moved": [moved.tobytes()], "bias": [moved_bias],
-             "alpha": [alpha.tobytes()]}
-        )
+        return block, moved.tobytes(), float(moved_bias), alpha.tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                out = descend(row["block"], row["labels"], row["features"])
+                kinds = (pa.int32(), pa.binary(), pa.float64(), pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x], kind) for x, kind in zip(out, kinds)],
+                    names=["block", "moved", "bias", "alpha"],
+                )
 
     return run
 
@@ -257,12 +272,18 @@ def fit_quality(
     squares = table.select("features").mapInArrow(_norms(ratios, bits), "square double")
     prior = max(squares.agg(F.avg("square")).first()[0], 1e-9) * PRIOR
 
+    # A block is one row from here on, in a fixed order, so that no round moves rows again.
+    entries = F.sort_array(F.collect_list(F.struct("key", "label", "features")))
+    blocks = table.repartition(BLOCKS, "block").groupBy("block").agg(entries.alias("rows"))
+    blocks = blocks.select(
+        "block", F.col("rows.label").alias("labels"), F.col("rows.features").alias("features")
+    )
+    blocks = staging.table(blocks, "blocks")
+
     weights, bias, alphas = np.zeros(size), 0.0, {}
     for _ in range(rounds):
         step = _descend(ratios, weights, bias, prior, alphas, BLOCKS, COST, PASSES)
-        out = table.groupBy("block").applyInPandas(
-            step, "block int, moved binary, bias double, alpha binary"
-        )
+        out = blocks.mapInArrow(step, "block int, moved binary, bias double, alpha binary")
         for block, moved, moved_bias, alpha in sorted(out.toLocalIterator()):
             weights = weights + np.frombuffer(moved)
             bias += moved_bias
