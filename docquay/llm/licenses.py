@@ -1,13 +1,15 @@
 """Licence scan: sentence rules.
 
-Texts are cut into sentences, sentences are normalised and mapped to the identifiers of
-known licence sentences, and the identifiers of a text, in order, are matched against
-ordered rules: a rule holds where its sentences follow one another among the recognised
-ones, with at most ``gap`` other sentences in between.
+Texts are cut into sentences, consecutive sentences whose normalised words are together those
+of a known licence sentence are mapped to its identifier, and the identifiers of a text, in
+order, are matched against ordered rules: a rule holds where its sentences follow one another
+among the recognised ones, with at most ``gap`` other sentences in between.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,6 +83,7 @@ RULES = (
 #: A sentence ends at a line end, or at . ! ? : ; that white space follows.
 SENTENCE_END = r"[\r\n]+|(?<=[.!?:;])[ \t]+"
 NOT_WORD = r"[^\p{L}\p{N}]+"
+WORD = r"[\p{L}\p{N}]"
 #: So many sentences may stand between two of a rule.
 GAP = 2
 
@@ -90,6 +93,16 @@ def normal_sentence(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(ascii_lower(sentence), NOT_WORD, " "))
 
 
+def _starts(norms: list[str]) -> str:
+    """Pattern of what a known sentence may begin with: its first two words, or the first alone."""
+    starts = []
+    for words in sorted({tuple(norm.split()[:2]) for norm in norms}):
+        second = rf"|{NOT_WORD}{re.escape(words[1])}(?![\p{{L}}\p{{N}}])" if len(words) > 1 else ""
+        ending = r"[^\p{L}\p{N}]*+$" if second else r"(?![\p{L}\p{N}])"
+        starts.append(rf"{re.escape(words[0])}(?:{ending}{second})")
+    return rf"(?i)^[^\p{{L}}\p{{N}}]*+(?:{'|'.join(starts)})"
+
+
 def sentence_table(spark: SparkSession, sentences: dict[str, str] = SENTENCES) -> DataFrame:
     rows = spark.createDataFrame(list(sentences.items()), "sentence_id string, raw string")
     return rows.select("sentence_id", normal_sentence(F.col("raw")).alias("norm"))
@@ -109,23 +122,46 @@ def license_sentences(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sentences: dict[str, str] = SENTENCES,
 ) -> DataFrame:
-    """``doc_id, row_hash, position, sentence_id``: every known sentence of every text.
+    """``doc_id, row_hash, position, last, sentence_id``: every known sentence of every text.
 
-    Positions count the sentences of the whole text. The words of the known sentences
-    narrow the rest by length before anything is normalised. The rule tables are
-    fixed values of this module or of the caller, so their broadcast is bounded.
+    Positions count the sentences of the whole text. A known sentence may stand on several
+    consecutive ones, from ``position`` to ``last``: line ends and marks inside it do not
+    matter, as when its text is wrapped. Its first two words narrow the places down before
+    anything is normalised. The rule tables are fixed values of this module or of the caller,
+    so their broadcast is bounded.
     """
     spark = docs.sparkSession
-    known = sentence_table(spark, sentences)
+    known = sentence_table(spark, sentences).where("norm <> ''")
+    norms = [r.norm for r in known.select("norm").collect()]
+    # Every further piece that matters has a word; pieces without one are left out of the count.
+    most = max((len(norm.split()) for norm in norms), default=0)
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("row_hash"),
-        F.posexplode(F.split(F.col(text_col), SENTENCE_END)).alias("position", "__raw"),
+        F.split(F.col(text_col), SENTENCE_END).alias("__raw"),
+    )
+    if not norms:
+        rows = rows.where(F.lit(False))
+    pieces = F.transform("__raw", lambda x, i: F.struct(i.alias("position"), x.alias("raw")))
+    rows = rows.where(F.exists("__raw", lambda x: x.rlike(_starts(norms))))
+    # Exploded, the pieces are a column that is made once, not once for each run below.
+    full = F.explode(F.array(F.filter(pieces, lambda x: x["raw"].rlike(WORD))))
+    rows = rows.select("doc_id", "row_hash", full.alias("__full"))
+    # A run of pieces from each place where a known sentence may begin.
+    runs = F.transform("__full", lambda x, i: F.when(
+        x["raw"].rlike(_starts(norms)), F.slice("__full", i + 1, most)
+    ))
+    rows = rows.select(
+        "doc_id", "row_hash", F.explode(F.filter(runs, lambda x: x.isNotNull())).alias("__run")
+    )
+    rows = rows.select("doc_id", "row_hash", "__run", F.explode(F.sequence(F.lit(1), F.size("__run"))).alias("__n"))
+    rows = rows.select(
+        "doc_id", "row_hash", F.col("__run")[0]["position"].alias("position"),
+        F.col("__run")[F.col("__n") - 1]["position"].alias("last"),
+        normal_sentence(F.array_join(F.slice(F.col("__run.raw"), F.lit(1), F.col("__n")), " ")).alias("norm"),
     )
-    rows = rows.where(F.length("__raw") >= min(map(len, sentences.values()), default=0))
-    rows = rows.withColumn("norm", normal_sentence(F.col("__raw")))
     return rows.join(F.broadcast(known), "norm").select(
-        "doc_id", "row_hash", "position", "sentence_id"
+        "doc_id", "row_hash", "position", "last", "sentence_id"
     )
 
 
@@ -136,8 +172,9 @@ def license_matches(
     """``doc_id, row_hash, rule, license, first_position, last_position`` of every match.
 
     A match of ``k`` steps is grown step by step: the next sentence of the rule must be
-    among those recognised within ``gap`` + 1 sentences behind. Each step is an equi-join on
-    document and position, so a text that repeats a sentence costs as much as it is long.
+    among those recognised within ``gap`` + 1 sentences behind the last one of the step before.
+    Each step is an equi-join on document and position, so a text that repeats a sentence costs
+    as much as it is long.
     Equal rows (same identifier and text) give the matches of one.
     """
     spark = docs.sparkSession
@@ -146,7 +183,7 @@ def license_matches(
     tagged = found.join(steps, "sentence_id")
     live = tagged.where("step = 0").select(
         "doc_id", "row_hash", "rule", "license", "steps",
-        F.col("position").alias("first_position"), F.col("position").alias("last_position"),
+        F.col("position").alias("first_position"), F.col("last").alias("last_position"),
     )
     done = live.where("steps = 1")
     key = ["doc_id", "row_hash", "rule"]
@@ -154,12 +191,12 @@ def license_matches(
         reach = F.explode(F.sequence(F.lit(1), F.lit(gap + 1)))
         ahead = live.where(F.col("steps") > k).withColumn("__d", reach)
         ahead = ahead.withColumn("position", F.col("last_position") + F.col("__d"))
-        step = tagged.where(F.col("step") == k).select(*key, "position")
+        step = tagged.where(F.col("step") == k).select(*key, "position", "last")
         same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in [*key, "position"]]
         live = (
-            ahead.alias("l").join(step.alias("r"), same).select("l.*")
+            ahead.alias("l").join(step.alias("r"), same).select("l.*", "r.last")
             .groupBy(*key, "license", "steps", "first_position")
-            .agg(F.min("position").alias("last_position"))
+            .agg(F.min("last").alias("last_position"))
         )
         done = done.unionByName(live.where(F.col("steps") == k + 1))
     return done.drop("steps")

@@ -1,6 +1,7 @@
 """Operators on small inputs against plain versions: nulls, empty and long texts, ties, repeats."""
 
 import random
+import textwrap
 from collections import defaultdict
 
 import numpy as np
@@ -342,6 +343,25 @@ def test_licenses(spark):
     assert got == sorted(want, key=repr)
 
 
+def test_every_licence_rule_wrapped_and_unwrapped(spark):
+    rows, want = [], []
+    for k, (_, spdx, ids) in enumerate(licenses.RULES):
+        whole = ". ".join(licenses.SENTENCES[s] for s in ids) + "."
+        paragraphs = "\n\n".join(textwrap.fill(licenses.SENTENCES[s] + ".", 40) for s in ids)
+        comment = "\r\n".join(f" * {x}" for x in textwrap.wrap(whole, 72))
+        forms = [whole, textwrap.fill(whole, 70), textwrap.fill(whole, 25), paragraphs, comment,
+                 f"Title line\n{textwrap.fill(whole, 60)}\nnext line"]
+        for n, text in enumerate(forms):
+            rows.append((10 * k + n, text))
+            want.append((10 * k + n, spdx))
+        rows.append((10 * k + 9, whole.rpartition(" ")[0]))
+    got = {r.doc_id: r for r in licenses.license_scan(table(spark, rows)).collect()}
+    assert [(k, got[k].licenses) for k, _ in want] == want
+    gpl = 10 * [r[0] for r in licenses.RULES].index("gpl-2")
+    assert (got[gpl].n_matches, got[gpl].n_sentences, got[gpl].first_position) == (1, 4, 0)
+    assert got[gpl + 9].licenses == ""
+
+
 def test_preferences(spark):
     draw = random.Random(8)
     pairs, rows = {}, []
