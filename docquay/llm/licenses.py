@@ -174,7 +174,8 @@ def license_matches(
     A match of ``k`` steps is grown step by step: the next sentence of the rule must be
     among those recognised within ``gap`` + 1 sentences behind the last one of the step before.
     Each step is an equi-join on document and position, so a text that repeats a sentence costs
-    as much as it is long.
+    as much as it is long. All places a step reaches are carried on; a match is reported once
+    for each place where it begins, with the first place where it ends.
     Equal rows (same identifier and text) give the matches of one.
     """
     spark = docs.sparkSession
@@ -194,12 +195,16 @@ def license_matches(
         step = tagged.where(F.col("step") == k).select(*key, "position", "last")
         same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in [*key, "position"]]
         live = (
-            ahead.alias("l").join(step.alias("r"), same).select("l.*", "r.last")
-            .groupBy(*key, "license", "steps", "first_position")
-            .agg(F.min("last").alias("last_position"))
+            ahead.alias("l").join(step.alias("r"), same)
+            .select(
+                *[f"l.{c}" for c in [*key, "license", "steps", "first_position"]],
+                F.col("r.last").alias("last_position"),
+            ).distinct()
         )
         done = done.unionByName(live.where(F.col("steps") == k + 1))
-    return done.drop("steps")
+    return done.groupBy(*key, "license", "first_position").agg(
+        F.min("last_position").alias("last_position")
+    )
 
 
 def license_scan(

@@ -362,6 +362,16 @@ def test_every_licence_rule_wrapped_and_unwrapped(spark):
     assert got[gpl + 9].licenses == ""
 
 
+def test_licence_steps_reach_on_and_short_raw_sentences(spark):
+    known = {"a": "Alpha one", "b": "Beta two", "c": "Gamma", "m": "(MIT) License."}
+    rules = (("r", "ABC", ("a", "b", "c")), ("m", "MIT", ("m",)))
+    rows = [(1, "Alpha one. Beta two. x. Beta two. y. z. Gamma."), (2, "Alpha one. Beta two. x. x. x. Gamma."),
+            (3, "MIT License"), (4, "MIT Licenses"), (5, "The MIT License")]
+    got = licenses.license_matches(table(spark, rows), sentences=known, rules=rules).collect()
+    assert sorted((r.doc_id, r.license, r.first_position, r.last_position) for r in got) == [(1, "ABC", 0, 6), (3, "MIT", 0, 0)]
+    assert licenses.license_scan(table(spark, rows), sentences={}, rules=()).count() == 5
+
+
 def test_preferences(spark):
     draw = random.Random(8)
     pairs, rows = {}, []
