@@ -87,7 +87,8 @@ def find_matches(
 
     ``phrase`` has every place where all terms of a window follow one another. ``near``
     has the places where its rarest term stands and the second rarest is at most ``slop``
-    words off its place; phrases of more than one distinct term are among them.
+    words off its place, among the terms that occur at all; phrases of more than one distinct
+    term are among them.
     """
     staging = stage_for(docs.sparkSession)
     rows = _keyed(docs, id_col, text_col)
@@ -100,22 +101,22 @@ def find_matches(
 
     seen = _tokens(rows).join(terms, "term").groupBy("term").agg(F.count("*").alias("seen"))
     seen = staging.table(seen.coalesce(1), "seen")
-    rarest = W.partitionBy("win").orderBy("seen", "term", "offset")
-    # One offset per term of a window; a window with a term that no text has cannot occur.
+    rarest = W.partitionBy("win").orderBy(F.col("seen").asc_nulls_last(), "term", "offset")
+    # One offset per term of a window; with a term that no text has it can only be near.
     ranked = (
         spots.groupBy("win", "length", "term").agg(F.min("offset").alias("offset"))
         .join(seen, "term", "left").withColumn("rank", F.row_number().over(rarest))
         .withColumn("possible", F.count("seen").over(W.partitionBy("win")) == F.count("*").over(W.partitionBy("win")))
-        .where("possible and rank <= 2")
+        .where("seen is not null and rank <= 2")
     )
-    seeds = staging.table(ranked.select("win", "length", "term", "offset", "rank").coalesce(1), "seeds")
+    seeds = staging.table(ranked.select("win", "length", "term", "offset", "rank", "possible").coalesce(1), "seeds")
     first, second = seeds.where("rank = 1").drop("rank"), seeds.where("rank = 2").drop("rank")
 
     listed = staging.table(seeds.select("term").distinct().coalesce(1), "listed")
     postings = staging.table(_tokens(rows).join(listed, "term").distinct(), "postings")
 
     starts = postings.join(first, "term").where(F.col("position") >= F.col("offset")).select(
-        *DOC, "win", "length", (F.col("position") - F.col("offset")).alias("start")
+        *DOC, "win", "length", (F.col("position") - F.col("offset")).alias("start"), "possible"
     )
     # The second list, where a window has two distinct terms, with its places shifted by up to slop.
     shifts = F.explode(F.sequence(F.lit(-slop), F.lit(slop)))
@@ -123,10 +124,12 @@ def find_matches(
     expected = expected.withColumn("position", F.col("start") + F.col("offset") + F.col("shift"))
     paired = expected.alias("l").join(
         postings.alias("r"), _same([*DOC, "term", "position"])
-    ).select(*[f"l.{c}" for c in [*DOC, "win", "length", "start", "shift"]])
+    ).select(*[f"l.{c}" for c in [*DOC, "win", "length", "start", "shift", "possible"]])
     paired = staging.table(paired, "paired")
-    alone = starts.join(second.select("win"), "win", "left_anti").select(*DOC, "win", "length", "start")
-    exact = paired.where("shift = 0").drop("shift").unionByName(alone)
+    alone = starts.where("possible").join(second.select("win"), "win", "left_anti").select(
+        *DOC, "win", "length", "start"
+    )
+    exact = paired.where("possible and shift = 0").drop("shift", "possible").unionByName(alone)
     exact = staging.table(exact, "exact")
 
     # All other terms, in the documents that still matter: every offset must be found.

@@ -343,6 +343,13 @@ def test_licenses(spark):
     assert got == sorted(want, key=repr)
 
 
+def test_near_window_with_a_term_that_no_text_has(spark):
+    items = spark.createDataFrame([(1, "ab bc cd de ef fg gh hi ij unseen")], "item_id int, text string")
+    rows = [(1, "x ab bc cd de ef fg gh hi ij other y"), (2, "ab only"), (3, "bc ab")]
+    got = decontamination.contamination(table(spark, rows), items).collect()
+    assert sorted((r.doc_id, r.n_hit, r.n_items, r.n_near) for r in got) == [(1, 0, 0, 1), (2, 0, 0, 0), (3, 0, 0, 0)]
+
+
 def test_every_licence_rule_wrapped_and_unwrapped(spark):
     rows, want = [], []
     for k, (_, spdx, ids) in enumerate(licenses.RULES):
