@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from docquay.llm import (
     chat,
+    conversation_repair,
     decontamination,
     exact_dedup,
     jaccard_join,
@@ -218,6 +219,107 @@ FROM full_t WHERE NOT in_prompt OR side = 'chosen'
 """
 
 
+#: CRC-32 of an ASCII text ``s``, as DuckDB has none.
+CRC32_TABLE = """(SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS cells)"""
+CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(string_split({s}, ''), lambda x: ord(x)::BIGINT)),
+    lambda c, b: xor(c >> 8, cells[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns with faults that a hash of conversation and turn chooses: one of 20 rows each."""
+    space = F.lit(" ")
+    named = [F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")]
+    key = F.concat_ws(":", *named)
+    fault = F.crc32(F.encode(key, "utf-8")) % 20
+    role, text = F.coalesce("role", space), F.coalesce("text", space)
+    rows = turns.withColumn("fault", fault).where(F.col("fault") != 0).select(
+        "conv_id", "turn",
+        F.when(F.col("fault") == 4, F.lit("user")).otherwise(role).alias("role"),
+        F.when(F.col("fault") == 1, F.lit("")).when(F.col("fault") == 2, F.regexp_replace(text, "[.!?]", ""))
+        .otherwise(text).alias("text"),
+        F.explode(F.array_repeat("fault", F.when(F.col("fault") == 3, 2).otherwise(1))).alias("fault"),
+    )
+    return rows.drop("fault")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations")
+    repaired = conversation_repair.repair_conversations(damaged(turns))
+    every = turns.select("conv_id").distinct().alias("l")
+    same = F.col("l.conv_id").eqNullSafe(F.col("r.conv_id"))
+    return every.join(repaired.alias("r"), same, "left").select(
+        "l.conv_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in conversation_repair.COUNTS],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"),
+    )
+
+
+OP11_SQL = rf"""
+WITH RECURSIVE crc AS {CRC32_TABLE},
+code AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {CRC32.format(s="coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS fault
+  FROM conversations, crc),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM code WHERE fault <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS cut
+  FROM damaged),
+row_ AS (
+  SELECT *, left(role, 1) AS r, cut = '' AS blank,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+         right(cut, 1) NOT IN ('.', '!', '?') AS short,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM placed),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
+         count(*) FILTER (short AND NOT blank AND NOT again) AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || r NOT IN ('su', 'ua', 'au')) AS illegal,
+         count(*) AS n
+  FROM row_ GROUP BY conv_id),
+way(a, ins, b, added) AS (VALUES
+  ('n', '', 'n', ''), ('n', 'I', 'u', 'u'), ('n', 'II', 'a', 'ua'),
+  ('s', '', 's', ''), ('s', 'I', 'u', 'u'), ('s', 'II', 'a', 'ua'),
+  ('u', '', 'u', ''), ('u', 'I', 'a', 'a'), ('a', '', 'a', ''), ('a', 'I', 'u', 'u')),
+step(conv_id, i, q, cost, audit, out_text) AS (
+  SELECT conv_id, 0::BIGINT, 'n', 0::BIGINT, '', []::VARCHAR[] FROM counted
+  UNION ALL
+  SELECT conv_id, i, q, min(cost), arg_min(audit, (cost, audit)), arg_min(out_text, (cost, audit))
+  FROM (
+    SELECT s.conv_id, x.i, m.b AS q, s.audit || w.ins || m.letter AS audit,
+           s.cost + 3 * len(w.ins) + m.price + CASE WHEN x.short AND m.letter <> 'D' THEN 3 ELSE 0 END AS cost,
+           s.out_text || list_transform(list_filter(string_split(w.added, ''), lambda c: c <> ''),
+                lambda c: CASE c WHEN 'u' THEN 'user:' ELSE 'assistant:' END)
+             || CASE m.letter WHEN 'D' THEN []::VARCHAR[] WHEN 'K' THEN [x.role || ':' || x.text]
+                ELSE [CASE m.b WHEN 'u' THEN 'user:' ELSE 'assistant:' END || x.text] END AS out_text
+    FROM step s JOIN row_ x ON s.conv_id IS NOT DISTINCT FROM x.conv_id AND x.i = s.i + 1
+    JOIN way w ON w.a = s.q
+    JOIN (VALUES ('n', 'D', 'n', 4), ('s', 'D', 's', 4), ('u', 'D', 'u', 4), ('a', 'D', 'a', 4),
+                 ('n', 'R', 'u', 3), ('s', 'R', 'u', 3), ('a', 'R', 'u', 3), ('u', 'R', 'a', 3),
+                 ('n', 'K', 's', 0), ('n', 'K', 'u', 0), ('s', 'K', 'u', 0), ('a', 'K', 'u', 0), ('u', 'K', 'a', 0)
+         ) m(a, letter, b, price) ON m.a = w.b
+    WHERE m.letter = 'D' OR NOT x.blank AND NOT x.again AND (m.letter = 'R' OR m.b = x.r)
+  ) GROUP BY conv_id, i, q),
+ended AS (
+  SELECT conv_id, min(cost + 3 * len(ins)) AS cost, min((cost + 3 * len(ins), audit || ins)) AS best,
+         arg_min(out_text || list_transform(list_filter(string_split(added, ''), lambda c: c <> ''),
+                lambda c: CASE c WHEN 'u' THEN 'user:' ELSE 'assistant:' END),
+                (cost + 3 * len(ins), audit || ins)) AS out_text
+  FROM step JOIN way ON a = q JOIN counted USING (conv_id) WHERE i = n AND b IN ('n', 'a') GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+       coalesce(best[2], '') AS audit, sha256(coalesce(array_to_string(out_text, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted USING (conv_id) LEFT JOIN ended USING (conv_id)
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -233,5 +335,6 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_jaccard_join": (op8_jaccard_join, OP8_SQL),
     "op9_mixing": (op9_mixing, OP9_SQL),
     "op10_chat_formatting": (op10_chat_formatting, OP10_SQL),
+    "op11_conversation_repair": (op11_conversation_repair, OP11_SQL),
     "pipeline": (pipeline, None),
 }
