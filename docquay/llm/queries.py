@@ -19,9 +19,10 @@ from docquay.llm import (
     line_dedup,
     lm_scoring,
     mixing,
+    prefix_trie,
     quality,
 )
-from docquay.llm.common import fold, read_table
+from docquay.llm.common import fold, read_table, stage_for
 from docquay.llm.quality import labelled_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -320,6 +321,76 @@ FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted USING (con
 """
 
 
+def rebuilt_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Conversations that begin with up to three turns of the one their block of 20 begins with.
+
+    Returns every conversation, and their turns with depths from 1. A conversation is joined by
+    blocks of turns, so that a long one is spread.
+    """
+    block = F.floor(F.col("place") / prefix_trie.LEVELS)
+    placed = stage_for(turns.sparkSession).table(prefix_trie.placed_turns(turns), "placed")
+    taken = F.crc32(F.encode(F.col("conv_id").cast("string"), "utf-8")) % 4
+    every = placed.groupBy("conv_id").agg((F.max("place") + 1).alias("length"))
+    every = every.withColumns({"base": F.col("conv_id") - F.col("conv_id") % 20, "taken": taken})
+    bases = every.where("conv_id = base").select("base", F.col("length").alias("has"))
+    every = every.join(bases, "base", "left")
+    every = every.withColumn("n_head", F.least("taken", F.coalesce("has", F.lit(0))))
+    heads = placed.where("conv_id % 20 = 0 AND place < 3").withColumnRenamed("conv_id", "base")
+    heads = every.select("conv_id", "base", "n_head").join(heads, "base").where("place < n_head")
+    spread = every.select("conv_id", "taken", "n_head", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.floor((F.col("length") - 1) / prefix_trie.LEVELS))).alias("block"))
+    own = placed.withColumn("block", block).join(spread, ["conv_id", "block"]).where("place >= taken")
+    own = own.withColumn("place", F.col("place") - F.col("taken") + F.col("n_head"))
+    columns = ["conv_id", (F.col("place") + 1).alias("depth"), "role", "text"]
+    return every.select("conv_id"), heads.select(*columns).unionByName(own.select(*columns))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    every, turns = rebuilt_conversations(read_table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(every, turns)
+
+
+OP13_SQL = rf"""
+WITH crc AS {CRC32_TABLE},
+placed AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+conv AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, {CRC32.format(s="conv_id::VARCHAR")} % 4 AS taken
+  FROM (SELECT DISTINCT conv_id FROM placed), crc),
+rebuilt AS (
+  SELECT c.conv_id, 0 AS part, place, role, text FROM conv c JOIN placed p ON p.conv_id = c.base AND place < taken
+  UNION ALL
+  SELECT c.conv_id, 1, place, role, text FROM conv c JOIN placed p ON p.conv_id = c.conv_id AND place >= taken),
+path AS (
+  SELECT conv_id, count(*) OVER w AS depth, list((role, text)) OVER w AS turns, text FROM rebuilt
+  WINDOW w AS (PARTITION BY conv_id ORDER BY part, place ROWS UNBOUNDED PRECEDING)
+  UNION ALL SELECT conv_id, 0, [], '' FROM conv),
+member AS (
+  SELECT conv_id, depth, text, min(conv_id) OVER n AS rep, count(*) OVER n AS n_convs,
+         max(depth) OVER (PARTITION BY conv_id) = depth AS ends
+  FROM path WINDOW n AS (PARTITION BY depth, turns)),
+node AS (
+  SELECT rep AS conv_id, depth, n_convs,
+         (n_convs - 1) * len(regexp_extract_all(any_value(text), '[^ 	-]+')) AS saved,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM member GROUP BY rep, depth, n_convs),
+link AS (
+  SELECT n.conv_id, n.depth, m.rep AS up, m.depth AS up_depth, n.saved
+  FROM node n JOIN member m ON m.conv_id = n.conv_id AND m.depth <= n.depth),
+child AS (SELECT up, up_depth, count(*) AS n FROM link WHERE up_depth = depth - 1 GROUP BY ALL),
+below AS (
+  SELECT l.up, l.up_depth, sum(l.saved) AS saved, count(*) FILTER (c.n IS NULL) AS leaves
+  FROM link l LEFT JOIN child c ON c.up = l.conv_id AND c.up_depth = l.depth GROUP BY ALL)
+SELECT n.conv_id, n.depth, p.up AS parent_conv_id, n_convs, coalesce(c.n, 0) AS n_children, b.leaves AS n_leaves,
+       b.saved::BIGINT AS saved_tokens, ends_sha256
+FROM node n JOIN below b ON b.up = n.conv_id AND b.up_depth = n.depth
+LEFT JOIN child c ON c.up = n.conv_id AND c.up_depth = n.depth
+LEFT JOIN link p ON p.conv_id = n.conv_id AND p.depth = n.depth AND p.up_depth = n.depth - 1
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -336,5 +407,6 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op9_mixing": (op9_mixing, OP9_SQL),
     "op10_chat_formatting": (op10_chat_formatting, OP10_SQL),
     "op11_conversation_repair": (op11_conversation_repair, OP11_SQL),
+    "op13_prefix_trie": (op13_prefix_trie, OP13_SQL),
     "pipeline": (pipeline, None),
 }
