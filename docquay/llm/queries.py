@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import corpus_pipeline
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquay.llm import (
@@ -19,6 +19,7 @@ from docquay.llm import (
     line_dedup,
     lm_scoring,
     mixing,
+    personal_data,
     prefix_trie,
     quality,
 )
@@ -321,6 +322,20 @@ FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted USING (con
 """
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = personal_data.personal_data(read_table(spark, sf_dir, "documents"))
+
+    def count(number: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == number)).cast("long")
+
+    counts = [count(n).alias(f"n_{kind}") for n, kind in enumerate(personal_data.KINDS)]
+    every = F.array_sort(F.concat("base", "found"))
+    return rows.select(
+        "doc_id", *counts, F.sha2(personal_data.span_text(F.col("base")), 256).alias("base_sha256"),
+        personal_data.span_text(every).alias("spans"),
+    )
+
+
 def rebuilt_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Conversations that begin with up to three turns of the one their block of 20 begins with.
 
@@ -373,7 +388,8 @@ member AS (
   FROM path WINDOW n AS (PARTITION BY depth, turns)),
 node AS (
   SELECT rep AS conv_id, depth, n_convs,
-         (n_convs - 1) * len(regexp_extract_all(any_value(text), '[^ 	-]+')) AS saved,
+         (n_convs - 1) * len(regexp_extract_all(any_value(text), '[^ 	-
+]+')) AS saved,
          sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
   FROM member GROUP BY rep, depth, n_convs),
 link AS (
@@ -407,6 +423,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op9_mixing": (op9_mixing, OP9_SQL),
     "op10_chat_formatting": (op10_chat_formatting, OP10_SQL),
     "op11_conversation_repair": (op11_conversation_repair, OP11_SQL),
+    "op12_personal_data": (op12_personal_data, None),
     "op13_prefix_trie": (op13_prefix_trie, OP13_SQL),
     "pipeline": (pipeline, None),
 }
