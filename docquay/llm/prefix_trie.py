@@ -6,16 +6,18 @@ Totals travel from the deepest level up: nodes are sorted by falling depth, and
 totals wait for its parent in a priority queue that spills to sorted files.
 
 The trie is cut into pieces. A piece begins at every ``LEVELS``-th depth, and where a path
-leaves the nodes that more than ``HEAVY`` conversations share; so it has at most ``HEAVY``
-times ``LEVELS`` rows below one node, or the few heavy nodes of those levels. Pieces are spread
-over shards and give the totals of their roots; a second pass carries those across the roots
-of pieces that have others below them; a third one gives every node its totals.
+leaves the heavy nodes, those that more than the root of the number of conversations share.
+So no piece has more than that root of paths, and a level no more than that root of heavy
+nodes. Pieces are spread over shards and give the totals of their roots; a second pass carries
+those across the roots of pieces that have others below them; a third one gives every node
+its totals.
 """
 
 from __future__ import annotations
 
 import hashlib
 import heapq
+import math
 import tempfile
 from collections.abc import Iterable, Iterator
 
@@ -29,7 +31,6 @@ from docquay.llm.common import running_sum, shuffle_parts, stage_for
 from docquay.sources.staging import Staging
 
 LEVELS = 1024
-HEAVY = 1024
 #: Rows that a heavy node's key is spread over in joins.
 SALTS = 32
 #: Conversation identifiers that are put together before a node's list of them is hashed.
@@ -135,12 +136,13 @@ def _salted(heavy: DataFrame) -> DataFrame:
     return heavy.withColumn("salt", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(SALTS).cast("long"))))
 
 
-def _pieces(paths: DataFrame, nodes: DataFrame, staging: Staging) -> DataFrame:
+def _pieces(paths: DataFrame, nodes: DataFrame, staging: Staging, over: int) -> DataFrame:
     """``nodes`` with the key of the root of their piece (``rd, ra, rb``) and their parent's ``conv_id``.
 
-    Joins with heavy nodes are salted; all others have at most ``HEAVY`` rows of a key.
+    Nodes of more than ``over`` conversations are heavy. Joins with these are salted; all others
+    have at most ``over`` rows of a key.
     """
-    heavy = staging.table(nodes.where(F.col("n_convs") > HEAVY).select(*KEY, "conv_id"), "heavy")
+    heavy = staging.table(nodes.where(F.col("n_convs") > over).select(*KEY, "conv_id"), "heavy")
     below = paths.select("conv_id", "block", *KEY, _salt("conv_id").alias("salt"))
     shared = below.join(_salted(heavy.select(*KEY)), [*KEY, "salt"], "left_semi")
     shared = shared.groupBy("conv_id", "block").agg(F.max("depth").alias("heavy_to"))
@@ -384,7 +386,9 @@ def _ends(paths: DataFrame) -> DataFrame:
     return lists.mapInArrow(run, "depth long, a long, b long, ends_sha256 string")
 
 
-def prefix_trie(conversations: DataFrame, turns: DataFrame, waiting: int = WAITING) -> DataFrame:
+def prefix_trie(
+    conversations: DataFrame, turns: DataFrame, waiting: int = WAITING, heavy: int | None = None
+) -> DataFrame:
     """One row per node of the trie of ``turns``: sizes, children, leaves, saved words and ends.
 
     ``conversations`` has the ``conv_id`` of every conversation, also of those without turns;
@@ -393,12 +397,16 @@ def prefix_trie(conversations: DataFrame, turns: DataFrame, waiting: int = WAITI
     out). Other columns are not looked at. ``conv_id`` is the smallest member and with ``depth`` names the
     node; ``parent_conv_id`` is null at the root. ``saved_tokens`` are the words that members need not
     repeat, over the subtree. Without conversations there is no node. Identifiers are unique numbers.
-    ``waiting`` bounds the totals that a task holds in memory.
+    ``waiting`` bounds the totals that a task holds in memory; ``heavy`` sets how many conversations
+    a node has before it is heavy. Neither changes the result.
     """
     staging = stage_for(turns.sparkSession)
     paths = staging.table(trie_paths(conversations.select("conv_id"), turns), "paths")
     nodes = staging.table(_nodes(paths), "nodes")
-    nodes = staging.table(_pieces(paths, nodes, staging), "pieces")
+    if heavy is None:
+        root = nodes.where("depth = 0").select("n_convs").first()
+        heavy = math.isqrt(root["n_convs"]) if root else 0
+    nodes = staging.table(_pieces(paths, nodes, staging, heavy), "pieces")
     totals = subtree_totals(nodes, staging, waiting)
     empty = F.sha2(F.lit(b""), 256)
     found = nodes.join(totals, list(KEY)).join(_ends(paths), list(KEY), "left")

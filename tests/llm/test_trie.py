@@ -38,12 +38,12 @@ def plain(conversations):
     return sorted(rows)
 
 
-def result(spark, conversations, waiting=trie.WAITING):
+def result(spark, conversations, waiting=trie.WAITING, heavy=None):
     turns = [(c, d, *t) for c, own in conversations.items() for d, t in enumerate(own, 1)]
     table = spark.createDataFrame(
         [(c, None, role, text, d, 7, 7, 7, 7) for c, d, role, text in turns], KINDS)
     every = spark.createDataFrame([(c, "x", 9) for c in conversations], "conv_id long, depth string, length long")
-    rows = trie.prefix_trie(every, table, waiting)
+    rows = trie.prefix_trie(every, table, waiting, heavy)
     assert rows.columns == ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
     return sorted(map(tuple, rows.collect()), key=lambda r: r[:2])
 
@@ -70,12 +70,11 @@ def test_trie(spark):
 def test_pieces_and_spilling(spark, monkeypatch, levels, heavy, waiting):
     """Paths over many blocks, nodes that many share, queues that hold next to nothing."""
     monkeypatch.setattr(trie, "LEVELS", levels)
-    monkeypatch.setattr(trie, "HEAVY", heavy)
     conversations = drawn(levels, 200, 5)
     trunk = [("user", str(k)) for k in range(40)]
     conversations.update({70_000 + k: trunk[: 5 + k] for k in range(35)})
     conversations.update({80_000 + k: [("user", "same")] * 3 for k in range(60)})
-    assert result(spark, conversations, waiting) == plain(conversations)
+    assert result(spark, conversations, waiting, heavy) == plain(conversations)
 
 
 def test_no_conversations(spark):
