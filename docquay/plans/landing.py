@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from docquay.functions.naming import (
     LANDING_ZONE,
@@ -191,16 +192,24 @@ def metadata_changes(
     )
 
 
-def landed_index(spark: SparkSession, root: str) -> DataFrame:
-    """Index rows of all committed runs that the current objects are made of."""
-    return read_batches(spark, f"{root}/{INDEX}", OBJECT_INDEX, RunLog(spark, f"{root}/{RUNS}").state())
+def landed_index(spark: SparkSession, root: str, runs: list[int] | None = None) -> DataFrame:
+    """Index rows of some runs, or of all that the current objects are made of."""
+    runs = RunLog(spark, f"{root}/{RUNS}").state() if runs is None else runs
+    return read_batches(spark, f"{root}/{INDEX}", OBJECT_INDEX, runs)
 
 
-def landed_history(spark: SparkSession, root: str) -> DataFrame:
-    runs = RunLog(spark, f"{root}/{RUNS}").state()
+def landed_history(spark: SparkSession, root: str, runs: list[int] | None = None) -> DataFrame:
+    """Metadata rows of some runs, or of all that the current records are made of."""
+    runs = RunLog(spark, f"{root}/{RUNS}").state() if runs is None else runs
     return read_batches(spark, f"{root}/{METADATA}", with_markers(LANDING), runs)
 
 
+def has_metadata(spark: SparkSession, root: str, run: int) -> bool:
+    """Whether the metadata of a run is still there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{METADATA}/{BATCH}={run}")
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def landed_records(spark: SparkSession, root: str) -> DataFrame:
     """Current landing records of all months."""
     return current_rows(landed_history(spark, root), "identifier", *ARRIVAL).select(*LANDING_FIELDS)
@@ -213,6 +222,41 @@ def content_of(spark: SparkSession, root: str, wanted: DataFrame) -> DataFrame:
     return pick_rows(content.withColumnRenamed(BATCH, "content_batch"), wanted, "file_name", "content_batch")
 
 
+def rival_marks(mine: DataFrame, others: DataFrame) -> DataFrame:
+    """Marks for records that two runs have put into different months without knowing of each other.
+
+    The older version is marked with the order of the newer one, so a scan of its month finds
+    that it has moved.
+    """
+    place = F.struct(*ARRIVAL, BATCH, "partition_date")
+    a = mine.where(~F.col(DELETED)).select("identifier", place.alias("a"))
+    b = others.where(~F.col(DELETED)).select("identifier", place.alias("b"))
+    pairs = a.join(b, "identifier").where(~F.col("a.partition_date").eqNullSafe(F.col("b.partition_date")))
+    pairs = pairs.select("identifier", F.least("a", "b").alias("old"), F.greatest("a", "b").alias("new"))
+    return pairs.select(
+        "identifier", "old.partition_date", *[F.col("new")[c].alias(c) for c in ARRIVAL],
+        F.lit(True).alias(DELETED),
+    )
+
+
+def commit_run(
+    spark: SparkSession, log: RunLog, number: int, seen: list[int], metadata: str, schema: StructType,
+    tag: str = "",
+) -> None:
+    """Agree with runs that have become ready meanwhile, then commit.
+
+    Whatever two runs do not know of each other, the one that is ready last adds its marks to its
+    own batch, before it can be read.
+    """
+    log.ready(number)
+    rivals = log.rivals(number, seen)
+    if rivals:
+        schema = with_markers(schema)
+        mine, others = (read_batches(spark, metadata, schema, n) for n in ([number], rivals))
+        append_batch(rival_marks(mine, others), metadata, number, "partition_date", more=True)
+    log.commit(number, tag)
+
+
 @dataclass(frozen=True)
 class Landed:
     """What a landing run did: every item and the outcome per identifier.
@@ -226,54 +270,88 @@ class Landed:
     staging: Staging
 
 
+class LandingRun:
+    """One landing run below ``root``: it reads the state when it is made, writes, and is committed.
+
+    Between these steps any other run may read, write, commit or compact.
+    """
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self.spark, self.root = spark, root
+        self.log = RunLog(spark, f"{root}/{RUNS}")
+        self.batch = self.log.claim()
+        self.seen = self.log.committed()
+        self.index, self.history = landed_index(spark, root), landed_history(spark, root)
+
+    def write(self, fetches: DataFrame) -> Landed:
+        """Write all tables of the run; nothing of it is read before :meth:`commit`."""
+        root, batch = self.root, self.batch
+        work = Staging(self.spark, root)
+        items = work.table(landing_items(fetches), "items")
+        require_unique(items, "fetch_id")
+
+        arrived = arrived_objects(items)
+        stored = work.table(current_objects(stored_rows_of(self.index, arrived, "file_name")), "stored")
+        newer = work.table(newer_objects(arrived, stored), "newer")
+        wanted = work.table(changed_objects(newer, stored), "wanted")
+        picked = pick_rows(fetches, wanted, "fetch_id")
+        append_batch(object_content(picked), f"{root}/{CONTENT}", batch)
+        append_batch(index_changes(newer, wanted, stored, batch), f"{root}/{INDEX}", batch)
+        append_batch(rejected_items(items), f"{root}/{QUARANTINE}", batch)
+
+        records = records_to_merge(items)
+        known = stored_rows_of(self.history, records, "identifier")
+        current = work.table(current_rows(known, "identifier", *ARRIVAL), "current")
+        merged = work.table(
+            upsert(current, records, "identifier", LANDING_FIELDS, keep_untouched=False, order=ARRIVAL),
+            "merged",
+        )
+        append_batch(
+            metadata_changes(merged, current, ARRIVAL), f"{root}/{METADATA}", batch, "partition_date"
+        )
+        return Landed(batch, items, merged.select("identifier", "outcome"), work)
+
+    def commit(self, tag: str = "") -> None:
+        metadata = f"{self.root}/{METADATA}"
+        commit_run(self.spark, self.log, self.batch, self.seen, metadata, LANDING, tag)
+
+
 def land(spark: SparkSession, fetches: DataFrame, root: str, tag: str = "") -> Landed:
     """Land fetched documents below ``root``, as one run.
 
     All tables of the run become visible together, by its commit. Of several fetches of
-    one identifier or object the last by ``ARRIVAL`` counts, also against what earlier runs have
+    one identifier or object the last by ``ARRIVAL`` counts, also against what other runs have
     stored: a late one loses. ``fetch_id`` must be unique. ``tag`` names what is landed.
     """
-    log = RunLog(spark, f"{root}/{RUNS}")
-    index, history = landed_index(spark, root), landed_history(spark, root)
-    batch = log.claim()
-    work = Staging(spark, root)
-    items = work.table(landing_items(fetches), "items")
-    require_unique(items, "fetch_id")
-
-    arrived = arrived_objects(items)
-    stored = work.table(current_objects(stored_rows_of(index, arrived, "file_name")), "stored")
-    newer = work.table(newer_objects(arrived, stored), "newer")
-    wanted = work.table(changed_objects(newer, stored), "wanted")
-    picked = pick_rows(fetches, wanted, "fetch_id")
-    append_batch(object_content(picked), f"{root}/{CONTENT}", batch)
-    append_batch(index_changes(newer, wanted, stored, batch), f"{root}/{INDEX}", batch)
-    append_batch(rejected_items(items), f"{root}/{QUARANTINE}", batch)
-
-    records = records_to_merge(items)
-    known = stored_rows_of(history, records, "identifier")
-    current = work.table(current_rows(known, "identifier", *ARRIVAL), "current")
-    merged = work.table(
-        upsert(current, records, "identifier", LANDING_FIELDS, keep_untouched=False, order=ARRIVAL),
-        "merged",
-    )
-    append_batch(
-        metadata_changes(merged, current, ARRIVAL), f"{root}/{METADATA}", batch, "partition_date"
-    )
-    log.commit(batch, tag)
-    return Landed(batch, items, merged.select("identifier", "outcome"), work)
+    run = LandingRun(spark, root)
+    landed = run.write(fetches)
+    run.commit(tag)
+    return landed
 
 
 def compact(spark: SparkSession, root: str, move_content: bool = False) -> int:
-    """Write the current rows of the landing zone as one run that later reads start from.
+    """Write the current rows of the landing zone as one run that replaces those it has read.
 
     The index says where the bytes of each object are, so content stays where it is. With
     ``move_content`` the current bytes are copied as well, and no earlier batch is needed any
-    more. Do not land at the same time.
+    more. Others may land meanwhile: runs that are not among those read stay visible. While a run
+    is open, marks of moved records are kept for what it may bring.
     """
     log = RunLog(spark, f"{root}/{RUNS}")
-    objects = current_objects(landed_index(spark, root)).drop(BATCH)
-    records = current_rows(landed_history(spark, root), "identifier", *ARRIVAL)
     batch = log.claim()
+    seen, replaced = log.committed(), log.state()
+    # What was open when the state was read is open still, or committed since.
+    others = set(log.open_runs()) | set(log.committed())
+    others -= {batch, *seen}
+    history = landed_history(spark, root, replaced)
+    objects = current_objects(landed_index(spark, root, replaced)).drop(BATCH)
+    records = current_rows(history, "identifier", *ARRIVAL).withColumn(DELETED, F.lit(False))
+    if others:
+        marks = history.where(DELETED).groupBy("identifier", "partition_date").agg(
+            F.max(F.struct(*ARRIVAL)).alias("last")
+        )
+        marks = marks.select("identifier", "partition_date", "last.*", F.lit(True).alias(DELETED))
+        records = records.unionByName(marks, allowMissingColumns=True)
     work = Staging(spark, root)
     objects = work.table(objects, "objects")
     if move_content:
@@ -281,20 +359,24 @@ def compact(spark: SparkSession, root: str, move_content: bool = False) -> int:
         append_batch(moved.select("file_name", "content"), f"{root}/{CONTENT}", batch)
         objects = objects.withColumn("content_batch", F.lit(batch))
     append_batch(objects, f"{root}/{INDEX}", batch)
-    append_batch(
-        records.withColumn(DELETED, F.lit(False)), f"{root}/{METADATA}", batch, "partition_date"
-    )
-    log.commit(batch, base=True)
+    append_batch(records, f"{root}/{METADATA}", batch, "partition_date")
+    log.commit(batch, replaces=replaced)
     work.discard()
     return batch
 
 
-def remove_superseded(spark: SparkSession, root: str) -> list[int]:
-    """Delete content batches that no current object is in, and state before the last base.
+def remove_superseded(spark: SparkSession, root: str, give_up: bool = False) -> list[int]:
+    """Delete content batches that no current object is in, and state that bases have replaced.
 
-    For times when nothing reads or lands. Returns the content batches that are gone.
+    For times when nothing reads. An open run may still point to old content, so nothing is deleted
+    while there is one; with ``give_up`` open runs (lost ones) are ended first and can no longer
+    be committed. Returns the content batches that are gone.
     """
     log = RunLog(spark, f"{root}/{RUNS}")
+    for n in log.open_runs():
+        if not give_up:
+            return []
+        log.give_up(n)
     state = set(log.state())
     needed = current_objects(landed_index(spark, root)).select("content_batch").distinct()
     needed = {r[0] for r in needed.toLocalIterator()}

@@ -44,7 +44,7 @@ ARRIVAL_TYPES = {
 }
 ARRIVAL = tuple(ARRIVAL_TYPES)
 LANDING = table(*LANDING_FIELDS, **ARRIVAL_TYPES)
-TRANSFORMED = table(*TRANSFORMED_FIELDS)
+TRANSFORMED = table(*TRANSFORMED_FIELDS, **ARRIVAL_TYPES)
 # ``content_batch`` is the batch that holds the bytes.
 OBJECT_INDEX = table(
     "file_name", "content_type", "file_hash", content_batch=IntegerType(), **ARRIVAL_TYPES

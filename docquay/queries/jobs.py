@@ -6,6 +6,9 @@ other text, all had other comments, French ones stood in another month.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docquay.functions import naming
@@ -164,6 +167,23 @@ TRANSFORM = TRANSFORM.replace("'landing-zone/'", "'transformed-zone/'").replace(
 )
 
 
+def transform_changes(spark, sf):
+    """Change runs after either landing; the second one only reads the second landing's rows."""
+    root, fetches = run_root(spark), page_fetches(spark, sf)
+    landing.land(spark, _earlier(fetches), root)
+    transforming.transform_changes(spark, root)
+    landing.land(spark, fetches, root)
+    run = transforming.transform_changes(spark, root)
+    stored = transforming.transformed_rows(spark, root)
+    return stored.join(run.outcomes.select("identifier", "outcome"), "identifier")
+
+
+TRANSFORM_CHANGES = TRANSFORM.replace(f"WITH {_TRANSFORMED_SQL}", f"""WITH {_TRANSFORMED_SQL.replace(
+    "SELECT *, in_first AND url NOT LIKE '%/fr/%'", "SELECT * REPLACE (CASE WHEN in_first AND NOT other_content"
+    f" AND url LIKE '%/fr/%' THEN '{OLD_MONTH}' ELSE partition_date END AS partition_date), in_first"
+).replace("AND partition_date <= '2024-06' AS in_first_run", "AS in_first_run")}""")
+
+
 def transformed_object_write(spark, sf):
     """Content written by the second transform run: pending records only."""
     root, run = _two_transforms(spark, sf)
@@ -369,6 +389,23 @@ LAND_LATE = f"""WITH {_LAST_SQL} SELECT identifier, CAST(doc_id AS VARCHAR) AS t
         sha256(text) AS file_hash FROM last"""
 
 
+def land_interleaved(spark, sf):
+    """Three runs and two compactions, each begun before the others are done, read month by month."""
+    root, versions = run_root(spark), _versions(spark, sf)
+    first = landing.LandingRun(spark, root)
+    landing.land(spark, versions.where("doc_id % 3 = 0"), root)
+    second = landing.LandingRun(spark, root)
+    landing.compact(spark, root)
+    first.write(versions.where("doc_id % 3 = 1"))
+    second.write(versions.where("doc_id % 3 = 2"))
+    first.commit()
+    landing.compact(spark, root)
+    second.commit()
+    months = [f"2024-{m:02d}-01" for m in range(1, 13)]
+    scans = [transforming.read_landed(spark, root, m, m) for m in months]
+    return reduce(DataFrame.union, scans).select("identifier", "title", "partition_date", "file_hash")
+
+
 def land_stream_late(spark, sf):
     """A batch run first, then a stream over shuffled files behind a new checkpoint."""
     root, versions = run_root(spark), _versions(spark, sf)
@@ -406,6 +443,8 @@ QUERIES = {
     "transform_report": (transform_report, TRANSFORM_REPORT),
     "transform_after_lost_run": (transform_after_lost_run, TRANSFORM_AFTER_LOST_RUN),
     "land_late": (land_late, LAND_LATE),
+    "land_interleaved": (land_interleaved, LAND_LATE),
+    "transform_changes": (transform_changes, TRANSFORM_CHANGES),
     "land_stream_late": (land_stream_late, LAND_LATE),
     "landing_compact": (landing_compact, LANDING_COMPACT),
     "land": (land, LAND),

@@ -37,8 +37,10 @@ class RunLog:
     """Claims and commits of the runs of a zone, as empty files below ``folder``.
 
     A file is created exclusively, which file systems do atomically: two writers never
-    hold the same number. A commit may name a ``tag`` (what it has processed) and may be a
-    ``base``: from there on the state tables hold all current rows.
+    hold the same number. A run claims its number before it reads, says when it is ready, and is
+    committed last. A commit may name a ``tag`` (what it has processed) and the runs that it
+    *replaces*: its tables hold their current rows. Every other committed run is read, whenever it
+    was claimed or committed, so writers and compactions never wait for each other.
     """
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
@@ -50,6 +52,9 @@ class RunLog:
         found = self._files.globStatus(self._path(f"{self.folder}/{kind}/*")) or []
         return sorted(f.getPath().getName() for f in found)
 
+    def _numbers(self, kind: str) -> list[int]:
+        return [int(n) for n in self._names(kind)]
+
     def _create(self, kind: str, name: str) -> bool:
         self._files.mkdirs(self._path(f"{self.folder}/{kind}"))
         try:
@@ -61,16 +66,48 @@ class RunLog:
 
     def claim(self) -> int:
         """A number above all others, for this run alone."""
-        number = max((int(n) for n in self._names("claimed")), default=-1) + 1
+        number = max(self._numbers("claimed"), default=-1) + 1
         while not self._create("claimed", f"{number:010d}"):
             number += 1
         return number
 
-    def commit(self, number: int, tag: str = "", base: bool = False) -> None:
-        """Make the batches of the run visible, all at once; a tag is taken only once."""
-        kind = "base" if base else "run"
-        if not self._create("committed", f"{number:010d}.{kind}.{tag}"):
-            raise ValueError(f"run {number} is committed already")
+    def ready(self, number: int) -> None:
+        """All batches of the run are written; others may read them, to agree with it."""
+        self._create("ready", f"{number:010d}")
+
+    def rivals(self, number: int, seen: Iterable[int]) -> list[int]:
+        """Other runs that are or may become visible, and that were not when this one read.
+
+        Of two runs that do not know of each other, the one that is ready last finds the other. What
+        replaces other runs brings nothing of its own and is not among them.
+        """
+        waiting = set(self._numbers("ready")) - set(self._numbers("ended"))
+        unseen = (set(self.committed()) | waiting) - set(seen) - {number}
+        return sorted(n for n in unseen if not self.noted(n, "replaces"))
+
+    def commit(self, number: int, tag: str = "", replaces: Iterable[int] = ()) -> None:
+        """Make the batches of the run visible, all at once; a number is committed once."""
+        self.note(number, "replaces", replaces)
+        if not self._create("ended", f"{number:010d}"):
+            raise ValueError(f"run {number} is committed or given up already")
+        kind = "base" if self.noted(number, "replaces") else "run"
+        self._create("committed", f"{number:010d}.{kind}.{tag}")
+
+    def give_up(self, number: int) -> bool:
+        """End a run that is lost; it can no longer be committed. False if it has ended already."""
+        return self._create("ended", f"{number:010d}")
+
+    def open_runs(self) -> list[int]:
+        """Runs that are neither committed nor given up."""
+        return sorted(set(self._numbers("claimed")) - set(self._numbers("ended")))
+
+    def note(self, number: int, kind: str, runs: Iterable[int]) -> None:
+        """Keep numbers of other runs with this one, before it is committed."""
+        for n in runs:
+            self._create(f"{kind}/{number:010d}", f"{n:010d}")
+
+    def noted(self, number: int, kind: str) -> list[int]:
+        return self._numbers(f"{kind}/{number:010d}")
 
     def _commits(self) -> list[tuple[int, str, str]]:
         parts = (n.split(".", 2) for n in self._names("committed"))
@@ -82,23 +119,27 @@ class RunLog:
     def committed(self) -> list[int]:
         return [number for number, _, _ in self._commits()]
 
+    def bases(self) -> dict[int, list[int]]:
+        """Committed runs that replace others, with what they replace."""
+        return {n: self.noted(n, "replaces") for n, kind, _ in self._commits() if kind == "base"}
+
     def state(self) -> list[int]:
-        """Committed runs from the last base on: what the current rows are made of."""
-        commits = self._commits()
-        base = max((number for number, kind, _ in commits if kind == "base"), default=0)
-        return [number for number, _, _ in commits if number >= base]
+        """Committed runs that no committed base replaces: what the current rows are made of."""
+        replaced = {n for runs in self.bases().values() for n in runs}
+        return [n for n in self.committed() if n not in replaced]
 
 
 def append_batch(
-    df: DataFrame, root: str, batch: int, partition_by: str | None = None
+    df: DataFrame, root: str, batch: int, partition_by: str | None = None, more: bool = False
 ) -> None:
     """Write one batch; even file sizes, also when one partition holds most rows.
 
-    It becomes visible when its run is committed. Writing to a batch that exists fails.
+    It becomes visible when its run is committed. Writing to a batch that exists fails, unless
+    ``more`` rows are added before that.
     """
     if partition_by is not None:
         df = df.hint("rebalance", partition_by)
-    writer = df.write.mode("error")
+    writer = df.write.mode("append" if more else "error")
     if partition_by is not None:
         writer = writer.partitionBy(partition_by)
     writer.parquet(f"{root}/{BATCH}={batch}")
@@ -130,9 +171,11 @@ def current_rows(df: DataFrame, key: str, *order: str) -> DataFrame:
     """Current row per key of a batch table, without keys that were moved away.
 
     The last one by ``order``, then by batch. A mark that says a row has moved to another
-    place loses against that row, and wins against what it marks.
+    place loses against that row, and wins against what it marks. Where there is an order, a mark has
+    that of the row moved, whichever run has written it.
     """
-    live = latest_rows(df, key, *[F.col(c) for c in order], F.col(BATCH), ~F.col(DELETED))
+    ties = [~F.col(DELETED), F.col(BATCH)] if order else [F.col(BATCH), ~F.col(DELETED)]
+    live = latest_rows(df, key, *[F.col(c) for c in order], *ties)
     return live.where(~F.col(DELETED)).drop(BATCH, DELETED)
 
 

@@ -156,6 +156,106 @@ def test_lost_run_leaves_nothing(spark, tmp_path, first, written):
     assert spark.read.parquet(f"{root}/{transforming.CONTENT}").count() == 3
 
 
+def month_scans(spark, root):
+    """identifier -> months in which a scan of that month alone finds it."""
+    found = {}
+    for month in ("2024-01", "2024-02", "2024-03"):
+        for r in transforming.read_landed(spark, root, f"{month}-01", f"{month}-28").collect():
+            found.setdefault(r.identifier, []).append((r.partition_date, r.title))
+    return found
+
+
+@pytest.mark.parametrize("newer_first", [True, False])
+@pytest.mark.parametrize("compact_between", [0, 1, 2])
+def test_writers_that_do_not_know_of_each_other(spark, tmp_path, newer_first, compact_between):
+    """Two versions of a record in different months: the later arrival counts, in every scan."""
+    root = str(tmp_path)
+    landing.land(spark, frame(spark, [fetch("A-1", "first", month="2024-01", at=1, title="first")]), root)
+    older, newer = landing.LandingRun(spark, root), landing.LandingRun(spark, root)
+    older.write(frame(spark, [fetch("A-1", "older", month="2024-03", at=2, title="older")]))
+    newer.write(frame(spark, [fetch("A-1", "newer", month="2024-02", at=3, title="newer")]))
+    runs = [newer, older] if newer_first else [older, newer]
+    for k, run in enumerate(runs):
+        if compact_between == 2 - k:
+            landing.compact(spark, root)
+        run.commit()
+    assert month_scans(spark, root) == {"A-1": [("2024-02", "newer")]}
+    landing.compact(spark, root)
+    assert month_scans(spark, root) == {"A-1": [("2024-02", "newer")]}
+    assert b"newer" in objects(spark, root)["A-1.html"]
+
+
+def test_run_committed_after_a_base_stays(spark, tmp_path):
+    log = RunLog(spark, str(tmp_path / "runs"))
+    late, early, base = log.claim(), log.claim(), log.claim()
+    log.commit(early)
+    log.commit(base, replaces=[early])
+    log.commit(late)
+    assert log.state() == [late, base] and log.committed() == [late, early, base]
+    other = log.claim()
+    log.commit(other, replaces=[base])
+    assert log.state() == [late, other]
+
+
+def test_open_runs_keep_what_they_may_need(spark, tmp_path, first):
+    root = str(tmp_path)
+    landing.land(spark, first, root)
+    run = landing.LandingRun(spark, root)
+    landing.compact(spark, root, move_content=True)
+    assert landing.remove_superseded(spark, root) == []
+    run.write(first)
+    run.commit()
+    assert set(objects(spark, root)) == {"A-1.html", "A-2.html", "A-3.pdf"}
+    lost = landing.LandingRun(spark, root)
+    landing.compact(spark, root, move_content=True)
+    assert landing.remove_superseded(spark, root, give_up=True)
+    assert set(objects(spark, root)) == {"A-1.html", "A-2.html", "A-3.pdf"}
+    with pytest.raises(ValueError):
+        lost.commit()
+
+
+def test_changes_read_only_new_runs(spark, tmp_path, first):
+    root = str(tmp_path)
+    landing.land(spark, first, root)
+    run = transforming.transform_changes(spark, root)
+    assert run.summary.first().asDict() == dict(total_records=3, transformed=3, skipped=0, errors=0)
+    assert transforming.transform_changes(spark, root).summary.count() == 0
+    open_run = landing.LandingRun(spark, root)
+    landing.land(spark, frame(spark, [fetch("A-1", PAGE.format("new"), at=9)]), root)
+    open_run.write(frame(spark, [fetch("A-1", PAGE.format("older"), at=7), fetch("A-8", PAGE.format("8"), month="2024-03")]))
+    assert transforming.unread_runs(spark, root) == ([2], [2])
+    files = landing.landed_history(spark, root, [2]).inputFiles()
+    assert files and all("batch=2/" in f for f in files)
+    run = transforming.transform_changes(spark, root)
+    assert outcomes(run) == {"A-1": "transformed"}
+    # Committed later: its older version loses, its new record is found.
+    open_run.commit()
+    assert transforming.unread_runs(spark, root) == ([1], [1])
+    transforming.transform_changes(spark, root)
+    stored = {r.identifier: r.file_hash for r in transforming.transformed_rows(spark, root).collect()}
+    content = b'<div class="content"><p>new</p></div>'
+    assert set(stored) == {"A-1", "A-2", "A-3", "A-8"} and stored["A-1"] == hashlib.sha256(content).hexdigest()
+    january = transforming.transform(spark, root, "2024-01-01", "2024-03-31")
+    assert january.summary.first().asDict() == dict(total_records=4, transformed=0, skipped=4, errors=0)
+
+
+def test_changes_after_compaction_and_after_errors(spark, tmp_path, first):
+    """Rows of runs that are gone come from their base; failed records are tried again."""
+    root = str(tmp_path)
+    landing.land(spark, first, root)
+    landing.compact(spark, root, move_content=True)
+    landing.land(spark, frame(spark, [fetch("B-1", PAGE.format("b"), description=None, at=7)]), root)
+    landing.remove_superseded(spark, root)
+    assert transforming.unread_runs(spark, root) == ([0, 1, 2], [1, 2])
+    run = transforming.transform_changes(spark, root)
+    assert run.summary.first().asDict() == dict(total_records=4, transformed=3, skipped=0, errors=1)
+    again = transforming.transform_changes(spark, root)
+    assert outcomes(again) == {"B-1": "error"}
+    landing.land(spark, frame(spark, [fetch("B-1", PAGE.format("b"), at=8)]), root)
+    assert outcomes(transforming.transform_changes(spark, root)) == {"B-1": "transformed"}
+    assert transforming.transform_changes(spark, root).summary.count() == 0
+
+
 def test_two_writers_never_share_a_number(spark, tmp_path):
     log, other = (RunLog(spark, str(tmp_path / "runs")) for _ in range(2))
     assert [log.claim(), other.claim(), log.claim()] == [0, 1, 2]
