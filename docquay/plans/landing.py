@@ -54,6 +54,7 @@ from docquay.sources.tables import (
     current_rows,
     latest_rows,
     read_batches,
+    with_keys,
     with_markers,
 )
 
@@ -216,9 +217,13 @@ def landed_records(spark: SparkSession, root: str) -> DataFrame:
 
 
 def content_of(spark: SparkSession, root: str, wanted: DataFrame) -> DataFrame:
-    """Bytes of ``wanted(file_name, content_batch)``, from the batches that hold them only."""
+    """Bytes of ``wanted(file_name, content_batch)``, from the batches that hold them only.
+
+    Within those, files skip the row groups that have none of a few wanted names.
+    """
     batches = [r[0] for r in wanted.select("content_batch").distinct().toLocalIterator()]
     content = read_batches(spark, f"{root}/{CONTENT}", OBJECT_CONTENT, sorted(batches))
+    content = with_keys(content, "file_name", wanted)
     return pick_rows(content.withColumnRenamed(BATCH, "content_batch"), wanted, "file_name", "content_batch")
 
 
@@ -295,7 +300,7 @@ class LandingRun:
         newer = work.table(newer_objects(arrived, stored), "newer")
         wanted = work.table(changed_objects(newer, stored), "wanted")
         picked = pick_rows(fetches, wanted, "fetch_id")
-        append_batch(object_content(picked), f"{root}/{CONTENT}", batch)
+        append_batch(object_content(picked), f"{root}/{CONTENT}", batch, key="file_name")
         append_batch(index_changes(newer, wanted, stored, batch), f"{root}/{INDEX}", batch)
         append_batch(rejected_items(items), f"{root}/{QUARANTINE}", batch)
 
@@ -356,7 +361,7 @@ def compact(spark: SparkSession, root: str, move_content: bool = False) -> int:
     objects = work.table(objects, "objects")
     if move_content:
         moved = content_of(spark, root, objects.select("file_name", "content_batch"))
-        append_batch(moved.select("file_name", "content"), f"{root}/{CONTENT}", batch)
+        append_batch(moved.select("file_name", "content"), f"{root}/{CONTENT}", batch, key="file_name")
         objects = objects.withColumn("content_batch", F.lit(batch))
     append_batch(objects, f"{root}/{INDEX}", batch)
     append_batch(records, f"{root}/{METADATA}", batch, "partition_date")

@@ -222,6 +222,7 @@ class TransformRun:
             cleaned.select("file_name", "content", content_hash(F.col("content")).alias("new_hash")),
             content_root,
             batch,
+            key="file_name",
         )
 
         written = spark.read.parquet(f"{content_root}/{BATCH}={batch}").select("file_name", "new_hash")

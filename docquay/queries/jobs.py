@@ -406,6 +406,29 @@ def land_interleaved(spark, sf):
     return reduce(DataFrame.union, scans).select("identifier", "title", "partition_date", "file_hash")
 
 
+def content_of_few(spark, sf):
+    """Bytes of the toxic documents, from a store that a run of each language has added to."""
+    root, docs = run_root(spark), table(spark, sf, "documents")
+    own = _versions(spark, sf).withColumn("identifier", F.concat(F.lit("doc-"), "fetch_id"))
+    own = own.join(docs.select("doc_id", "lang"), "doc_id")
+    for (lang,) in docs.select("lang").distinct().orderBy("lang").collect():
+        landing.land(spark, own.where(F.col("lang").eqNullSafe(F.lit(lang))).drop("lang"), root)
+    toxic = table(spark, sf, "labels").where("toxic = 1").select(
+        F.concat(F.lit("doc-"), F.col("doc_id").cast("string"), F.lit(".pdf")).alias("file_name")
+    ).distinct()
+    index = landing.current_objects(landing.landed_index(spark, root))
+    content = landing.content_of(spark, root, index.join(toxic, "file_name").select("file_name", "content_batch"))
+    return content.select(
+        "file_name", F.length("content").cast("bigint").alias("n_bytes"),
+        naming.content_hash(F.col("content")).alias("file_hash"),
+    )
+
+
+CONTENT_OF_FEW = """SELECT concat('doc-', doc_id, '.pdf') AS file_name, octet_length(encode(text)) AS n_bytes,
+        sha256(text) AS file_hash
+    FROM documents WHERE text <> '' AND doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)"""
+
+
 def land_stream_late(spark, sf):
     """A batch run first, then a stream over shuffled files behind a new checkpoint."""
     root, versions = run_root(spark), _versions(spark, sf)
@@ -446,6 +469,7 @@ QUERIES = {
     "land_interleaved": (land_interleaved, LAND_LATE),
     "transform_changes": (transform_changes, TRANSFORM_CHANGES),
     "land_stream_late": (land_stream_late, LAND_LATE),
+    "content_of_few": (content_of_few, CONTENT_OF_FEW),
     "landing_compact": (landing_compact, LANDING_COMPACT),
     "land": (land, LAND),
     "landing_object_write": (landing_object_write, LANDING_OBJECT_WRITE),

@@ -130,16 +130,24 @@ class RunLog:
 
 
 def append_batch(
-    df: DataFrame, root: str, batch: int, partition_by: str | None = None, more: bool = False
+    df: DataFrame, root: str, batch: int, partition_by: str | None = None, more: bool = False,
+    key: str | None = None,
 ) -> None:
     """Write one batch; even file sizes, also when one partition holds most rows.
 
     It becomes visible when its run is committed. Writing to a batch that exists fails, unless
-    ``more`` rows are added before that.
+    ``more`` rows are added before that. With a ``key`` every file is sorted by it and has bloom
+    filters of it, sized by what is in them, so :func:`with_keys` finds few keys without reading all.
     """
     if partition_by is not None:
         df = df.hint("rebalance", partition_by)
+    if key is not None:
+        df = df.sortWithinPartitions(key)
     writer = df.write.mode("append" if more else "error")
+    if key is not None:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true").option(
+            "parquet.bloom.filter.adaptive.enabled", "true"
+        )
     if partition_by is not None:
         writer = writer.partitionBy(partition_by)
     writer.parquet(f"{root}/{BATCH}={batch}")
@@ -156,6 +164,27 @@ def read_batches(
     return spark.read.schema(schema).option("basePath", root).parquet(*paths)
 
 
+#: As many keys as a scan is told one by one; more are joined without.
+KEYS_TOLD = 256
+
+
+def with_keys(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows of ``df`` that may have one of the keys of ``wanted``; for a join that follows.
+
+    Few keys become a condition of the scan: it skips row groups whose range or bloom filter has
+    none of them, and pages besides. With many keys all rows are left to the join.
+    """
+    keys = [r[0] for r in wanted.select(key).distinct().limit(KEYS_TOLD + 1).collect()]
+    if len(keys) > KEYS_TOLD:
+        return df
+
+    def any_of(part: list[str]) -> Column:
+        half = len(part) // 2
+        return any_of(part[:half]) | any_of(part[half:]) if half else F.col(key) == part[0]
+
+    return df.where(any_of(keys) if keys else F.lit(False))
+
+
 def latest_rows(df: DataFrame, key: str, *order: Column) -> DataFrame:
     """One row per key, the greatest by ``order``.
 

@@ -283,6 +283,46 @@ def test_transform_reads_only_the_content_it_wants(spark, tmp_path, first):
     assert all("content#" not in line for line in plan.split("\n") if "Exchange hashpartitioning" in line)
 
 
+def scanned_rows(spark, df):
+    """Rows that the file scans of ``df`` hand on."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df.collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    scans = [leaves.apply(k) for k in range(leaves.size())]
+    return [s.metrics().apply("numOutputRows").value() for s in scans if CONTENT_SCAN in s.toString()]
+
+
+CONTENT_SCAN = "content#"
+
+
+def test_few_names_read_few_rows(spark, tmp_path):
+    """Names lie scattered over the files of a batch; a few of them are read from the files that have them."""
+    root = str(tmp_path)
+    fetches = spark.range(8000).repartition(16, F.hash("id")).select(
+        F.format_string("A-%d", (F.col("id") * 7919) % 8000).alias("identifier"), *[
+            F.lit("x").alias(c) for c in FETCHES.names[1:7]], F.lit("2024-01").alias("partition_date"),
+        F.lit(None).cast("string").alias("reason"), F.lit("application/pdf").alias("content_type"),
+        F.col("id").cast("string").alias("fetch_id"), F.lit(1).cast("bigint").alias("page"), F.lit(0).alias("position"),
+        F.lit(200).alias("status"), F.col("id").cast("string").cast("binary").alias("content"),
+        F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz").alias("fetched_at"),
+    )
+    landing.land(spark, fetches, root)
+    index = landing.current_objects(landing.landed_index(spark, root))
+    few = index.where("file_name IN ('A-17.pdf', 'A-4444.pdf')").select("file_name", "content_batch")
+    content = landing.content_of(spark, root, few)
+    files = spark.read.parquet(f"{root}/{landing.CONTENT}")
+    assert len(files.inputFiles()) >= 16
+    assert sum(scanned_rows(spark, content)) <= 2 * 8000 / 16 * 1.5
+    assert {r.file_name for r in content.collect()} == {"A-17.pdf", "A-4444.pdf"}
+    many = index.select("file_name", "content_batch")
+    assert landing.content_of(spark, root, many).count() == 8000
+    none = index.where("file_name = 'B'").select("file_name", "content_batch")
+    assert landing.content_of(spark, root, none).count() == 0
+
+
 def test_transform_is_incremental(spark, tmp_path, first):
     root = str(tmp_path)
     landing.land(spark, first, root)
