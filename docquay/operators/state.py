@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docquay.sources.tables import with_keys
+
 INSERTED, UPDATED, UNCHANGED, KEPT = "inserted", "updated", "unchanged", "kept"
 
 
@@ -108,7 +110,12 @@ def upsert(
 
 
 def stored_rows_of(stored: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
-    """Stored rows with an incoming key, so that only those are shuffled further."""
+    """Stored rows with an incoming key, so that only those are shuffled further.
+
+    On tables bucketed by the key only the incoming keys are moved, and of a few keys only the
+    buckets and row groups are opened that may have them.
+    """
+    stored = with_keys(stored, key, incoming)
     return stored.join(incoming.select(key).distinct(), key, "left_semi")
 
 

@@ -49,17 +49,21 @@ from docquay.sources.staging import Staging
 from docquay.sources.tables import (
     BATCH,
     DELETED,
+    STATE_BUCKETS,
     RunLog,
     append_batch,
+    append_state,
     current_rows,
     latest_rows,
     read_batches,
+    read_state,
     with_keys,
     with_markers,
 )
 
 RUNS, METADATA, INDEX = "landing_runs", "landing_metadata", "landing_objects"
 CONTENT, QUARANTINE = "landing_content", "landing_quarantine"
+MONTH_FIRST = ("partition_date",)
 
 
 def card_requests(
@@ -195,14 +199,37 @@ def metadata_changes(
 
 def landed_index(spark: SparkSession, root: str, runs: list[int] | None = None) -> DataFrame:
     """Index rows of some runs, or of all that the current objects are made of."""
-    runs = RunLog(spark, f"{root}/{RUNS}").state() if runs is None else runs
-    return read_batches(spark, f"{root}/{INDEX}", OBJECT_INDEX, runs)
+    log = RunLog(spark, f"{root}/{RUNS}")
+    runs = log.state() if runs is None else runs
+    return read_state(spark, f"{root}/{INDEX}", log, OBJECT_INDEX, runs, "file_name")
 
 
 def landed_history(spark: SparkSession, root: str, runs: list[int] | None = None) -> DataFrame:
     """Metadata rows of some runs, or of all that the current records are made of."""
-    runs = RunLog(spark, f"{root}/{RUNS}").state() if runs is None else runs
-    return read_batches(spark, f"{root}/{METADATA}", with_markers(LANDING), runs)
+    log = RunLog(spark, f"{root}/{RUNS}")
+    runs = log.state() if runs is None else runs
+    return read_records(spark, log, f"{root}/{METADATA}", LANDING, runs)
+
+
+def append_index(rows: DataFrame, log: RunLog, root: str, run: int) -> None:
+    columns = [F.col(f.name).cast(f.dataType) for f in OBJECT_INDEX]
+    append_state(rows.select(*columns), f"{root}/{INDEX}", log, run, "file_name")
+
+
+def read_records(
+    spark: SparkSession, log: RunLog, root: str, schema: StructType, runs: list[int]
+) -> DataFrame:
+    """Metadata rows and marks of some runs; within a bucket they are sorted by month."""
+    return read_state(spark, root, log, with_markers(schema), runs, "identifier", MONTH_FIRST)
+
+
+def append_records(
+    rows: DataFrame, log: RunLog, root: str, schema: StructType, run: int, more: bool = False
+) -> None:
+    """Metadata rows and marks of a run, in the order of the schema."""
+    columns = [F.col(f.name).cast(f.dataType) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
+               for f in with_markers(schema)]
+    append_state(rows.select(*columns), root, log, run, "identifier", MONTH_FIRST, more)
 
 
 def has_metadata(spark: SparkSession, root: str, run: int) -> bool:
@@ -256,9 +283,12 @@ def commit_run(
     log.ready(number)
     rivals = log.rivals(number, seen)
     if rivals:
-        schema = with_markers(schema)
-        mine, others = (read_batches(spark, metadata, schema, n) for n in ([number], rivals))
-        append_batch(rival_marks(mine, others), metadata, number, "partition_date", more=True)
+        mine, others = (read_records(spark, log, metadata, schema, n) for n in ([number], rivals))
+        # Written ahead, since the batch that is read is added to.
+        work = Staging(spark, metadata)
+        marks = work.table(rival_marks(mine, others), "marks")
+        append_records(marks, log, metadata, schema, number, more=True)
+        work.discard()
     log.commit(number, tag)
 
 
@@ -281,9 +311,9 @@ class LandingRun:
     Between these steps any other run may read, write, commit or compact.
     """
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
+    def __init__(self, spark: SparkSession, root: str, buckets: int = STATE_BUCKETS) -> None:
         self.spark, self.root = spark, root
-        self.log = RunLog(spark, f"{root}/{RUNS}")
+        self.log = RunLog(spark, f"{root}/{RUNS}", buckets)
         self.batch = self.log.claim()
         self.seen = self.log.committed()
         self.index, self.history = landed_index(spark, root), landed_history(spark, root)
@@ -301,7 +331,7 @@ class LandingRun:
         wanted = work.table(changed_objects(newer, stored), "wanted")
         picked = pick_rows(fetches, wanted, "fetch_id")
         append_batch(object_content(picked), f"{root}/{CONTENT}", batch, key="file_name")
-        append_batch(index_changes(newer, wanted, stored, batch), f"{root}/{INDEX}", batch)
+        append_index(index_changes(newer, wanted, stored, batch), self.log, root, batch)
         append_batch(rejected_items(items), f"{root}/{QUARANTINE}", batch)
 
         records = records_to_merge(items)
@@ -311,9 +341,8 @@ class LandingRun:
             upsert(current, records, "identifier", LANDING_FIELDS, keep_untouched=False, order=ARRIVAL),
             "merged",
         )
-        append_batch(
-            metadata_changes(merged, current, ARRIVAL), f"{root}/{METADATA}", batch, "partition_date"
-        )
+        changes = metadata_changes(merged, current, ARRIVAL)
+        append_records(changes, self.log, f"{root}/{METADATA}", LANDING, batch)
         return Landed(batch, items, merged.select("identifier", "outcome"), work)
 
     def commit(self, tag: str = "") -> None:
@@ -321,20 +350,25 @@ class LandingRun:
         commit_run(self.spark, self.log, self.batch, self.seen, metadata, LANDING, tag)
 
 
-def land(spark: SparkSession, fetches: DataFrame, root: str, tag: str = "") -> Landed:
+def land(
+    spark: SparkSession, fetches: DataFrame, root: str, tag: str = "", buckets: int = STATE_BUCKETS
+) -> Landed:
     """Land fetched documents below ``root``, as one run.
 
     All tables of the run become visible together, by its commit. Of several fetches of
     one identifier or object the last by ``ARRIVAL`` counts, also against what other runs have
-    stored: a late one loses. ``fetch_id`` must be unique. ``tag`` names what is landed.
+    stored: a late one loses. ``fetch_id`` must be unique. ``tag`` names what is landed. State is
+    written in ``buckets`` of its keys: what comes in is brought to the state, never the other way.
     """
-    run = LandingRun(spark, root)
+    run = LandingRun(spark, root, buckets)
     landed = run.write(fetches)
     run.commit(tag)
     return landed
 
 
-def compact(spark: SparkSession, root: str, move_content: bool = False) -> int:
+def compact(
+    spark: SparkSession, root: str, move_content: bool = False, buckets: int = STATE_BUCKETS
+) -> int:
     """Write the current rows of the landing zone as one run that replaces those it has read.
 
     The index says where the bytes of each object are, so content stays where it is. With
@@ -342,7 +376,7 @@ def compact(spark: SparkSession, root: str, move_content: bool = False) -> int:
     more. Others may land meanwhile: runs that are not among those read stay visible. While a run
     is open, marks of moved records are kept for what it may bring.
     """
-    log = RunLog(spark, f"{root}/{RUNS}")
+    log = RunLog(spark, f"{root}/{RUNS}", buckets)
     batch = log.claim()
     seen, replaced = log.committed(), log.state()
     # What was open when the state was read is open still, or committed since.
@@ -363,8 +397,8 @@ def compact(spark: SparkSession, root: str, move_content: bool = False) -> int:
         moved = content_of(spark, root, objects.select("file_name", "content_batch"))
         append_batch(moved.select("file_name", "content"), f"{root}/{CONTENT}", batch, key="file_name")
         objects = objects.withColumn("content_batch", F.lit(batch))
-    append_batch(objects, f"{root}/{INDEX}", batch)
-    append_batch(records, f"{root}/{METADATA}", batch, "partition_date")
+    append_index(objects, log, root, batch)
+    append_records(records, log, f"{root}/{METADATA}", LANDING, batch)
     log.commit(batch, replaces=replaced)
     work.discard()
     return batch

@@ -35,7 +35,6 @@ from docquay.sources.tables import (
     append_batch,
     current_rows,
     read_batches,
-    with_markers,
 )
 
 RUNS, METADATA, INDEX = "transformed_runs", "transformed_metadata", "transformed_objects"
@@ -116,8 +115,8 @@ def read_landed(spark: SparkSession, root: str, start: str, end: str) -> DataFra
 
 
 def transformed_history(spark: SparkSession, root: str) -> DataFrame:
-    runs = RunLog(spark, f"{root}/{RUNS}").state()
-    return read_batches(spark, f"{root}/{METADATA}", with_markers(TRANSFORMED), runs)
+    log = RunLog(spark, f"{root}/{RUNS}")
+    return landing.read_records(spark, log, f"{root}/{METADATA}", TRANSFORMED, log.state())
 
 
 def transformed_rows(spark: SparkSession, root: str) -> DataFrame:
@@ -256,9 +255,8 @@ class TransformRun:
             ),
             "merged",
         )
-        append_batch(
-            landing.metadata_changes(merged, stored, ARRIVAL), f"{root}/{METADATA}", batch, "partition_date"
-        )
+        changes = landing.metadata_changes(merged, stored, ARRIVAL)
+        landing.append_records(changes, self.log, f"{root}/{METADATA}", TRANSFORMED, batch)
         self.log.note(batch, READ, read)
         landing.commit_run(spark, self.log, batch, self.seen, f"{root}/{METADATA}", TRANSFORMED)
         told = outcomes.select(

@@ -8,7 +8,9 @@ lost half-way leaves nothing behind that anyone reads, and nothing is ever overw
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
 
 BATCH = "batch"
+#: Files that a batch of a state table is cut into by its key. A zone of any size works with any number;
+#: about a gigabyte of state per bucket is a good one.
+STATE_BUCKETS = 16
 DELETED = "deleted"
 
 
@@ -43,8 +48,8 @@ class RunLog:
     was claimed or committed, so writers and compactions never wait for each other.
     """
 
-    def __init__(self, spark: SparkSession, folder: str) -> None:
-        self.folder = folder
+    def __init__(self, spark: SparkSession, folder: str, buckets: int = STATE_BUCKETS) -> None:
+        self.folder, self.buckets = folder, buckets
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._files = self._path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -164,6 +169,71 @@ def read_batches(
     return spark.read.schema(schema).option("basePath", root).parquet(*paths)
 
 
+def _defined(spark: SparkSession, path: str, schema: StructType, key: str, sort: list[str], buckets: int) -> str:
+    """Name of a table over files that are there; whoever defines it drops the name, the files stay."""
+    name = f"docquay_{uuid.uuid4().hex}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    place = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{key}`)"
+        f" SORTED BY ({', '.join(f'`{c}`' for c in sort)}) INTO {buckets} BUCKETS LOCATION '{place}'"
+    )
+    return name
+
+
+def append_state(
+    df: DataFrame, root: str, log: RunLog, batch: int, key: str, sort: tuple[str, ...] = (),
+    more: bool = False,
+) -> None:
+    """Write one batch of a state table: bucketed by ``key``, each bucket sorted by ``sort`` and key.
+
+    How many buckets it has is kept with the run, before anything is written. Files have bloom
+    filters of the key, and ranges of what they are sorted by. Writing to a batch that exists
+    fails, unless ``more`` rows are added before the run is committed.
+    """
+    spark, path, order = df.sparkSession, f"{root}/{BATCH}={batch}", [*sort, key]
+    log.note(batch, "buckets", [log.buckets])
+    df = df.repartition(log.buckets, key)
+    if more:
+        name = _defined(spark, path, df.schema, key, order, log.buckets)
+        writer = df.write.mode("append").insertInto
+    else:
+        name = f"docquay_{uuid.uuid4().hex}"
+        writer = (
+            df.write.format("parquet").bucketBy(log.buckets, key).sortBy(*order).option("path", path)
+            .option(f"parquet.bloom.filter.enabled#{key}", "true")
+            .option("parquet.bloom.filter.adaptive.enabled", "true")
+        ).saveAsTable
+    try:
+        writer(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def read_state(
+    spark: SparkSession, root: str, log: RunLog, schema: StructType, batches: Iterable[int], key: str,
+    sort: tuple[str, ...] = (),
+) -> DataFrame:
+    """The rows of some batches of a state table, with their number in ``batch``.
+
+    Every batch is a scan by buckets, so a join with keys moves those keys and no state. Batches
+    that were not written by :func:`append_state` are read as plain files.
+    """
+    schema = StructType([f for f in schema if f.name != BATCH])
+    plain, parts = [], []
+    for n in batches:
+        buckets = log.noted(n, "buckets")
+        if not buckets:
+            plain.append(n)
+            continue
+        name = _defined(spark, f"{root}/{BATCH}={n}", schema, key, [*sort, key], buckets[0])
+        parts.append(spark.table(name).withColumn(BATCH, F.lit(n)))
+        spark.sql(f"DROP TABLE {name}")
+    if plain or not parts:
+        parts.append(read_batches(spark, root, schema, plain))
+    return reduce(DataFrame.unionByName, parts)
+
+
 #: As many keys as a scan is told one by one; more are joined without.
 KEYS_TOLD = 256
 

@@ -8,10 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from docquay.operators import accounting
+from docquay.operators.state import stored_rows_of
 from docquay.plans import landing, reporting, transforming
 from docquay.plans.schemas import EVENTS, FETCHES
 from docquay.sources.event_log import event_counts, log_path, read_events, write_events
-from docquay.sources.tables import DELETED, RunLog, append_batch
+from docquay.sources.tables import DELETED, STATE_BUCKETS, RunLog, append_batch
 from docquay.streaming.landing import arriving_fetches, land_stream
 
 PAGE = '<html><body><nav>n</nav><div class="content"><p>{}</p></div></body></html>'
@@ -283,19 +284,17 @@ def test_transform_reads_only_the_content_it_wants(spark, tmp_path, first):
     assert all("content#" not in line for line in plan.split("\n") if "Exchange hashpartitioning" in line)
 
 
-def scanned_rows(spark, df):
-    """Rows that the file scans of ``df`` hand on."""
+def scanned_rows(spark, df, column):
+    """Rows that the file scans with a column hand on, and the plan."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         df.collect()
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
-    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
     scans = [leaves.apply(k) for k in range(leaves.size())]
-    return [s.metrics().apply("numOutputRows").value() for s in scans if CONTENT_SCAN in s.toString()]
-
-
-CONTENT_SCAN = "content#"
+    return sum(s.metrics().apply("numOutputRows").value() for s in scans if column in s.toString()), plan.toString()
 
 
 def test_few_names_read_few_rows(spark, tmp_path):
@@ -315,13 +314,45 @@ def test_few_names_read_few_rows(spark, tmp_path):
     content = landing.content_of(spark, root, few)
     files = spark.read.parquet(f"{root}/{landing.CONTENT}")
     assert len(files.inputFiles()) >= 16
-    assert sum(scanned_rows(spark, content)) <= 2 * 8000 / 16 * 1.5
+    assert scanned_rows(spark, content, "content#")[0] <= 2 * 8000 / 16 * 1.5
     assert {r.file_name for r in content.collect()} == {"A-17.pdf", "A-4444.pdf"}
     many = index.select("file_name", "content_batch")
     assert landing.content_of(spark, root, many).count() == 8000
     none = index.where("file_name = 'B'").select("file_name", "content_batch")
     assert landing.content_of(spark, root, none).count() == 0
 
+    # State is looked up by buckets: a few keys open the buckets that may have them, and
+    # whatever comes in, state itself is not moved.
+    landing.land(spark, fetches.where("identifier < 'A-3'").withColumn("fetched_at", F.expr("fetched_at + interval 1 hour")), root)
+    history = landing.landed_history(spark, root)
+    one = index.where("file_name = 'A-17.pdf'").select(F.lit("A-17").alias("identifier"))
+    rows, _ = scanned_rows(spark, stored_rows_of(history, one, "identifier"), "partition_date#")
+    assert 0 < rows <= 2 * 8000 / STATE_BUCKETS * 1.5
+    all_of_them = fetches.select("identifier")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows, plan = scanned_rows(spark, stored_rows_of(history, all_of_them, "identifier"), "partition_date#")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows > 8000 and "SortMergeJoin" in plan and f"SelectedBucketsCount: {STATE_BUCKETS} out of" in plan
+    moved = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    assert moved and not any("partition_date" in line or "doc_url" in line for line in moved)
+    exchanged = [k for k, line in enumerate(plan.split("\n")) if "Exchange" in line]
+    scans = [k for k, line in enumerate(plan.split("\n")) if "partition_date#" in line and "FileScan" in line]
+    lines = plan.split("\n")
+    depth = [line.index("FileScan") for line in (lines[k] for k in scans)]
+    for k, d in zip(scans, depth):
+        # The nearest operators above a scan of state, up to its join.
+        above = lines[:k]
+        join = max(i for i, line in enumerate(above) if "SortMergeJoin" in line and line.index("SortMergeJoin") < d)
+        assert not any(join < i < k and lines[i].index("Exchange") < d for i in exchanged)
+    # A scan of one month skips the row groups of others.
+    other = fetches.where("identifier like 'A-5%'").withColumn("partition_date", F.lit("2024-02"))
+    landing.land(spark, other.withColumn("fetched_at", F.expr("fetched_at + interval 2 hours")), root)
+    landing.compact(spark, root)
+    february = transforming.read_landed(spark, root, "2024-02-01", "2024-02-28")
+    assert february.count() == other.count()
+
 
 def test_transform_is_incremental(spark, tmp_path, first):
     root = str(tmp_path)
