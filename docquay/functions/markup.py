@@ -161,9 +161,9 @@ _DECLARED = r"""(?i)<meta\s[^>]*?charset\s*+=\s*+["']?\s*+([a-z0-9_-]+)"""
 
 
 def _declared(content: Column) -> Column:
-    """Character set named by a ``meta`` tag near the start of the page, in lower case."""
-    start = F.decode(F.substring(content, 1, 4096), "ISO-8859-1")
-    return F.lower(F.regexp_extract(start, _DECLARED, 1))
+    """Character set named by the first ``meta`` tag outside comments that names one, in lower case."""
+    page = F.regexp_replace(F.decode(content, "ISO-8859-1"), rf"(?s)<{_COMMENT}", "")
+    return F.lower(F.regexp_extract(page, _DECLARED, 1))
 
 
 def html_from_bytes(content: Column) -> Column:
@@ -219,12 +219,13 @@ def _tokens(html: str, tags: Sequence[str] | None) -> str:
 
 
 # What a tag does to the element being followed.
-_PASS, _OPEN, _ALONE, _DEEPER, _SHALLOWER, _CLOSE, _CLOSE_BEFORE, _NEXT_ITEM = range(8)
+_PASS, _OPEN, _ALONE, _DEEPER, _SHALLOWER, _CLOSE, _CLOSE_BEFORE, _NEXT_ITEM, _INNER = range(9)
 _SLICE = 512
 _VOID = ", ".join(f"'{t}'" for t in VOID_TAGS)
 
 _EFFECT_INSIDE = f"""CASE
     WHEN name <> s.name OR endswith(tag, '/>') THEN {_PASS}
+    WHEN NOT startswith(tag, '</') AND %(inner)s THEN {_INNER}
     WHEN NOT startswith(tag, '</') THEN {_DEEPER}
     WHEN s.depth > 1 THEN {_SHALLOWER}
     ELSE {_CLOSE} END"""
@@ -233,24 +234,28 @@ _EFFECT_INSIDE_ITEM = f"""CASE
     WHEN name IN ('ul', 'ol') AND NOT startswith(tag, '</') THEN {_DEEPER}
     WHEN name IN ('ul', 'ol') AND s.depth > 1 THEN {_SHALLOWER}
     WHEN name IN ('ul', 'ol') THEN {_CLOSE_BEFORE}
+    WHEN name = 'li' AND s.depth > 1 AND NOT startswith(tag, '</') AND %(inner)s THEN {_INNER}
     WHEN name <> 'li' OR s.depth > 1 THEN {_PASS}
     WHEN startswith(tag, '</') THEN {_CLOSE}
     WHEN %(hit)s THEN {_NEXT_ITEM}
     ELSE {_CLOSE_BEFORE} END"""
 
 
-def _ranges(opening: str, first_only: bool, list_item: bool) -> str:
+def _ranges(opening: str, first_only: bool, list_item: bool, nested: bool = False) -> str:
     """SQL text: token ranges of the outermost elements that ``opening`` matches.
 
     One pass over ``tokens`` with a depth counter over tags of the same name. List
     items follow the list rule instead: they end at ``</li>``, at the next ``<li>``
     or at the end of their list, whichever comes first. Ranges are collected as text for
     a slice of ``_SLICE`` tokens at a time and the texts of the slices in an array, so what
-    a hit copies does not grow with the hits before it.
+    a hit copies does not grow with the hits before it. With ``nested`` elements inside those
+    found are found too: the outer ones wait on a stack, ``below``, with their beginning and depth, and
+    all ranges come in the order of their beginnings.
     """
     hit = f"tag RLIKE {pattern('(?is)^' + opening)}"
     room = "NOT s.any" if first_only else "true"
-    inside = _EFFECT_INSIDE_ITEM % {"hit": hit} if list_item else _EFFECT_INSIDE
+    inside = _EFFECT_INSIDE_ITEM if list_item else _EFFECT_INSIDE
+    inside = inside % {"hit": hit, "inner": hit if nested else "false"}
     outside = f"""CASE
         WHEN startswith(tag, '</') OR NOT ({room} AND {hit}) THEN {_PASS}
         WHEN endswith(tag, '/>') OR name IN ({_VOID}) THEN {_ALONE}
@@ -259,41 +264,52 @@ def _ranges(opening: str, first_only: bool, list_item: bool) -> str:
         f"lower(regexp_extract(tag, {pattern('^</?([a-zA-Z][^\\s/>]*+)')}, 1))",
         f"name -> struct(name, CASE WHEN s.name = '' THEN {outside} ELSE {inside} END AS e)",
     )
+    begun = f"t.e IN ({_OPEN}, {_NEXT_ITEM}, {_INNER})"
+    ended = f"t.e IN ({_CLOSE}, {_CLOSE_BEFORE})"
+    back = f"{ended} AND s.below <> ''"
+    top = pattern("([0-9]+) ([0-9]+);$")
+    # The end of a list also ends the item in it, and is one of the lists of the item around.
+    outer_depth = f"cast(regexp_extract(s.below, {top}, 2) AS INT) - int(t.name IN ('ul', 'ol'))"
     moved = f"""t -> struct(
         s.k + 1 AS k,
-        CASE WHEN t.e IN ({_OPEN}, {_NEXT_ITEM}) THEN t.name
-             WHEN t.e IN ({_CLOSE}, {_CLOSE_BEFORE}) THEN '' ELSE s.name END AS name,
-        CASE WHEN t.e IN ({_OPEN}, {_NEXT_ITEM}) THEN 1 WHEN t.e = {_DEEPER} THEN s.depth + 1
+        CASE WHEN {begun} THEN t.name WHEN {back} THEN s.name
+             WHEN {ended} THEN '' ELSE s.name END AS name,
+        CASE WHEN {begun} THEN 1 WHEN {back} THEN {outer_depth} WHEN t.e = {_DEEPER} THEN s.depth + 1
              WHEN t.e = {_SHALLOWER} THEN s.depth - 1 ELSE s.depth END AS depth,
-        CASE WHEN t.e IN ({_OPEN}, {_NEXT_ITEM}) THEN s.k ELSE s.a END AS a,
+        CASE WHEN {begun} THEN s.k WHEN {back} THEN cast(regexp_extract(s.below, {top}, 1) AS INT)
+             ELSE s.a END AS a,
+        CASE WHEN t.e = {_INNER} THEN concat(s.below, s.a, ' ', s.depth, ';')
+             WHEN {back} THEN regexp_replace(s.below, {top}, '') ELSE s.below END AS below,
         CASE WHEN t.e = {_ALONE} THEN concat(s.cuts, s.k, ' ', s.k, ';')
              WHEN t.e = {_CLOSE} THEN concat(s.cuts, s.a, ' ', s.k, ';')
-             WHEN t.e > {_CLOSE} THEN concat(s.cuts, s.a, ' ', s.k - 1, ';')
+             WHEN t.e IN ({_CLOSE_BEFORE}, {_NEXT_ITEM}) THEN concat(s.cuts, s.a, ' ', s.k - 1, ';')
              ELSE s.cuts END AS cuts,
-        s.any OR t.e = {_ALONE} OR t.e >= {_CLOSE} AS any)"""
+        s.any OR t.e IN ({_ALONE}, {_CLOSE}, {_CLOSE_BEFORE}, {_NEXT_ITEM}) AS any)"""
     step = let_sql(
         f"CASE WHEN s.k % 2 = 0 THEN struct('' AS name, {_PASS} AS e) ELSE {effect} END",
         moved,
     )
-    start = "0 AS k, '' AS name, 0 AS depth, 0 AS a"
+    start = "0 AS k, '' AS name, 0 AS depth, 0 AS a, '' AS below"
     inner = f"""aggregate(
         slice(tokens, at, {_SLICE}),
-        struct(s.k AS k, s.name AS name, s.depth AS depth, s.a AS a, '' AS cuts, s.any AS any),
+        struct(s.k AS k, s.name AS name, s.depth AS depth, s.a AS a, s.below AS below, '' AS cuts, s.any AS any),
         (s, tag) -> {step})"""
-    grown = """r -> struct(r.k AS k, r.name AS name, r.depth AS depth, r.a AS a,
+    grown = """r -> struct(r.k AS k, r.name AS name, r.depth AS depth, r.a AS a, r.below AS below,
         CASE WHEN r.cuts = '' THEN s.parts ELSE array_append(s.parts, r.cuts) END AS parts,
         r.any AS any)"""
+    unclosed = """CASE WHEN s.name = '' THEN '' ELSE concat(
+        regexp_replace(s.below, ' [0-9]+;', concat(' ', s.k - 1, ';')), s.a, ' ', s.k - 1, ';') END"""
+    found = f"""transform(
+        filter(split(concat(array_join(s.parts, ''), {unclosed}), ';'), c -> c <> ''),
+        c -> struct(cast(substring_index(c, ' ', 1) AS INT) AS a,
+                    cast(substring_index(c, ' ', -1) AS INT) AS b))"""
+    if nested:
+        found = f"array_sort({found})"
     return f"""aggregate(
         sequence(1, size(tokens), {_SLICE}),
         struct({start}, cast(array() AS array<string>) AS parts, false AS any),
         (s, at) -> {let_sql(inner, grown)},
-        s -> transform(
-            filter(
-                split(concat(array_join(s.parts, ''), CASE WHEN s.name = '' THEN ''
-                    ELSE concat(s.a, ' ', s.k - 1, ';') END), ';'),
-                c -> c <> ''),
-            c -> struct(cast(substring_index(c, ' ', 1) AS INT) AS a,
-                        cast(substring_index(c, ' ', -1) AS INT) AS b)))"""
+        s -> {found})"""
 
 
 _PICKED = """t -> transform(
@@ -317,9 +333,10 @@ def _scan(
     body: str,
     first_only: bool = False,
     list_item: bool = False,
+    nested: bool = False,
 ) -> str:
     """SQL text: ``body`` over the tokens of ``html`` and the ranges found in them."""
-    found = f"struct(tokens, {_ranges(opening, first_only, list_item)} AS cuts)"
+    found = f"struct(tokens, {_ranges(opening, first_only, list_item, nested)} AS cuts)"
     return let_sql(_tokens(html, tags), f"tokens -> {let_sql(found, body)}")
 
 
@@ -328,9 +345,11 @@ def select_elements(
     tag: str,
     css_class: str | None = None,
     first_only: bool = False,
+    nested: bool = False,
 ) -> Column:
     """Markup of the outermost ``tag`` elements, with ``css_class`` if given.
 
+    With ``nested`` also of those inside others, each whole, in the order they begin.
     Expects noise-free markup (``strip_raw_blocks``).
     """
     opening = (
@@ -340,7 +359,7 @@ def select_elements(
     )
     list_item = tag == "li"
     tags = ("li", "ul", "ol") if list_item else (tag,)
-    scan = _scan("h", tags, opening, _PICKED, first_only, list_item)
+    scan = _scan("h", tags, opening, _PICKED, first_only, list_item, nested)
     none = "cast(array() AS array<string>)"
     found = f"h RLIKE {pattern('(?is)' + opening)}"
     return let(html, f"h -> CASE WHEN {found} THEN {scan} WHEN h IS NOT NULL THEN {none} END")

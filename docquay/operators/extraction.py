@@ -48,9 +48,9 @@ def title_or_identifier(title: Column, identifier: Column) -> Column:
 
 
 def cards_of(html: Column, layout: CardLayout = DEFAULT_LAYOUT) -> Column:
-    """Array with the markup of every card on a result page."""
+    """Array with the markup of every card on a result page, those inside other cards included."""
     page = markup.strip_raw_blocks(html, "<x>")
-    return markup.select_elements(page, layout.item.tag, layout.item.css_class)
+    return markup.select_elements(page, layout.item.tag, layout.item.css_class, nested=True)
 
 
 def explode_cards(

@@ -228,6 +228,22 @@ _CARDS_SQL = """(SELECT page_id, unnest(range(len(items))) AS position, unnest(i
 CARD_EXPLODE = f"SELECT page_id, position, card FROM {_CARDS_SQL}"
 
 
+def card_nested(spark, sf):
+    """Every page as the content of one more list item: that item and those inside it are cards."""
+    inside = F.concat(F.lit("<ul><li>"), "html", F.lit("</li></ul>"))
+    results = pages(spark, sf).select("page_id", inside.alias("html"))
+    cards = extraction.explode_cards(results, layout=NAV)
+    return cards.select(
+        "page_id", F.col("position").cast("bigint").alias("position"),
+        F.regexp_count("card", F.lit("<li>")).cast("bigint").alias("n_items"),
+        F.when(F.col("position") > 0, F.col("card")).alias("card"),
+    )
+
+
+CARD_NESTED = f"""SELECT page_id, position + 1 AS position, CAST(1 AS BIGINT) AS n_items, card FROM {_CARDS_SQL}
+    UNION ALL SELECT page_id, 0, 1 + len(regexp_extract_all(html, '<li>')), NULL FROM pages"""
+
+
 def _nav_cards(spark, sf):
     results = pages(spark, sf).select("page_id", F.col("url").alias("page_url"), "html")
     return extraction.card_fields(extraction.explode_cards(results, layout=NAV), NAV)
@@ -427,6 +443,7 @@ QUERIES = {
     "duplicates_allowed": (duplicates_allowed, DUPLICATES_ALLOWED),
     "plan": (plan, PLAN),
     "card_explode": (card_explode, CARD_EXPLODE),
+    "card_nested": (card_nested, CARD_NESTED),
     "card_fields": (card_fields, CARD_FIELDS),
     "card_records": (card_records, CARD_RECORDS),
     "title_fallback": (title_fallback, TITLE_FALLBACK),

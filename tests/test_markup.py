@@ -1,6 +1,8 @@
 """HTML cleaning: handmade cases, properties, and a cross-check with a parser."""
 
 import hashlib
+import random
+import re
 import time
 from html.parser import HTMLParser
 
@@ -274,3 +276,59 @@ def test_many_hits_take_linear_time(spark):
     seconds(100)
     few, many = seconds(10_000), seconds(40_000)
     assert many < 12 * few + 3
+
+
+def nested_items(page):
+    """Items of class c as html parsers close them: by their end, the next item or the end of their list."""
+    stack, found = [], []
+
+    def close(entry, end):
+        if entry[0] == "hit":
+            found.append((entry[1], page[entry[1]:end]))
+
+    for m in re.finditer(r"</?(?:ul|li)[^>]*>", page):
+        tag, at, end = m.group(), m.start(), m.end()
+        if tag == "<ul>":
+            stack.append(("list", at))
+        elif tag == "</ul>":
+            while stack and stack[-1][0] != "list":
+                close(stack.pop(), at)
+            if stack:
+                stack.pop()
+        elif tag == "</li>":
+            if stack and stack[-1][0] != "list":
+                close(stack.pop(), end)
+        else:
+            if stack and stack[-1][0] != "list":
+                close(stack.pop(), at)
+            stack.append(("hit" if "class" in tag else "item", at))
+    while stack:
+        close(stack.pop(), len(page))
+    return [text for _, text in sorted(found)]
+
+
+def test_items_inside_items(spark):
+    draw = random.Random(6)
+    parts = ["<ul>", "</ul>", "<li>", '<li class="c">', '<li class="c">', "</li>", "x", "<b>y</b>"]
+    pages = ["".join(draw.choice(parts) for _ in range(draw.randrange(40))) for _ in range(600)]
+    pages += ['<li class="c">' + "<ul><li class=c>" * 300, '<ul><li class="c">1' + '<ul><li class="c">2</ul>' * 3000]
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, h string")
+    rows = df.select("i", markup.select_elements(F.col("h"), "li", "c", nested=True).alias("found")).collect()
+    for r in rows:
+        assert r.found == nested_items(pages[r.i]), pages[r.i]
+    # Elements of any other name nest by their own tags.
+    page = '<div class="c">1<div>2<div class="c">3</div></div><div class="c">4'
+    one = spark.createDataFrame([(page,)], "h string")
+    got = one.select(markup.select_elements(F.col("h"), "div", "c", nested=True)).first()[0]
+    assert got == [page, '<div class="c">3</div>', '<div class="c">4']
+
+
+def test_declared_sets_anywhere(spark):
+    """A declaration far behind the start counts, one in a comment does not."""
+    texts = {
+        "iso-8859-2": "<!-- %s --><meta charset=iso-8859-2><p>Łódź</p>" % ("x" * 6000),
+        "windows-1251": "<!-- <meta charset=koi8-r> --><meta charset=windows-1251><p>Привет</p>",
+        "cp1252": "<!-- <meta charset=koi8-r> --><p>naïve “quote”</p>",
+    }
+    df = spark.createDataFrame([(k, bytearray(t.encode(k))) for k, t in texts.items()], "k string, c binary")
+    assert {r.k: r.t for r in df.select("k", markup.html_from_bytes(F.col("c")).alias("t")).collect()} == texts
