@@ -111,15 +111,43 @@ def run_summary(counts: DataFrame) -> DataFrame:
     )
 
 
+def level_summary(counts: DataFrame) -> DataFrame:
+    """Counts of every started key and their totals, in one aggregate.
+
+    ``total`` tells the row of the whole run, whose key is null; ``partitions_processed`` is the
+    number of keys that a row stands for.
+    """
+    sets = counts.where("started").groupingSets([list(KEY), []], *KEY)
+    return sets.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS],
+        F.count(F.lit(1)).alias("partitions_processed"), (F.grouping_id() > 0).alias("total"),
+    )
+
+
+def outcome_totals() -> dict[str, Column]:
+    """Aggregates over the outcomes of a transform run, also for counting while they are written."""
+    outcome = F.col("outcome")
+    return {
+        "total_records": F.count(F.lit(1)),
+        "transformed": F.count_if(outcome == "transformed"),
+        "skipped": F.count_if(outcome == "skipped"),
+        "errors": F.count_if(outcome == "error"),
+    }
+
+
+def item_totals() -> dict[str, Column]:
+    """Aggregates over the items of a landing run: collected, failed, and collected but not storable."""
+    return {
+        "records_scraped": F.count_if(~F.col("failed")),
+        "records_failed": F.count_if(F.col("failed")),
+        "records_rejected": F.count_if(~F.col("failed") & F.col("error").isNotNull()),
+    }
+
+
 def transform_summary(outcomes: DataFrame) -> DataFrame:
     """Numbers of transformed, skipped and failed records; no row without records."""
-    outcome = F.col("outcome")
-    return outcomes.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.count_if(outcome == "transformed").alias("transformed"),
-        F.count_if(outcome == "skipped").alias("skipped"),
-        F.count_if(outcome == "error").alias("errors"),
-    ).where(F.col("total_records") > 0)
+    totals = [c.alias(name) for name, c in outcome_totals().items()]
+    return outcomes.agg(*totals).where(F.col("total_records") > 0)
 
 
 def upsert_summary(merged: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from docquay.functions.naming import (
     object_path,
 )
 from docquay.operators import failures
+from docquay.operators.accounting import item_totals
 from docquay.operators.extraction import (
     DEFAULT_LAYOUT,
     CardLayout,
@@ -294,14 +295,16 @@ def commit_run(
 
 @dataclass(frozen=True)
 class Landed:
-    """What a landing run did: every item and the outcome per identifier.
+    """What a landing run did: every item, the outcome per identifier, and numbers of items.
 
-    Both are tables of ``staging``; discard that when they are no longer read.
+    The first two are tables of ``staging``; discard that when they are no longer read. The
+    numbers were taken while the items were written.
     """
 
     batch: int
     items: DataFrame
     outcomes: DataFrame
+    totals: dict[str, int]
     staging: Staging
 
 
@@ -322,7 +325,7 @@ class LandingRun:
         """Write all tables of the run; nothing of it is read before :meth:`commit`."""
         root, batch = self.root, self.batch
         work = Staging(self.spark, root)
-        items = work.table(landing_items(fetches), "items")
+        items, totals = work.counted(landing_items(fetches), "items", **item_totals())
         require_unique(items, "fetch_id")
 
         arrived = arrived_objects(items)
@@ -343,7 +346,7 @@ class LandingRun:
         )
         changes = metadata_changes(merged, current, ARRIVAL)
         append_records(changes, self.log, f"{root}/{METADATA}", LANDING, batch)
-        return Landed(batch, items, merged.select("identifier", "outcome"), work)
+        return Landed(batch, items, merged.select("identifier", "outcome"), totals, work)
 
     def commit(self, tag: str = "") -> None:
         metadata = f"{self.root}/{METADATA}"

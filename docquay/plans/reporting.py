@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from docquay.operators import accounting
 from docquay.operators.extraction import DEFAULT_LAYOUT, CardLayout, cards_of
-from docquay.operators.failures import UNKNOWN
+from docquay.operators.failures import UNKNOWN, plan_coverage, retry_worklist
+from docquay.plans.landing import Landed
 from docquay.plans.transforming import NOT_FOUND
 from docquay.sources.event_log import event_line
 
@@ -19,6 +20,8 @@ STARTED, ENDED, FAILURES = "partition_start", "partition_end", "partition_failur
 LOST, RUN = "download_failed", "run_summary"
 READ, WRITTEN, CURRENT = "fetch_metadata", "transform_success", "transform_skipped"
 BROKEN, TRANSFORM_RUN = "transform_error", "transform_summary"
+STORED, STORED_RUN = "record_stored", "upsert_summary"
+UNCOVERED, AGAIN = "partition_uncovered", "retry_planned"
 # -----------------------------------------------------------------------------
 
 
@@ -79,34 +82,82 @@ def report_events(
         return event_lines(df, event, message, *fields, level=level, logger=logger, at=at)
 
     key = ("partition", "body")
-    per_key = accounting.partition_summary(counts)
     started = F.format_string("%s, %s: planned", *key)
-    complete = F.format_string(
-        "%s, %s: %d listed, %d collected, %d not collected", *key, *accounting.COUNTS
-    )
-    totals = accounting.run_summary(counts)
-    total_fields = (
-        "partitions_processed", "total_records_found", "total_records_scraped",
-        "total_records_failed",
-    )
-    run = F.format_string(
-        "%d month(s) and source(s): %d listed, %d collected, %d not collected", *total_fields
-    )
     return (
         lines(counts.where("started"), STARTED, started, *key)
         .unionByName(lines(
             failures, LOST, F.format_string("no document from %s", "url"),
             *key, "url", "error_code", "reason", level="WARNING",
         ))
-        .unionByName(lines(per_key, ENDED, complete, *key, *accounting.COUNTS))
+        .unionByName(level_lines(counts, logger, at))
         .unionByName(lines(
             accounting.failed_list(failures), FAILURES,
             F.format_string("%s, %s: what was not collected", *key), *key, "chunk", "failures",
         ))
-        .unionByName(lines(totals, RUN, run, *total_fields))
     )
 
 
+def level_lines(counts: DataFrame, logger: str, at: Column) -> DataFrame:
+    """The end of every started key and the totals of the run, from one aggregate."""
+    rows = accounting.level_summary(counts)
+    key, of_run = ("partition", "body"), {f"total_{c}": F.col(c) for c in accounting.COUNTS}
+
+    def line(event: str, message: Column, extras: dict[str, Column]) -> Column:
+        return event_line(at, F.lit("INFO"), F.lit(logger), message, {"event": F.lit(event), **extras})
+
+    ended = line(ENDED, F.format_string(
+        "%s, %s: %d listed, %d collected, %d not collected", *key, *accounting.COUNTS
+    ), {c: F.col(c) for c in (*key, *accounting.COUNTS)})
+    run = line(RUN, F.format_string(
+        "%d month(s) and source(s): %d listed, %d collected, %d not collected",
+        "partitions_processed", *accounting.COUNTS,
+    ), {"partitions_processed": F.col("partitions_processed"), **of_run})
+    return rows.select(F.when(F.col("total"), run).otherwise(ended).alias("value"))
+
+
+def outcome_events(outcomes: DataFrame, logger: str, at: Column) -> DataFrame:
+    """Event lines of what a landing run did with each record, and how often it did so."""
+    stored = F.format_string("%s: %s", "identifier", "outcome")
+    totals = F.format_string("%s: %d record(s)", "outcome", "n_records")
+    one = event_lines(outcomes, STORED, stored, "identifier", "outcome", logger=logger, at=at)
+    sums = accounting.upsert_summary(outcomes)
+    return one.unionByName(event_lines(sums, STORED_RUN, totals, "outcome", "n_records", logger=logger, at=at))
+
+
+def follow_up_events(plan: DataFrame, items: DataFrame, tries: DataFrame, logger: str, at: Column) -> DataFrame:
+    """Event lines of what is left to do: planned keys without a document, and requests to send again.
+
+    ``tries`` has ``url, status, fetched_at`` of every request sent.
+    """
+    fetched = items.where("NOT failed").select(*item_key())
+    missing = plan_coverage(plan, fetched, *accounting.KEY)
+    work = retry_worklist(tries)
+    key = accounting.KEY
+    return event_lines(
+        missing, UNCOVERED, F.format_string("%s, %s: nothing collected", *key), *key,
+        logger=logger, at=at, level="WARNING",
+    ).unionByName(event_lines(
+        work.withColumnRenamed("status", "error_code"), AGAIN,
+        F.format_string("%s failed with %d, sent again %d time(s) so far", "url", "error_code", "retries"),
+        "url", "error_code", "retries", logger=logger, at=at, level="WARNING",
+    ))
+
+
+def whole_report(
+    plan: DataFrame, results: DataFrame, fetches: DataFrame, landed: Landed, logger: str, at: Column,
+    layout: CardLayout = DEFAULT_LAYOUT,
+) -> DataFrame:
+    """All event lines of a run that has landed ``fetches`` for the result pages of a plan."""
+    counts = report_counts(plan, results, landed.items, layout)
+    tries = fetches.select(F.col("doc_url").alias("url"), "status", "fetched_at")
+    parts = (
+        report_events(counts, failures_of(landed.items), logger, at),
+        outcome_events(landed.outcomes, logger, at),
+        follow_up_events(plan, landed.items, tries, logger, at),
+    )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def transform_events(
     outcomes: DataFrame, summary: DataFrame, start: str, end: str, logger: str, at: Column
 ) -> DataFrame:

@@ -64,12 +64,12 @@ FAILURE = table("url", error_code=IntegerType(), reason=StringType(), times=Long
 EVENTS = table(
     "timestamp", "level", "logger", "message", "event", "partition", "body", "url",
     "reason", "identifier", "file_type", "file_name", "object_name", "error",
-    "start_partition", "end_partition",
+    "start_partition", "end_partition", "outcome",
     error_code=IntegerType(),
     failures=ArrayType(FAILURE),
     **{name: LongType() for name in (
         "records_found", "records_scraped", "records_failed", "partitions_processed",
         "total_records_found", "total_records_scraped", "total_records_failed", "chunk",
-        "total_records", "transformed", "skipped", "errors",
+        "total_records", "transformed", "skipped", "errors", "retries", "n_records",
     )},
 )

@@ -17,7 +17,7 @@ from docquay.functions.naming import (
     object_name,
     object_path,
 )
-from docquay.operators.accounting import transform_summary
+from docquay.operators.accounting import outcome_totals
 from docquay.operators.state import month_range_scan, require_unique, stored_rows_of, upsert
 from docquay.plans import landing
 from docquay.plans.schemas import (
@@ -97,9 +97,9 @@ def transformed_records(records: DataFrame, new_hash: str = "new_hash") -> DataF
 
 @dataclass(frozen=True)
 class Transformed:
-    """What a run did: the outcome of every record, and the totals.
+    """What a run did: the outcome of every record, and the totals, counted while those were written.
 
-    Both read tables of ``staging``; discard that when they are no longer read.
+    Outcomes read tables of ``staging``; discard that when they are no longer read.
     """
 
     batch: int
@@ -225,7 +225,7 @@ class TransformRun:
         )
 
         written = spark.read.parquet(f"{content_root}/{BATCH}={batch}").select("file_name", "new_hash")
-        outcomes = work.table(
+        outcomes, totals = work.counted(
             records.join(written, "file_name", "left")
             .withColumn("error", F.when(~F.col("skipped"), F.coalesce(
                 record_error(), F.when(F.col("new_hash").isNull(), F.lit(NOT_FOUND))
@@ -237,6 +237,7 @@ class TransformRun:
                 .otherwise("transformed"),
             ),
             "outcomes",
+            **outcome_totals(),
         )
         fresh = outcomes.where(F.col("outcome") == "transformed")
         require_unique(fresh, "identifier")
@@ -263,4 +264,6 @@ class TransformRun:
             "identifier", "outcome", "error", F.coalesce("file_type", F.lit("html")).alias("file_type"),
             transformed_name().alias("file_name"),
         )
-        return Transformed(batch, told, transform_summary(outcomes), work)
+        one = spark.range(1 if totals["total_records"] else 0)
+        summary = one.select(*[F.lit(n).cast("bigint").alias(c) for c, n in totals.items()])
+        return Transformed(batch, told, summary, work)

@@ -21,7 +21,7 @@ from docquay.queries.inputs import (
     pages,
     table,
 )
-from docquay.sources.event_log import event_counts, event_line, log_path, read_events, write_events
+from docquay.sources.event_log import event_counts, event_line, log_path, read_events, unreadable_lines, write_events
 from docquay.sources.registry import parse_sources
 from docquay.sources.staging import staging_root
 
@@ -92,6 +92,29 @@ EVENT_LOG_WRITE = """SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S') ||
     FROM events"""
 
 
+_LINE = """concat('{"event": "', event_type, '", "error_code": ', cast(event_id % 100 AS varchar(9)),
+    ', "identifier": "', cast(event_id AS varchar(20)), '"}')"""
+# Errors are cut off, as by a writer that was lost; signups have text where a number belongs.
+_LINE_AS_WRITTEN = f"""CASE event_type WHEN 'error' THEN substring({_LINE}, 1, length({_LINE}) - 3)
+    WHEN 'signup' THEN replace({_LINE}, '"error_code": ', '"error_code": "n/a", "was": ') ELSE {_LINE} END"""
+
+
+def event_log_broken(spark, sf):
+    """Events of a log with broken lines, and these lines as they are."""
+    path = log_path(staging_root(spark), "docs", datetime.now())
+    write_events(table(spark, sf, "events").select(F.expr(_LINE_AS_WRITTEN).alias("value")), path)
+    none = F.lit(None).cast("string")
+    return read_events(spark, path, EVENTS).select("event", "error_code", "identifier", none.alias("line")).union(
+        unreadable_lines(spark, path, EVENTS).select(none, F.lit(None).cast("int"), none, "value")
+    )
+
+
+EVENT_LOG_BROKEN = f"""SELECT event_type AS event, CAST(event_id % 100 AS INTEGER) AS error_code,
+        CAST(event_id AS VARCHAR) AS identifier, NULL AS line FROM events
+        WHERE event_type NOT IN ('error', 'signup')
+    UNION ALL SELECT NULL, NULL, NULL, {_LINE_AS_WRITTEN} FROM events WHERE event_type IN ('error', 'signup')"""
+
+
 def event_log_scan(spark, sf):
     """Events of a written log, by kind."""
     path = log_path(staging_root(spark), "docs", datetime.now())
@@ -435,6 +458,7 @@ QUERIES = {
     "month_range_scan": (month_range_scan, MONTH_RANGE_SCAN),
     "source_registry": (source_registry, SOURCE_REGISTRY),
     "event_log_write": (event_log_write, EVENT_LOG_WRITE),
+    "event_log_broken": (event_log_broken, EVENT_LOG_BROKEN),
     "event_log_scan": (event_log_scan, EVENT_LOG_SCAN),
     "month_partitions": (month_partitions, MONTH_PARTITIONS),
     "crawl_plan": (crawl_plan, CRAWL_PLAN),

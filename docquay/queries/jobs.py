@@ -232,13 +232,18 @@ REPORT_COLUMNS = (
 )
 
 
-def _report_events(spark, sf):
+def _page_plan(spark, sf):
+    """Months and sources of the result pages, an idle source for each month, and the pages."""
     key = (F.expr(PAGE_MONTH).alias("partition"), F.expr(PAGE_BODY).alias("body"))
     results = pages(spark, sf).select(*key, "html")
     months = results.select("partition").distinct()
-    plan = results.select("partition", "body").unionByName(
+    return results.select("partition", "body").unionByName(
         months.withColumn("body", F.lit("Idle"))
-    ).distinct()
+    ).distinct(), results
+
+
+def _report_events(spark, sf):
+    plan, results = _page_plan(spark, sf)
     items = landing.landing_items(page_fetches(spark, sf))
     counts = reporting.report_counts(plan, results, items, CardLayout(item=Field("li")))
     lines = reporting.report_events(
@@ -249,6 +254,24 @@ def _report_events(spark, sf):
     return read_events(spark, path, EVENTS)
 
 
+WHOLE_COLUMNS = (*REPORT_COLUMNS, "identifier", "outcome", "retries", "n_records")
+
+
+def report_whole(spark, sf):
+    """All events of the second landing run, written and read back, but for the lists of failures."""
+    root, fetches = run_root(spark), page_fetches(spark, sf)
+    landing.land(spark, _earlier(fetches), root)
+    landed = landing.land(spark, fetches, root)
+    plan, results = _page_plan(spark, sf)
+    lines = reporting.whole_report(
+        plan, results, fetches, landed, "docs", F.lit("2024-07-01").cast("timestamp_ntz"),
+        CardLayout(item=Field("li")),
+    )
+    write_events(lines, f"{root}/events")
+    events = read_events(spark, f"{root}/events", EVENTS)
+    return events.where("event <> 'partition_failures'").select(*WHOLE_COLUMNS)
+
+
 def report(spark, sf):
     """Event log of a run, written and read back, but for the lists of failures."""
     return _report_events(spark, sf).where("event <> 'partition_failures'").select(*REPORT_COLUMNS)
@@ -322,6 +345,34 @@ REPORT = f"""WITH {PAGE_FETCHES_SQL}, cards AS (SELECT {PAGE_MONTH} AS "partitio
         CAST(sum(records_failed) AS BIGINT) FROM ends"""
 
 
+_NO_MORE = "NULL AS identifier, NULL AS outcome, CAST(NULL AS BIGINT) AS retries, CAST(NULL AS BIGINT) AS n_records"
+
+
+def _event_sql(event, level, **fields):
+    """One kind of event: the columns of the whole report, null where not given."""
+    texts = ("partition", "body", "url", "reason", "identifier", "outcome")
+    columns = [f"'{event}' AS event", f"'{level}' AS level"]
+    for c in WHOLE_COLUMNS[2:]:
+        kind = "VARCHAR" if c in texts else "INTEGER" if c == "error_code" else "BIGINT"
+        columns.append(f'CAST({fields.get(c, "NULL")} AS {kind}) AS "{c}"')
+    return f"SELECT {', '.join(columns)}"
+
+
+REPORT_WHOLE = f"""WITH {_LANDED_SQL}, shown AS ({REPORT}),
+    stored AS (SELECT identifier, outcome FROM outcomes),
+    kept AS (SELECT DISTINCT partition_date AS "partition", body FROM fetches WHERE status = 200),
+    planned AS (SELECT DISTINCT {PAGE_MONTH} AS "partition", {PAGE_BODY} AS body FROM pages
+        UNION SELECT DISTINCT {PAGE_MONTH}, 'Idle' FROM pages)
+    SELECT *, {_NO_MORE} FROM shown
+    UNION ALL BY NAME {_event_sql("record_stored", "INFO", identifier="identifier", outcome="outcome")} FROM stored
+    UNION ALL BY NAME {_event_sql("upsert_summary", "INFO", outcome="outcome", n_records="count(*)")}
+        FROM stored GROUP BY stored.outcome
+    UNION ALL BY NAME {_event_sql("partition_uncovered", "WARNING", partition='"partition"', body="body")}
+        FROM planned WHERE ("partition", body) NOT IN (SELECT ("partition", body) FROM kept)
+    UNION ALL BY NAME {_event_sql("retry_planned", "WARNING", url="url", error_code="503", retries="count(*) - 1")}
+        FROM fetches WHERE status = 503 GROUP BY fetches.url HAVING count(*) <= 5"""
+
+
 def land_stream(spark, sf):
     """The fetches arriving as files, landed in several micro-batches."""
     root = run_root(spark)
@@ -478,5 +529,6 @@ QUERIES = {
     "transformed_object_write": (transformed_object_write, TRANSFORMED_OBJECT_WRITE),
     "transformed_upsert": (transformed_upsert, TRANSFORMED_UPSERT),
     "report": (report, REPORT),
+    "report_whole": (report_whole, REPORT_WHOLE),
     "land_stream": (land_stream, LAND_STREAM),
 }

@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def utc_iso(ts: Column) -> Column:
@@ -48,9 +48,34 @@ def write_events(lines: DataFrame, path: str) -> None:
     lines.select("value").write.mode("error").text(path)
 
 
+BROKEN = "__broken"
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines that are not blank, with the file they are in."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    return lines.where(F.trim("value") != "")
+
+
+def _events_of(value: Column, schema: StructType | str) -> Column:
+    """An array with the event of a line; empty if it is no JSON object or a field has another type."""
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    kept = StructType([*schema.fields, StructField(BROKEN, StringType())])
+    event = F.from_json(value, kept, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN})
+    return F.filter(F.array(event), lambda e: e.isNotNull() & e[BROKEN].isNull())
+
+
 def read_events(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """Event log with a given schema; fields an event lacks are null."""
-    return spark.read.schema(schema).json(path)
+    """Event log with a given schema; fields an event lacks are null.
+
+    Lines that cannot be read are not among the events but in :func:`unreadable_lines`.
+    """
+    return _lines(spark, path).select(F.inline(_events_of(F.col("value"), schema))).drop(BROKEN)
+
+
+def unreadable_lines(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """``file, value`` of all lines that :func:`read_events` leaves out, as they are."""
+    return _lines(spark, path).where(F.size(_events_of(F.col("value"), schema)) == 0)
 
 
 def event_counts(events: DataFrame) -> DataFrame:

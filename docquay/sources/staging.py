@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def staging_root(spark: SparkSession, fallback: str | None = None) -> str:
@@ -42,6 +42,12 @@ class Staging:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def counted(self, df: DataFrame, name: str, **totals: Column) -> tuple[DataFrame, dict[str, int]]:
+        """:meth:`table`, and aggregates of its rows that are taken while they are written."""
+        seen = Observation(name)
+        written = self.table(df.observe(seen, *[c.alias(n) for n, c in totals.items()]), name)
+        return written, seen.get
+
     def drop(self, name: str) -> None:
         """Delete one table that nothing reads any more."""
         self._delete(f"{self.root}/{name}")

@@ -11,7 +11,7 @@ from docquay.operators import accounting
 from docquay.operators.state import stored_rows_of
 from docquay.plans import landing, reporting, transforming
 from docquay.plans.schemas import EVENTS, FETCHES
-from docquay.sources.event_log import event_counts, log_path, read_events, write_events
+from docquay.sources.event_log import event_counts, log_path, read_events, unreadable_lines, write_events
 from docquay.sources.tables import DELETED, STATE_BUCKETS, RunLog, append_batch
 from docquay.streaming.landing import arriving_fetches, land_stream
 
@@ -381,6 +381,29 @@ def test_transform_is_incremental(spark, tmp_path, first):
     assert transforming.transform(spark, root, "2020-01-01", "2020-02-01").summary.count() == 0
 
 
+def test_totals_taken_while_writing(spark, tmp_path, first):
+    """Numbers of a run equal those of its tables, and do not read them again."""
+    landed = landing.land(spark, first, str(tmp_path))
+    failed, error = F.col("failed"), F.col("error").isNotNull()
+    again = landed.items.agg(F.count_if(~failed), F.count_if(failed), F.count_if(~failed & error)).first()
+    assert list(landed.totals.values()) == list(again) == [6, 2, 2]
+    run = transforming.transform(spark, str(tmp_path), "2024-01-01", "2024-02-01")
+    assert run.summary.first() == accounting.transform_summary(run.outcomes).first()
+    assert "FileScan" not in run.summary._jdf.queryExecution().executedPlan().toString()
+
+
+def test_unreadable_lines_are_kept(spark, tmp_path):
+    lines = ['{"event": "a", "error_code": 1}', "", "  ", "[]", "[1]", "5", "null", '"text"', '{"event": "b"', "{}",
+             '{"event": "c", "error_code": "x"}', '{"event": {"no": 1}, "error_code": 2}', "\x00", '{"other": 1}']
+    path = str(tmp_path / "log")
+    write_events(spark.createDataFrame([(t,) for t in lines], "value string"), path)
+    events = read_events(spark, path, "event string, error_code int").collect()
+    broken = [r.value for r in unreadable_lines(spark, path, "event string, error_code int").collect()]
+    assert len(events) + len(broken) == sum(bool(t.strip(" ")) for t in lines)
+    assert ("a", 1) in [tuple(r) for r in events] and not any(r.event == "c" for r in events)
+    assert {"[]", "5", '{"event": "b"', '{"event": "c", "error_code": "x"}', '"text"'} <= set(broken)
+
+
 def test_transform_errors_are_counted(spark, tmp_path, first):
     root = str(tmp_path)
     landing.land(spark, first, root)
