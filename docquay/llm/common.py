@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -72,6 +75,28 @@ def slices(
         yield batch.slice(a, b - a)
 
 
+def rows_at_once(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of so many rows, for work that turns them into Python objects."""
+    for a in range(0, batch.num_rows, rows):
+        yield batch.slice(a, rows)
+
+
+def handing_back(run: Callable) -> Callable:
+    """``run`` over batches; when a task ends, its worker gives freed memory back to the machine.
+
+    Workers are kept for later tasks, and what one has once needed would stay with it.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # only the GNU library has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return task
+
+
 def ascii_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """Words between ASCII white space, A-Z lowered: row of each word, and the words."""
     lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))

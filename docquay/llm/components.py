@@ -40,5 +40,6 @@ def components(edges: DataFrame, staging: Staging, name: str) -> DataFrame:
             .union(least)
         )
         current = staging.table(small.distinct(), f"{name}-{step}")
+        staging.drop(f"{name}-{step - 1}")
     roots = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)

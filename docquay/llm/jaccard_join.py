@@ -31,8 +31,10 @@ from pyspark.sql import functions as F
 
 from docquay.llm.common import (
     ascii_words,
+    handing_back,
     keep_rows,
     row_hash,
+    rows_at_once,
     shuffle_parts,
     slices,
     stage_for,
@@ -49,6 +51,11 @@ SKETCH_BLOCK = 1 << 16
 PAGE = 48
 FAN_OUT = 16
 PAIRS_KEPT = 200_000
+#: Rows with lists of bitmaps that a task turns into objects together.
+ROWS_AT_ONCE = 64
+#: Pairs of a set with a page, and pages on either side, in the first round of the trees; both grow by
+#: ``WIDER`` from round to round, until nothing is left out.
+BUDGET, REACH, WIDER = 8, 2, 16
 #: Leaders that a set is compared with before the trees.
 LEADERS = 3
 
@@ -134,7 +141,7 @@ def _sketch(size: int) -> Callable:
             names=["block", "counts"],
         )
 
-    return run
+    return handing_back(run)
 
 
 def _weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,7 +202,7 @@ def _profile(weights, size: int, similarity: tuple[int, int]) -> Callable:
                     names=["doc_id", "row_hash", "n", "spare", "digest", "first", "bits"],
                 )
 
-    return run
+    return handing_back(run)
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,7 +253,7 @@ def _sets_of(size: int) -> Callable:
                     names=["digest", "members"],
                 )
 
-    return run
+    return handing_back(run)
 
 
 def _compare(similarity: tuple[int, int]) -> Callable:
@@ -262,7 +269,7 @@ def _compare(similarity: tuple[int, int]) -> Callable:
                 [batch.column("a"), batch.column("b")], names=["a", "b"]
             ).filter(pa.array(good, pa.bool_()))
 
-    return run
+    return handing_back(run)
 
 
 class _Sets:
@@ -349,21 +356,22 @@ def _or_bits(maps: list[np.ndarray]) -> np.ndarray:
 
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """OR the bitmaps of the children of each node."""
-    for batch in batches:
-        maps = [
-            _or_bits([np.frombuffer(b, dtype=np.uint64) for b in children]).tobytes()
-            for children in batch.column("children").to_pylist()
-        ]
-        keep = [c for c in batch.schema.names if c != "children"]
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in keep), pa.array(maps, pa.binary())], names=[*keep, "bits"]
-        )
+    for whole in batches:
+        for batch in rows_at_once(whole, ROWS_AT_ONCE):
+            maps = [
+                _or_bits([np.frombuffer(b, dtype=np.uint64) for b in children]).tobytes()
+                for children in batch.column("children").to_pylist()
+            ]
+            keep = [c for c in batch.schema.names if c != "children"]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in keep), pa.array(maps, pa.binary())], names=[*keep, "bits"]
+            )
 
 
 NODE = "token long, band int, slot long, n_min long, n_max long, c_min long, c_max long, spare long, bits binary"
 
 
-def tree_levels(members: DataFrame, levels: int, staging: Staging) -> list[DataFrame]:
+def tree_levels(members: DataFrame, levels: int, staging: Staging, name: str) -> list[DataFrame]:
     """Node tables from the pages up; a node has ``FAN_OUT`` children at most."""
     out = []
     for level in range(levels + 1):
@@ -372,102 +380,129 @@ def tree_levels(members: DataFrame, levels: int, staging: Staging) -> list[DataF
                   ("c_max", F.max, "comp"), ("spare", F.max, "spare")]
         aggs = [f(c if level == 0 or c == "spare" else name).alias(name) for name, f, c in ranges]
         rows = source.groupBy("token", "band", "slot").agg(*aggs, F.collect_list("bits").alias("children"))
-        out.append(staging.table(rows.mapInArrow(_nodes, NODE), f"nodes-{level}-{len(out)}"))
+        out.append(staging.table(rows.mapInArrow(handing_back(_nodes), NODE), f"{name}-nodes-{level}"))
     return out
 
 
 def _possible(similarity: tuple[int, int]) -> Callable:
     """Keep the node pairs below which a new similar pair may be."""
+    num, den = similarity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        num, den = similarity
+        facts = ["n_min", "n_max", "c_min", "c_max", "spare"]
         for batch in batches:
-            good = []
-            for r in batch.to_pylist():
-                one = r["xc_min"] == r["xc_max"] == r["yc_min"] == r["yc_max"]
-                apart = den * r["xn_max"] < num * r["yn_min"] or den * r["yn_max"] < num * r["xn_min"]
-                ok = not one and not apart
-                if ok:
-                    x = np.frombuffer(r["xbits"], dtype=np.uint64)
-                    y = np.frombuffer(r["ybits"], dtype=np.uint64)
-                    words = max(len(x), len(y))
-                    both = int(np.bitwise_count(tiled(x, words) & tiled(y, words)).sum())
-                    most = both + min(r["xspare"], r["yspare"])
-                    ok = most >= least_overlap(r["xn_min"] + r["yn_min"], similarity)
-                good.append(ok)
+            x, y = ({f: batch.column(f"{side}{f}").to_numpy(zero_copy_only=False) for f in facts} for side in "xy")
+            one = (x["c_min"] == x["c_max"]) & (y["c_min"] == y["c_max"]) & (x["c_min"] == y["c_min"])
+            apart = (den * x["n_max"] < num * y["n_min"]) | (den * y["n_max"] < num * x["n_min"])
+            good = ~one & ~apart
+            spare = np.minimum(x["spare"], y["spare"])
+            maps = batch.column("xbits"), batch.column("ybits")
+            for k in np.flatnonzero(good).tolist():
+                u, v = (np.frombuffer(m[k].as_buffer(), dtype=np.uint64) for m in maps)
+                words = max(len(u), len(v))
+                both = int(np.bitwise_count(tiled(u, words) & tiled(v, words)).sum())
+                good[k] = both + spare[k] >= least_overlap(int(x["n_min"][k] + y["n_min"][k]), similarity)
             keep = ["token", "xband", "xslot", "yband", "yslot"]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in keep], names=keep
             ).filter(pa.array(good, pa.bool_()))
 
-    return run
+    return handing_back(run)
 
 
 PAIR = "token long, xband int, xslot long, yband int, yslot long"
 
 
-def _page_pairs(similarity: tuple[int, int]) -> Callable:
-    """Pairs of sets of two pages that bitmaps and sizes allow and that are not yet connected."""
+def _page_pairs(similarity: tuple[int, int], budget: int) -> Callable:
+    """Pairs of sets of two pages that bitmaps and sizes allow and that are not yet connected.
+
+    A set of the first page sends ``budget`` pairs at most; a row without sets says that some had more.
+    """
     num, den = similarity
 
+    def pairs_of(page_x: pa.StructArray, page_y: pa.StructArray, same: bool) -> tuple[set, bool]:
+        xs, ys = ({f: page.field(f).to_numpy(zero_copy_only=False) for f in ("cls", "comp", "n", "spare")}
+                  for page in (page_x, page_y))
+        n, m = xs["n"][:, None], ys["n"]
+        ok = (xs["comp"][:, None] != ys["comp"]) & (den * n >= num * m) & (den * m >= num * n)
+        if same:
+            ok = np.triu(ok, 1)
+        maps: dict[tuple[int, int], np.ndarray] = {}
+
+        def bits(side: int, page: pa.StructArray, k: int) -> np.ndarray:
+            if (side, k) not in maps:
+                maps[side, k] = np.frombuffer(page.field("bits")[k].as_buffer(), dtype=np.uint64)
+            return maps[side, k]
+
+        found, more = set(), False
+        for i in np.flatnonzero(ok.any(axis=1)).tolist():
+            sent = 0
+            for j in np.flatnonzero(ok[i]).tolist():
+                u, v = bits(0, page_x, i), bits(1, page_y, j)
+                words = max(len(u), len(v))
+                both = int(np.bitwise_count(tiled(u, words) & tiled(v, words)).sum())
+                total = int(xs["n"][i] + ys["n"][j])
+                if both + min(xs["spare"][i], ys["spare"][j]) < least_overlap(total, similarity):
+                    continue
+                if sent == budget:
+                    more = True
+                    break
+                sent += 1
+                found.add(tuple(sorted((int(xs["cls"][i]), int(ys["cls"][j])))))
+        return found, more
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Sets that share many shingles meet in many buckets; a task tells of them once, as long
         # as its memory of pairs holds.
         told: set[tuple[int, int]] = set()
         for batch in batches:
             found: set[tuple[int, int]] = set()
-            for r in batch.to_pylist():
-                same = (r["xband"], r["xslot"]) == (r["yband"], r["yslot"])
-                xs, ys = r["xpage"], r["ypage"]
-                n, m = (np.array([e["n"] for e in page]) for page in (xs, ys))
-                c, d = (np.array([e["comp"] for e in page]) for page in (xs, ys))
-                ok = (c[:, None] != d) & (den * n[:, None] >= num * m) & (den * m >= num * n[:, None])
-                if same:
-                    ok = np.triu(ok, 1)
-                maps: dict[tuple[str, int], np.ndarray] = {}
-                for i, j in np.argwhere(ok).tolist():
-                    pair = min(xs[i]["cls"], ys[j]["cls"]), max(xs[i]["cls"], ys[j]["cls"])
-                    if pair in told:
-                        continue
-                    for key, page, k in ((("x", i), xs, i), (("y", j), ys, j)):
-                        if key not in maps:
-                            maps[key] = np.frombuffer(page[k]["bits"], dtype=np.uint64)
-                    x, y, xb, yb = xs[i], ys[j], maps["x", i], maps["y", j]
-                    words = max(len(xb), len(yb))
-                    both = int(np.bitwise_count(tiled(xb, words) & tiled(yb, words)).sum())
-                    if both + min(x["spare"], y["spare"]) >= least_overlap(x["n"] + y["n"], similarity):
-                        found.add(pair)
+            cut = False
+            places = [batch.column(c).to_pylist() for c in ("xband", "xslot", "yband", "yslot")]
+            for k, (xband, xslot, yband, yslot) in enumerate(zip(*places)):
+                pages = (batch.column(c)[k].values for c in ("xpage", "ypage"))
+                pairs, more = pairs_of(*pages, (xband, xslot) == (yband, yslot))
+                found |= pairs
+                cut |= more
             found -= told
             told = told | found if len(told) < PAIRS_KEPT else set(found)
             a, b = zip(*sorted(found)) if found else ((), ())
+            if cut:
+                a, b = (*a, None), (*b, None)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]
             )
 
-    return run
+    return handing_back(run)
 
 
 def tree_pairs(
-    members: DataFrame, staging: Staging, similarity: tuple[int, int], name: str
-) -> DataFrame:
+    members: DataFrame, staging: Staging, similarity: tuple[int, int], name: str,
+    budget: int, reach: int,
+) -> tuple[DataFrame, bool]:
     """Pairs ``a, b`` that the signature trees of ``members(token, cls, comp, n, spare, bits)`` leave.
 
     A tree has the sets of a bucket and of a range of sizes, such that similar sets are in
-    the same or in neighbouring ranges. Pages are dealt by a hash of the set.
+    the same or in neighbouring ranges. Sets that are connected share pages, as far as they fit.
+    Pages that are more than ``reach`` apart are left for a later round, and so are pairs
+    beyond the ``budget`` of a set; also returned is whether there are such.
     """
     step = math.log(similarity[1] / similarity[0])
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(step)).cast("int")
     rows = members.withColumn("band", band)
-    counts = rows.groupBy("token", "band").agg(F.ceil(F.count("*") / F.lit(PAGE)).alias("pages"))
-    rows = rows.join(counts, ["token", "band"]).withColumn(
-        "slot", F.pmod(F.xxhash64("cls"), F.col("pages")).cast("long")
-    ).drop("pages")
+    own = rows.groupBy("token", "band", "comp").agg(F.count("*").alias("own"))
+    counts = own.groupBy("token", "band").agg(F.ceil(F.sum("own") / F.lit(PAGE)).alias("pages"))
+    own = own.withColumn("own", F.ceil(F.col("own") / F.lit(PAGE)))
+    among = F.pmod(F.xxhash64("cls"), F.col("own"))
+    rows = rows.join(counts, ["token", "band"]).join(own, ["token", "band", "comp"]).withColumn(
+        "slot", F.pmod(F.pmod(F.xxhash64("comp"), F.col("pages")) + among, F.col("pages")).cast("long")
+    ).drop("pages", "own")
     rows = staging.table(rows, f"{name}-members")
     top = rows.agg(F.max("slot")).first()[0] or 0
     levels = 0
     while top >> (4 * levels):
         levels += 1
-    nodes = tree_levels(rows, levels, staging)
+    nodes = tree_levels(rows, levels, staging, name)
 
     def side(df: DataFrame, tag: str, columns: list[str]) -> DataFrame:
         return df.select("token", *[F.col(c).alias(f"{tag}{c}") for c in columns])
@@ -489,12 +524,23 @@ def tree_pairs(
         )
         pairs = grown.mapInArrow(_possible(similarity), PAIR)
     pairs = staging.table(pairs, f"{name}-pairs")
+    distance = F.abs(F.col("yslot") - F.col("xslot"))
+    far = not pairs.where(distance > reach).isEmpty()
+    pairs = pairs.where(distance <= reach)
     page = F.collect_list(F.struct("cls", "comp", "n", "spare", "bits")).alias("page")
     pages = rows.groupBy("token", "band", "slot").agg(page)
     final = pairs.join(side(pages, "x", ["band", "slot", "page"]), ["token", "xband", "xslot"]).join(
         side(pages, "y", ["band", "slot", "page"]), ["token", "yband", "yslot"]
     )
-    return final.mapInArrow(_page_pairs(similarity), "a long, b long").distinct()
+    found = staging.table(
+        final.mapInArrow(_page_pairs(similarity, budget), "a long, b long").distinct(), f"{name}-found"
+    )
+    for table in ("members", "pairs", *[f"pairs-{k}" for k in range(levels)]):
+        staging.drop(f"{name}-{table}")
+    for level in range(levels + 1):
+        staging.drop(f"{name}-nodes-{level}")
+    more = far or not found.where(F.col("a").isNull()).isEmpty()
+    return found.where(F.col("a").isNotNull()), more
 
 
 # --- the join ---------------------------------------------------------------------------
@@ -525,6 +571,7 @@ def jaccard_components(
         "doc_id long, row_hash long, n long, spare long, digest binary, first binary, bits binary",
     ).withColumn("node", F.monotonically_increasing_id())
     profile = staging.table(profile, "profile")
+    weights.destroy()
 
     postings = profile.where("n > 0").select("node", "first").mapInArrow(
         _postings, "token long, node long"
@@ -546,12 +593,14 @@ def jaccard_components(
 
     buckets = shared.join(node_class, "node").select("token", "cls", "n").distinct()
     buckets = staging.table(buckets, "buckets-all")
+    staging.drop("shared")
     # Buckets with the same classes as another one add nothing.
     bags = buckets.groupBy("token").agg(
         F.count("*").alias("size"), F.bit_xor(F.xxhash64("cls")).alias("bag"), F.min("cls").alias("low")
     ).where("size > 1")
     bags = bags.groupBy("size", "bag", "low").agg(F.min("token").alias("token"))
     buckets = staging.table(buckets.join(bags.select("token"), "token"), "buckets")
+    staging.drop("buckets-all")
 
     # Every class against the leaders it shares most buckets with; it has no more offers
     # than first shingles, so the list of them is short.
@@ -571,12 +620,21 @@ def jaccard_components(
     edges = staging.table(verified(pairs, sets.of(pairs), similarity), "links")
     labels = staging.table(components(edges, staging, "parts-1"), "labels-1")
 
-    live = staging.table(_live_buckets(buckets, labels), "live")
-    maps = classes.join(live.select("cls").distinct(), "cls").select("cls", "spare", "bits")
-    members = live.join(maps, "cls").select("token", "cls", "comp", "n", "spare", "bits")
-    pairs = staging.table(tree_pairs(members, staging, similarity, "tree"), "tree-found")
-    edges = edges.union(staging.table(verified(pairs, sets.of(pairs), similarity), "links-tree"))
-    labels = staging.table(components(edges, staging, "parts-2"), "labels-2")
+    tested, more, step = pairs, True, 0
+    while more:
+        live = staging.table(_live_buckets(buckets, labels), f"live-{step}")
+        maps = classes.join(live.select("cls").distinct(), "cls").select("cls", "spare", "bits")
+        members = live.join(maps, "cls").select("token", "cls", "comp", "n", "spare", "bits")
+        wider = WIDER**step
+        pairs, more = tree_pairs(members, staging, similarity, f"tree-{step}", BUDGET * wider, REACH * wider)
+        ordered = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        pairs = staging.table(pairs.join(ordered, ["a", "b"], "left_anti"), f"untested-{step}")
+        edges = edges.union(staging.table(verified(pairs, sets.of(pairs), similarity), f"links-{step}"))
+        tested = tested.select("a", "b").union(pairs)
+        labels = staging.table(components(edges, staging, f"parts-2-{step}"), f"labels-2-{step}")
+        staging.drop(f"live-{step}")
+        staging.drop(f"tree-{step}-found")
+        step += 1
 
     tagged = narrow.join(node_class.select("node", "cls"), "node", "left").withColumn(
         "cls", F.coalesce("cls", "node")
@@ -585,6 +643,8 @@ def jaccard_components(
         "doc_id", "row_hash", "n", F.coalesce("component", "cls").alias("component")
     )
     tagged = staging.table(tagged, "tagged")
+    for name in ("buckets", "classes", "narrow", *[f"sets-{k}" for k in range(sets.calls)]):
+        staging.drop(name)
     least = tagged.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return tagged.join(least, "component").select(
         "doc_id", "row_hash", F.col("n").alias("n_shingles"), "component_id"

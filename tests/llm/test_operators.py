@@ -105,6 +105,27 @@ def test_jaccard_pieces():
     assert sets[3] == sets[4]
 
 
+def test_jaccard_rounds(spark, monkeypatch):
+    """Groups of near copies that leaders do not connect, with so little per round that many are needed."""
+    for name, value in (("PAGE", 2), ("BUDGET", 1), ("REACH", 1), ("WIDER", 4), ("LEADERS", 1), ("FAN_OUT", 16)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    draw = random.Random(8)
+    rows = []
+    for group in range(3):
+        base = [f"w{group}-{k}" for k in range(120)]
+        for _ in range(30):
+            own = list(base)
+            for _ in range(draw.randrange(1, 5)):
+                own[draw.randrange(120)] = f"x{draw.randrange(10**9)}"
+            rows.append((len(rows), " ".join(own)))
+    # A chain in which only neighbours are similar, and texts that share a passage and nothing else.
+    chain = [f"c{k}" for k in range(400)]
+    rows += [(1000 + k, " ".join(chain[8 * k : 8 * k + 100])) for k in range(30)]
+    rows += [(2000 + k, " ".join([*chain[:60], *(f"y{k}-{j}" for j in range(40))])) for k in range(30)]
+    got = jaccard_join.jaccard_components(table(spark, rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == plain.jaccard_components(rows)
+
+
 def test_jaccard_tree_levels(spark, tmp_path, monkeypatch):
     """A bucket of many unlike sets, with pages so small that the tree has three levels."""
     monkeypatch.setattr(jaccard_join, "PAGE", 2)
@@ -118,7 +139,9 @@ def test_jaccard_tree_levels(spark, tmp_path, monkeypatch):
         bits = jaccard_join.bitmap(s)
         rows.append((1, k, k, len(s), len(s) - int(np.bitwise_count(bits).sum()), bytes(bits.tobytes())))
     members = spark.createDataFrame(rows, "token long, cls long, comp long, n long, spare long, bits binary")
-    found = jaccard_join.tree_pairs(members, Staging(spark, str(tmp_path)), (75, 100), "t")
+    found = jaccard_join.tree_pairs(members, Staging(spark, str(tmp_path)), (75, 100), "t", 1000, 1000)
+    assert not found[1]
+    found = found[0]
     found = {tuple(r) for r in found.collect()}
     linked = {
         (a, b) for a in range(900) for b in range(a + 1, 900)
