@@ -53,9 +53,6 @@ FAN_OUT = 16
 PAIRS_KEPT = 200_000
 #: Rows with lists of bitmaps that a task turns into objects together.
 ROWS_AT_ONCE = 64
-#: Pairs of a set with a page, and pages on either side, in the first round of the trees; both grow by
-#: ``WIDER`` from round to round, until nothing is left out.
-BUDGET, REACH, WIDER = 8, 2, 16
 #: Leaders that a set is compared with before the trees.
 LEADERS = 3
 
@@ -413,14 +410,11 @@ def _possible(similarity: tuple[int, int]) -> Callable:
 PAIR = "token long, xband int, xslot long, yband int, yslot long"
 
 
-def _page_pairs(similarity: tuple[int, int], budget: int) -> Callable:
-    """Pairs of sets of two pages that bitmaps and sizes allow and that are not yet connected.
-
-    A set of the first page sends ``budget`` pairs at most; a row without sets says that some had more.
-    """
+def _page_pairs(similarity: tuple[int, int]) -> Callable:
+    """Pairs of sets of two pages that bitmaps and sizes allow and that are not yet connected."""
     num, den = similarity
 
-    def pairs_of(page_x: pa.StructArray, page_y: pa.StructArray, same: bool) -> tuple[set, bool]:
+    def pairs_of(page_x: pa.StructArray, page_y: pa.StructArray, same: bool) -> set:
         xs, ys = ({f: page.field(f).to_numpy(zero_copy_only=False) for f in ("cls", "comp", "n", "spare")}
                   for page in (page_x, page_y))
         n, m = xs["n"][:, None], ys["n"]
@@ -434,22 +428,16 @@ def _page_pairs(similarity: tuple[int, int], budget: int) -> Callable:
                 maps[side, k] = np.frombuffer(page.field("bits")[k].as_buffer(), dtype=np.uint64)
             return maps[side, k]
 
-        found, more = set(), False
+        found = set()
         for i in np.flatnonzero(ok.any(axis=1)).tolist():
-            sent = 0
             for j in np.flatnonzero(ok[i]).tolist():
                 u, v = bits(0, page_x, i), bits(1, page_y, j)
                 words = max(len(u), len(v))
                 both = int(np.bitwise_count(tiled(u, words) & tiled(v, words)).sum())
                 total = int(xs["n"][i] + ys["n"][j])
-                if both + min(xs["spare"][i], ys["spare"][j]) < least_overlap(total, similarity):
-                    continue
-                if sent == budget:
-                    more = True
-                    break
-                sent += 1
-                found.add(tuple(sorted((int(xs["cls"][i]), int(ys["cls"][j])))))
-        return found, more
+                if both + min(xs["spare"][i], ys["spare"][j]) >= least_overlap(total, similarity):
+                    found.add(tuple(sorted((int(xs["cls"][i]), int(ys["cls"][j])))))
+        return found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Sets that share many shingles meet in many buckets; a task tells of them once, as long
@@ -457,18 +445,13 @@ def _page_pairs(similarity: tuple[int, int], budget: int) -> Callable:
         told: set[tuple[int, int]] = set()
         for batch in batches:
             found: set[tuple[int, int]] = set()
-            cut = False
             places = [batch.column(c).to_pylist() for c in ("xband", "xslot", "yband", "yslot")]
             for k, (xband, xslot, yband, yslot) in enumerate(zip(*places)):
                 pages = (batch.column(c)[k].values for c in ("xpage", "ypage"))
-                pairs, more = pairs_of(*pages, (xband, xslot) == (yband, yslot))
-                found |= pairs
-                cut |= more
+                found |= pairs_of(*pages, (xband, xslot) == (yband, yslot))
             found -= told
             told = told | found if len(told) < PAIRS_KEPT else set(found)
             a, b = zip(*sorted(found)) if found else ((), ())
-            if cut:
-                a, b = (*a, None), (*b, None)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]
             )
@@ -477,26 +460,20 @@ def _page_pairs(similarity: tuple[int, int], budget: int) -> Callable:
 
 
 def tree_pairs(
-    members: DataFrame, staging: Staging, similarity: tuple[int, int], name: str,
-    budget: int, reach: int,
-) -> tuple[DataFrame, bool]:
+    members: DataFrame, staging: Staging, similarity: tuple[int, int], name: str
+) -> DataFrame:
     """Pairs ``a, b`` that the signature trees of ``members(token, cls, comp, n, spare, bits)`` leave.
 
     A tree has the sets of a bucket and of a range of sizes, such that similar sets are in
-    the same or in neighbouring ranges. Sets that are connected share pages, as far as they fit.
-    Pages that are more than ``reach`` apart are left for a later round, and so are pairs
-    beyond the ``budget`` of a set; also returned is whether there are such.
+    the same or in neighbouring ranges. Pages are dealt by a hash of the set.
     """
     step = math.log(similarity[1] / similarity[0])
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(step)).cast("int")
     rows = members.withColumn("band", band)
-    own = rows.groupBy("token", "band", "comp").agg(F.count("*").alias("own"))
-    counts = own.groupBy("token", "band").agg(F.ceil(F.sum("own") / F.lit(PAGE)).alias("pages"))
-    own = own.withColumn("own", F.ceil(F.col("own") / F.lit(PAGE)))
-    among = F.pmod(F.xxhash64("cls"), F.col("own"))
-    rows = rows.join(counts, ["token", "band"]).join(own, ["token", "band", "comp"]).withColumn(
-        "slot", F.pmod(F.pmod(F.xxhash64("comp"), F.col("pages")) + among, F.col("pages")).cast("long")
-    ).drop("pages", "own")
+    counts = rows.groupBy("token", "band").agg(F.ceil(F.count("*") / F.lit(PAGE)).alias("pages"))
+    rows = rows.join(counts, ["token", "band"]).withColumn(
+        "slot", F.pmod(F.xxhash64("cls"), F.col("pages")).cast("long")
+    ).drop("pages")
     rows = staging.table(rows, f"{name}-members")
     top = rows.agg(F.max("slot")).first()[0] or 0
     levels = 0
@@ -524,23 +501,19 @@ def tree_pairs(
         )
         pairs = grown.mapInArrow(_possible(similarity), PAIR)
     pairs = staging.table(pairs, f"{name}-pairs")
-    distance = F.abs(F.col("yslot") - F.col("xslot"))
-    far = not pairs.where(distance > reach).isEmpty()
-    pairs = pairs.where(distance <= reach)
     page = F.collect_list(F.struct("cls", "comp", "n", "spare", "bits")).alias("page")
     pages = rows.groupBy("token", "band", "slot").agg(page)
     final = pairs.join(side(pages, "x", ["band", "slot", "page"]), ["token", "xband", "xslot"]).join(
         side(pages, "y", ["band", "slot", "page"]), ["token", "yband", "yslot"]
     )
     found = staging.table(
-        final.mapInArrow(_page_pairs(similarity, budget), "a long, b long").distinct(), f"{name}-found"
+        final.mapInArrow(_page_pairs(similarity), "a long, b long").distinct(), f"{name}-found"
     )
     for table in ("members", "pairs", *[f"pairs-{k}" for k in range(levels)]):
         staging.drop(f"{name}-{table}")
     for level in range(levels + 1):
         staging.drop(f"{name}-nodes-{level}")
-    more = far or not found.where(F.col("a").isNull()).isEmpty()
-    return found.where(F.col("a").isNotNull()), more
+    return found
 
 
 # --- the join ---------------------------------------------------------------------------
@@ -620,21 +593,13 @@ def jaccard_components(
     edges = staging.table(verified(pairs, sets.of(pairs), similarity), "links")
     labels = staging.table(components(edges, staging, "parts-1"), "labels-1")
 
-    tested, more, step = pairs, True, 0
-    while more:
-        live = staging.table(_live_buckets(buckets, labels), f"live-{step}")
-        maps = classes.join(live.select("cls").distinct(), "cls").select("cls", "spare", "bits")
-        members = live.join(maps, "cls").select("token", "cls", "comp", "n", "spare", "bits")
-        wider = WIDER**step
-        pairs, more = tree_pairs(members, staging, similarity, f"tree-{step}", BUDGET * wider, REACH * wider)
-        ordered = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        pairs = staging.table(pairs.join(ordered, ["a", "b"], "left_anti"), f"untested-{step}")
-        edges = edges.union(staging.table(verified(pairs, sets.of(pairs), similarity), f"links-{step}"))
-        tested = tested.select("a", "b").union(pairs)
-        labels = staging.table(components(edges, staging, f"parts-2-{step}"), f"labels-2-{step}")
-        staging.drop(f"live-{step}")
-        staging.drop(f"tree-{step}-found")
-        step += 1
+    live = staging.table(_live_buckets(buckets, labels), "live")
+    maps = classes.join(live.select("cls").distinct(), "cls").select("cls", "spare", "bits")
+    members = live.join(maps, "cls").select("token", "cls", "comp", "n", "spare", "bits")
+    pairs = tree_pairs(members, staging, similarity, "tree")
+    staging.drop("live")
+    edges = edges.union(staging.table(verified(pairs, sets.of(pairs), similarity), "links-tree"))
+    labels = staging.table(components(edges, staging, "parts-2"), "labels-2")
 
     tagged = narrow.join(node_class.select("node", "cls"), "node", "left").withColumn(
         "cls", F.coalesce("cls", "node")

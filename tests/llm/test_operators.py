@@ -105,10 +105,10 @@ def test_jaccard_pieces():
     assert sets[3] == sets[4]
 
 
-def test_jaccard_rounds(spark, monkeypatch):
-    """Groups of near copies that leaders do not connect, with so little per round that many are needed."""
-    for name, value in (("PAGE", 2), ("BUDGET", 1), ("REACH", 1), ("WIDER", 4), ("LEADERS", 1), ("FAN_OUT", 16)):
-        monkeypatch.setattr(jaccard_join, name, value)
+def test_jaccard_groups(spark, monkeypatch):
+    """Groups of near copies, chains and shared passages, with one leader and very small pages."""
+    monkeypatch.setattr(jaccard_join, "PAGE", 2)
+    monkeypatch.setattr(jaccard_join, "LEADERS", 1)
     draw = random.Random(8)
     rows = []
     for group in range(3):
@@ -139,9 +139,7 @@ def test_jaccard_tree_levels(spark, tmp_path, monkeypatch):
         bits = jaccard_join.bitmap(s)
         rows.append((1, k, k, len(s), len(s) - int(np.bitwise_count(bits).sum()), bytes(bits.tobytes())))
     members = spark.createDataFrame(rows, "token long, cls long, comp long, n long, spare long, bits binary")
-    found = jaccard_join.tree_pairs(members, Staging(spark, str(tmp_path)), (75, 100), "t", 1000, 1000)
-    assert not found[1]
-    found = found[0]
+    found = jaccard_join.tree_pairs(members, Staging(spark, str(tmp_path)), (75, 100), "t")
     found = {tuple(r) for r in found.collect()}
     linked = {
         (a, b) for a in range(900) for b in range(a + 1, 900)
