@@ -111,6 +111,14 @@ def row_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, longer by underscores until no column of ``df`` has it, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def keep_rows(
     docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -120,14 +128,15 @@ def keep_rows(
     and one of them stays; all columns stay as they are.
     """
     keys = kept.groupBy("doc_id", "row_hash").agg(F.count("*").alias("__n"))
-    left = docs.withColumn("__hash", row_hash(F.col(text_col))).alias("l")
+    own = free_name(docs, "__hash")
+    left = docs.withColumn(own, row_hash(F.col(text_col))).alias("l")
     same = F.col(f"l.{id_col}").eqNullSafe(F.col("r.doc_id")) & (
-        F.col("l.__hash") == F.col("r.row_hash")
+        F.col(f"l.{own}") == F.col("r.row_hash")
     )
     rows = left.join(keys.alias("r"), same, "left_semi")
     if not keys.where("__n > 1").isEmpty():
-        rows = rows.dropDuplicates([id_col, "__hash"])
-    return rows.drop("__hash")
+        rows = rows.dropDuplicates([id_col, own])
+    return rows.drop(own)
 
 
 def fold(id_col: str, folds: int) -> Column:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docquay.llm.common import ascii_lower, shuffle_parts, stage_for
+from docquay.llm.common import ascii_lower, free_name, shuffle_parts, stage_for
 
 FAN_IN = 4
 SAME = ["digest", "check", "bytes"]
@@ -153,11 +153,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     kept = kept.groupBy("doc_id", *SAME).agg(F.count("*").alias("__n"))
     kept = stage_for(docs.sparkSession).table(kept, "kept")
     text = ascii_lower(F.coalesce(F.col(text_col), F.lit("")))
-    left = docs.withColumn("__digest", F.unhex(F.sha2(text, 256))).alias("l")
+    own = free_name(docs, "__digest")
+    left = docs.withColumn(own, F.unhex(F.sha2(text, 256))).alias("l")
     found = F.col(f"l.{id_col}").eqNullSafe(F.col("r.doc_id")) & (
-        F.col("l.__digest") == F.col("r.digest")
+        F.col(f"l.{own}") == F.col("r.digest")
     )
     rows = left.join(kept.alias("r"), found, "left_semi")
     if not kept.where("__n > 1").isEmpty():
-        rows = rows.dropDuplicates([id_col, "__digest"])
-    return rows.drop("__digest")
+        rows = rows.dropDuplicates([id_col, own])
+    return rows.drop(own)

@@ -105,6 +105,22 @@ def test_jaccard_pieces():
     assert sets[3] == sets[4]
 
 
+def test_columns_of_the_user_stay(spark):
+    """Names that the operators use inside, nulls, empty and repeated rows; every column comes back."""
+    text = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, text, "a", "b", "c"), (2, text + " more", None, "b", None), (2, text + " more", "x", "y", "z"),
+            (None, text, None, None, None), (3, None, "n", None, None), (4, "", "e", None, None), (3, None, "n", None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __hash string, __digest string, __DIGEST_ string")
+    near = jaccard_join.keep_first(docs)
+    assert near.columns == docs.columns
+    kept = {tuple(r) for r in near.collect()}
+    assert kept <= set(rows) and sorted(str(r[0]) for r in kept) == ["1", "3", "4"]
+    exact = exact_dedup.keep_one(docs)
+    assert exact.columns == docs.columns
+    kept = [tuple(r) for r in exact.collect()]
+    assert set(kept) <= set(rows) and sorted(str(r[0]) for r in kept) == ["1", "2", "4"]
+
+
 def test_jaccard_groups(spark, monkeypatch):
     """Groups of near copies, chains and shared passages, with one leader and very small pages."""
     monkeypatch.setattr(jaccard_join, "PAGE", 2)
