@@ -8,12 +8,13 @@ among the recognised ones, with at most ``gap`` other sentences in between.
 
 from __future__ import annotations
 
-import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquay.llm.common import ascii_lower
+from docquay.llm.common import ascii_lower, row_hash, stage_for
+from docquay.sources.staging import Staging
 
 # Licence sentences as their licences or customary notices word them.
 SENTENCES = {
@@ -83,7 +84,6 @@ RULES = (
 #: A sentence ends at a line end, or at . ! ? : ; that white space follows.
 SENTENCE_END = r"[\r\n]+|(?<=[.!?:;])[ \t]+"
 NOT_WORD = r"[^\p{L}\p{N}]+"
-WORD = r"[\p{L}\p{N}]"
 #: So many sentences may stand between two of a rule.
 GAP = 2
 
@@ -93,14 +93,14 @@ def normal_sentence(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(ascii_lower(sentence), NOT_WORD, " "))
 
 
-def _starts(norms: list[str]) -> str:
-    """Pattern of what a known sentence may begin with: its first two words, or the first alone."""
-    starts = []
-    for words in sorted({tuple(norm.split()[:2]) for norm in norms}):
-        second = rf"|{NOT_WORD}{re.escape(words[1])}(?![\p{{L}}\p{{N}}])" if len(words) > 1 else ""
-        ending = r"[^\p{L}\p{N}]*+$" if second else r"(?![\p{L}\p{N}])"
-        starts.append(rf"{re.escape(words[0])}(?:{ending}{second})")
-    return rf"(?i)^[^\p{{L}}\p{{N}}]*+(?:{'|'.join(starts)})"
+def _start(norm: Column) -> Column:
+    """First two words of a normalised text, or the first alone where there is no other."""
+    return F.substring_index(norm, " ", 2)
+
+
+def _marks(norms: list[str]) -> list[str]:
+    """The longest word of each sentence: a text without any of them has no known sentence."""
+    return sorted({max(norm.split(), key=lambda word: (len(word), word)) for norm in norms})
 
 
 def sentence_table(spark: SparkSession, sentences: dict[str, str] = SENTENCES) -> DataFrame:
@@ -118,51 +118,99 @@ def rule_table(spark: SparkSession, rules=RULES) -> DataFrame:
     )
 
 
-def license_sentences(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    sentences: dict[str, str] = SENTENCES,
+def _text_pass(
+    docs: DataFrame, id_col: str, text_col: str, sentences: dict[str, str], staging: Staging
 ) -> DataFrame:
-    """``doc_id, row_hash, position, last, sentence_id``: every known sentence of every text.
+    """``doc_id, row_hash, n_sentences, runs`` of every row, written: all that is taken from texts.
 
-    Positions count the sentences of the whole text. A known sentence may stand on several
-    consecutive ones, from ``position`` to ``last``: line ends and marks inside it do not
-    matter, as when its text is wrapped. Its first two words narrow the places down before
-    anything is normalised. The rule tables are fixed values of this module or of the caller,
-    so their broadcast is bounded.
+    ``runs`` has one array for each place where a known sentence may begin: the sentences from
+    there on that have a word, normalised, each with its position in the text, as many as the
+    longest known sentence has words. It is null for texts without any such place. Each text is
+    lowered and cut once, and each sentence of a text that has a mark is normalised once.
     """
-    spark = docs.sparkSession
-    known = sentence_table(spark, sentences).where("norm <> ''")
-    norms = [r.norm for r in known.select("norm").collect()]
-    # Every further piece that matters has a word; pieces without one are left out of the count.
+    norms = [r.norm for r in sentence_table(docs.sparkSession, sentences).select("norm").collect()]
+    norms = [norm for norm in norms if norm]
     most = max((len(norm.split()) for norm in norms), default=0)
+    starts = sorted({" ".join(norm.split()[:2]) for norm in norms})
+    single = any(" " not in norm for norm in norms)
+
+    # Exploded as the only element, a value is made once, not once for each use below.
+    once = lambda value, name: F.explode(F.array(value)).alias(name)
     rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("row_hash"),
-        F.split(F.col(text_col), SENTENCE_END).alias("__raw"),
+        F.col(id_col).cast("long").alias("doc_id"), row_hash(F.col(text_col)).alias("row_hash"),
+        once(ascii_lower(F.col(text_col)), "__text"),
+    )
+    marked = reduce(
+        lambda x, y: x | y, [F.col("__text").contains(mark) for mark in _marks(norms)], F.lit(False)
     )
-    if not norms:
-        rows = rows.where(F.lit(False))
-    pieces = F.transform("__raw", lambda x, i: F.struct(i.alias("position"), x.alias("raw")))
-    rows = rows.where(F.exists("__raw", lambda x: x.rlike(_starts(norms))))
-    # Exploded, the pieces are a column that is made once, not once for each run below.
-    full = F.explode(F.array(F.filter(pieces, lambda x: x["raw"].rlike(WORD))))
-    rows = rows.select("doc_id", "row_hash", full.alias("__full"))
-    # A run of pieces from each place where a known sentence may begin.
-    runs = F.transform("__full", lambda x, i: F.when(
-        x["raw"].rlike(_starts(norms)), F.slice("__full", i + 1, most)
-    ))
     rows = rows.select(
-        "doc_id", "row_hash", F.explode(F.filter(runs, lambda x: x.isNotNull())).alias("__run")
+        "doc_id", "row_hash", marked.alias("__marked"), F.coalesce(F.col("__text") == "", F.lit(True)).alias("__none"),
+        once(F.split("__text", SENTENCE_END), "__raw"),
     )
-    rows = rows.select("doc_id", "row_hash", "__run", F.explode(F.sequence(F.lit(1), F.size("__run"))).alias("__n"))
+    pieces = F.transform("__raw", lambda x, i: F.struct(
+        i.alias("position"), F.trim(F.regexp_replace(x, NOT_WORD, " ")).alias("norm")
+    ))
     rows = rows.select(
-        "doc_id", "row_hash", F.col("__run")[0]["position"].alias("position"),
-        F.col("__run")[F.col("__n") - 1]["position"].alias("last"),
-        normal_sentence(F.array_join(F.slice(F.col("__run.raw"), F.lit(1), F.col("__n")), " ")).alias("norm"),
+        "doc_id", "row_hash",
+        F.when(F.col("__none"), F.lit(0)).otherwise(F.size("__raw")).cast("long").alias("n_sentences"),
+        once(F.when(F.col("__marked"), F.filter(pieces, lambda x: x["norm"] != "")), "__full"),
     )
-    return rows.join(F.broadcast(known), "norm").select(
-        "doc_id", "row_hash", "position", "last", "sentence_id"
+
+    def run(piece: Column, i: Column) -> Column:
+        begin = _start(F.concat_ws(" ", piece["norm"], F.get("__full", i + 1)["norm"]))
+        here = begin.isin(starts)
+        if single:
+            here = here | F.substring_index(begin, " ", 1).isin(starts)
+        return F.when(here, F.slice("__full", i + 1, most))
+
+    runs = F.filter(F.transform("__full", run), lambda x: x.isNotNull())
+    rows = rows.select("doc_id", "row_hash", "n_sentences", once(runs, "runs"))
+    some = F.when(F.size("runs") > 0, F.col("runs"))
+    return staging.table(rows.withColumn("runs", some), "texts")
+
+
+def _known_runs(rows: DataFrame, sentences: dict[str, str]) -> DataFrame:
+    """``doc_id, row_hash, position, last, sentence_id`` out of ``_text_pass``."""
+    known = sentence_table(rows.sparkSession, sentences).where("norm <> ''")
+    known = known.withColumn("start", _start(F.col("norm")))
+    runs = rows.where("runs is not null").select("doc_id", "row_hash", F.explode("runs").alias("run"))
+    begin = F.array_join(F.slice("run.norm", 1, 2), " ")
+    keys = F.array_distinct(F.array(_start(begin), F.substring_index(begin, " ", 1)))
+    runs = runs.select("doc_id", "row_hash", "run", F.explode(keys).alias("start"))
+    # A known sentence is there if the run begins with its words and one of the run's sentences
+    # ends where they end.
+    joined = runs.join(F.broadcast(known), "start").where(
+        F.concat(F.array_join("run.norm", " "), F.lit(" ")).startswith(F.concat("norm", F.lit(" ")))
     )
+    nothing = F.struct(F.lit(0).alias("length"), F.lit(None).cast("int").alias("last"))
+
+    def ahead(so_far: Column, piece: Column) -> Column:
+        length = so_far["length"] + F.char_length(piece["norm"]) + 1
+        ends = length == F.char_length("norm") + 1
+        return F.struct(
+            length.alias("length"), F.when(ends, piece["position"]).otherwise(so_far["last"]).alias("last")
+        )
+
+    return joined.select(
+        "doc_id", "row_hash", F.col("run")[0]["position"].alias("position"),
+        F.aggregate("run", nothing, ahead)["last"].alias("last"), "sentence_id",
+    ).where("last is not null")
+
+
+def license_sentences(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    sentences: dict[str, str] = SENTENCES,
+) -> DataFrame:
+    """``doc_id, row_hash, position, last, sentence_id``: every known sentence of every text.
+
+    Positions count the sentences of the whole text. A known sentence may stand on several
+    consecutive ones, from ``position`` to ``last``: line ends and marks inside it do not
+    matter, as when its text is wrapped. The longest words of the known sentences narrow the
+    texts down, and their first two words the places. The rule tables are fixed values of this
+    module or of the caller, so their broadcast is bounded.
+    """
+    staging = stage_for(docs.sparkSession)
+    return _known_runs(_text_pass(docs, id_col, text_col, sentences, staging), sentences)
 
 
 def license_matches(
@@ -178,9 +226,16 @@ def license_matches(
     for each place where it begins, with the first place where it ends.
     Equal rows (same identifier and text) give the matches of one.
     """
-    spark = docs.sparkSession
-    found = license_sentences(docs, id_col, text_col, sentences).distinct()
-    steps = F.broadcast(rule_table(spark, rules))
+    staging = stage_for(docs.sparkSession)
+    texts = _text_pass(docs, id_col, text_col, sentences, staging)
+    return _rule_matches(texts, sentences, rules, gap, staging)
+
+
+def _rule_matches(
+    texts: DataFrame, sentences: dict[str, str], rules, gap: int, staging: Staging
+) -> DataFrame:
+    found = staging.table(_known_runs(texts, sentences).distinct(), "found")
+    steps = F.broadcast(rule_table(texts.sparkSession, rules))
     tagged = found.join(steps, "sentence_id")
     live = tagged.where("step = 0").select(
         "doc_id", "row_hash", "rule", "license", "steps",
@@ -218,18 +273,14 @@ def license_scan(
     with a null identifier, and repeated rows, each get their own result. An empty table
     gives an empty result, and other columns are not looked at.
     """
-    matches = license_matches(docs, id_col, text_col, sentences, rules, gap)
+    staging = stage_for(docs.sparkSession)
+    rows = _text_pass(docs, id_col, text_col, sentences, staging)
+    matches = _rule_matches(rows, sentences, rules, gap, staging)
     totals = matches.groupBy("doc_id", "row_hash").agg(
         F.count("*").alias("n_matches"),
         F.array_join(F.array_sort(F.collect_set("license")), ",").alias("licenses"),
         F.min("first_position").cast("long").alias("first_position"),
     )
-    rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("row_hash"),
-        F.when(F.col(text_col).isNull() | (F.col(text_col) == ""), F.lit(0))
-        .otherwise(F.size(F.split(F.col(text_col), SENTENCE_END))).cast("long").alias("n_sentences"),
-    )
     same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in ("doc_id", "row_hash")]
     return rows.alias("l").join(totals.alias("r"), same, "left").select(
         "l.doc_id", "l.n_sentences",
