@@ -13,7 +13,6 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from docquay.llm.common import ascii_lower, row_hash, stage_for, thinned
 from docquay.llm.components import components
@@ -36,6 +35,10 @@ PART_WORDS = 1 << 14
 _FIELD = 0x0001000100010001
 
 
+def _words(line: Column) -> Column:
+    return F.array_remove(F.split(line, BETWEEN), "")
+
+
 def text_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, row_hash, copy, position, words`` of every line with a word.
 
@@ -48,8 +51,7 @@ def text_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.monotonically_increasing_id().alias("copy"), ascii_lower(F.col(text_col)).alias("text"),
     )
     rows = rows.select(*DOC, "copy", F.posexplode(F.split("text", "\n")).alias("position", "line"))
-    words = F.array_remove(F.split("line", BETWEEN), "")
-    return rows.select(*DOC, "copy", "position", words.alias("words")).where(F.size("words") > 0)
+    return rows.select(*DOC, "copy", "position", _words(F.col("line")).alias("words")).where(F.size("words") > 0)
 
 
 def _simhash(sums: list[Column], words: Column) -> Column:
@@ -123,65 +125,89 @@ def block_keys(simhash: Column, apart: int = BITS_APART, blocks: int = BLOCKS) -
     return keys
 
 
-def close_hashes(hashes: DataFrame, apart: int = BITS_APART, blocks: int = BLOCKS) -> DataFrame:
-    """Pairs ``a < b`` of distinct ``simhash`` values that differ in at most ``apart`` bits."""
+def shared_keys(lines: DataFrame, apart: int = BITS_APART, blocks: int = BLOCKS) -> DataFrame:
+    """``key, line, simhash, words`` for each block key that a line of ``lines`` shares with others."""
     keys = F.explode(F.array(*block_keys(F.col("simhash"), apart, blocks)))
-    rows = hashes.select("simhash", keys.alias("key"))
-    several = F.count("*").over(W.partitionBy("key"))
-    rows = rows.withColumn("several", several).where("several > 1").drop("several")
-    left = rows.select("key", F.col("simhash").alias("a"))
-    right = rows.select("key", F.col("simhash").alias("b"))
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= apart
-    return left.join(right, "key").where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
+    rows = lines.select(keys.alias("key"), "line", "simhash", "words")
+    several = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    return rows.join(several, "key")
+
+
+def _near(a: str, b: str, apart: int, similarity: float) -> Column:
+    """Two lines whose SimHashes are close and whose lengths allow the similarity."""
+    bits = F.bit_count(F.col(f"{a}.simhash").bitwiseXOR(F.col(f"{b}.simhash"))) <= apart
+    low, high = F.least(f"{a}.words", f"{b}.words"), F.greatest(f"{a}.words", f"{b}.words")
+    return bits & (low >= high * similarity)
+
+
+def leader_pairs(keyed: DataFrame, apart: int, similarity: float) -> DataFrame:
+    """``line_a, line_b, words_a, words_b``: close lines, of each key the first line and another.
+
+    However many lines a key has, each is in one pair at most, and a group of near copies is
+    connected through its first line.
+    """
+    leaders = keyed.groupBy("key").agg(F.min(F.struct("line", "simhash", "words")).alias("a"))
+    stars = keyed.select("key", F.struct("line", "simhash", "words").alias("b")).join(leaders, "key")
+    stars = stars.where((F.col("a.line") < F.col("b.line")) & _near("a", "b", apart, similarity))
+    return _as_pairs(stars)
+
+
+def open_pairs(keyed: DataFrame, groups: DataFrame, apart: int, similarity: float) -> DataFrame:
+    """The other close pairs of a key, as far as ``groups(node, component)`` has not connected them."""
+    named = keyed.join(groups.withColumnRenamed("node", "line"), "line", "left").select(
+        "key", F.coalesce("component", "line").alias("component"), "line", "simhash", "words"
+    )
+    apart_still = named.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
+    ).where("low < high").select("key")
+    side = F.struct("line", "simhash", "words", "component")
+    left = named.join(apart_still, "key").select("key", side.alias("a"))
+    right = left.select("key", F.col("a").alias("b"))
+    other = (F.col("a.line") < F.col("b.line")) & (F.col("a.component") != F.col("b.component"))
+    return _as_pairs(left.join(right, "key").where(other & _near("a", "b", apart, similarity)))
 
 
-def word_points(words: str) -> Column:
+def _as_pairs(pairs: DataFrame) -> DataFrame:
+    return pairs.select(
+        F.col("a.line").alias("line_a"), F.col("b.line").alias("line_b"),
+        F.col("a.words").alias("words_a"), F.col("b.words").alias("words_b"),
+    ).distinct()
+
+
+def word_points(words: Column) -> Column:
     """A text with one character for each word, by a hash; its edit distance is that in words."""
     def point(word: Column) -> Column:
         code = F.pmod(F.xxhash64(word), F.lit(POINTS)) + FIRST_POINT
         return F.decode(F.unhex(F.lpad(F.hex(code), 4, "0")), "UTF-16BE")
 
-    return F.array_join(F.transform(F.col(words), point), "")
+    return F.array_join(F.transform(words, point), "")
 
 
-def line_groups(
-    docs: DataFrame, staging: Staging, id_col: str, text_col: str,
-    apart: int = BITS_APART, blocks: int = BLOCKS, similarity: float = SIMILARITY,
+def similar_lines(
+    docs: DataFrame, distinct: DataFrame, pairs: DataFrame, staging: Staging, name: str,
+    id_col: str, text_col: str, similarity: float,
 ) -> DataFrame:
-    """``doc_id, row_hash, position, keep_*`` of every line that is not the one that stays."""
-    hashed = staging.table(line_hashes(docs, id_col, text_col), "hashed")
-    place = F.struct("doc_id", "row_hash", "position")
-    distinct = hashed.groupBy("line").agg(
-        F.min("simhash").alias("simhash"), F.min("words").alias("words"),
-        F.min(place).alias("first"), F.count("*").alias("times"),
-    )
-    distinct = staging.table(distinct, "distinct")
-    hashes = distinct.select("simhash").distinct()
-    close = close_hashes(hashes, apart, blocks)
-    close = close.union(hashes.select(F.col("simhash").alias("a"), F.col("simhash").alias("b")))
-
-    def side(tag: str) -> DataFrame:
-        return distinct.select(
-            F.col("simhash").alias(tag), F.col("line").alias(f"line_{tag}"),
-            F.col("words").alias(f"words_{tag}"),
-        )
+    """``a, b`` of those pairs of lines whose edit similarity is high enough.
 
-    sizes = F.least("words_a", "words_b") >= F.greatest("words_a", "words_b") * similarity
-    # A SimHash alone is only paired with itself where several lines share it.
-    pairs = close.join(side("a"), "a").join(side("b"), "b").where(
-        sizes & ((F.col("a") != F.col("b")) | (F.col("line_a") < F.col("line_b")))
-    ).select("line_a", "line_b", "words_a", "words_b")
-    pairs = staging.table(pairs, "pairs")
-    wanted = staging.table(
-        pairs.select(F.col("line_a").alias("line")).union(pairs.select("line_b")).distinct(), "wanted"
+    ``distinct`` knows one place of each line. Texts are cut into lines once more, but only what
+    stands at a wanted place is lowered, cut into words and moved.
+    """
+    pairs = staging.table(pairs, f"{name}-pairs")
+    wanted = pairs.select(F.col("line_a").alias("line")).union(pairs.select("line_b")).distinct()
+    place = F.xxhash64(*DOC, "position").alias("place")
+    first = wanted.join(distinct, "line").select("line", "first.*").select("*", place)
+    first = staging.table(first, f"{name}-first")
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), row_hash(F.col(text_col)).alias("row_hash"),
+        F.posexplode(F.split(text_col, "\n")).alias("position", "raw"),
     )
-    with_line = text_lines(docs, id_col, text_col).withColumn("line", F.xxhash64("words"))
-    first = wanted.join(distinct, "line").select("line", "first.*")
-    at = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in [*DOC, "position", "line"]]
-    texts = thinned(with_line, wanted, "line").alias("l").join(first.alias("r"), at)
-    texts = staging.table(
-        texts.select("l.line", word_points("l.words").alias("points")).dropDuplicates(["line"]), "texts"
+    there = thinned(rows.select("*", place), first, "place").alias("l")
+    at = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in [*DOC, "position"]]
+    texts = there.join(first.drop("place").alias("r"), at).select(
+        "r.line", word_points(_words(ascii_lower(F.col("l.raw")))).alias("points")
     )
+    # Repeated rows give the same line again.
+    texts = staging.table(texts.dropDuplicates(["line"]), f"{name}-texts")
     most = F.floor((1.0 - similarity) * F.greatest("words_a", "words_b")).cast("int")
     compared = (
         pairs.join(texts.select(F.col("line").alias("line_a"), F.col("points").alias("x")), "line_a")
@@ -193,7 +219,37 @@ def line_groups(
     edges = compared.where(distance >= 0).select(
         F.col("line_a").alias("a"), F.col("line_b").alias("b")
     )
-    edges = staging.table(edges, "edges")
+    edges = staging.table(edges, f"{name}-edges")
+    for done in ("texts", "first", "pairs"):
+        staging.drop(f"{name}-{done}")
+    return edges
+
+
+def line_groups(
+    docs: DataFrame, staging: Staging, id_col: str, text_col: str,
+    apart: int = BITS_APART, blocks: int = BLOCKS, similarity: float = SIMILARITY,
+) -> DataFrame:
+    """``doc_id, row_hash, position, keep_*`` of every line that is not the one that stays.
+
+    Lines of a key are compared with its first line, and the links found are connected. Then
+    all pairs of a key are looked at that are not connected yet, so no group is lost.
+    """
+    hashed = staging.table(line_hashes(docs, id_col, text_col), "hashed")
+    place = F.struct("doc_id", "row_hash", "position")
+    distinct = hashed.groupBy("line").agg(
+        F.min("simhash").alias("simhash"), F.min("words").alias("words"),
+        F.min(place).alias("first"), F.count("*").alias("times"),
+    )
+    distinct = staging.table(distinct, "distinct")
+    keyed = staging.table(shared_keys(distinct, apart, blocks), "keyed")
+
+    def similar(pairs: DataFrame, name: str) -> DataFrame:
+        return similar_lines(docs, distinct, pairs, staging, name, id_col, text_col, similarity)
+
+    stars = similar(leader_pairs(keyed, apart, similarity), "stars")
+    groups = staging.table(components(stars, staging, "star-groups"), "connected")
+    rest = similar(open_pairs(keyed, groups, apart, similarity), "rest")
+    edges = groups.select(F.col("node").alias("a"), F.col("component").alias("b")).union(rest)
     grouped = components(edges, staging, "groups").withColumnRenamed("node", "line")
     named = distinct.join(grouped, "line", "left").withColumn(
         "component", F.coalesce("component", "line")
