@@ -9,6 +9,8 @@ import string
 import zlib
 from collections import Counter, defaultdict
 
+import regex
+
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
 
@@ -145,3 +147,34 @@ def viterbi(scores, switch):
             for k, s in enumerate(row)
         }
     return max(best.values())[0]
+
+
+def license_scan(text, sentences, rules, gap):
+    """(n_sentences, n_matches, licenses, first_position) of one text, from all runs of sentences."""
+    if not text:
+        return 0, 0, "", None
+
+    def norm(sentence):
+        return regex.sub(r"[^\p{L}\p{N}]+", " ", lower(sentence)).strip(" ")
+
+    cut = re.split(r"[\r\n]+|(?<=[.!?:;])[ \t]+", text)
+    pieces = [(p, norm(piece)) for p, piece in enumerate(cut) if norm(piece)]
+    known = defaultdict(list)
+    for name, sentence in sentences.items():
+        known[norm(sentence)].append(name)
+    most = max((len(x.split()) for x in known), default=0)
+    found = defaultdict(set)
+    for i in range(len(pieces)):
+        for j in range(i, min(i + most, len(pieces))):
+            for name in known.get(" ".join(x for _, x in pieces[i : j + 1]), ()):
+                found[name].add((pieces[i][0], pieces[j][0]))
+    starts = []
+    for _, spdx, names in rules:
+        for first, last in found[names[0]]:
+            ends = {last}
+            for name in names[1:]:
+                ends = {b for a, b in found[name] if any(e < a <= e + gap + 1 for e in ends)}
+            if ends:
+                starts.append((first, spdx))
+    return (len(cut), len(starts), ",".join(sorted({x for _, x in starts})),
+            min((x for x, _ in starts), default=None))

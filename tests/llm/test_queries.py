@@ -1,10 +1,14 @@
 """Registered queries over whole tables: against SQL, or against plain versions."""
 
+import random
+import textwrap
+
 import duckdb
 import pyarrow.parquet as pq
 import pytest
 
 import corpus_pipeline
+from docquay.llm import licenses
 from docquay.llm.common import fold
 from docquay.llm.queries import QUERIES
 from tests.conftest import SF_DIR
@@ -68,6 +72,31 @@ def test_licenses(spark):
     texts = dict(rows_of("documents", "doc_id", "text"))
     for r in QUERIES["op5_license_scan"][0](spark, SF_DIR).collect():
         assert r.licenses == ",".join(sorted(k for k, m in marks.items() if m in texts[r.doc_id]))
+        want = plain.license_scan(texts[r.doc_id], licenses.SENTENCES, licenses.RULES, licenses.GAP)
+        assert (r.n_sentences, r.n_matches, r.licenses, r.first_position) == want
+
+
+def test_licenses_in_mixed_pieces(spark):
+    """Known sentences whole, cut, wrapped and interrupted, against all runs of sentences."""
+    draw = random.Random(5)
+    known = list(licenses.SENTENCES.values())
+    rows = []
+    for k in range(150):
+        parts = []
+        for _ in range(draw.randrange(1, 9)):
+            sentence = draw.choice(known)
+            words = sentence.split()
+            a = draw.randrange(len(words))
+            parts.append(draw.choice([
+                sentence, sentence.upper(), textwrap.fill(sentence, 20), "\n--\n".join(words),
+                " ".join(words[:a]), " ".join(words[a:]), "Żółw", "Other words", "...",
+                f"{' '.join(words[:a])} extra {' '.join(words[a:])}",
+            ]))
+        rows.append((k, draw.choice([". ", "\n", ": ", ".\r\n", "; * "]).join(parts)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_sentences, r.n_matches, r.licenses, r.first_position) for r in licenses.license_scan(docs).collect()}
+    want = {k: plain.license_scan(text, licenses.SENTENCES, licenses.RULES, licenses.GAP) for k, text in rows}
+    assert got == want and sum(x[1] > 0 for x in want.values()) > 30
 
 
 def test_line_dedup(spark):
