@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docquay.llm.common import ascii_lower, free_name, shuffle_parts, stage_for
+from docquay.llm.common import ascii_lower, free_name, handing_back, shuffle_parts, stage_for
 
 FAN_IN = 4
 SAME = ["digest", "check", "bytes"]
@@ -79,7 +79,7 @@ def _fold(batches: Iterator[pa.RecordBatch], largest: bool) -> Iterator[pa.Recor
 def _merged(entries: DataFrame, slots: int, largest: bool) -> DataFrame:
     """One sorted run per slot, from entries that already name the slot they go to."""
     runs = entries.repartition(slots, "slot").sortWithinPartitions("slot", *SAME)
-    return runs.mapInArrow(lambda batches: _fold(batches, largest), RUN)
+    return runs.mapInArrow(handing_back(lambda batches: _fold(batches, largest)), RUN)
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -319,7 +319,7 @@ def _bitmaps_allow(similarity: tuple[int, int]) -> Callable:
                 [batch.column(c) for c in keep], names=keep
             ).filter(pa.array(good, pa.bool_()))
 
-    return run
+    return handing_back(run)
 
 
 def _allowed(offers: DataFrame, classes: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -547,11 +547,11 @@ def jaccard_components(
     weights.destroy()
 
     postings = profile.where("n > 0").select("node", "first").mapInArrow(
-        _postings, "token long, node long"
+        handing_back(_postings), "token long, node long"
     )
     shared = (
         postings.repartition(shuffle_parts(spark), "token").sortWithinPartitions("token")
-        .mapInArrow(_shared, "token long, node long")
+        .mapInArrow(handing_back(_shared), "token long, node long")
     )
     shared = staging.table(shared, "shared")
     narrow = staging.table(profile.drop("first"), "narrow")

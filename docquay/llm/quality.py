@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docquay.llm.common import fold, stage_for
+from docquay.llm.common import fold, handing_back, slices, stage_for
 
 ORDERS = (2, 3, 4)
 SHAPE_ORDERS = (2, 3)
@@ -138,24 +138,25 @@ def _packed(ids: np.ndarray) -> bytes:
 
 
 def _unpacked(raw: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(zlib.decompress(raw), dtype=np.uint32), dtype=np.int64)
+    return np.cumsum(np.frombuffer(zlib.decompress(raw), dtype=np.uint32), dtype=np.int32)
 
 
 def _featurize(orders: tuple[int, ...], bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pc.cast(pc.fill_null(batch.column("text"), ""), pa.binary())
-            rows = [
-                _packed(ngram_indicators(t.as_buffer().to_pybytes(), orders, bits))
-                for t in texts
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("key"), batch.column("label"),
-                 pa.array(rows, pa.binary())],
-                names=["block", "key", "label", "features"],
-            )
+            for piece in slices(batch):
+                texts = pc.cast(pc.fill_null(piece.column("text"), ""), pa.binary())
+                rows = [
+                    _packed(ngram_indicators(t.as_buffer().to_pybytes(), orders, bits))
+                    for t in texts
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column("block"), piece.column("key"), piece.column("label"),
+                     pa.array(rows, pa.binary())],
+                    names=["block", "key", "label", "features"],
+                )
 
-    return run
+    return handing_back(run)
 
 
 def _counts(bits: int):
@@ -169,7 +170,7 @@ def _counts(bits: int):
             names=["label", "sums"],
         )
 
-    return run
+    return handing_back(run)
 
 
 def _norms(ratios, bits: int):
@@ -181,15 +182,15 @@ def _norms(ratios, bits: int):
             square = [float(np.square(ratios[r]).sum()) for r in rows]
             yield pa.RecordBatch.from_arrays([pa.array(square)], names=["square"])
 
-    return run
+    return handing_back(run)
 
 
 def _descend(ratios, weights, bias, prior, alphas, blocks, cost, passes):
     """One round over each block: change of weights and bias, and the new dual variables."""
 
-    def descend(block: int, labels: list[int], features: list[bytes]) -> tuple:
-        rows = [_unpacked(x) for x in features]
-        sign = np.where(np.array(labels) == 1, 1.0, -1.0)
+    def descend(block: int, labels: pa.Array, features: pa.Array) -> tuple:
+        rows = [_unpacked(x.as_buffer()) for x in features]
+        sign = np.where(labels.to_numpy(zero_copy_only=False) == 1, 1.0, -1.0)
         alpha = alphas.get(block, np.zeros(len(rows))).copy()
         norms = [np.sqrt(np.square(ratios[r]).sum() + prior) for r in rows]
         square = [np.square(ratios[r]).sum() / n**2 + 1.0 for r, n in zip(rows, norms)]
@@ -211,15 +212,16 @@ def _descend(ratios, weights, bias, prior, alphas, blocks, cost, passes):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                out = descend(row["block"], row["labels"], row["features"])
+            lists = batch.column("labels"), batch.column("features")
+            for k, block in enumerate(batch.column("block").to_pylist()):
+                out = descend(block, *(column[k].values for column in lists))
                 kinds = (pa.int32(), pa.binary(), pa.float64(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x], kind) for x, kind in zip(out, kinds)],
                     names=["block", "moved", "bias", "alpha"],
                 )
 
-    return run
+    return handing_back(run)
 
 
 def fit_quality(
@@ -302,15 +304,16 @@ def score_quality(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = model.scores(batch.column("text"))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(scores),
-                 pa.array((scores >= 0.5).astype(np.int32))],
-                names=["doc_id", "score", "predicted"],
-            )
+            for piece in slices(batch):
+                scores = model.scores(piece.column("text"))
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column("doc_id"), pa.array(scores),
+                     pa.array((scores >= 0.5).astype(np.int32))],
+                    names=["doc_id", "score", "predicted"],
+                )
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, score double, predicted int")
+    return rows.mapInArrow(handing_back(run), "doc_id long, score double, predicted int")
 
 
 def keep_good(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
@@ -318,9 +321,10 @@ def keep_good(docs: DataFrame, model: QualityModel, text_col: str = "text") -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(model.scores(batch.column(text_col)) >= 0.5))
+            for piece in slices(batch, text_col):
+                yield piece.filter(pa.array(model.scores(piece.column(text_col)) >= 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(handing_back(run), docs.schema)
 
 
 def labelled_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:

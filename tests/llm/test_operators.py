@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from docquay.llm import (
     chat,
+    common,
     decontamination,
     exact_dedup,
     jaccard_join,
@@ -244,6 +245,29 @@ def test_quality_model(spark):
     assert {r.predicted for r in quality.score_quality(df, ones).collect()} == {1}
 
 
+def test_quality_tasks_bound_their_memory(monkeypatch):
+    """Batches are scored in pieces, and every task hands its memory back when it ends."""
+    ends = []
+    monkeypatch.setattr(common.gc, "collect", lambda: ends.append(1))
+    whole = pa.RecordBatch.from_pydict({
+        "block": pa.array([0, 0, 0], pa.int32()), "key": pa.array([1, 2, 3], pa.int64()),
+        "label": pa.array([0, 1, 1], pa.int32()), "text": ["x" * (3 << 20), None, "one two " * (1 << 19)],
+    })
+    made = list(quality._featurize(quality.ORDERS, quality.BITS)([whole]))
+    assert len(made) > 1 and sum(b.num_rows for b in made) == 3 and len(ends) == 1
+    rows = pa.concat_batches(made)
+    list(quality._counts(quality.BITS)([rows]))
+    ratios = np.ones(1 << quality.BITS)
+    list(quality._norms(ratios, quality.BITS)([rows]))
+    lists = pa.RecordBatch.from_pydict({
+        "block": pa.array([0], pa.int32()), "labels": pa.array([rows["label"].to_pylist()], pa.list_(pa.int32())),
+        "features": pa.array([rows["features"].to_pylist()], pa.list_(pa.binary())),
+    })
+    step = quality._descend(ratios, np.zeros_like(ratios), 0.0, 1.0, {}, 1, quality.COST, 1)
+    assert list(step([lists]))[0].column("block").to_pylist() == [0]
+    assert len(ends) == 4
+
+
 def test_languages(spark):
     draw = random.Random(2)
     lexicon = {
