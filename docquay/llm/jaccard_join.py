@@ -11,9 +11,11 @@ range of components. Node pairs are followed from the roots down, and dropped wh
 sizes cannot match, where the bitmaps allow too little overlap, or where everything is
 connected already. Pairs that survive are compared exactly.
 
-Before the trees, every set is compared with a leader of its buckets. In a group of many
-near copies that connects nearly everything with a number of comparisons that is
-proportional to the group, so the trees have little left to look at.
+Before the trees, every set is compared with a leader of its buckets: the set of about its
+size that shares most with others, since that one is near the middle of its group and in reach of
+sets that are not in reach of each other. In a group of many near copies that connects nearly
+everything with a number of comparisons that is proportional to the group, so the trees have
+little left to look at.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docquay.llm.common import (
@@ -459,17 +461,25 @@ def _page_pairs(similarity: tuple[int, int]) -> Callable:
     return handing_back(run)
 
 
+def size_band(similarity: tuple[int, int]) -> Column:
+    """Number of a range of sizes; similar sets are in the same or in neighbouring ranges."""
+    step = math.log(similarity[1] / similarity[0])
+    return F.floor(F.log(F.col("n").cast("double")) / F.lit(step)).cast("int")
+
+
 def tree_pairs(
-    members: DataFrame, staging: Staging, similarity: tuple[int, int], name: str
+    members: DataFrame, staging: Staging, similarity: tuple[int, int], name: str, maps: DataFrame | None = None
 ) -> DataFrame:
     """Pairs ``a, b`` that the signature trees of ``members(token, cls, comp, n, spare, bits)`` leave.
 
     A tree has the sets of a bucket and of a range of sizes, such that similar sets are in
-    the same or in neighbouring ranges. Pages are dealt by a hash of the set.
+    the same or in neighbouring ranges. Pages are dealt by a hash of the set. ``maps(cls, bits)``
+    may hold the bitmaps instead, one row for each set; a set is in many buckets, so its bitmap
+    is brought to them only where nodes are made, and once more for the pages that are left.
     """
-    step = math.log(similarity[1] / similarity[0])
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(step)).cast("int")
-    rows = members.withColumn("band", band)
+    if maps is None:
+        maps = members.select("cls", "bits").dropDuplicates(["cls"])
+    rows = members.select("token", "cls", "comp", "n", "spare", size_band(similarity).alias("band"))
     counts = rows.groupBy("token", "band").agg(F.ceil(F.count("*") / F.lit(PAGE)).alias("pages"))
     rows = rows.join(counts, ["token", "band"]).withColumn(
         "slot", F.pmod(F.xxhash64("cls"), F.col("pages")).cast("long")
@@ -479,7 +489,7 @@ def tree_pairs(
     levels = 0
     while top >> (4 * levels):
         levels += 1
-    nodes = tree_levels(rows, levels, staging, name)
+    nodes = tree_levels(rows.join(maps, "cls"), levels, staging, name)
 
     def side(df: DataFrame, tag: str, columns: list[str]) -> DataFrame:
         return df.select("token", *[F.col(c).alias(f"{tag}{c}") for c in columns])
@@ -502,7 +512,11 @@ def tree_pairs(
         pairs = grown.mapInArrow(_possible(similarity), PAIR)
     pairs = staging.table(pairs, f"{name}-pairs")
     page = F.collect_list(F.struct("cls", "comp", "n", "spare", "bits")).alias("page")
-    pages = rows.groupBy("token", "band", "slot").agg(page)
+    left = pairs.select("token", F.col("xband").alias("band"), F.col("xslot").alias("slot")).union(
+        pairs.select("token", "yband", "yslot")
+    ).distinct()
+    pages = rows.join(left, ["token", "band", "slot"]).join(maps, "cls")
+    pages = pages.groupBy("token", "band", "slot").agg(page)
     final = pairs.join(side(pages, "x", ["band", "slot", "page"]), ["token", "xband", "xslot"]).join(
         side(pages, "y", ["band", "slot", "page"]), ["token", "yband", "yslot"]
     )
@@ -572,17 +586,23 @@ def jaccard_components(
         F.count("*").alias("size"), F.bit_xor(F.xxhash64("cls")).alias("bag"), F.min("cls").alias("low")
     ).where("size > 1")
     bags = bags.groupBy("size", "bag", "low").agg(F.min("token").alias("token"))
-    buckets = staging.table(buckets.join(bags.select("token"), "token"), "buckets")
+    buckets = staging.table(buckets.join(bags.select("token", "size"), "token"), "buckets")
     staging.drop("buckets-all")
 
     # Every class against the leaders it shares most buckets with; it has no more offers
     # than first shingles, so the list of them is short.
     sets = _Sets(rows, classes, size, staging)
-    leads = buckets.groupBy("token").agg(F.min_by(F.struct("cls", "n"), "cls").alias("lead"))
+    central = buckets.groupBy("cls").agg(F.sum("size").alias("met"))
+    banded = buckets.withColumn("band", size_band(similarity))
+    leads = banded.join(central, "cls").groupBy("token", "band").agg(
+        F.max_by(F.struct("cls", "n"), F.struct("met", -F.col("cls"))).alias("lead")
+    )
+    around = F.explode(F.array(*[F.col("band") + k for k in (-1, 0, 1)])).alias("band")
+    leads = leads.select("token", "lead", around)
     num, den = similarity
     close = (F.col("n") * den >= F.col("lead.n") * num) & (F.col("lead.n") * den >= F.col("n") * num)
     offers = (
-        buckets.join(leads, "token").where((F.col("cls") != F.col("lead.cls")) & close)
+        banded.join(leads, ["token", "band"]).where((F.col("cls") != F.col("lead.cls")) & close)
         .groupBy(F.col("lead.cls").alias("a"), F.col("cls").alias("b")).agg(F.count("*").alias("common"))
     )
     offers = _allowed(offers, classes, similarity)
@@ -595,9 +615,11 @@ def jaccard_components(
 
     live = staging.table(_live_buckets(buckets, labels), "live")
     maps = classes.join(live.select("cls").distinct(), "cls").select("cls", "spare", "bits")
-    members = live.join(maps, "cls").select("token", "cls", "comp", "n", "spare", "bits")
-    pairs = tree_pairs(members, staging, similarity, "tree")
-    staging.drop("live")
+    maps = staging.table(maps, "live-maps")
+    members = live.join(maps.select("cls", "spare"), "cls")
+    pairs = tree_pairs(members, staging, similarity, "tree", maps.select("cls", "bits"))
+    for name in ("live", "live-maps"):
+        staging.drop(name)
     edges = edges.union(staging.table(verified(pairs, sets.of(pairs), similarity), "links-tree"))
     labels = staging.table(components(edges, staging, "parts-2"), "labels-2")
 

@@ -143,6 +143,31 @@ def test_jaccard_groups(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == plain.jaccard_components(rows)
 
 
+def test_jaccard_leaders(spark, monkeypatch):
+    """Near copies that are similar to the text they come from more than to each other or the first."""
+    draw = random.Random(11)
+    base = [f"w{k}" for k in range(120)]
+
+    def edited(*places):
+        return " ".join(f"x{draw.randrange(10**9)}" if k in places else w for k, w in enumerate(base))
+
+    rows = [(0, edited(30, 60, 90))]
+    rows += [(k, edited(*draw.sample(range(10, 50), 1), *draw.sample(range(60, 110), 1))) for k in range(1, 60)]
+    rows += [(100, " ".join(base))]
+    seen = []
+
+    def counted(*args, whole=jaccard_join.tree_pairs):
+        seen.append(whole(*args))
+        return seen[-1]
+
+    monkeypatch.setattr(jaccard_join, "tree_pairs", counted)
+    got = jaccard_join.jaccard_components(table(spark, rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == plain.jaccard_components(rows)
+    assert {r.component_id for r in got} == {0}
+    # All are connected by leaders: not one of the 1,800 pairs that bitmaps let through is left.
+    assert [f.count() for f in seen] == [0]
+
+
 def test_jaccard_tree_levels(spark, tmp_path, monkeypatch):
     """A bucket of many unlike sets, with pages so small that the tree has three levels."""
     monkeypatch.setattr(jaccard_join, "PAGE", 2)
