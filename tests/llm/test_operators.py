@@ -164,7 +164,7 @@ def test_jaccard_leaders(spark, monkeypatch):
     got = jaccard_join.jaccard_components(table(spark, rows)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == plain.jaccard_components(rows)
     assert {r.component_id for r in got} == {0}
-    # All are connected by leaders: not one of the 1,800 pairs that bitmaps let through is left.
+    # All are connected by leaders: not one of the 1,662 pairs that the first text as leader leaves.
     assert [f.count() for f in seen] == [0]
 
 
