@@ -9,7 +9,9 @@ Inside a bucket the pairs come from a signature tree. Its leaves are pages of se
 the same size, its nodes hold the OR of the bitmaps below them, the range of sizes and the
 range of components. Node pairs are followed from the roots down, and dropped where the
 sizes cannot match, where the bitmaps allow too little overlap, or where everything is
-connected already. Pairs that survive are compared exactly.
+connected already. Two pages are compared by the buckets that their sets are in: those tell how
+many first shingles two sets share, hence how many they share at most, and in which one of their
+common buckets the pair is told. Pairs that survive are compared exactly.
 
 Before the trees, every set is compared with a leader of its buckets: the set of about its
 size that shares most with others, since that one is near the middle of its group and in reach of
@@ -52,7 +54,8 @@ SKETCH_BITS = 23
 SKETCH_BLOCK = 1 << 16
 PAGE = 48
 FAN_OUT = 16
-PAIRS_KEPT = 200_000
+#: Buckets that two pages are compared by at once; only bounds memory.
+MARKS_AT_ONCE = 4096
 #: Rows with lists of bitmaps that a task turns into objects together.
 ROWS_AT_ONCE = 64
 #: Leaders that a set is compared with before the trees.
@@ -180,25 +183,31 @@ def frequency_weights(docs: DataFrame, size: int = SHINGLE) -> np.ndarray:
 # --- profiles and buckets ---------------------------------------------------------------
 
 
+def place_of(weight: int, shingle: int) -> int:
+    """A number that does not decrease along the order of shingles: by weight, then by hash."""
+    return weight << 55 | shingle >> 9
+
+
 def _profile(weights, size: int, similarity: tuple[int, int]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch):
                 sets = shingle_sets(piece.column("text"), size)
-                first = []
+                first, reach = [], []
                 for s in sets:
                     heavy = weights.value[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-                    order = np.argsort(heavy, kind="stable")
-                    first.append(s[order[: prefix_length(len(s), similarity)]].tobytes())
+                    order = np.argsort(heavy, kind="stable")[: prefix_length(len(s), similarity)]
+                    first.append(s[order].tobytes())
+                    reach.append(place_of(int(heavy[order[-1]]), int(s[order[-1]])) if len(s) else 0)
                 maps = [bitmap(s) for s in sets]
                 spare = [len(s) - int(np.bitwise_count(m).sum()) for s, m in zip(sets, maps)]
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("doc_id"), piece.column("row_hash"),
                      pa.array([len(s) for s in sets], pa.int64()), pa.array(spare, pa.int64()),
                      pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                     pa.array(first, pa.binary()),
+                     pa.array(first, pa.binary()), pa.array(reach, pa.int64()),
                      pa.array([m.tobytes() for m in maps], pa.binary())],
-                    names=["doc_id", "row_hash", "n", "spare", "digest", "first", "bits"],
+                    names=["doc_id", "row_hash", "n", "spare", "digest", "first", "reach", "bits"],
                 )
 
     return handing_back(run)
@@ -412,17 +421,67 @@ def _possible(similarity: tuple[int, int]) -> Callable:
 PAIR = "token long, xband int, xslot long, yband int, yslot long"
 
 
-def _page_pairs(similarity: tuple[int, int]) -> Callable:
-    """Pairs of sets of two pages that bitmaps and sizes allow and that are not yet connected."""
+def _numbered(page: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number in the page of the set of each mark, its bucket, and the first shingles it stands for."""
+    marks, times = page.field("marks"), page.field("times")
+    counts = pc.list_value_length(marks).to_numpy(zero_copy_only=False)
+    flat = (a.flatten().to_numpy(zero_copy_only=False) for a in (marks, times))
+    return np.repeat(np.arange(len(page)), counts), *flat
+
+
+def shared_marks(page_x: pa.StructArray, page_y: pa.StructArray, token: int) -> tuple[np.ndarray, np.ndarray]:
+    """First shingles that each set of one page shares with each of the other, and
+    whether they are in a common bucket before ``token``."""
+    (rows, at, times), (cols, to, _) = _numbered(page_x), _numbered(page_y)
+    both = np.intersect1d(at, to)
+    shape = len(page_x), len(page_y)
+    shared, before = np.zeros(shape), np.zeros(shape, dtype=bool)
+    for k in range(0, len(both), MARKS_AT_ONCE):
+        some = both[k : k + MARKS_AT_ONCE]
+        x, y = np.zeros((shape[0], len(some))), np.zeros((shape[1], len(some)))
+        here, there = np.isin(at, some), np.isin(to, some)
+        x[rows[here], np.searchsorted(some, at[here])] = times[here]
+        y[cols[there], np.searchsorted(some, to[there])] = 1
+        shared += x @ y.T
+        cut = np.searchsorted(some, token)
+        before |= x[:, :cut] @ y[:, :cut].T > 0
+    return shared.astype(np.int64), before
+
+
+def most_overlap(
+    n: np.ndarray, m: np.ndarray, reach_x: np.ndarray, reach_y: np.ndarray, shared: np.ndarray, similarity: tuple[int, int]
+) -> np.ndarray:
+    """So many elements at most have sets in common that share ``shared`` of their first shingles.
+
+    Of the set whose first shingles end earlier in the order, these meet only first shingles
+    of the other; what they do not meet is not in it. ``reach`` is the place of the last ones.
+    """
     num, den = similarity
+    rest_x, rest_y = -(-n * num // den) - 1, -(-m * num // den) - 1
+    rest = np.where(reach_x < reach_y, rest_x, np.where(reach_x > reach_y, rest_y, np.maximum(rest_x, rest_y)))
+    return shared + rest
 
-    def pairs_of(page_x: pa.StructArray, page_y: pa.StructArray, same: bool) -> set:
+
+def _page_pairs(similarity: tuple[int, int], brought: list[str]) -> Callable:
+    """Pairs of sets of two pages that bitmaps and sizes allow and that are not yet connected.
+
+    Where pages have ``marks``, so must the first shingles that the sets share, and a pair is
+    told in the first of the buckets only that have both.
+    """
+    num, den = similarity
+
+    def pairs_of(page_x: pa.StructArray, page_y: pa.StructArray, same: bool, token: int) -> set:
         xs, ys = ({f: page.field(f).to_numpy(zero_copy_only=False) for f in ("cls", "comp", "n", "spare")}
                   for page in (page_x, page_y))
         n, m = xs["n"][:, None], ys["n"]
         ok = (xs["comp"][:, None] != ys["comp"]) & (den * n >= num * m) & (den * m >= num * n)
         if same:
             ok = np.triu(ok, 1)
+        if "marks" in brought and ok.any():
+            shared, before = shared_marks(page_x, page_y, token)
+            reach_x, reach_y = (page.field("reach").to_numpy(zero_copy_only=False) for page in (page_x, page_y))
+            most = most_overlap(n, m, reach_x[:, None], reach_y, shared, similarity)
+            ok &= ~before & (most >= least_overlap(n + m, similarity))
         maps: dict[tuple[int, int], np.ndarray] = {}
 
         def bits(side: int, page: pa.StructArray, k: int) -> np.ndarray:
@@ -442,17 +501,12 @@ def _page_pairs(similarity: tuple[int, int]) -> Callable:
         return found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Sets that share many shingles meet in many buckets; a task tells of them once, as long
-        # as its memory of pairs holds.
-        told: set[tuple[int, int]] = set()
         for batch in batches:
             found: set[tuple[int, int]] = set()
-            places = [batch.column(c).to_pylist() for c in ("xband", "xslot", "yband", "yslot")]
-            for k, (xband, xslot, yband, yslot) in enumerate(zip(*places)):
+            places = [batch.column(c).to_pylist() for c in ("xband", "xslot", "yband", "yslot", "token")]
+            for k, (xband, xslot, yband, yslot, token) in enumerate(zip(*places)):
                 pages = (batch.column(c)[k].values for c in ("xpage", "ypage"))
-                found |= pairs_of(*pages, (xband, xslot) == (yband, yslot))
-            found -= told
-            told = told | found if len(told) < PAIRS_KEPT else set(found)
+                found |= pairs_of(*pages, (xband, xslot) == (yband, yslot), token)
             a, b = zip(*sorted(found)) if found else ((), ())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]
@@ -476,6 +530,10 @@ def tree_pairs(
     the same or in neighbouring ranges. Pages are dealt by a hash of the set. ``maps(cls, bits)``
     may hold the bitmaps instead, one row for each set; a set is in many buckets, so its bitmap
     is brought to them only where nodes are made, and once more for the pages that are left.
+
+    ``maps`` may also have ``marks``, all buckets of the set that are not of one component,
+    ``times``, how many of its first shingles each of them stands for, and ``reach``, the place
+    of its last first shingle. Then pairs that share too few first shingles are left out.
     """
     if maps is None:
         maps = members.select("cls", "bits").dropDuplicates(["cls"])
@@ -489,7 +547,7 @@ def tree_pairs(
     levels = 0
     while top >> (4 * levels):
         levels += 1
-    nodes = tree_levels(rows.join(maps, "cls"), levels, staging, name)
+    nodes = tree_levels(rows.join(maps.select("cls", "bits"), "cls"), levels, staging, name)
 
     def side(df: DataFrame, tag: str, columns: list[str]) -> DataFrame:
         return df.select("token", *[F.col(c).alias(f"{tag}{c}") for c in columns])
@@ -511,7 +569,8 @@ def tree_pairs(
         )
         pairs = grown.mapInArrow(_possible(similarity), PAIR)
     pairs = staging.table(pairs, f"{name}-pairs")
-    page = F.collect_list(F.struct("cls", "comp", "n", "spare", "bits")).alias("page")
+    brought = [c for c in maps.columns if c != "cls"]
+    page = F.collect_list(F.struct("cls", "comp", "n", "spare", *brought)).alias("page")
     left = pairs.select("token", F.col("xband").alias("band"), F.col("xslot").alias("slot")).union(
         pairs.select("token", "yband", "yslot")
     ).distinct()
@@ -521,7 +580,7 @@ def tree_pairs(
         side(pages, "y", ["band", "slot", "page"]), ["token", "yband", "yslot"]
     )
     found = staging.table(
-        final.mapInArrow(_page_pairs(similarity), "a long, b long").distinct(), f"{name}-found"
+        final.mapInArrow(_page_pairs(similarity, brought), "a long, b long").distinct(), f"{name}-found"
     )
     for table in ("members", "pairs", *[f"pairs-{k}" for k in range(levels)]):
         staging.drop(f"{name}-{table}")
@@ -555,7 +614,7 @@ def jaccard_components(
     weights = spark.sparkContext.broadcast(frequency_weights(rows, size))
     profile = rows.mapInArrow(
         _profile(weights, size, similarity),
-        "doc_id long, row_hash long, n long, spare long, digest binary, first binary, bits binary",
+        "doc_id long, row_hash long, n long, spare long, digest binary, first binary, reach long, bits binary",
     ).withColumn("node", F.monotonically_increasing_id())
     profile = staging.table(profile, "profile")
     weights.destroy()
@@ -573,7 +632,7 @@ def jaccard_components(
 
     # Equal sets are one class, named by its first node; everything below is about classes.
     full = narrow.where("n > 0")
-    first = F.min_by(F.struct(F.col("node").alias("cls"), "n", "spare", "bits", "row_hash"), "node")
+    first = F.min_by(F.struct(F.col("node").alias("cls"), "n", "spare", "reach", "bits", "row_hash"), "node")
     classes = full.groupBy("digest").agg(first.alias("c")).select("digest", "c.*")
     classes = staging.table(classes, "classes")
     node_class = full.select("node", "digest").join(classes.select("digest", "cls", "n"), "digest")
@@ -585,8 +644,10 @@ def jaccard_components(
     bags = buckets.groupBy("token").agg(
         F.count("*").alias("size"), F.bit_xor(F.xxhash64("cls")).alias("bag"), F.min("cls").alias("low")
     ).where("size > 1")
-    bags = bags.groupBy("size", "bag", "low").agg(F.min("token").alias("token"))
-    buckets = staging.table(buckets.join(bags.select("token", "size"), "token"), "buckets")
+    bags = bags.groupBy("size", "bag", "low").agg(
+        F.min("token").alias("token"), F.count("*").cast("int").alias("times")
+    )
+    buckets = staging.table(buckets.join(bags.select("token", "size", "times"), "token"), "buckets")
     staging.drop("buckets-all")
 
     # Every class against the leaders it shares most buckets with; it has no more offers
@@ -614,10 +675,13 @@ def jaccard_components(
     labels = staging.table(components(edges, staging, "parts-1"), "labels-1")
 
     live = staging.table(_live_buckets(buckets, labels), "live")
-    maps = classes.join(live.select("cls").distinct(), "cls").select("cls", "spare", "bits")
+    marks = live.groupBy("cls").agg(F.collect_list(F.struct("token", "times")).alias("m"))
+    maps = classes.join(marks, "cls").select(
+        "cls", "spare", "reach", "bits", F.col("m.token").alias("marks"), F.col("m.times").alias("times")
+    )
     maps = staging.table(maps, "live-maps")
-    members = live.join(maps.select("cls", "spare"), "cls")
-    pairs = tree_pairs(members, staging, similarity, "tree", maps.select("cls", "bits"))
+    members = live.drop("times").join(maps.select("cls", "spare"), "cls")
+    pairs = tree_pairs(members, staging, similarity, "tree", maps.drop("spare"))
     for name in ("live", "live-maps"):
         staging.drop(name)
     edges = edges.union(staging.table(verified(pairs, sets.of(pairs), similarity), "links-tree"))
@@ -639,9 +703,9 @@ def jaccard_components(
 
 
 def _live_buckets(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows ``token, cls, n, comp`` of the buckets that more than one component shares."""
+    """Rows ``token, cls, n, times, comp`` of the buckets that more than one component shares."""
     named = buckets.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select(
-        "token", "cls", "n", F.coalesce("component", "cls").alias("comp")
+        "token", "cls", "n", "times", F.coalesce("component", "cls").alias("comp")
     )
     apart = named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     return named.join(apart.where("lo < hi").select("token"), "token")

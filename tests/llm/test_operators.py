@@ -168,6 +168,62 @@ def test_jaccard_leaders(spark, monkeypatch):
     assert [f.count() for f in seen] == [0]
 
 
+def test_jaccard_pairs_out_of_reach(spark, monkeypatch):
+    """A group whose pairs are mostly just not similar: the trees leave few of its 1,770 pairs."""
+    draw = random.Random(5)
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for k in range(60):
+        own = list(base)
+        for at in draw.sample(range(120), 3):
+            own[at] = f"x{draw.randrange(10**9)}"
+        rows.append((k, " ".join(own)))
+    seen = []
+
+    def counted(*args, whole=jaccard_join.tree_pairs):
+        seen.append(whole(*args))
+        return seen[-1]
+
+    monkeypatch.setattr(jaccard_join, "tree_pairs", counted)
+    got = jaccard_join.jaccard_components(table(spark, rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == plain.jaccard_components(rows)
+    assert [f.count() < 300 for f in seen] == [True]
+
+
+def test_jaccard_marks():
+    """Pages tell a pair in one bucket, and the bound by first shingles is never under the overlap."""
+    draw = np.random.default_rng(6)
+    sets, firsts, facts = [], [], []
+    for _ in range(40):
+        s = np.unique(draw.choice(90, draw.integers(20, 80), replace=False).astype(np.uint64) << np.uint64(40))
+        order = np.lexsort((s, s >> np.uint64(44)))  # several shingles of a weight
+        first = s[order[: jaccard_join.prefix_length(len(s))]]
+        place = jaccard_join.place_of(int(first[-1] >> np.uint64(44)), int(first[-1]))
+        sets.append(s)
+        firsts.append(first.astype(np.int64))
+        bits = jaccard_join.bitmap(s)
+        facts.append({"cls": len(facts), "comp": len(facts), "n": len(s), "reach": place, "bits": bits.tobytes(),
+                      "spare": len(s) - int(np.bitwise_count(bits).sum()), "marks": firsts[-1].tolist(),
+                      "times": [1] * len(first)})
+    page = pa.array(facts)
+    token = int(np.median(np.concatenate(firsts)))
+    shared, before = jaccard_join.shared_marks(page, page, token)
+    n, reach = (page.field(c).to_numpy() for c in ("n", "reach"))
+    most = jaccard_join.most_overlap(n[:, None], n, reach[:, None], reach, shared, (75, 100))
+    for a in range(40):
+        for b in range(40):
+            both = np.intersect1d(firsts[a], firsts[b])
+            assert shared[a, b] == len(both) and before[a, b] == bool((both < token).any())
+            assert a == b or most[a, b] >= len(np.intersect1d(sets[a], sets[b]))
+    twice = pa.array(facts[:1] * 2).to_pylist()
+    twice[1] |= {"cls": 99, "comp": 99}
+    names = ["token", "xband", "xslot", "yband", "yslot", "xpage", "ypage"]
+    rows = [dict(zip(names, (t, 0, 0, 0, 0, twice, twice))) for t in firsts[0].tolist()]
+    task = jaccard_join._page_pairs((75, 100), ["bits", "marks", "times", "reach"])
+    told = [r for row in rows for out in task([pa.RecordBatch.from_pylist([row])]) for r in out.to_pylist()]
+    assert told == [{"a": 0, "b": 99}]
+
+
 def test_jaccard_tree_levels(spark, tmp_path, monkeypatch):
     """A bucket of many unlike sets, with pages so small that the tree has three levels."""
     monkeypatch.setattr(jaccard_join, "PAGE", 2)
