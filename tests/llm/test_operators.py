@@ -467,6 +467,41 @@ def test_simhash_bits(spark):
         assert r.simhash & (1 << 64) - 1 == want
 
 
+def test_simhash_of_pieces(spark):
+    """Lines of all lengths around those that are counted in pieces, repeated rows among them."""
+    draw = random.Random(4)
+    vocabulary = [f"w{k}" for k in range(90)]
+    sizes = [1, 2, 3, 62, 63, 64, 125, 126, 127, 300, 63 * 260, 63 * 260 + 1]
+    rows = [(k, " ".join(draw.choices(vocabulary, k=n))) for k, n in enumerate(sizes)]
+    got = line_dedup.line_hashes(table(spark, [*rows, rows[5], rows[5]])).collect()
+    assert len(got) == len(rows) + 2
+    hashes = {x.w: x.h & (1 << 64) - 1 for x in spark.createDataFrame([(w,) for w in vocabulary], "w string").select("w", F.xxhash64("w").alias("h")).collect()}
+    for r in got:
+        words = dict(rows)[r.doc_id].split()
+        want = sum(1 << b for b in range(64) if 2 * sum(hashes[w] >> b & 1 for w in words) > len(words))
+        assert (r.words, r.simhash & (1 << 64) - 1) == (len(words), want)
+
+
+def test_near_hashes(spark):
+    """Of all SimHashes only repeated ones and those with another one within reach stay; crowded keys give all."""
+    draw = random.Random(8)
+    far = [draw.getrandbits(64) for _ in range(300)]
+    far += [far[0] ^ draw.getrandbits(20) << 40 | 1 for _ in range(40)]  # same low blocks, most of them not near
+    near = [x ^ sum(1 << b for b in draw.sample(range(64), k % 5)) for k, x in enumerate(far[100:200])]
+    all_of = [*far, *near, far[50]]
+    want = {x for k, x in enumerate(all_of) if any((x ^ y).bit_count() <= 3 for j, y in enumerate(all_of) if j != k)}
+    signed = [(x - (1 << 64) if x >> 63 else x,) for x in all_of]
+    rows = spark.createDataFrame(signed, "simhash long")
+
+    def found(**limits):
+        out = line_dedup.near_hashes(rows, line_dedup.stage_for(spark), **limits).collect()
+        assert len(out) == len({r.simhash for r in out})
+        return {r.simhash & (1 << 64) - 1 for r in out}
+
+    assert 100 < len(want) < len(set(all_of)) - 100 and found() == want
+    assert want <= found(group=5) <= set(all_of) and set(far[301:]) <= found(group=5)
+
+
 def test_licenses(spark):
     grant, condition = licenses.SENTENCES["mit-grant"], licenses.SENTENCES["mit-condition"]
     rows = [
